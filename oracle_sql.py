@@ -280,9 +280,400 @@ SELECT customer_unique_id,
 FROM fct"""
 
 
+
+# ------------------------------------------------------------------ helpers
+
+def canon(*cols: str) -> str:
+    """Canonical projection.  Each item is ``name:kind`` with kind
+    s (as is), l (BIGINT), d (round 6), n (nullable integer -> DOUBLE),
+    date, ts."""
+    out = []
+    for item in cols:
+        name, kind = item.split(":") if ":" in item else (item, "s")
+        expr = {
+            "s": name,
+            "l": f"CAST({name} AS BIGINT)",
+            "d": f"round(CAST({name} AS DOUBLE), 6)",
+            "n": f"CAST({name} AS DOUBLE)",
+            "date": f"strftime(CAST({name} AS DATE), '%Y-%m-%d')",
+            "ts": f"strftime(CAST({name} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S')",
+        }[kind]
+        out.append(f"{expr} AS {name}")
+    return "SELECT " + ", ".join(out)
+
+
+def rhu(x: str, digits: int) -> str:
+    """Round half up on the binary value (same arithmetic as the Spark side)."""
+    scale = float(10 ** digits)
+    return f"(floor(({x}) * {scale!r} + 0.5) / {scale!r})"
+
+
+def pct(num: str, den: str, digits: int = 2) -> str:
+    return rhu(f"(100.0 * CAST({num} AS DOUBLE)) / NULLIF(CAST({den} AS DOUBLE), 0)", digits)
+
+
+def _values(rows) -> str:
+    def lit(v):
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return repr(float(v)) if isinstance(v, float) else str(v)
+    return "VALUES " + ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+
+
+def seeds_cte() -> str:
+    from vantage.functions.fixed import CATEGORY_RISK_PRIORS, PAYMENT_METHOD_RISK, RISK_TIERS
+    return f"""
+payment_method_risk AS (
+    SELECT * FROM ({_values(PAYMENT_METHOD_RISK)}) t(payment_type, base_risk_score, rationale)
+),
+risk_thresholds AS (
+    SELECT * FROM ({_values(RISK_TIERS)}) t(tier, lower_bound_inclusive, upper_bound_exclusive, action)
+),
+category_risk_priors AS (
+    SELECT * FROM ({_values(CATEGORY_RISK_PRIORS)}) t(product_category_name_english, fraud_prior, evidence)
+)"""
+
+
+FCT_COLS = ("customer_unique_id", "snapshot_date:date", "customer_state", "days_since_first_order:n",
+            "total_orders_lifetime:l", "orders_last_30d:l", "orders_last_7d:l", "distinct_sellers_last_7d:l",
+            "total_spent_last_30d:d", "cancel_rate_lifetime:d", "cancel_post_approval_count_30d:l",
+            "avg_review_score:d", "low_review_on_delivered_rate:d", "avg_customer_seller_distance_km:d",
+            "distinct_shipping_states_30d:l")
+
+VELOCITY = """
+velocity AS (
+    SELECT o.*,
+           (epoch_us(o.order_purchase_ts) - epoch_us(lag(o.order_purchase_ts) OVER (
+                PARTITION BY o.customer_unique_id ORDER BY o.order_purchase_ts, o.order_id)))
+               / 3600000000.0 AS hours_since_prev_order
+    FROM int_orders_enriched o
+    WHERE o.customer_unique_id IS NOT NULL AND o.order_purchase_ts IS NOT NULL
+),
+velocity_orders AS (
+    SELECT *, customer_seller_distance_km / NULLIF(hours_since_prev_order, 0) AS velocity_kmh,
+           (epoch_us(order_approved_ts) - epoch_us(order_purchase_ts)) / 3600000000.0 AS hours_to_approval
+    FROM velocity
+)"""
+
+EXTENDED = """
+fct_ext AS (
+    SELECT cm.customer_unique_id, cm.snapshot_date,
+        count(o.order_id) FILTER (WHERE o.order_purchase_ts BETWEEN cm.snapshot_date - INTERVAL '24 hours'
+                                  AND cm.snapshot_date) AS orders_last_24h,
+        date_diff('day', max(o.order_purchase_ts), cm.snapshot_date) AS days_since_last_order,
+        coalesce(count(o.order_id) FILTER (WHERE o.is_no_review_delivered)::DOUBLE
+                 / nullif(count(o.order_id) FILTER (WHERE o.order_status = 'delivered'), 0), 0)
+            AS no_review_on_delivered_rate,
+        max(o.velocity_kmh) AS max_geographic_velocity_kmh,
+        count(o.order_id) FILTER (WHERE o.velocity_kmh > 800.0) AS implausible_velocity_orders,
+        avg(o.hours_to_approval) AS avg_hours_purchase_to_approval
+    FROM customer_months cm
+    LEFT JOIN velocity_orders o
+        ON o.customer_unique_id = cm.customer_unique_id AND o.order_purchase_ts <= cm.snapshot_date
+    GROUP BY cm.customer_unique_id, cm.snapshot_date
+)"""
+
+EVENTS = """
+e_spine AS (
+    SELECT CAST(unnest(generate_series(
+        date_trunc('day', (SELECT min(ts) FROM events)),
+        date_trunc('day', (SELECT max(ts) FROM events)),
+        INTERVAL 1 DAY)) AS DATE) AS snapshot_date
+),
+e_users AS (SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL),
+user_days AS (
+    SELECT u.user_id, s.snapshot_date
+    FROM e_users u CROSS JOIN e_spine s
+    WHERE EXISTS (SELECT 1 FROM events e WHERE e.user_id = u.user_id
+                  AND e.ts <= s.snapshot_date + INTERVAL '1 day')
+),
+e_fct AS (
+    SELECT ud.user_id, ud.snapshot_date,
+        count(e.event_id) AS events_lifetime,
+        count(e.event_id) FILTER (WHERE e.ts BETWEEN ud.snapshot_date - INTERVAL '24 hours'
+                                  AND ud.snapshot_date) AS events_last_24h,
+        count(e.event_id) FILTER (WHERE e.ts BETWEEN ud.snapshot_date - INTERVAL '7 days'
+                                  AND ud.snapshot_date) AS events_last_7d,
+        coalesce(sum(e.value) FILTER (WHERE e.ts BETWEEN ud.snapshot_date - INTERVAL '7 days'
+                                  AND ud.snapshot_date), 0) AS value_last_7d,
+        count(DISTINCT e.event_type) FILTER (WHERE e.ts BETWEEN ud.snapshot_date - INTERVAL '7 days'
+                                  AND ud.snapshot_date) AS distinct_event_types_7d,
+        count(e.event_id) FILTER (WHERE e.event_type = 'purchase') AS purchases_lifetime,
+        coalesce(count(e.event_id) FILTER (WHERE e.event_type = 'error')::DOUBLE
+                 / nullif(count(e.event_id), 0), 0) AS error_rate_lifetime,
+        avg(e.value) AS avg_value_lifetime,
+        max(e.value) FILTER (WHERE e.ts BETWEEN ud.snapshot_date - INTERVAL '30 days'
+                             AND ud.snapshot_date) AS max_value_30d,
+        date_diff('day', min(e.ts), ud.snapshot_date) AS days_since_first_event,
+        date_diff('day', max(e.ts), ud.snapshot_date) AS days_since_last_event
+    FROM user_days ud
+    LEFT JOIN events e ON e.user_id = ud.user_id AND e.ts <= ud.snapshot_date
+    GROUP BY ud.user_id, ud.snapshot_date
+)"""
+
+
+def _dq_sql(check, table_sql) -> str:
+    t = table_sql[check.table]
+    if check.kind == "not_null":
+        body = f"SELECT count(*) FROM {t} WHERE {check.column} IS NULL"
+    elif check.kind == "accepted_values":
+        vals = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in check.values)
+        body = f"SELECT count(*) FROM {t} WHERE {check.column} IS NOT NULL AND {check.column} NOT IN ({vals})"
+    elif check.kind == "expression_is_true":
+        body = f"SELECT count(*) FROM {t} WHERE NOT ({check.column} {check.expression})"
+    elif check.kind == "unique":
+        body = (f"SELECT count(*) FROM (SELECT {check.column} FROM {t} WHERE {check.column} IS NOT NULL "
+                f"GROUP BY {check.column} HAVING count(*) > 1) g")
+    elif check.kind == "unique_combination":
+        cols = ", ".join(check.columns)
+        body = f"SELECT count(*) FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1) g"
+    elif check.kind == "relationships":
+        p = table_sql[check.parent]
+        body = (f"SELECT count(*) FROM {t} c WHERE c.{check.column} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {p} p WHERE p.{check.parent_field} = c.{check.column})")
+    else:
+        raise ValueError(check.kind)
+    return (f"SELECT '{check.check_name}' AS check_name, '{check.table}' AS table_name, "
+            f"'{check.kind}' AS kind, '{check.severity}' AS severity, CAST(({body}) AS BIGINT) AS failures")
+
+
+LAYER_TABLES = {
+    "bronze": {n: f"raw_{n}" for n in ("orders", "customers", "order_items", "order_payments",
+                                       "order_reviews", "sellers", "geolocation", "products",
+                                       "category_translation")},
+    "silver": {n: n for n in ("stg_orders", "stg_customers", "stg_order_items", "stg_order_payments",
+                              "stg_order_reviews", "stg_geolocation")},
+    "gold": {"int_orders_enriched": "int_orders_enriched", "fct_customer_return_risk_features": "fct"},
+    "seeds": {n: n for n in ("payment_method_risk", "risk_thresholds", "category_risk_priors")},
+}
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
-    full = with_ctes(RAW, SILVER, GOLD, _fct("1 month"))
-    q["pit_customer_features"] = full + FCT_OUT
-    q["pit_customer_features_strict"] = with_ctes(RAW, SILVER, GOLD, _fct("0 days")) + FCT_OUT
+    base = with_ctes(RAW, SILVER, GOLD)
+    with_fct = with_ctes(RAW, SILVER, GOLD, _fct("1 month"))
+    q["pit_customer_features"] = with_fct + canon(*FCT_COLS) + " FROM fct"
+    q["pit_customer_features_strict"] = with_ctes(RAW, SILVER, GOLD, _fct("0 days")) + canon(*FCT_COLS) + " FROM fct"
+
+    q["month_spine"] = with_fct + canon("snapshot_date:date") + " FROM spine"
+    q["eligible_customer_months"] = with_fct + canon("customer_unique_id", "snapshot_date:date") + " FROM customer_months"
+
+    q["stg_orders"] = base + canon("order_id:l", "customer_unique_id:l", "customer_id:l", "customer_state",
+                                   "customer_zip_code_prefix", "order_status", "order_purchase_ts:ts",
+                                   "order_approved_ts:ts", "order_delivered_ts:ts",
+                                   "is_cancelled_post_approval") + " FROM stg_orders"
+    q["customer_current_row"] = base + canon("customer_unique_id:l", "customer_state",
+                                             "customer_zip_code_prefix") + " FROM stg_customers"
+    q["stg_order_reviews"] = base + canon("review_id", "order_id:l", "review_score:l",
+                                          "review_creation_date:date") + " FROM stg_order_reviews"
+    q["region_centroid"] = base + canon("zip_code_prefix", "lat:d", "lng:d") + " FROM stg_geolocation"
+    q["items_keep_first"] = base + canon("order_id:l", "order_item_id:l", "product_id:l", "seller_id:l",
+                                         "shipping_limit_date:ts", "price:d", "freight_value:d") + """
+        FROM (SELECT *, row_number() OVER (PARTITION BY order_id, order_item_id
+                  ORDER BY shipping_limit_date ASC NULLS LAST, seller_id ASC NULLS LAST,
+                           product_id ASC NULLS LAST, price ASC NULLS LAST,
+                           freight_value ASC NULLS LAST) AS rn
+              FROM raw_order_items) x WHERE rn = 1"""
+    q["latest_event_per_user"] = canon("user_id:l", "event_id:l", "ts:ts", "event_type", "value:d") + """
+        FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+                  ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
+              FROM events) x WHERE rn = 1"""
+    q["payments_per_order"] = base + canon("order_id:l", "order_value:d", "max_installments:l",
+                                           "payment_slices:l", "primary_payment_type") + " FROM payments_agg"
+    q["primary_seller"] = base + canon("order_id:l", "primary_seller_id:l") + " FROM items_seller"
+    q["orders_enriched"] = base + canon(
+        "order_id:l", "customer_unique_id:l", "customer_state", "order_status", "order_purchase_ts:ts",
+        "order_approved_ts:ts", "order_delivered_ts:ts", "is_cancelled_post_approval", "order_value:d",
+        "primary_payment_type", "max_installments:n", "primary_seller_id:n", "review_score:n",
+        "is_low_review_delivered", "is_no_review_delivered", "customer_seller_distance_km:d"
+    ) + " FROM int_orders_enriched"
+    q["customer_seller_distance"] = base + canon("order_id:l", "customer_unique_id:l", "primary_seller_id:n",
+                                                 "customer_seller_distance_km:d") + " FROM int_orders_enriched"
+
+    vel = with_ctes(RAW, SILVER, GOLD, VELOCITY)
+    q["order_velocity"] = vel + canon("order_id:l", "customer_unique_id:l", "order_purchase_ts:ts",
+                                      "hours_since_prev_order:d", "velocity_kmh:d") + " FROM velocity_orders"
+    q["pit_customer_features_extended"] = with_ctes(RAW, SILVER, GOLD, _fct("1 month"), VELOCITY, EXTENDED) + canon(
+        "customer_unique_id:l", "snapshot_date:date", "orders_last_24h:l", "days_since_last_order:n",
+        "no_review_on_delivered_rate:d", "max_geographic_velocity_kmh:d", "implausible_velocity_orders:l",
+        "avg_hours_purchase_to_approval:d") + " FROM fct_ext"
+    q["pit_event_features"] = with_ctes(EVENTS) + canon(
+        "user_id:l", "snapshot_date:date", "events_lifetime:l", "events_last_24h:l", "events_last_7d:l",
+        "value_last_7d:d", "distinct_event_types_7d:l", "purchases_lifetime:l", "error_rate_lifetime:d",
+        "avg_value_lifetime:d", "max_value_30d:d", "days_since_first_event:n",
+        "days_since_last_event:n") + " FROM e_fct"
+
+    with_seeds = with_ctes(RAW, SILVER, GOLD, seeds_cte())
+    q["payment_risk"] = with_seeds + canon("primary_payment_type", "order_id:l",
+                                           "payment_method_risk_score:d") + """
+        FROM (SELECT o.order_id, o.primary_payment_type, s.base_risk_score AS payment_method_risk_score
+              FROM int_orders_enriched o
+              LEFT JOIN payment_method_risk s ON o.primary_payment_type = s.payment_type) x"""
+    q["category_prior"] = with_seeds + canon("order_id:l", "items:l", "items_with_prior:l",
+                                             "max_category_prior:d", "avg_category_prior:d") + """
+        FROM (SELECT i.order_id, count(*) AS items, count(c.fraud_prior) AS items_with_prior,
+                     max(c.fraud_prior) AS max_category_prior, avg(c.fraud_prior) AS avg_category_prior
+              FROM stg_order_items i
+              LEFT JOIN (SELECT p.product_id, pr.fraud_prior
+                         FROM raw_products p
+                         LEFT JOIN raw_category_translation t ON p.product_category_name = t.product_category_name
+                         LEFT JOIN category_risk_priors pr
+                                ON t.product_category_name_english = pr.product_category_name_english) c
+                     ON i.product_id = c.product_id
+              GROUP BY i.order_id) x"""
+    q["score_tier"] = with_ctes(seeds_cte()) + canon("s_suppkey:l", "risk_score:d", "tier", "action",
+                                                      "tier_label") + """
+        FROM (SELECT s.s_suppkey, s.risk_score, t.tier, t.action,
+                     CASE WHEN s.risk_score IS NULL THEN NULL
+                          WHEN s.risk_score < 0.30 THEN 'low'
+                          WHEN s.risk_score < 0.60 THEN 'medium'
+                          WHEN s.risk_score < 0.85 THEN 'high'
+                          ELSE 'critical' END AS tier_label
+              FROM (SELECT s_suppkey, (s_acctbal + 1000.0) / 11000.0 AS risk_score FROM supplier) s
+              LEFT JOIN risk_thresholds t
+                     ON s.risk_score >= t.lower_bound_inclusive AND s.risk_score < t.upper_bound_exclusive) x"""
+
+    owm = """
+owm AS (
+    SELECT o.*, COALESCE(CAST(fs.seller_id AS VARCHAR), 'unknown_merchant') AS merchant_id,
+           strftime(CAST(o.order_purchase_timestamp AS DATE), '%Y-%m') AS partition_month
+    FROM raw_orders o
+    LEFT JOIN (SELECT order_id, seller_id, row_number() OVER (PARTITION BY order_id
+                   ORDER BY order_item_id ASC NULLS LAST, seller_id ASC NULLS LAST) AS rn
+               FROM raw_order_items) fs
+           ON o.order_id = fs.order_id AND fs.rn = 1
+)"""
+    q["orders_with_merchant"] = with_ctes(RAW, owm) + canon(
+        "order_id:l", "customer_id:l", "order_status", "order_purchase_timestamp:ts", "order_approved_at:ts",
+        "order_delivered_carrier_date:ts", "order_delivered_customer_date:ts",
+        "order_estimated_delivery_date:ts", "merchant_id", "partition_month") + " FROM owm"
+    q["partitioned_roundtrip"] = with_ctes(RAW, owm) + canon("partition_month", "row_count:l", "merchants:l") + """
+        FROM (SELECT partition_month, count(*) AS row_count, count(DISTINCT merchant_id) AS merchants
+              FROM owm GROUP BY 1) x"""
+
+    q["cancel_rate_by_state"] = with_ctes(RAW) + canon("customer_state", "total_orders:l", "canceled:l",
+                                                       "cancel_rate_pct:d") + f"""
+        FROM (SELECT customer_state, total_orders, canceled, {pct('canceled', 'total_orders')} AS cancel_rate_pct
+              FROM (SELECT c.customer_state, count(*) AS total_orders,
+                           sum(CASE WHEN o.order_status = 'canceled' THEN 1 ELSE 0 END) AS canceled
+                    FROM raw_orders o JOIN raw_customers c ON o.customer_id = c.customer_id
+                    GROUP BY c.customer_state) a
+              ORDER BY cancel_rate_pct DESC NULLS LAST, customer_state ASC NULLS LAST
+              LIMIT 20) x"""
+    q["low_review_on_delivered"] = with_ctes(RAW) + canon("delivered_orders:l", "low_review:l",
+                                                          "inr_proxy_rate_pct:d") + f"""
+        FROM (SELECT delivered_orders, low_review, {pct('low_review', 'delivered_orders')} AS inr_proxy_rate_pct
+              FROM (SELECT count(*) AS delivered_orders,
+                           sum(CASE WHEN r.review_score <= 2 THEN 1 ELSE 0 END) AS low_review
+                    FROM raw_orders o JOIN raw_order_reviews r ON o.order_id = r.order_id
+                    WHERE o.order_status = 'delivered') a) x"""
+
+    latest = "fct f, (SELECT max(snapshot_date) AS d FROM fct) l WHERE f.snapshot_date = l.d"
+    q["top_risky_customers"] = with_fct + canon(
+        "customer_unique_id:l", "customer_state", "total_orders_lifetime:l", "orders_last_30d:l",
+        "cancel_rate:d", "cancel_30d:l", "avg_review:d", "low_review_rate:d", "avg_dist_km:d",
+        "states_30d:l") + f"""
+        FROM (SELECT customer_unique_id, customer_state, total_orders_lifetime, orders_last_30d,
+                     {rhu('cancel_rate_lifetime', 3)} AS cancel_rate,
+                     cancel_post_approval_count_30d AS cancel_30d,
+                     {rhu('avg_review_score', 2)} AS avg_review,
+                     {rhu('low_review_on_delivered_rate', 3)} AS low_review_rate,
+                     {rhu('avg_customer_seller_distance_km', 0)} AS avg_dist_km,
+                     distinct_shipping_states_30d AS states_30d
+              FROM {latest} AND total_orders_lifetime >= 2
+              ORDER BY (cancel_rate_lifetime + low_review_on_delivered_rate) DESC NULLS LAST,
+                       total_orders_lifetime DESC NULLS LAST, customer_unique_id ASC NULLS LAST
+              LIMIT 50) x"""
+    q["risk_distribution"] = with_fct + canon("cancel_rate_lifetime:d", "low_review_on_delivered_rate:d",
+                                              "total_orders_lifetime:l") + f"""
+        FROM (SELECT cancel_rate_lifetime, low_review_on_delivered_rate, total_orders_lifetime
+              FROM {latest} AND total_orders_lifetime >= 1) x"""
+    q["feature_store_summary"] = with_fct + canon(
+        "total_rows:l", "unique_customers:l", "snapshots:l", "first_snapshot:date", "last_snapshot:date",
+        "avg_cancel_rate:d", "avg_low_review_rate:d") + f"""
+        FROM (SELECT count(*) AS total_rows, count(DISTINCT customer_unique_id) AS unique_customers,
+                     count(DISTINCT snapshot_date) AS snapshots, min(snapshot_date) AS first_snapshot,
+                     max(snapshot_date) AS last_snapshot,
+                     {rhu('avg(cancel_rate_lifetime)', 4)} AS avg_cancel_rate,
+                     {rhu('avg(low_review_on_delivered_rate)', 4)} AS avg_low_review_rate
+              FROM fct) x"""
+    q["orders_overview"] = base + canon("total_orders:l", "unique_customers:l", "cancel_post_approval:l",
+                                        "pct_cancel_post_approval:d", "first_order_ts:ts",
+                                        "last_order_ts:ts") + f"""
+        FROM (SELECT total_orders, unique_customers, cancel_post_approval,
+                     {pct('cancel_post_approval', 'total_orders')} AS pct_cancel_post_approval,
+                     first_order_ts, last_order_ts
+              FROM (SELECT count(*) AS total_orders, count(DISTINCT customer_unique_id) AS unique_customers,
+                           sum(CASE WHEN is_cancelled_post_approval THEN 1 ELSE 0 END) AS cancel_post_approval,
+                           min(order_purchase_ts) AS first_order_ts, max(order_purchase_ts) AS last_order_ts
+                    FROM stg_orders) a) x"""
+
+    everything = with_ctes(RAW, SILVER, GOLD, _fct("1 month"), seeds_cte())
+    counts = " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{name}' AS table_name, (SELECT count(*) FROM {cte}) AS row_count"
+        for layer, tables in LAYER_TABLES.items() for name, cte in tables.items())
+    q["layer_row_counts"] = everything + canon("layer", "table_name", "row_count:l") + f" FROM ({counts}) x"
+    raw_counts = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {cte}) AS row_count"
+        for name, cte in LAYER_TABLES["bronze"].items())
+    q["load_audit"] = with_ctes(RAW) + canon("table_name", "row_count:l") + f" FROM ({raw_counts}) x"
+
+    q["dq_not_null"] = base + canon("order_id:l", "customer_unique_id:l", "customer_id:l", "customer_state",
+                                    "customer_zip_code_prefix", "order_status", "order_purchase_ts:ts",
+                                    "order_approved_ts:ts", "order_delivered_ts:ts",
+                                    "is_cancelled_post_approval") + " FROM stg_orders WHERE order_approved_ts IS NULL"
+    q["dq_unique"] = with_ctes(RAW) + canon("order_id:l", "n:l") + """
+        FROM (SELECT order_id, count(*) AS n FROM raw_order_reviews WHERE order_id IS NOT NULL
+              GROUP BY order_id HAVING count(*) > 1) x"""
+    q["dq_accepted_values"] = with_ctes(RAW) + canon("order_id:l", "payment_sequential:l", "payment_type",
+                                                     "payment_installments:l", "payment_value:d") + """
+        FROM raw_order_payments
+        WHERE payment_type IS NOT NULL AND payment_type NOT IN ('credit_card', 'debit_card', 'boleto')"""
+    q["dq_relationships"] = with_ctes(RAW) + canon("review_id", "order_id:l", "review_score:l",
+                                                   "review_comment_title", "review_comment_message",
+                                                   "review_creation_date:date", "review_answer_timestamp:ts") + """
+        FROM raw_order_reviews c
+        WHERE c.order_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM raw_orders p WHERE p.order_id = c.order_id)"""
+    q["dq_expression"] = base + canon("order_id:l", "customer_seller_distance_km:d") + """
+        FROM int_orders_enriched WHERE NOT (customer_seller_distance_km < 5000)"""
+    q["dq_unique_combination"] = with_ctes(RAW) + canon("order_id:l", "order_item_id:l", "n:l") + """
+        FROM (SELECT order_id, order_item_id, count(*) AS n FROM raw_order_items
+              GROUP BY order_id, order_item_id HAVING count(*) > 1) x"""
+
+    from vantage.plans.suites import bronze_suite, gold_suite, seed_suite, silver_suite
+    table_sql = {n: cte for tables in LAYER_TABLES.values() for n, cte in tables.items()}
+    parts = " UNION ALL ".join(_dq_sql(c, table_sql)
+                               for c in bronze_suite() + silver_suite() + gold_suite() + seed_suite())
+    q["dq_report"] = everything + canon("check_name", "table_name", "kind", "severity", "failures:l",
+                                        "status") + f"""
+        FROM (SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'error' THEN 'error'
+                             ELSE 'warn' END AS status
+              FROM ({parts}) r) x"""
+
+    q["typed_try_cast"] = canon("event_id:l", "ts_second:ts", "props_k:n", "event_type_as_int:n",
+                                "value_as_int:n", "event_date:date") + """
+        FROM (SELECT event_id,
+                     TRY_CAST(strftime(ts, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS ts_second,
+                     TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS props_k,
+                     TRY_CAST(event_type AS INTEGER) AS event_type_as_int,
+                     CAST(round_even(value, 0) AS INTEGER) AS value_as_int,
+                     TRY_CAST(strftime(ts, '%Y-%m-%d') AS DATE) AS event_date
+              FROM events) x"""
+    q["nested_results"] = canon("test_name", "status", "execution_time:d", "message") + """
+        FROM (SELECT string_split(unique_id, '.')[-1] AS test_name,
+                     coalesce(status, 'unknown') AS status,
+                     round(coalesce(execution_time, 0.0), 3) AS execution_time,
+                     substring(coalesce(message, ''), 1, 200) AS message
+              FROM (SELECT (CASE WHEN event_type IN ('error', 'click') THEN 'test.' ELSE 'model.' END)
+                               || 'vantage.' || event_type || '_' || CAST(event_id AS VARCHAR) AS unique_id,
+                           CASE WHEN event_type = 'error' THEN 'fail' ELSE 'pass' END AS status,
+                           value AS execution_time,
+                           CASE WHEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 <> 0
+                                THEN 'k=' || json_extract_string(props, '$.k') END AS message
+                    FROM events) f
+              WHERE starts_with(unique_id, 'test.')) x"""
+    q["incremental_ingest"] = with_ctes(RAW) + canon(
+        "order_id:l", "customer_id:l", "order_status", "order_purchase_timestamp:ts", "order_approved_at:ts",
+        "order_delivered_carrier_date:ts", "order_delivered_customer_date:ts",
+        "order_estimated_delivery_date:ts") + " FROM raw_orders"
     return q

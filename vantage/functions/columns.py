@@ -40,15 +40,13 @@ def safe_rate(num: ColumnOrName, den: ColumnOrName, default: float = 0.0) -> Col
 
 
 def tier_label(score: ColumnOrName) -> Column:
-    """Risk tier name of a 0..1 score using the fixed tier table; NULL stays NULL."""
+    """Risk tier name of a 0..1 score: the first tier whose upper bound is above
+    the score, the top tier otherwise; NULL stays NULL."""
     s = _c(score)
-    expr = None
-    for name, lo, hi, _action in RISK_TIERS:
-        cond = (s >= F.lit(lo)) & (s < F.lit(hi))
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    # scores at or above the last upper bound still count as the top tier
-    top = RISK_TIERS[-1][0]
-    return expr.when(s >= F.lit(RISK_TIERS[-1][2]), F.lit(top))
+    expr = F.when(s.isNull(), F.lit(None).cast("string"))
+    for name, _lo, hi, _action in RISK_TIERS[:-1]:
+        expr = expr.when(s < F.lit(hi), F.lit(name))
+    return expr.otherwise(F.lit(RISK_TIERS[-1][0]))
 
 
 def within_closed(ts: ColumnOrName, lo: Column, hi: Column) -> Column:
@@ -81,3 +79,18 @@ def hours_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Fractional hours from ``start`` to ``end`` (NULL if either is NULL)."""
     return (F.unix_micros(F.to_timestamp(_c(end))) - F.unix_micros(F.to_timestamp(_c(start)))) \
         / F.lit(3_600_000_000.0)
+
+
+def round_half_up(col: ColumnOrName, digits: int) -> Column:
+    """Round half up on the binary value: ``floor(x * 10^d + 0.5) / 10^d``.
+
+    The engines disagree on ``round`` of doubles (decimal-string vs binary
+    rounding); this form is plain IEEE arithmetic and agrees everywhere.
+    """
+    scale = float(10 ** digits)
+    return F.floor(_c(col) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
+def percent(num: ColumnOrName, den: ColumnOrName, digits: int = 2) -> Column:
+    """``round(100.0 * num / nullif(den, 0), digits)`` as DOUBLE (NULL when den is 0)."""
+    return round_half_up(F.try_divide(F.lit(100.0) * _c(num).cast("double"), _c(den).cast("double")), digits)

@@ -53,3 +53,329 @@ def pit_customer_features(spark, sf_dir):
 def pit_customer_features_strict(spark, sf_dir):
     _, _, enriched = layers(spark, sf_dir)
     return fct_customer_return_risk_features(enriched, lead="0 days")
+
+
+# ---------------------------------------------------------------- helpers
+
+def _fct(spark, sf_dir):
+    _, _, enriched = layers(spark, sf_dir)
+    return fct_customer_return_risk_features(enriched)
+
+
+def _events(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+def _scratch(spark, name: str) -> str:
+    """Fresh folder under the session's shared checkpoint folder."""
+    import uuid
+    from vantage.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# ---------------------------------------------------------- spine / pairs
+
+@register("month_spine")
+def month_spine(spark, sf_dir):
+    from vantage.operators.pit import time_spine
+    _, silver, _ = layers(spark, sf_dir)
+    return time_spine(silver["stg_orders"], "order_purchase_ts", "month")
+
+
+@register("eligible_customer_months")
+def eligible_customer_months(spark, sf_dir):
+    from vantage.operators.pit import eligible_pairs
+    _, _, enriched = layers(spark, sf_dir)
+    return eligible_pairs(enriched, "customer_unique_id", "order_purchase_ts", "month", lead="1 month")
+
+
+# ------------------------------------------------------- silver and gold
+
+@register("stg_orders")
+def stg_orders_q(spark, sf_dir):
+    _, silver, _ = layers(spark, sf_dir)
+    return silver["stg_orders"]
+
+
+@register("customer_current_row")
+def customer_current_row(spark, sf_dir):
+    _, silver, _ = layers(spark, sf_dir)
+    return silver["stg_customers"]
+
+
+@register("stg_order_reviews")
+def stg_order_reviews_q(spark, sf_dir):
+    _, silver, _ = layers(spark, sf_dir)
+    return silver["stg_order_reviews"]
+
+
+@register("region_centroid")
+def region_centroid(spark, sf_dir):
+    _, silver, _ = layers(spark, sf_dir)
+    return silver["stg_geolocation"]
+
+
+@register("items_keep_first")
+def items_keep_first(spark, sf_dir):
+    from vantage.operators.relational import keep_first
+    raw = raw_from_tpch(spark, sf_dir)
+    return keep_first(raw["order_items"], ["order_id", "order_item_id"],
+                      ["shipping_limit_date", "seller_id", "product_id", "price", "freight_value"])
+
+
+@register("latest_event_per_user")
+def latest_event_per_user(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from vantage.operators.relational import keep_latest
+    ev = _events(spark, sf_dir).select("user_id", "event_id", "ts", "event_type", "value")
+    return keep_latest(ev, ["user_id"], ["ts"], tiebreak=[F.col("event_id").desc_nulls_last()])
+
+
+@register("payments_per_order")
+def payments_per_order_q(spark, sf_dir):
+    from vantage.plans.gold import payments_per_order
+    _, silver, _ = layers(spark, sf_dir)
+    return payments_per_order(silver["stg_order_payments"])
+
+
+@register("primary_seller")
+def primary_seller_q(spark, sf_dir):
+    from vantage.plans.gold import primary_seller
+    _, silver, _ = layers(spark, sf_dir)
+    return primary_seller(silver["stg_order_items"])
+
+
+@register("orders_enriched",
+          nullable_ints=("max_installments", "primary_seller_id", "review_score"))
+def orders_enriched(spark, sf_dir):
+    _, _, enriched = layers(spark, sf_dir)
+    return enriched
+
+
+@register("customer_seller_distance", nullable_ints=("primary_seller_id",))
+def customer_seller_distance(spark, sf_dir):
+    _, _, enriched = layers(spark, sf_dir)
+    return enriched.select("order_id", "customer_unique_id", "primary_seller_id", "customer_seller_distance_km")
+
+
+# ------------------------------------------------------------ extended
+
+@register("order_velocity")
+def order_velocity_q(spark, sf_dir):
+    from vantage.plans.extended import order_velocity
+    _, _, enriched = layers(spark, sf_dir)
+    return order_velocity(enriched).select("order_id", "customer_unique_id", "order_purchase_ts",
+                                           "hours_since_prev_order", "velocity_kmh")
+
+
+@register("pit_customer_features_extended", nullable_ints=("days_since_last_order",))
+def pit_customer_features_extended(spark, sf_dir):
+    from vantage.plans.extended import fct_extended_features
+    _, _, enriched = layers(spark, sf_dir)
+    return fct_extended_features(enriched)
+
+
+@register("pit_event_features", nullable_ints=("days_since_first_event", "days_since_last_event"))
+def pit_event_features(spark, sf_dir):
+    from vantage.plans.events import event_features
+    return event_features(_events(spark, sf_dir))
+
+
+@register("payment_risk")
+def payment_risk_q(spark, sf_dir):
+    from vantage.plans.extended import payment_risk
+    _, _, enriched = layers(spark, sf_dir)
+    return payment_risk(enriched)
+
+
+@register("category_prior")
+def category_prior_q(spark, sf_dir):
+    from vantage.plans.extended import category_prior
+    raw, silver, _ = layers(spark, sf_dir)
+    return category_prior(silver["stg_order_items"], raw["products"], raw["category_translation"])
+
+
+@register("score_tier")
+def score_tier(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from vantage.plans.extended import score_tiers
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    scored = s.select("s_suppkey", ((F.col("s_acctbal") + F.lit(1000.0)) / F.lit(11000.0)).alias("risk_score"))
+    return score_tiers(scored, "risk_score")
+
+
+@register("orders_with_merchant")
+def orders_with_merchant_q(spark, sf_dir):
+    from vantage.plans.extended import orders_with_merchant
+    raw = raw_from_tpch(spark, sf_dir)
+    return orders_with_merchant(raw["orders"], raw["order_items"])
+
+
+@register("partitioned_roundtrip")
+def partitioned_roundtrip(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from vantage.plans.extended import orders_with_merchant
+    from vantage.sinks.write import write_month_partitioned
+    raw = raw_from_tpch(spark, sf_dir)
+    path = write_month_partitioned(orders_with_merchant(raw["orders"], raw["order_items"]),
+                                   _scratch(spark, "orders-by-month"))
+    back = spark.read.parquet(path)
+    return back.groupBy("partition_month").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("merchant_id").alias("merchants"))
+
+
+# ---------------------------------------------------------- analytics
+
+@register("cancel_rate_by_state")
+def cancel_rate_by_state(spark, sf_dir):
+    from vantage.plans.analytics import cancellation_rate_by_state
+    raw = raw_from_tpch(spark, sf_dir)
+    return cancellation_rate_by_state(raw["orders"], raw["customers"])
+
+
+@register("low_review_on_delivered")
+def low_review_on_delivered_q(spark, sf_dir):
+    from vantage.plans.analytics import low_review_on_delivered
+    raw = raw_from_tpch(spark, sf_dir)
+    return low_review_on_delivered(raw["orders"], raw["order_reviews"])
+
+
+@register("top_risky_customers")
+def top_risky_customers_q(spark, sf_dir):
+    from vantage.plans.analytics import top_risky_customers
+    return top_risky_customers(_fct(spark, sf_dir), limit=50)
+
+
+@register("risk_distribution")
+def risk_distribution_q(spark, sf_dir):
+    from vantage.plans.analytics import risk_distribution
+    return risk_distribution(_fct(spark, sf_dir))
+
+
+@register("feature_store_summary")
+def feature_store_summary_q(spark, sf_dir):
+    from vantage.plans.analytics import feature_store_summary
+    return feature_store_summary(_fct(spark, sf_dir))
+
+
+@register("orders_overview")
+def orders_overview_q(spark, sf_dir):
+    from vantage.plans.analytics import orders_overview
+    _, silver, _ = layers(spark, sf_dir)
+    return orders_overview(silver["stg_orders"])
+
+
+def _all_tables(spark, sf_dir):
+    from vantage.sources.seeds import all_seeds
+    raw, silver, enriched = layers(spark, sf_dir)
+    gold = {"int_orders_enriched": enriched,
+            "fct_customer_return_risk_features": fct_customer_return_risk_features(enriched)}
+    return {"bronze": raw, "silver": silver, "gold": gold, "seeds": all_seeds(spark)}
+
+
+@register("layer_row_counts")
+def layer_row_counts_q(spark, sf_dir):
+    from vantage.plans.analytics import layer_row_counts
+    return layer_row_counts(_all_tables(spark, sf_dir))
+
+
+@register("load_audit")
+def load_audit_q(spark, sf_dir):
+    from vantage.sources.raw import load_audit
+    return load_audit(raw_from_tpch(spark, sf_dir))
+
+
+# ------------------------------------------------------------- quality
+
+@register("dq_not_null")
+def dq_not_null(spark, sf_dir):
+    from vantage.operators.quality import not_null
+    _, silver, _ = layers(spark, sf_dir)
+    return not_null(silver["stg_orders"], "order_approved_ts")
+
+
+@register("dq_unique")
+def dq_unique(spark, sf_dir):
+    from vantage.operators.quality import unique
+    raw = raw_from_tpch(spark, sf_dir)
+    return unique(raw["order_reviews"], "order_id")
+
+
+@register("dq_accepted_values")
+def dq_accepted_values(spark, sf_dir):
+    from vantage.operators.quality import accepted_values
+    raw = raw_from_tpch(spark, sf_dir)
+    return accepted_values(raw["order_payments"], "payment_type", ["credit_card", "debit_card", "boleto"])
+
+
+@register("dq_relationships")
+def dq_relationships(spark, sf_dir):
+    from vantage.operators.quality import relationships
+    raw = raw_from_tpch(spark, sf_dir)
+    return relationships(raw["order_reviews"], "order_id", raw["orders"], "order_id")
+
+
+@register("dq_expression")
+def dq_expression(spark, sf_dir):
+    from vantage.operators.quality import expression_is_true
+    _, _, enriched = layers(spark, sf_dir)
+    return expression_is_true(enriched.select("order_id", "customer_seller_distance_km"),
+                              "customer_seller_distance_km", "< 5000")
+
+
+@register("dq_unique_combination")
+def dq_unique_combination(spark, sf_dir):
+    from vantage.operators.quality import unique_combination
+    raw = raw_from_tpch(spark, sf_dir)
+    return unique_combination(raw["order_items"], ["order_id", "order_item_id"])
+
+
+@register("dq_report")
+def dq_report(spark, sf_dir):
+    from vantage.operators.quality import run_checks
+    from vantage.plans.suites import bronze_suite, gold_suite, seed_suite, silver_suite
+    layers_ = _all_tables(spark, sf_dir)
+    tables = {n: df for layer in layers_.values() for n, df in layer.items()}
+    return run_checks(bronze_suite() + silver_suite() + gold_suite() + seed_suite(), tables)
+
+
+# ------------------------------------------------------ scalar / nested
+
+@register("typed_try_cast", nullable_ints=("props_k", "event_type_as_int", "value_as_int"))
+def typed_try_cast(spark, sf_dir):
+    from pyspark.sql import functions as F
+    ev = _events(spark, sf_dir)
+    return ev.select(
+        "event_id",
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").try_cast("timestamp_ntz").alias("ts_second"),
+        F.get_json_object("props", "$.k").try_cast("int").alias("props_k"),
+        F.col("event_type").try_cast("int").alias("event_type_as_int"),
+        F.bround("value").cast("int").alias("value_as_int"),
+        F.date_format("ts", "yyyy-MM-dd").try_cast("date").alias("event_date"),
+    )
+
+
+@register("nested_results")
+def nested_results(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from vantage.sources.results import test_rows
+    ev = _events(spark, sf_dir)
+    k = F.get_json_object("props", "$.k")
+    flat = ev.select(
+        F.concat(F.when(F.col("event_type").isin("error", "click"), F.lit("test.")).otherwise(F.lit("model.")),
+                 F.lit("vantage."), F.col("event_type"), F.lit("_"), F.col("event_id").cast("string"))
+        .alias("unique_id"),
+        F.when(F.col("event_type") == "error", F.lit("fail")).otherwise(F.lit("pass")).alias("status"),
+        F.col("value").alias("execution_time"),
+        F.when(k.try_cast("int") % 3 != 0, F.concat(F.lit("k="), k)).alias("message"),
+    )
+    return test_rows(flat)
+
+
+# ------------------------------------------------------------ streaming
+
+@register("incremental_ingest")
+def incremental_ingest(spark, sf_dir):
+    from vantage.streaming.ingest import demo_incremental_orders
+    return demo_incremental_orders(spark, sf_dir, _scratch(spark, "ingest"))
