@@ -7,7 +7,7 @@ models with explicit tie-breaks (see SURVEY §9.2).
 
 Output canonicalisation shared with the Spark side (``vantage.plans.compare``):
 DATE -> 'YYYY-MM-DD' text, TIMESTAMP -> 'YYYY-MM-DD HH:MM:SS' text, DOUBLE ->
-round(x, 6), integers -> BIGINT.
+round(x + 1e-9, 6), integers -> BIGINT.
 """
 
 from __future__ import annotations
@@ -293,7 +293,7 @@ def canon(*cols: str) -> str:
         expr = {
             "s": name,
             "l": f"CAST({name} AS BIGINT)",
-            "d": f"round(CAST({name} AS DOUBLE), 6)",
+            "d": f"(round(CAST({name} AS DOUBLE) + 1e-9, 6) + 0.0)",
             "n": f"CAST({name} AS DOUBLE)",
             "date": f"strftime(CAST({name} AS DATE), '%Y-%m-%d')",
             "ts": f"strftime(CAST({name} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S')",

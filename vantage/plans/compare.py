@@ -2,7 +2,7 @@
 
 Applied as the last projection of every registered query, identically to the
 oracle SQL: dates and timestamps become ISO text, doubles are rounded to 6
-decimals (sums in a different order differ in the last bits), integers are
+decimals after a 1e-9 nudge (sums in a different order differ in the last bits), integers are
 widened to BIGINT.  Values are otherwise untouched.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGITS = 6
+NUDGE = 1e-9
 
 
 def canonical(df: DataFrame, nullable_ints=()) -> DataFrame:
@@ -28,7 +29,9 @@ def canonical(df: DataFrame, nullable_ints=()) -> DataFrame:
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), DIGITS)
+            # the nudge settles exact decimal ties (avg of 2-decimal values over
+            # 2^k rows) the same way in both engines; + 0.0 folds -0.0 into 0.0
+            c = F.round(c.cast("double") + F.lit(NUDGE), DIGITS) + F.lit(0.0)
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType, T.LongType)):
             c = c.cast("double") if f.name in nullable_ints else c.cast("long")
         cols.append(c.alias(f.name))
