@@ -223,15 +223,16 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
     reach = F.least(reach, F.col("spine_hi"))
     # facts after the last snapshot keep one row: they still decide eligibility
     snaps = F.when(d0 <= reach, F.sequence(d0, reach, _step_expr(unit))).otherwise(F.array(d0))
-    ev = (ev.withColumn("_d0", d0)
-            .withColumn(out, F.explode(snaps))
-            .withColumn("_first", F.col(out) == F.col("_d0")))
+    ev = ev.select("*", d0.alias("_d0"), F.explode(snaps).alias(out))
+    ev = ev.select("*", (F.col(out) == F.col("_d0")).alias("_first"))
 
     snap_ts = F.col(out).cast("timestamp_ntz")
     first = F.col("_first")
 
     # ---- one aggregate per (entity, snapshot): lifetime increments + trailing values
-    aggs: list[Column] = [F.min(ts).alias("_min_ts")]
+    # spine bounds ride along (constant per row) so the fan-out needs no second join
+    aggs: list[Column] = [F.min(ts).alias("_min_ts"), F.max("spine_lo").alias("spine_lo"),
+                          F.max("spine_hi").alias("spine_hi")]
     for i, f in enumerate(lifetime):
         base = first if f.where is None else (first & f.where)
         col = F.col(f.column) if f.column else None
@@ -259,35 +260,31 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
         aggs.append(_cast_out(f, _trailing_value(f, base, in_w, snap_ts, ts)).alias(f"_t{i}"))
     per_snap = ev.groupBy(entity, out).agg(*aggs)
 
-    # ---- running lifetime values per entity (rows per entity <= spine length)
-    w_all = Window.partitionBy(entity)
+    # ---- running lifetime values per entity (rows per entity <= spine length).
+    #      One window spec (entity, snapshot) -> a single sort.  The entity's first
+    #      fact is the smallest ts of its first row: that fact's own snapshot is
+    #      the entity's smallest one.
     w_run = Window.partitionBy(entity).orderBy(out).rowsBetween(Window.unboundedPreceding, 0)
     w_ord = Window.partitionBy(entity).orderBy(out)
-    run = per_snap
-    run = run.withColumn("_first_ts", F.min("_min_ts").over(w_all))
-    run = run.withColumn("_next", F.lead(out).over(w_ord))
-    run = run.withColumn("_row", F.row_number().over(w_ord))
+    running: list[Column] = []
     for i, f in enumerate(lifetime):
-        if f.agg in ("count",):
-            run = run.withColumn(f"_l{i}_n", F.sum(f"_l{i}_n").over(w_run))
-        elif f.agg == "sum":
-            run = run.withColumn(f"_l{i}_s", F.sum(f"_l{i}_s").over(w_run))
-        elif f.agg == "avg":
-            run = (run.withColumn(f"_l{i}_s", F.sum(f"_l{i}_s").over(w_run))
-                      .withColumn(f"_l{i}_n", F.sum(f"_l{i}_n").over(w_run)))
+        if f.agg in ("count", "sum", "avg", "rate"):
+            parts = {"count": ["n"], "sum": ["s"], "avg": ["s", "n"], "rate": ["n", "d"]}[f.agg]
+            running += [F.sum(f"_l{i}_{p}").over(w_run).alias(f"_l{i}_{p}") for p in parts]
         elif f.agg in ("min", "days_since_min"):
-            run = run.withColumn(f"_l{i}_m", F.min(f"_l{i}_m").over(w_run))
+            running.append(F.min(f"_l{i}_m").over(w_run).alias(f"_l{i}_m"))
         elif f.agg in ("max", "days_since_max"):
-            run = run.withColumn(f"_l{i}_m", F.max(f"_l{i}_m").over(w_run))
-        elif f.agg == "rate":
-            run = (run.withColumn(f"_l{i}_n", F.sum(f"_l{i}_n").over(w_run))
-                      .withColumn(f"_l{i}_d", F.sum(f"_l{i}_d").over(w_run)))
+            running.append(F.max(f"_l{i}_m").over(w_run).alias(f"_l{i}_m"))
+    keep = [c for c in per_snap.columns if not c.startswith("_l")]
+    run = per_snap.select(*keep, *running,
+                          F.row_number().over(w_ord).alias("_row"),
+                          F.lead(out).over(w_ord).alias("_next"))
+    run = run.select("*", F.when(F.col("_row") == 1, F.col("_min_ts")).alias("_first_ts"))
 
     # ---- fan each row out to: itself (kind 0), the snapshots up to the next row
     #      (kind 1: lifetime carried, trailing empty), and for the first row the
     #      eligible snapshots before any fact counts (kind 2: all empty)
     hi, lo, d = F.col("spine_hi"), F.col("spine_lo"), F.col(out)
-    run = run.crossJoin(F.broadcast(bounds))
     own = F.when(d <= hi, F.array(F.struct(d.alias("d"), F.lit(0).alias("k"))))
     fill_to = F.least(F.coalesce(add_steps(F.col("_next"), unit, -1), hi), hi)
     fill_from = add_steps(d, unit)
@@ -301,7 +298,7 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
                              lambda x: F.struct(x.alias("d"), F.lit(2).alias("k"))))
     empty = F.array().cast("array<struct<d:date,k:int>>")
     spans = F.concat(F.coalesce(own, empty), F.coalesce(fill, empty), F.coalesce(pre, empty))
-    run = run.withColumn("_span", F.explode(spans))
+    run = run.select("*", F.explode(spans).alias("_span"))
 
     kind = F.col("_span.k")
     new_d = F.col("_span.d")

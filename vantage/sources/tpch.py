@@ -24,6 +24,8 @@ Roles:
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +39,17 @@ CATEGORY_OF = [("ECONOMY", "housewares"), ("LARGE", "furniture_decor"),
                ("SMALL", "electronics"), ("STANDARD", "health_beauty")]
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_tpch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Parquet scan of one driver table.  The schema is inferred once per path
+    and then passed explicitly, so repeated reads start no footer-reading job."""
+    path = f"{sf_dir}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        schema = _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def _case(col: str, pairs) -> F.Column:
@@ -186,6 +197,24 @@ RAW_BUILDERS = {
 }
 
 
-def raw_from_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+class LazyFrames(Mapping):
+    """Mapping of source name -> DataFrame, each built on first access."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir, self._built = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = RAW_BUILDERS[name](self._spark, self._dir)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(RAW_BUILDERS)
+
+    def __len__(self) -> int:
+        return len(RAW_BUILDERS)
+
+
+def raw_from_tpch(spark: SparkSession, sf_dir: str) -> LazyFrames:
     """The nine raw sources, as lazy frames over the driver tables."""
-    return {name: fn(spark, sf_dir) for name, fn in RAW_BUILDERS.items()}
+    return LazyFrames(spark, sf_dir)
