@@ -188,16 +188,17 @@ int_orders_enriched AS (
                AS is_low_review_delivered,
            CASE WHEN o.order_status = 'delivered' AND r.review_score IS NULL THEN true ELSE false END
                AS is_no_review_delivered,
-           6371 * 2 * asin(least(1.0, sqrt(
-               power(sin(radians((sg.seller_lat - cg.cust_lat) / 2)), 2) +
-               cos(radians(cg.cust_lat)) * cos(radians(sg.seller_lat)) *
-               power(sin(radians((sg.seller_lng - cg.cust_lng) / 2)), 2)))) AS customer_seller_distance_km
+           6371 * 2 * asin(CASE WHEN h.root > 1.0 THEN 1.0 ELSE h.root END) AS customer_seller_distance_km
     FROM stg_orders o
     LEFT JOIN payments_agg p ON o.order_id = p.order_id
     LEFT JOIN stg_order_reviews r ON o.order_id = r.order_id
     LEFT JOIN items_seller i ON o.order_id = i.order_id
     LEFT JOIN cust_geo cg ON o.customer_unique_id = cg.customer_unique_id
     LEFT JOIN seller_geo sg ON i.primary_seller_id = sg.seller_id
+    CROSS JOIN LATERAL (SELECT sqrt(
+               power(sin(radians((sg.seller_lat - cg.cust_lat) / 2)), 2) +
+               cos(radians(cg.cust_lat)) * cos(radians(sg.seller_lat)) *
+               power(sin(radians((sg.seller_lng - cg.cust_lng) / 2)), 2)) AS root) h
 )"""
 
 

@@ -25,7 +25,11 @@ def haversine_km(lat1: ColumnOrName, lng1: ColumnOrName,
     a = (F.pow(F.sin(F.radians((la2 - la1) / 2)), 2)
          + F.cos(F.radians(la1)) * F.cos(F.radians(la2))
          * F.pow(F.sin(F.radians((lo2 - lo1) / 2)), 2))
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    root = F.sqrt(a)
+    # clamp without least(): least() skips NULLs and would turn a missing
+    # coordinate into a half circumference
+    clamped = F.when(root > F.lit(1.0), F.lit(1.0)).otherwise(root)
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(clamped)
 
 
 def flag(cond: Column) -> Column:
