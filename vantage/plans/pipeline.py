@@ -11,6 +11,7 @@ checkpoint folder (``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,18 +37,30 @@ def stage(df: DataFrame, root: str, layer: str, name: str) -> DataFrame:
     return out
 
 
+def stage_all(frames: dict[str, DataFrame], root: str, layer: str, threads: int = 4) -> dict[str, DataFrame]:
+    """Materialise independent tables of one layer, up to ``threads`` Spark jobs
+    at a time (the tables share no lineage, so their jobs can overlap)."""
+    if threads <= 1 or len(frames) <= 1:
+        return {n: stage(df, root, layer, n) for n, df in frames.items()}
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        futures = {n: pool.submit(stage, df, root, layer, n) for n, df in frames.items()}
+        return {n: f.result() for n, f in futures.items()}
+
+
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str | None = None,
                  layers=LAYERS, lead: str = "1 month", gate_silver: bool = True,
-                 previous: dict[str, dict[str, DataFrame]] | None = None) -> dict[str, dict[str, DataFrame]]:
+                 previous: dict[str, dict[str, DataFrame]] | None = None,
+                 threads: int = 4) -> dict[str, dict[str, DataFrame]]:
     """Build the requested layers.  ``layers=("gold",)`` rebuilds gold only from
     the silver tables in ``previous``.  With ``gate_silver`` the silver suite
-    runs before gold and error-severity failures stop the run."""
+    runs before gold and error-severity failures stop the run.  Tables of one
+    layer are written ``threads`` at a time, in dependency order across layers."""
     root = root or staging_root(spark)
     out: dict[str, dict[str, DataFrame]] = {"bronze": raw}
     for name, df in raw.items():
         df.createOrReplaceTempView(f"bronze_{name}")
     if "silver" in layers:
-        out["silver"] = {n: stage(df, root, "silver", n) for n, df in build_silver(raw).items()}
+        out["silver"] = stage_all(build_silver(raw), root, "silver", threads)
     else:
         out["silver"] = (previous or {}).get("silver") or build_silver(raw)
     if "gold" in layers:

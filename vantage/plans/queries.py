@@ -70,8 +70,9 @@ def _fct_table(spark, sf_dir):
     return stage(_fct(spark, sf_dir), staging_root(spark), "gold", "fct_customer_return_risk_features")
 
 
-def _events(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+def _events(spark, sf_dir, spread: bool = False):
+    from vantage.sources.tpch import read_tpch
+    return read_tpch(spark, sf_dir, "events", spread=spread)
 
 
 def _scratch(spark, name: str) -> str:
@@ -186,7 +187,7 @@ def pit_customer_features_extended(spark, sf_dir):
 @register("pit_event_features", nullable_ints=("days_since_first_event", "days_since_last_event"))
 def pit_event_features(spark, sf_dir):
     from vantage.plans.events import event_features
-    return event_features(_events(spark, sf_dir))
+    return event_features(_events(spark, sf_dir, spread=True))
 
 
 @register("payment_risk")
