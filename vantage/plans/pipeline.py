@@ -50,17 +50,23 @@ def stage_all(frames: dict[str, DataFrame], root: str, layer: str, threads: int
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str | None = None,
                  layers=LAYERS, lead: str = "1 month", gate_silver: bool = True,
                  previous: dict[str, dict[str, DataFrame]] | None = None,
-                 threads: int = 4) -> dict[str, dict[str, DataFrame]]:
+                 threads: int = 4, written=("silver", "gold")) -> dict[str, dict[str, DataFrame]]:
     """Build the requested layers.  ``layers=("gold",)`` rebuilds gold only from
     the silver tables in ``previous``.  With ``gate_silver`` the silver suite
     runs before gold and error-severity failures stop the run.  Tables of one
-    layer are written ``threads`` at a time, in dependency order across layers."""
+    layer are written ``threads`` at a time, in dependency order across layers.
+
+    ``written``: layers materialised as tables.  Silver tables are one shuffle
+    each and cheap to recompute, so a consumer that reads each of them once
+    (a quality report) may keep silver lazy and write gold only."""
     root = root or staging_root(spark)
     out: dict[str, dict[str, DataFrame]] = {"bronze": raw}
     for name, df in raw.items():
         df.createOrReplaceTempView(f"bronze_{name}")
-    if "silver" in layers:
+    if "silver" in layers and "silver" in written:
         out["silver"] = stage_all(build_silver(raw), root, "silver", threads)
+    elif "silver" in layers:
+        out["silver"] = build_silver(raw)
     else:
         out["silver"] = (previous or {}).get("silver") or build_silver(raw)
     if "gold" in layers:
