@@ -467,6 +467,10 @@ def build() -> dict[str, str]:
                                              "customer_zip_code_prefix") + " FROM stg_customers"
     q["stg_order_reviews"] = base + canon("review_id", "order_id:l", "review_score:l",
                                           "review_creation_date:date") + " FROM stg_order_reviews"
+    q["stg_order_items"] = base + canon("order_id:l", "order_item_id:l", "product_id:l", "seller_id:l",
+                                        "price:d", "freight_value:d") + " FROM stg_order_items"
+    q["stg_order_payments"] = base + canon("order_id:l", "payment_sequential:l", "payment_type",
+                                           "payment_installments:l", "payment_value:d") + " FROM stg_order_payments"
     q["region_centroid"] = base + canon("zip_code_prefix", "lat:d", "lng:d") + " FROM stg_geolocation"
     q["items_keep_first"] = base + canon("order_id:l", "order_item_id:l", "product_id:l", "seller_id:l",
                                          "shipping_limit_date:ts", "price:d", "freight_value:d") + """

@@ -146,3 +146,31 @@ def test_spine_and_pairs(spark):
     plan = eligible_pairs(facts, "customer_unique_id", "order_purchase_ts")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "CartesianProduct" not in plan
+
+
+def test_aligned_windows_closed_lower_bound(spark):
+    """Facts exactly on d - n (midnight) count; one second earlier they do not."""
+    from vantage.operators.pit import aligned_steps
+    assert aligned_steps("24 hours", "day") == 1 and aligned_steps("7 days", "day") == 7
+    assert aligned_steps("30 days", "month") is None and aligned_steps("36 hours", "day") is None
+    base = dt.datetime(2024, 1, 10)
+    rows = [(1, 1, base - dt.timedelta(days=7), 1.0), (2, 1, base - dt.timedelta(days=7, seconds=1), 2.0),
+            (3, 1, base - dt.timedelta(days=1), 4.0), (4, 1, base - dt.timedelta(days=1, seconds=1), 8.0),
+            (5, 1, base, 16.0), (6, 2, base - dt.timedelta(days=3, hours=5), 32.0), (7, 1, base + dt.timedelta(days=3), 0.5)]
+    ev = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, value double")
+    feats = [Feature("n24", "count", "event_id", window="24 hours"),
+             Feature("v7", "sum", "value", window="7 days", default=0.0),
+             Feature("a7", "avg", "value", window="7 days"),
+             Feature("mn7", "min", "value", window="7 days"),
+             Feature("r7", "rate", "event_id", where=F.col("value") > 3, window="7 days")]
+    kw = dict(unit="day", lead="0 days")
+    a = {(r.user_id, r.snapshot_date): r for r in point_in_time_features(ev, "user_id", "ts", feats, **kw).collect()}
+    b = {(r.user_id, r.snapshot_date): r for r in
+         point_in_time_features(ev, "user_id", "ts", feats, form="direct", **kw).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for f in feats:
+            x, y = getattr(a[k], f.name), getattr(b[k], f.name)
+            assert (x == pytest.approx(y)) if isinstance(x, float) else x == y, (k, f.name, x, y)
+    r = a[(1, base.date())]
+    assert r.n24 == 2 and r.v7 == 1.0 + 2.0 * 0 + 4.0 + 8.0 + 16.0

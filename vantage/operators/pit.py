@@ -99,6 +99,24 @@ def _interval(spec: str) -> Column:
     return F.expr(f"INTERVAL {spec}")
 
 
+SLIDABLE = ("count", "sum", "avg", "min", "max", "rate")
+
+
+def aligned_steps(window: str | None, unit: str) -> int | None:
+    """``n`` when the window is exactly ``n >= 1`` spine steps (24 hours or 7 days
+    on a daily spine, 2 months on a monthly one), else None."""
+    import re
+    m = re.fullmatch(r"\s*(\d+)\s*(hour|hours|day|days|month|months)\s*", (window or "").lower())
+    if not m:
+        return None
+    k, what = int(m.group(1)), m.group(2).rstrip("s")
+    if unit == "day":
+        n = k if what == "day" else (k // 24 if what == "hour" and k % 24 == 0 else None)
+    else:
+        n = k if what == "month" else None
+    return n if n and n >= 1 else None
+
+
 def spine_bounds(facts: DataFrame, ts: str, unit: str = "month") -> DataFrame:
     """One row ``(spine_lo, spine_hi)``: the floors of the min and max timestamp.
 
@@ -207,9 +225,13 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
               unit: str = "month", lead: str = "1 month",
               out: str = "snapshot_date") -> DataFrame:
     """Join-free form (see module doc).  Same output as :func:`pit_direct`."""
-    windows = sorted({f.window for f in features if f.window is not None})
     lifetime = [f for f in features if f.window is None]
-    trailing = [f for f in features if f.window is not None]
+    # aligned windows of additive aggregates slide over per-snapshot partials;
+    # the others (distinct counts, windows that cut through a step) explode
+    sliding = [f for f in features if f.window is not None and f.agg in SLIDABLE
+               and aligned_steps(f.window, unit)]
+    trailing = [f for f in features if f.window is not None and f not in sliding]
+    windows = sorted({f.window for f in trailing})
 
     bounds = spine_bounds(facts, ts, unit)
     ev = (facts.where(F.col(entity).isNotNull() & F.col(ts).isNotNull())
@@ -224,7 +246,8 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
     # facts after the last snapshot keep one row: they still decide eligibility
     snaps = F.when(d0 <= reach, F.sequence(d0, reach, _step_expr(unit))).otherwise(F.array(d0))
     ev = ev.select("*", d0.alias("_d0"), F.explode(snaps).alias(out))
-    ev = ev.select("*", (F.col(out) == F.col("_d0")).alias("_first"))
+    ev = ev.select("*", (F.col(out) == F.col("_d0")).alias("_first"),
+                   (t == F.col("_d0").cast("timestamp_ntz")).alias("_exact"))
 
     snap_ts = F.col(out).cast("timestamp_ntz")
     first = F.col("_first")
@@ -258,6 +281,25 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
         in_w = (F.col(ts) <= snap_ts) & (F.col(ts) >= snap_ts - _interval(f.window))
         base = in_w if f.where is None else (in_w & f.where)
         aggs.append(_cast_out(f, _trailing_value(f, base, in_w, snap_ts, ts)).alias(f"_t{i}"))
+    exact = first & F.col("_exact")
+    for j, f in enumerate(sliding):
+        col = F.col(f.column) if f.column else None
+        for tag, scope in (("a", first), ("e", exact)):
+            base = scope if f.where is None else (scope & f.where)
+            if f.agg == "count":
+                aggs.append(F.count(F.when(base, col)).alias(f"_s{j}_{tag}n"))
+            elif f.agg == "sum":
+                aggs.append(F.sum(F.when(base, col)).alias(f"_s{j}_{tag}s"))
+            elif f.agg == "avg":
+                aggs += [F.sum(F.when(base, col).cast("double")).alias(f"_s{j}_{tag}s"),
+                         F.count(F.when(base, col)).alias(f"_s{j}_{tag}n")]
+            elif f.agg in ("min", "max"):
+                agg = F.min if f.agg == "min" else F.max
+                aggs.append(agg(F.when(base, col)).alias(f"_s{j}_{tag}m"))
+            elif f.agg == "rate":
+                den = scope if f.den_where is None else (scope & f.den_where)
+                aggs += [F.count(F.when(base, col)).alias(f"_s{j}_{tag}n"),
+                         F.count(F.when(den, col)).alias(f"_s{j}_{tag}d")]
     per_snap = ev.groupBy(entity, out).agg(*aggs)
 
     # ---- running lifetime values per entity (rows per entity <= spine length).
@@ -300,19 +342,57 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
     spans = F.concat(F.coalesce(own, empty), F.coalesce(fill, empty), F.coalesce(pre, empty))
     run = run.select("*", F.explode(spans).alias("_span"))
 
-    kind = F.col("_span.k")
-    new_d = F.col("_span.d")
-    cols = [F.col(entity), new_d.alias(out)]
+    # dense rows: one per eligible (entity, snapshot), contiguous per entity
+    carried = [c for c in run.columns if c.startswith(("_l", "_t", "_s"))]
+    dense = run.select(entity, F.col("_span.d").alias(out), F.col("_span.k").alias("_kind"), *carried)
+    kind = F.col("_kind")
+    new_d = F.col(out)
+    w_dense = Window.partitionBy(entity).orderBy(out)
+    cols = [F.col(entity), new_d]
     for f in features:
         if f.window is None:
             i = lifetime.index(f)
             val = _lifetime_value(f, i, new_d)
             val = F.when(kind == 2, _empty_value(f)).otherwise(val)
+        elif f in sliding:
+            val = _sliding_value(f, sliding.index(f), aligned_steps(f.window, unit), kind == 0, w_dense)
         else:
             i = trailing.index(f)
             val = F.when(kind == 0, F.col(f"_t{i}")).otherwise(_empty_value(f))
         cols.append(_cast_out(f, val).alias(f.name))
-    return run.select(*cols)
+    return dense.select(*cols)
+
+
+def _sliding_value(f: Feature, j: int, n: int, own: Column, w: Window) -> Column:
+    """Closed window ``[d - n steps, d]`` over dense per-snapshot rows: all facts
+    of the last ``n`` snapshot buckets, plus those exactly on ``d - n``."""
+    frame = w.rowsBetween(-(n - 1), 0)
+
+    def inside(p: str, agg=F.sum) -> Column:
+        return agg(F.when(own, F.col(f"_s{j}_a{p}"))).over(frame)
+
+    def edge(p: str) -> Column:
+        return F.lag(F.when(own, F.col(f"_s{j}_e{p}")), n).over(w)
+
+    def total(p: str) -> Column:
+        return F.coalesce(inside(p), F.lit(0)) + F.coalesce(edge(p), F.lit(0))
+
+    if f.agg == "count":
+        return total("n")
+    if f.agg == "sum":
+        a, e = inside("s"), edge("s")
+        empty = F.lit(f.default) if f.default is not None else F.lit(None)
+        return F.when(a.isNull() & e.isNull(), empty).otherwise(
+            F.coalesce(a, F.lit(0)) + F.coalesce(e, F.lit(0)))
+    if f.agg == "avg":
+        return F.try_divide(total("s").cast("double"), total("n").cast("double"))
+    if f.agg == "min":
+        return F.least(inside("m", F.min), edge("m"))
+    if f.agg == "max":
+        return F.greatest(inside("m", F.max), edge("m"))
+    if f.agg == "rate":
+        return safe_rate(total("n"), total("d"))
+    raise AssertionError(f.agg)
 
 
 def _trailing_value(f: Feature, base: Column, in_w: Column, snap_ts: Column, ts: str) -> Column:

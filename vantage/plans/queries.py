@@ -118,6 +118,18 @@ def stg_order_reviews_q(spark, sf_dir):
     return silver["stg_order_reviews"]
 
 
+@register("stg_order_items")
+def stg_order_items_q(spark, sf_dir):
+    _, silver, _ = layers(spark, sf_dir)
+    return silver["stg_order_items"]
+
+
+@register("stg_order_payments")
+def stg_order_payments_q(spark, sf_dir):
+    _, silver, _ = layers(spark, sf_dir)
+    return silver["stg_order_payments"]
+
+
 @register("region_centroid")
 def region_centroid(spark, sf_dir):
     _, silver, _ = layers(spark, sf_dir)
