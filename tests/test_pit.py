@@ -85,6 +85,11 @@ def _random_facts(seed, n=120):
 def test_scale_equals_direct_monthly(spark, seed):
     facts = spark.createDataFrame(_random_facts(seed), SCHEMA)
     a = rows_by_key(fct_customer_return_risk_features(facts, form="scale"))
+    if seed == 3:   # the coverage path on the monthly table as well
+        from vantage.plans.gold import return_risk_features
+        cov = point_in_time_features(facts, "customer_unique_id", "order_purchase_ts", return_risk_features(),
+                                     distinct="coverage").select(*FEATURE_COLUMNS)
+        a = rows_by_key(cov)
     b = rows_by_key(fct_customer_return_risk_features(facts, form="direct"))
     assert a.keys() == b.keys()
     for k in a:
@@ -93,7 +98,8 @@ def test_scale_equals_direct_monthly(spark, seed):
             assert (x == pytest.approx(y)) if isinstance(x, float) else x == y, (k, c, x, y)
 
 
-def test_scale_equals_direct_daily_windows(spark):
+@pytest.mark.parametrize("distinct", ["explode", "coverage", "auto"])
+def test_scale_equals_direct_daily_windows(spark, distinct):
     rnd = random.Random(7)
     rows = [(i, rnd.choice([1, 2, 3]), dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 20)),
              rnd.choice(["click", "view", "purchase"]), float(rnd.randint(1, 9))) for i in range(300)]
@@ -105,7 +111,9 @@ def test_scale_equals_direct_daily_windows(spark):
              Feature("r", "rate", "event_id", where=F.col("event_type") == "purchase"),
              Feature("avg", "avg", "value")]
     kw = dict(unit="day", lead="1 day")
-    a = {(r.user_id, r.snapshot_date): r for r in point_in_time_features(ev, "user_id", "ts", feats, **kw).collect()}
+    feats.append(Feature("types20", "count_distinct", "event_type", window="20 days"))
+    a = {(r.user_id, r.snapshot_date): r for r in
+         point_in_time_features(ev, "user_id", "ts", feats, distinct=distinct, **kw).collect()}
     b = {(r.user_id, r.snapshot_date): r for r in
          point_in_time_features(ev, "user_id", "ts", feats, form="direct", **kw).collect()}
     assert a.keys() == b.keys() and len(a) > 30

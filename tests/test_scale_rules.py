@@ -39,7 +39,7 @@ def test_scale_plan_has_no_cross_or_nested_loop_over_facts(spark):
     plan = fct_customer_return_risk_features(facts)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan   # join-free
-    # the only nested-loop joins attach the one-row spine bounds
+    # the only nested-loop join attaches the one-row spine bounds
     assert plan.count("BroadcastNestedLoopJoin") <= 1
 
 

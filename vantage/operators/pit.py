@@ -101,6 +101,23 @@ def _interval(spec: str) -> Column:
 
 SLIDABLE = ("count", "sum", "avg", "min", "max", "rate")
 
+# a window touching more snapshots than this is not exploded for distinct counts
+EXPLODE_LIMIT = 8
+
+
+def max_snapshots(window: str, unit: str) -> int:
+    """Most spine snapshots one fact can fall into for a trailing window."""
+    import math
+    import re
+    m = re.fullmatch(r"\s*(\d+)\s*(second|minute|hour|day|week|month)s?\s*", window.lower())
+    if not m:
+        return 1 << 30
+    k, what = int(m.group(1)), m.group(2)
+    days = {"second": k / 86400, "minute": k / 1440, "hour": k / 24, "day": k, "week": 7 * k,
+            "month": 31 * k}[what]
+    step = 1 if unit == "day" else 28
+    return math.floor(days / step) + 1
+
 
 def aligned_steps(window: str | None, unit: str) -> int | None:
     """``n`` when the window is exactly ``n >= 1`` spine steps (24 hours or 7 days
@@ -223,14 +240,24 @@ def pit_direct(facts: DataFrame, entity: str, ts: str, features: Sequence[Featur
 
 def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature],
               unit: str = "month", lead: str = "1 month",
-              out: str = "snapshot_date") -> DataFrame:
-    """Join-free form (see module doc).  Same output as :func:`pit_direct`."""
+              out: str = "snapshot_date", distinct: str = "auto") -> DataFrame:
+    """Join-free form (see module doc).  Same output as :func:`pit_direct`.
+
+    ``distinct``: ``"coverage"`` computes windowed distinct counts from merged
+    per-value coverage intervals (nothing explodes, a few extra small
+    shuffles); ``"explode"`` counts them over the exploded rows (Catalyst's
+    Expand); ``"auto"`` explodes windows that touch at most ``EXPLODE_LIMIT``
+    snapshots and uses coverage beyond."""
     lifetime = [f for f in features if f.window is None]
     # aligned windows of additive aggregates slide over per-snapshot partials;
-    # the others (distinct counts, windows that cut through a step) explode
+    # distinct counts run on coverage intervals; the rest (windows that cut
+    # through a step) explode to the few snapshots they reach
     sliding = [f for f in features if f.window is not None and f.agg in SLIDABLE
                and aligned_steps(f.window, unit)]
-    trailing = [f for f in features if f.window is not None and f not in sliding]
+    covered = [f for f in features if f.window is not None and f.agg == "count_distinct"
+               and (distinct == "coverage"
+                    or (distinct == "auto" and max_snapshots(f.window, unit) > EXPLODE_LIMIT))]
+    trailing = [f for f in features if f.window is not None and f not in sliding and f not in covered]
     windows = sorted({f.window for f in trailing})
 
     bounds = spine_bounds(facts, ts, unit)
@@ -248,6 +275,8 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
     ev = ev.select("*", d0.alias("_d0"), F.explode(snaps).alias(out))
     ev = ev.select("*", (F.col(out) == F.col("_d0")).alias("_first"),
                    (t == F.col("_d0").cast("timestamp_ntz")).alias("_exact"))
+    if covered:
+        ev = _with_coverage_deltas(ev, facts, bounds, entity, ts, out, unit, covered)
 
     snap_ts = F.col(out).cast("timestamp_ntz")
     first = F.col("_first")
@@ -300,6 +329,7 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
                 den = scope if f.den_where is None else (scope & f.den_where)
                 aggs += [F.count(F.when(base, col)).alias(f"_s{j}_{tag}n"),
                          F.count(F.when(den, col)).alias(f"_s{j}_{tag}d")]
+    aggs += [F.sum(f"_cov{j}").alias(f"_l_cov{j}") for j in range(len(covered))]
     per_snap = ev.groupBy(entity, out).agg(*aggs)
 
     # ---- running lifetime values per entity (rows per entity <= spine length).
@@ -317,6 +347,8 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
             running.append(F.min(f"_l{i}_m").over(w_run).alias(f"_l{i}_m"))
         elif f.agg in ("max", "days_since_max"):
             running.append(F.max(f"_l{i}_m").over(w_run).alias(f"_l{i}_m"))
+    # distinct values covering a snapshot = running sum of the +1/-1 coverage deltas
+    running += [F.sum(f"_l_cov{j}").over(w_run).alias(f"_l_cov{j}") for j in range(len(covered))]
     keep = [c for c in per_snap.columns if not c.startswith("_l")]
     run = per_snap.select(*keep, *running,
                           F.row_number().over(w_ord).alias("_row"),
@@ -356,6 +388,8 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
             val = F.when(kind == 2, _empty_value(f)).otherwise(val)
         elif f in sliding:
             val = _sliding_value(f, sliding.index(f), aligned_steps(f.window, unit), kind == 0, w_dense)
+        elif f in covered:
+            val = F.when(kind == 2, F.lit(0)).otherwise(F.coalesce(F.col(f"_l_cov{covered.index(f)}"), F.lit(0)))
         else:
             i = trailing.index(f)
             val = F.when(kind == 0, F.col(f"_t{i}")).otherwise(_empty_value(f))
@@ -363,6 +397,53 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
     return dense.select(*cols)
 
 
+def _with_coverage_deltas(ev: DataFrame, facts: DataFrame, bounds: DataFrame, entity: str, ts: str,
+                          out: str, unit: str, covered: list) -> DataFrame:
+    """Append +1/-1 rows for windowed distinct counts.
+
+    A fact is inside the window of snapshot ``d`` exactly when
+    ``ceil(ts) <= d <= floor(ts + W)``, so each (entity, value) occurrence covers
+    an interval of snapshots.  Occurrences are deduplicated per snapshot bucket
+    (hash aggregate), their intervals merged per (entity, value) by a window
+    whose rows are bounded by the spine length, and each merged interval emits
+    +1 at its start and -1 one step after its end.  The running sum of the
+    deltas over snapshots is the distinct count; nothing is exploded and hot
+    entities or values are pre-combined map-side.
+    """
+    t = F.col(ts).cast("timestamp_ntz")
+    base = (facts.where(F.col(entity).isNotNull() & F.col(ts).isNotNull())
+                 .crossJoin(F.broadcast(bounds)))
+    rows = ev.select("*", *[F.lit(None).cast("long").alias(f"_cov{j}") for j in range(len(covered))])
+    template = [c for c in rows.columns]
+    for j, f in enumerate(covered):
+        keep = F.col(f.column).isNotNull() if f.where is None else (F.col(f.column).isNotNull() & f.where)
+        iv = base.where(keep).select(
+            entity, F.col(f.column).alias("_v"), ceil_unit(t, unit).alias("_s"),
+            F.least(floor_unit(t + _interval(f.window), unit), F.col("spine_hi")).alias("_e"),
+            "spine_lo", "spine_hi")
+        iv = (iv.where(F.col("_s") <= F.col("_e"))
+                .groupBy(entity, "_v", "_s").agg(F.max("_e").alias("_e"), F.max("spine_lo").alias("spine_lo"),
+                                                 F.max("spine_hi").alias("spine_hi")))
+        w = Window.partitionBy(entity, "_v").orderBy("_s")
+        prev_end = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+        iv = iv.select("*", F.when(prev_end.isNull() | (F.col("_s") > prev_end), 1).otherwise(0).alias("_new"))
+        iv = iv.select("*", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_grp"))
+        merged = iv.groupBy(entity, "_v", "_grp").agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"),
+                                                      F.max("spine_lo").alias("spine_lo"),
+                                                      F.max("spine_hi").alias("spine_hi"))
+        ends = add_steps(F.col("_e"), unit)
+        deltas = merged.select(entity, F.col("_s").alias(out), F.lit(1).cast("long").alias("_delta"),
+                               "spine_lo", "spine_hi").unionByName(
+            merged.where(ends <= F.col("spine_hi"))
+                  .select(entity, ends.alias(out), F.lit(-1).cast("long").alias("_delta"), "spine_lo", "spine_hi"))
+        filler = {c: F.lit(None).cast(rows.schema[c].dataType) for c in template}
+        filler.update({entity: F.col(entity), out: F.col(out), "spine_lo": F.col("spine_lo"),
+                       "spine_hi": F.col("spine_hi"), "_first": F.lit(False), "_exact": F.lit(False),
+                       f"_cov{j}": F.col("_delta")})
+        rows = rows.unionByName(deltas.select(*[filler[c].alias(c) for c in template]))
+    return rows
+
+
 def _sliding_value(f: Feature, j: int, n: int, own: Column, w: Window) -> Column:
     """Closed window ``[d - n steps, d]`` over dense per-snapshot rows: all facts
     of the last ``n`` snapshot buckets, plus those exactly on ``d - n``."""
@@ -449,7 +530,8 @@ def _empty_value(f: Feature) -> Column:
 def point_in_time_features(facts: DataFrame, entity: str, ts: str,
                            features: Sequence[Feature], unit: str = "month",
                            lead: str = "1 month", out: str = "snapshot_date",
-                           form: str = "scale") -> DataFrame:
+                           form: str = "scale", distinct: str = "auto") -> DataFrame:
     """Point-in-time panel; ``form`` is ``"scale"`` (default) or ``"direct"``."""
-    fn = {"scale": pit_scale, "direct": pit_direct}[form]
-    return fn(facts, entity, ts, features, unit=unit, lead=lead, out=out)
+    if form == "direct":
+        return pit_direct(facts, entity, ts, features, unit=unit, lead=lead, out=out)
+    return pit_scale(facts, entity, ts, features, unit=unit, lead=lead, out=out, distinct=distinct)
