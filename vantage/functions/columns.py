@@ -53,26 +53,11 @@ def tier_label(score: ColumnOrName) -> Column:
     return expr.otherwise(F.lit(RISK_TIERS[-1][0]))
 
 
-def within_closed(ts: ColumnOrName, lo: Column, hi: Column) -> Column:
-    """Closed range predicate ``lo <= ts <= hi`` (both ends inclusive)."""
-    return _c(ts).between(lo, hi)
-
-
-def month_start(ts: ColumnOrName) -> Column:
-    """First day of the month as DATE (``date_trunc('month', ts)`` cast to date)."""
-    return F.trunc(_c(ts), "month")
-
-
 def year_month(ts: ColumnOrName) -> Column:
     """``strftime(ts::date, '%Y-%m')``."""
     return F.date_format(_c(ts), "yyyy-MM")
 
 
-def load_stamp(stamp: str) -> Column:
-    """One driver-side ISO stamp shared by every table loaded in a run."""
-    return F.lit(stamp)
-
-
 def last_segment(col: ColumnOrName, sep: str = ".") -> Column:
     """Last ``sep``-separated segment of a string."""
     import re
@@ -80,9 +65,12 @@ def last_segment(col: ColumnOrName, sep: str = ".") -> Column:
 
 
 def hours_between(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """Fractional hours from ``start`` to ``end`` (NULL if either is NULL)."""
-    return (F.unix_micros(F.to_timestamp(_c(end))) - F.unix_micros(F.to_timestamp(_c(start)))) \
-        / F.lit(3_600_000_000.0)
+    """Fractional hours from ``start`` to ``end`` (NULL if either is NULL).
+
+    ``timestampdiff`` on TIMESTAMP_NTZ values is wall-clock arithmetic, so the
+    result does not depend on the session time zone or its DST changes."""
+    s, e = _c(start).cast("timestamp_ntz"), _c(end).cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", s, e).cast("double") / F.lit(3_600_000_000.0)
 
 
 def round_half_up(col: ColumnOrName, digits: int) -> Column:

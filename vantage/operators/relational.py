@@ -1,5 +1,5 @@
 """Relational building blocks: keep-first/keep-latest, arg-max/arg-min,
-centroids, size-checked broadcast and range lookups.
+centroids, bounded broadcasts and range lookups.
 
 All of them are plain DataFrame compositions so Catalyst sees the whole plan.
 """
@@ -67,18 +67,13 @@ def centroid(df: DataFrame, key: str, lat: str, lng: str,
                    F.avg(F.col(lng).cast("double")).alias(out_lng)))
 
 
-def small(df: DataFrame, known_rows: int | None, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only when its row count is bounded by construction.
-
-    ``known_rows`` is a static bound the caller can prove (a seed, a one-row
-    global aggregate, a fixed dimension).  Without such a bound the frame is
-    returned unchanged and AQE decides at runtime from the measured stage size
-    (``spark.sql.adaptive.autoBroadcastJoinThreshold``), falling back to a
-    shuffle join beyond it.
-    """
-    if known_rows is not None and known_rows <= max_rows:
-        return F.broadcast(df)
-    return df
+def bounded_broadcast(df: DataFrame, known_rows: int, max_rows: int = 10_000) -> DataFrame:
+    """Broadcast hint for a side whose row count is bounded by construction
+    (a seed, a fixed dimension).  Refuses a side whose bound exceeds
+    ``max_rows``; unbounded sides are left to AQE's runtime size check."""
+    if known_rows > max_rows:
+        raise ValueError(f"broadcast side has up to {known_rows} rows; bound is {max_rows}")
+    return F.broadcast(df)
 
 
 def range_lookup(df: DataFrame, value: str, ranges: DataFrame, lo: str, hi: str,
@@ -88,9 +83,7 @@ def range_lookup(df: DataFrame, value: str, ranges: DataFrame, lo: str, hi: str,
     The lookup side must have a proven row bound; it is broadcast and the join
     runs as a broadcast nested-loop join that streams ``df`` without a shuffle.
     """
-    if known_rows > max_rows:
-        raise ValueError(f"range lookup side has {known_rows} rows; bound is {max_rows}")
-    r = F.broadcast(ranges)
+    r = bounded_broadcast(ranges, known_rows, max_rows)
     cond = (F.col(value) >= r[lo]) & (F.col(value) < r[hi])
     return df.join(r, cond, "left")
 

@@ -7,10 +7,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantage.functions.columns import hours_between, tier_label
+from vantage.functions.columns import hours_between, tier_label, year_month
 from vantage.functions.fixed import IMPLAUSIBLE_SPEED_KMH, UNKNOWN_MERCHANT
 from vantage.operators.pit import Feature, floor_unit, point_in_time_features
-from vantage.operators.relational import keep_first, range_lookup
+from vantage.operators.relational import bounded_broadcast, keep_first, range_lookup
 from vantage.sources.seeds import seed_frame, seed_rows
 
 
@@ -83,9 +83,9 @@ def payment_risk(enriched: DataFrame) -> DataFrame:
     """Per order: primary payment type and its base risk score (seed lookup;
     the seed has a fixed handful of rows, so it is broadcast)."""
     seed = seed_frame(enriched.sparkSession, "payment_method_risk")
-    assert seed_rows("payment_method_risk") < 1000
-    s = F.broadcast(seed.select(F.col("payment_type").alias("primary_payment_type"),
-                                F.col("base_risk_score").alias("payment_method_risk_score")))
+    s = bounded_broadcast(seed.select(F.col("payment_type").alias("primary_payment_type"),
+                                      F.col("base_risk_score").alias("payment_method_risk_score")),
+                          seed_rows("payment_method_risk"))
     return enriched.select("order_id", "primary_payment_type").join(s, "primary_payment_type", "left")
 
 
@@ -96,13 +96,13 @@ def category_prior(items: DataFrame, products: DataFrame, translation: DataFrame
     translation are dimension tables (AQE broadcasts them when small); the
     seed is broadcast by its fixed size.
     """
-    seed = seed_frame(items.sparkSession, "category_risk_priors")
-    assert seed_rows("category_risk_priors") < 1000
+    seed = bounded_broadcast(seed_frame(items.sparkSession, "category_risk_priors")
+                             .select("product_category_name_english", "fraud_prior"),
+                             seed_rows("category_risk_priors"))
     cat = (products.select("product_id", "product_category_name")
                    .join(translation.select("product_category_name", "product_category_name_english"),
                          "product_category_name", "left")
-                   .join(F.broadcast(seed.select("product_category_name_english", "fraud_prior")),
-                         "product_category_name_english", "left")
+                   .join(seed, "product_category_name_english", "left")
                    .select("product_id", "fraud_prior"))
     return (items.select("order_id", "product_id").join(cat, "product_id", "left")
                  .groupBy("order_id")
@@ -132,6 +132,5 @@ def orders_with_merchant(orders: DataFrame, items: DataFrame) -> DataFrame:
     fs = first.select(F.col("order_id").alias("_oid"), F.col("seller_id").cast("string").alias("_merchant"))
     return (orders.join(fs, orders["order_id"] == fs["_oid"], "left")
                   .withColumn("merchant_id", F.coalesce(F.col("_merchant"), F.lit(UNKNOWN_MERCHANT)))
-                  .withColumn("partition_month",
-                              F.date_format(F.to_date(F.col("order_purchase_timestamp")), "yyyy-MM"))
+                  .withColumn("partition_month", year_month(F.to_date(F.col("order_purchase_timestamp"))))
                   .drop("_oid", "_merchant"))
