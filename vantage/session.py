@@ -43,19 +43,39 @@ def get_session(master: str | None = None, app: str = "vantage",
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session, None for a remote (Connect) one."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no context
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a scratch one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    """Return the session's checkpoint folder (``spark.checkpoint.dir``), setting
+    a scratch one only if the cluster left it unset (tests, local runs)."""
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="vantage-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    if sc is not None:
+        sc.setCheckpointDir(conf_dir)
+        return sc.getCheckpointDir() or conf_dir
+    return conf_dir
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", None)
+               or spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

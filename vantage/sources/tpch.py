@@ -68,7 +68,8 @@ def read_tpch(spark: SparkSession, sf_dir: str, name: str, spread: bool = False)
         return df
     if path not in _SPLITS:
         _SPLITS[path] = _row_groups(path)
-    cores = spark.sparkContext.defaultParallelism
+    from vantage.session import default_parallelism
+    cores = default_parallelism(spark)
     if _SPLITS[path] < cores:
         df = df.repartition(cores)
     return df
