@@ -627,6 +627,7 @@ owm AS (
                                     "customer_zip_code_prefix", "order_status", "order_purchase_ts:ts",
                                     "order_approved_ts:ts", "order_delivered_ts:ts",
                                     "is_cancelled_post_approval") + " FROM stg_orders WHERE order_approved_ts IS NULL"
+    q["dq_store_failures"] = q["dq_not_null"]
     q["dq_unique"] = with_ctes(RAW) + canon("order_id:l", "n:l") + """
         FROM (SELECT order_id, count(*) AS n FROM raw_order_reviews WHERE order_id IS NOT NULL
               GROUP BY order_id HAVING count(*) > 1) x"""

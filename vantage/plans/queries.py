@@ -316,6 +316,17 @@ def dq_not_null(spark, sf_dir):
     return not_null(silver["stg_orders"], "order_approved_ts")
 
 
+@register("dq_store_failures")
+def dq_store_failures(spark, sf_dir):
+    """Failing rows of a silver check written under the shared folder and read back."""
+    from vantage.operators.quality import Check, store_failures
+    from vantage.plans.pipeline import staging_root
+    _, silver, _ = layers(spark, sf_dir)
+    path = store_failures(Check("stg_orders", "not_null", "order_approved_ts"), silver,
+                          staging_root(spark, "dq_failures"))
+    return spark.read.parquet(path)
+
+
 @register("dq_unique")
 def dq_unique(spark, sf_dir):
     from vantage.operators.quality import unique
