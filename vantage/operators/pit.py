@@ -12,15 +12,21 @@ Two physical forms compute the same result:
     facts x history length; kept as the readable cross-check for tests.
 
 ``scale`` (default)
-    No join at all.  Each fact is exploded only to the few snapshots its
-    trailing windows touch (<= 2 for 30 days on a monthly spine) and
-    aggregated per ``(entity, snapshot)`` with map-side partial aggregation, so
-    a hot entity is pre-combined in every map task.  A window over the entity
-    (its rows are bounded by the spine length, not by the data) turns the
-    per-snapshot increments into lifetime running values and fills the
-    snapshots without facts.  Eligibility (first fact <= snapshot + lead) is
-    derived inside the same window, so the entity x spine cross join never
-    exists.  Two shuffles in total (three with distinct counts).
+    No join against the facts (only the one-row spine bounds are attached).
+    Facts are aggregated per ``(entity, snapshot)`` with map-side partial
+    aggregation, so a hot entity is pre-combined in every map task.  A window
+    over the entity (its rows are bounded by the spine length, not by the
+    data) turns the per-snapshot increments into lifetime running values and
+    fans out to every eligible snapshot; eligibility (first fact <= snapshot +
+    lead) is derived in the same window, so the entity x spine cross join
+    never exists.  Trailing windows, by kind:
+
+    * aligned to the spine step (24 h / 7 d on a daily spine), additive:
+      sliding frames over the dense per-entity rows, nothing explodes;
+    * distinct counts over long windows: merged coverage intervals per
+      (entity, value), +1/-1 deltas summed by the same running window;
+    * the rest: each fact is exploded to the few snapshots its window
+      touches (<= 2 for 30 days on a monthly spine).
 """
 
 from __future__ import annotations
