@@ -83,3 +83,15 @@ def test_catalog_register_and_event_type(spark, scratch):
     got = spark.createDataFrame([("olist_orders_dataset.csv",), ("product_category_name_translation.csv",)], "f string")
     assert [r.e for r in got.select(event_type_of(F.col("f")).alias("e")).collect()] == \
         ["orders", "product_category_name_translation"]
+
+
+def test_land_by_event_type(spark, scratch):
+    from vantage.sources.catalog import land_by_event_type
+    src = os.path.join(scratch, "src")
+    write(f"{src}/olist_orders_dataset.csv", "order_id\no1\no2\n")
+    write(f"{src}/olist_sellers_dataset.csv", "seller_id\ns1\n")
+    df = spark.read.option("header", True).schema("id string").csv(src)
+    path = land_by_event_type(df, os.path.join(scratch, "landed"))
+    got = {r.event_type: r.n for r in spark.read.parquet(path).groupBy("event_type")
+           .agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {"orders": 2, "sellers": 1}

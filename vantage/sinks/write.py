@@ -20,17 +20,21 @@ def write_month_partitioned(df: DataFrame, path: str, part_col: str = "partition
                             max_records_per_file: int | None = None) -> str:
     """Hive-style ``part_col=YYYY-MM`` Parquet, overwrite.
 
-    Rows are clustered by the partition column first so each month is written
-    by few tasks (no small-file explosion); the partition value leaves the
-    files.  Only the months present in ``df`` are replaced
-    (dynamic partition overwrite), so re-loading one month is idempotent and a
-    retried task rewrites only its own files.
+    Rows are clustered by the partition column with a ``rebalance`` hint: AQE
+    hash-clusters by month, then splits a month bigger than the advisory size
+    over several tasks and coalesces small ones.  Each month becomes a few
+    well-sized files: no small-file explosion, and no single task holding a
+    whole month (a plain ``repartition(month)`` would put a month of a 100 TB
+    table in one task).  The partition value leaves the files.  Only the
+    months present in ``df`` are replaced (dynamic partition overwrite), so
+    re-loading one month is idempotent and a retried task rewrites only its
+    own files.
     """
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        w = df.repartition(part_col).write.mode("overwrite").partitionBy(part_col)
+        w = df.hint("rebalance", part_col).write.mode("overwrite").partitionBy(part_col)
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
         w.parquet(path)

@@ -42,5 +42,6 @@ def land_by_event_type(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Write rows under ``path/event_type=<type>/`` from each row's source file;
     reading ``path`` back discovers ``event_type`` as a partition column."""
     out = df.withColumn("event_type", event_type_of(F.col("_metadata.file_name")))
-    out.write.mode("overwrite").partitionBy("event_type").format(fmt).save(path)
+    # rebalance: a few well-sized files per type instead of one per type per task
+    out.hint("rebalance", "event_type").write.mode("overwrite").partitionBy("event_type").format(fmt).save(path)
     return path
