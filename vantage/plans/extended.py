@@ -15,7 +15,7 @@ from vantage.sources.seeds import seed_frame, seed_rows
 
 
 def previous_event_ts(df: DataFrame, entity: str, ts: str, tiebreak: str,
-                      bucket: str = "month", out: str = "prev_ts") -> DataFrame:
+                      bucket: str = "day", out: str = "prev_ts") -> DataFrame:
     """Timestamp of the entity's previous row in ``(ts, tiebreak)`` order.
 
     Skew-split lag: rows are windowed per ``(entity, time bucket)`` so one hot
