@@ -52,8 +52,8 @@ def _context(spark: SparkSession):
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder (``spark.checkpoint.dir``), setting
-    a scratch one only if the cluster left it unset (tests, local runs)."""
+    """Return the session's checkpoint folder (``spark.checkpoint.dir``).  Only a
+    local master may leave it unset and gets a scratch one (tests)."""
     sc = _context(spark)
     current = sc.getCheckpointDir() if sc is not None else None
     if current:
@@ -62,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not conf_dir and sc is not None:
         conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="vantage-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if sc is not None:
@@ -70,6 +73,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """Folder for written tables and files that driver and executors all see."""
+    return ensure_checkpoint_dir(spark)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     sc = _context(spark)
     if sc is not None:
