@@ -25,6 +25,7 @@ import json
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import slices
+from vantage.llm.common import map_arrow, slices
 from vantage.llm.pieces import WS, cut
 
 #: fixed value: the word pattern of the vocabulary, white space spelled out
@@ -202,7 +203,7 @@ class Encoder:
     """Texts -> ids, with an arena of the ids of pieces met before."""
 
     def __init__(self, vocab: Vocabulary):
-        self.vocab = vocab
+        self.vocab, self.names = vocab, tuple(vocab.specials)
         self._special = regex.compile("|".join(map(regex.escape, sorted(vocab.specials, key=len, reverse=True)))
                                       or r"(?!)")
         self.reset()
@@ -249,21 +250,21 @@ class Encoder:
         """(ids of all texts, offsets of each text)."""
         if len(self.ids) > MEMO_IDS:
             self.reset()
-        specials, pieces, count = tuple(self.vocab.specials), [], []
+        pieces, count = [], []
         for text in texts:
             before = len(pieces)
             if text:
-                parts = cut(text, specials)
+                parts = cut(text, self.names)
                 if parts is None:
                     pieces += self._whole(text)
                 else:
                     pieces.append(parts[0])
                     pieces += [" " + p for p in parts[1:]]
             count.append(len(pieces) - before)
-        new = list(dict.fromkeys(p for p in pieces if p not in self.index))
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        at = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
+        if (missing := np.flatnonzero(at < 0)).size:
+            self._learn(list(dict.fromkeys(pieces[i] for i in missing.tolist())))
+            at[missing] = [self.index[pieces[i]] for i in missing.tolist()]
         start, ids = np.array(self.start), np.array(self.ids)
         flat, ends = gather(ids, start[at], start[at + 1] - start[at])
         bounds = np.r_[0, np.cumsum(np.array(count, np.int64))]
@@ -305,7 +306,7 @@ def bpe(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: st
 
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
+    return map_arrow(src, run, f"id {kind}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
 def digest_columns(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:

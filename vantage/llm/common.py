@@ -3,11 +3,15 @@ folder, word hashing, and batch slicing for the Arrow map stages."""
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +25,34 @@ MEMO_WORDS = 200_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
+_SHIPPED: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Give the executors this package, once an application: their workers need not
+    have it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import vantage
+    root = os.path.dirname(os.path.abspath(vantage.__file__))
+    made = os.path.join(tempfile.mkdtemp(prefix="ship-"), "vantage.zip")
+    with zipfile.ZipFile(made, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(made)  # Spark copies it to every executor
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand on the executors."""
+    _ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder (never a machine-local one)."""
     return f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
@@ -42,7 +74,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
         if not batch.num_rows:
             continue
         col = batch.column(batch.schema.get_field_index(column))
-        size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0)).astype(np.int64)
+        size = np.asarray(pc.fill_null(pc.binary_length(col), 0)).astype(np.int64)
         cut = np.cumsum(size) // limit
         start = 0
         for stop in [*np.flatnonzero(np.diff(cut)) + 1, batch.num_rows]:

@@ -17,8 +17,37 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_columns(bpe(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vantage.llm.urls import RULES, host_path_rule, url_filter
+    return url_filter(_table(spark, sf_dir, "pages"), [host_path_rule(*r) for r in RULES])
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vantage.llm.tokenbin import token_files
+    return (token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+            .withColumnRenamed("crc", "ids_crc32"))
+
+
 REGISTRY = {
+    "op4_url_filters": op4_url_filters,
+    "op9_token_files": op9_token_files,
     "op6_bpe": op6_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_url_filters": """
+        WITH parts AS (
+            SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')) AS host,
+                   regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+            FROM pages),
+        rules(rule, h, p, verdict) AS (VALUES
+            ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+            ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+        fit AS (
+            SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+            FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+            GROUP BY page_id)
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM parts LEFT JOIN fit USING (page_id)
+    """,
+}
