@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -17,6 +18,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_columns(bpe(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vantage.llm.substring import substring_dedup
+    return (substring_dedup(_table(spark, sf_dir, "documents"), k=20)
+            .select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")))
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vantage.llm.urls import RULES, host_path_rule, url_filter
     return url_filter(_table(spark, sf_dir, "pages"), [host_path_rule(*r) for r in RULES])
@@ -29,12 +36,33 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op4_url_filters": op4_url_filters,
     "op9_token_files": op9_token_files,
     "op6_bpe": op6_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": """
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+        starts AS (
+            SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS s FROM split WHERE len(words) >= 20),
+        ranked AS (
+            SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(words[s:s + 19], ' ')
+                                                 ORDER BY doc_id, s) AS r
+            FROM starts),
+        gone AS (
+            SELECT DISTINCT doc_id, unnest(generate_series(s, s + 19)) AS i FROM ranked WHERE r > 1),
+        each AS (
+            SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM split),
+        kept AS (
+            SELECT doc_id, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS kept
+            FROM each ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM split LEFT JOIN kept USING (doc_id)
+    """,
     "op4_url_filters": """
         WITH parts AS (
             SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')) AS host,
