@@ -24,6 +24,13 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vantage.llm.decontaminate import decontaminate
+    out = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), n=10)
+    return out.select("doc_id", "n_words", "n_hit", "n_items",
+                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vantage.llm.urls import RULES, host_path_rule, url_filter
     return url_filter(_table(spark, sf_dir, "pages"), [host_path_rule(*r) for r in RULES])
@@ -37,6 +44,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op4_url_filters": op4_url_filters,
     "op9_token_files": op9_token_files,
     "op6_bpe": op6_bpe,
@@ -63,6 +71,34 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(kept, '')) AS kept_sha256
         FROM split LEFT JOIN kept USING (doc_id)
     """,
+    "op2_decontaminate": """
+        WITH lowered AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+        items AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM benchmark),
+        starts AS (
+            SELECT item_id, words, least(len(words), 10) AS size,
+                   unnest(generate_series(1, len(words) - least(len(words), 10) + 1)) AS s
+            FROM items WHERE len(words) > 0),
+        spans AS (SELECT DISTINCT item_id, size, array_to_string(words[s:s + size - 1], ' ') AS span FROM starts),
+        sizes AS (SELECT DISTINCT size FROM spans),
+        cut AS (
+            SELECT doc_id, size, s, array_to_string(words[s:s + size - 1], ' ') AS span
+            FROM (SELECT doc_id, words, size, unnest(generate_series(1, len(words) - size + 1)) AS s
+                  FROM lowered, sizes WHERE len(words) >= size)),
+        found AS (SELECT doc_id, s, size, item_id FROM cut JOIN spans USING (size, span)),
+        covered AS (
+            SELECT doc_id, count(DISTINCT i) AS n_hit
+            FROM (SELECT doc_id, unnest(generate_series(s, s + size - 1)) AS i FROM found) GROUP BY doc_id),
+        listed AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM lowered LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+    """,
     "op4_url_filters": """
         WITH parts AS (
             SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')) AS host,
