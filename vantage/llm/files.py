@@ -23,7 +23,7 @@ def create(folder: str, suffix: str):
     uri = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}{suffix}"
     where, path = _place(uri)
     where.create_dir(path.rpartition("/")[0], recursive=True)
-    return uri, where.open_output_stream(path)
+    return uri, where.open_output_stream(path, compression=None)
 
 
 def open_random(uri: str):

@@ -31,6 +31,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vantage.llm.warc import warc_round_trip
+    return warc_round_trip(_table(spark, sf_dir, "pages")).select(
+        "page_id", F.col("response.size").alias("payload_bytes"), F.col("response.digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"), "refers_to")
+
+
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vantage.llm.urls import RULES, host_path_rule, url_filter
     return url_filter(_table(spark, sf_dir, "pages"), [host_path_rule(*r) for r in RULES])
@@ -45,6 +52,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
+    "op3_warc": op3_warc,
     "op4_url_filters": op4_url_filters,
     "op9_token_files": op9_token_files,
     "op6_bpe": op6_bpe,
@@ -99,6 +107,16 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM lowered LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
     """,
+    "op3_warc": """
+        WITH hashed AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        firsts AS (SELECT payload_digest, min(page_id) AS first FROM hashed WHERE payload_bytes >= 100 GROUP BY 1)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM hashed LEFT JOIN firsts USING (payload_digest)
+    """,
     "op4_url_filters": """
         WITH parts AS (
             SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')) AS host,
