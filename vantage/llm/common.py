@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from vantage.session import shared_dir
 
@@ -47,7 +48,7 @@ def _ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package at hand on the executors."""
     _ship(df.sparkSession)
     return df.mapInArrow(fn, schema)

@@ -13,6 +13,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vantage.llm import quality
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, _table(spark, sf_dir, "labels")), keep=0.3)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vantage.llm.bpe import bpe, digest_columns
     return digest_columns(bpe(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
@@ -55,6 +61,7 @@ REGISTRY = {
     "op3_warc": op3_warc,
     "op4_url_filters": op4_url_filters,
     "op9_token_files": op9_token_files,
+    "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
 }
 
