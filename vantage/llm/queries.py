@@ -49,6 +49,12 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(_table(spark, sf_dir, "pages"), [host_path_rule(*r) for r in RULES])
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vantage.llm import toxicity
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")), flag=0.5)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vantage.llm.tokenbin import token_files
     return (token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
@@ -60,6 +66,7 @@ REGISTRY = {
     "op2_decontaminate": op2_decontaminate,
     "op3_warc": op3_warc,
     "op4_url_filters": op4_url_filters,
+    "op7_toxicity": op7_toxicity,
     "op9_token_files": op9_token_files,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
