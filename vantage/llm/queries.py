@@ -61,6 +61,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("crc", "ids_crc32"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vantage.llm.embedding import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.95)
+
+
 REGISTRY = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -68,6 +73,7 @@ REGISTRY = {
     "op4_url_filters": op4_url_filters,
     "op7_toxicity": op7_toxicity,
     "op9_token_files": op9_token_files,
+    "op10_embedding_dedup": op10_embedding_dedup,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
 }
