@@ -55,6 +55,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")), flag=0.5)
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vantage.llm.jaccard import jaccard_components
+    return jaccard_components(_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vantage.llm.tokenbin import token_files
     return (token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
@@ -72,6 +77,7 @@ REGISTRY = {
     "op3_warc": op3_warc,
     "op4_url_filters": op4_url_filters,
     "op7_toxicity": op7_toxicity,
+    "op8_jaccard": op8_jaccard,
     "op9_token_files": op9_token_files,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op5_quality": op5_quality,
