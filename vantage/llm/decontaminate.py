@@ -83,7 +83,7 @@ def _windows(text: Column, marks: Column) -> Column:
 
 def decontaminate(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", n: int = 10) -> DataFrame:
-    """Per row of ``df``: id, n_words, n_hit, n_items, ``items`` (ids as sorted strings),
+    """Per row of ``df``: id, text_hash (xxhash64 of the text), n_words, n_hit, n_items, ``items`` (ids as sorted strings),
     ``contaminated``."""
     docs = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.select(F.struct("id", F.xxhash64("text").alias("hash")).alias("key"), "text")  # equal also on null ids
@@ -115,6 +115,6 @@ def decontaminate(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
     listing = F.coalesce("items", F.array().cast("array<string>"))
     return (docs.select("key", F.size(words(F.col("text"))).cast("long").alias("n_words"))
             .join(covered.join(listed, "key"), "key", "left")
-            .select(F.col("key.id").alias(id_col), "n_words", hit.alias("n_hit"),
+            .select(F.col("key.id").alias(id_col), F.col("key.hash").alias("text_hash"), "n_words", hit.alias("n_hit"),
                     F.size(listing).cast("long").alias("n_items"), listing.alias("items"),
                     (hit > 0).alias("contaminated")))
