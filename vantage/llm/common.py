@@ -12,7 +12,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -20,7 +19,7 @@ from vantage.session import shared_dir
 
 #: bytes of text handled at once inside a task
 CHUNK_BYTES = 8 << 20
-#: distinct words remembered by a worker before it starts over
+#: words remembered by a worker before it starts over
 MEMO_WORDS = 200_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -83,17 +82,52 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
             start = stop
 
 
-class WordHashes(dict):
-    """Word (bytes) -> 64-bit hash, remembered for the frequent words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+# fixed values: the white space that ends a word, 0x20 and 0x09 to 0x0D
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BYTE = np.random.default_rng(0x5EED).integers(1, 1 << 63, 256, dtype=np.uint64)
+_FOLDED = _BYTE.copy()
+_FOLDED[65:91] = _FOLDED[97:123]
+
+
+class Words:
+    """The white-space separated words of a column of texts, as hashes in one flat array.
+
+    ``hash[first[i]:first[i + 1]]`` are the words of row i.  ``fold``: A-Z and a-z are equal."""
+
+    def __init__(self, column: pa.Array, fold: bool = False):
+        column = column.cast(pa.large_binary())
+        cut = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[cut[0]:cut[-1]]
+        cut = cut - cut[0]
+        ends = np.zeros(len(data) + 1, bool)
+        ends[cut] = True
+        inside = ~_SPACE[data]
+        start = inside.copy()
+        start[1:] &= ~inside[:-1] | ends[1:-1]
+        at = np.flatnonzero(start)
+        self.letters = letters = data[inside]  # of all words, without the space between
+        count = np.zeros(len(data) + 1, np.int64)
+        np.cumsum(inside, out=count[1:])
+        begin = count[at]
+        self.size = size = np.diff(np.r_[begin, len(letters)])
+        self.first = np.searchsorted(at, cut)
+        if len(at):
+            power = np.cumprod(np.full(int(size.max()), _P))
+            inner = np.arange(len(letters)) - np.repeat(begin, size)
+            with np.errstate(over="ignore"):
+                self.hash = mix(np.add.reduceat((_FOLDED if fold else _BYTE)[letters] * power[inner], begin)
+                                + size.astype(np.uint64))
+        else:
+            self.hash = np.zeros(0, np.uint64)
+
+    def runs(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, first word) of every run of ``k`` words within a row."""
+        n = np.diff(self.first)
+        many = np.maximum(n - k + 1, 0)
+        row = np.repeat(np.arange(len(n)), many)
+        inner = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        return row, self.first[row] + inner
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -34,154 +34,173 @@ place; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vantage.llm.common import WordHashes, long_array, map_arrow, mix, rolling, slices, window_min
+from vantage.llm.common import Words, long_array, map_arrow, mix, rolling, slices, window_min
 
 #: words of a minimizer
 GRAM = 6
 #: paths gathered in a task before its copies are reduced
 FLUSH = 1_000_000
+#: bytes of text worked on at once: arrays over its words stay in cache
+PART = 1 << 20
 
 _P = np.uint64(0xD6E8FEB86659FD93)
 _LOW = np.uint64(0xFFFFFFFF)
 
 
 class Paths:
-    """The paths of one document's words."""
+    """The paths of a column of texts.  Edge i starts at word ``at[i]`` of the flat words;
+    path p consists of ``size[p]`` edges from edge ``start[p]`` on."""
 
-    def __init__(self, h: np.ndarray, k: int):
+    def __init__(self, column: pa.Array, k: int):
+        self.words = w = Words(column)
         m = min(GRAM, k)
-        self.edges = mix(rolling(h, k))
-        low = window_min(mix(rolling(h, m)), k - m + 1)
-        self.start = np.flatnonzero(np.r_[True, low[1:] != low[:-1]])
+        self.row, self.at = w.runs(k)
+        if not len(self.at):
+            self.edges = self.minimizer = self.content = np.zeros(0, np.uint64)
+            self.start = self.size = np.zeros(0, np.int64)
+            return
+        self.edges = mix(rolling(w.hash, k))[self.at]
+        low = window_min(mix(rolling(w.hash, m)), k - m + 1)[self.at]
+        self.start = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (self.row[1:] != self.row[:-1])])
         self.size = np.diff(np.r_[self.start, len(low)])
         self.minimizer = low[self.start]
         power = np.cumprod(np.full(int(self.size.max()), _P))
         inner = np.arange(len(low)) - np.repeat(self.start, self.size)
         self.content = mix(np.add.reduceat(self.edges * power[inner], self.start) + self.size.astype(np.uint64))
 
-    def repeating(self) -> np.ndarray:
-        """Per path: might it hold an edge twice?"""
-        out = np.zeros(len(self.start), bool)
-        if len(np.unique(self.edges)) < len(self.edges):
-            _, at, count = np.unique(self.edges, return_inverse=True, return_counts=True)
-            out = np.add.reduceat((count[at] > 1).astype(np.int64), self.start) > 1
+    def place(self) -> np.ndarray:
+        """First word of every path, counted within its row."""
+        e = self.start
+        return self.at[e] - self.words.first[self.row[e]]
+
+    def repeating(self, k: int) -> np.ndarray:
+        """Per path: does it hold an edge twice?  One whose minimizer occurs once has
+        at most as many edges as grams fit a window, so longer ones count as well."""
+        reach = k - min(GRAM, k) + 1
+        out = self.size > reach
+        path = np.repeat(np.arange(len(self.start)), self.size)
+        for d in range(1, min(reach, len(path))):
+            same = np.flatnonzero(self.edges[:-d] == self.edges[d:])
+            out[path[same[path[same] == path[same + d]]]] = True
         return out
 
-
-def _words(text: str | None) -> list[bytes]:
-    return text.encode().split() if text else []  # splits at 0x20 and 0x09 to 0x0D alone
-
-
-def _entry(pos: np.ndarray, check: np.ndarray, flag) -> np.ndarray:
-    """A coordinate in its document, 32 bits of fingerprint and a flag in one number."""
-    return (pos.astype(np.uint64) << np.uint64(33)) | ((check & _LOW) << np.uint64(1)) | np.asarray(flag).astype(np.uint64)
+    def entries(self, listed: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(flat word, fingerprint, flag) of the coordinates listed for each row."""
+        size = np.asarray(pc.fill_null(pc.list_value_length(listed), 0))
+        entry = np.asarray(listed.flatten()).astype(np.int64).view(np.uint64)
+        row = np.repeat(np.arange(len(size)), size)
+        at = (entry >> np.uint64(33)).astype(np.int64)
+        here = at < np.diff(self.words.first)[row]
+        entry = entry[here]
+        return self.words.first[row[here]] + at[here], entry >> np.uint64(1) & _LOW, entry & np.uint64(1)
+
+    def firsts(self, listed: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """Per path: is it a first one as a whole; is it a first one to be taken apart?"""
+        path_at = np.full(len(self.words.hash) + 1, -1)
+        path_at[self.at[self.start]] = np.arange(len(self.start))
+        word, check, flag = self.entries(listed)
+        path = path_at[word]
+        good = (path >= 0) & (self.content[path] & _LOW == check) if len(self.content) else np.zeros(len(path), bool)
+        whole, apart = (np.zeros(len(self.start), bool) for _ in range(2))
+        whole[path[good & (flag == 0)]] = True
+        apart[path[good & (flag == 1)]] = True
+        return whole, apart
 
 
 def _paths(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, rows = WordHashes(), [], 0
+        held, rows = [], 0
 
         def flush():
-            ids = np.concatenate([np.full(len(p[1]), p[0]) for p in held])
-            cols = [np.concatenate([p[i] for p in held]) for i in range(1, 5)]
-            order = np.lexsort((cols[2], ids, cols[1]))  # by content, then coordinate
-            mins, content, pos, flag = (c[order] for c in cols)
-            keep = np.r_[True, content[1:] != content[:-1]]
+            mins, content, ids, pos, flag = (np.concatenate(c) for c in zip(*held))
+            order = np.lexsort((pos, ids, content))
+            order = order[np.r_[True, np.diff(content[order].view(np.int64)) != 0]]  # the first of each content
             return pa.RecordBatch.from_arrays(
-                [long_array(mins[keep]), long_array(content[keep]), long_array(ids[order][keep]),
-                 long_array(pos[keep] * 2 + flag[keep])], ["mz", "c", "id", "at"])
-
-        for batch in slices(batches, "text"):
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = _words(text)
-                if len(words) < k:
-                    continue
-                p = Paths(hashes.array(words), k)
-                held.append((i, p.minimizer, p.content, p.start, p.repeating()))
-                rows += len(p.start)
-                if rows >= FLUSH:
-                    yield flush()
-                    held, rows = [], 0
+                [long_array(mins[order]), long_array(content[order]), long_array(ids[order]),
+                 long_array(pos[order] * 2 + flag[order])], ["mz", "c", "id", "at"])
+
+        for batch in slices(batches, "text", PART):
+            p = Paths(batch.column(1), k)
+            ids = np.asarray(batch.column(0)).astype(np.int64)
+            held.append((p.minimizer, p.content, ids[p.row[p.start]], p.place(), p.repeating(k)))
+            rows += len(p.start)
+            if rows >= FLUSH:
+                yield flush()
+                held, rows = [], 0
         if held:
             yield flush()
     return run
 
 
 def _edges(k: int):
-    """Edges of a document's first paths at branching places."""
+    """Edges of the first paths at branching places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in slices(batches, "text"):
-            out = []
-            for i, text, firsts in zip(*(c.to_pylist() for c in batch.columns[:2]), batch.column(2)):
-                words = _words(text)
-                if len(words) < k or not firsts.is_valid:
-                    continue
-                p = Paths(hashes.array(words), k)
-                mark = np.isin(_entry(p.start, p.content, True), _entries(firsts))
-                at = np.flatnonzero(np.repeat(mark, p.size))
-                out.append((np.full(len(at), i), np.repeat(p.minimizer, p.size)[at], p.edges[at], at))
-            if out:
-                ids, mins, edges, at = (np.concatenate([o[j] for o in out]) for j in range(4))
-                yield pa.RecordBatch.from_arrays(
-                    [long_array(mins), long_array(edges), long_array(ids), long_array(at)], ["mz", "e", "id", "at"])
+        for batch in slices(batches, "text", PART):
+            p = Paths(batch.column(1), k)
+            _, apart = p.firsts(batch.column(2))
+            e = np.flatnonzero(np.repeat(apart, p.size))
+            ids = np.asarray(batch.column(0).fill_null(0)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [long_array(np.repeat(p.minimizer, p.size)[e]), long_array(p.edges[e]), long_array(ids[p.row[e]]),
+                 long_array(p.at[e] - p.words.first[p.row[e]])], ["mz", "e", "id", "at"])
     return run
 
 
-def _entries(listed: pa.ListScalar) -> np.ndarray:
-    return np.asarray(listed.values).view(np.uint64) if listed.is_valid else np.zeros(0, np.uint64)
-
-
 def _cut(k: int):
     """Kept text and removed spans of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in slices(batches, "text"):
-            ids, total, gone, texts, spans = batch.column(0), [], [], [], []
-            for known, text, firsts, firsts_of_edges in zip(
-                    ids.is_valid().to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
-                words = _words(text)
-                n = len(words)
-                covered = np.zeros(n, bool)
-                if n >= k and known:
-                    p = Paths(hashes.array(words), k)
-                    first = _entries(firsts)
-                    plain = np.isin(_entry(p.start, p.content, False), first)
-                    apart = np.isin(_entry(p.start, p.content, True), first)
-                    stays = np.repeat(plain, p.size)
-                    at = np.flatnonzero(np.repeat(apart, p.size))
-                    stays[at] = np.isin(_entry(at, p.edges[at], False), _entries(firsts_of_edges))
-                    step = np.zeros(n + 1, np.int64)
-                    repeats = np.flatnonzero(~stays)
-                    np.add.at(step, repeats, 1)
-                    np.add.at(step, repeats + k, -1)
-                    covered = np.cumsum(step[:-1]) > 0
-                total.append(n)
-                gone.append(int(covered.sum()))
-                if gone[-1]:
-                    edge = np.flatnonzero(np.diff(np.r_[False, covered, False]))
-                    spans.append([{"start": a, "stop": b} for a, b in edge.reshape(-1, 2).tolist()])
-                    words = [w for w, c in zip(words, covered.tolist()) if not c]
-                else:
-                    spans.append([])
-                texts.append(b" ".join(words).decode())
+        for batch in slices(batches, "text", PART):
+            ids, text = batch.column(0), batch.column(1)
+            p = Paths(text, k)
+            first = p.words.first
+            whole, apart = p.firsts(batch.column(2))
+            stays = np.repeat(whole, p.size)
+            edge_at = np.full(len(p.words.hash) + 1, -1)
+            edge_at[p.at] = np.arange(len(p.at))
+            word, check, _ = p.entries(batch.column(3))
+            edge = edge_at[word]
+            edge = edge[(edge >= 0) & (p.edges[edge] & _LOW == check)] if len(p.edges) else edge[:0]
+            stays[edge] |= np.repeat(apart, p.size)[edge]
+            stays |= ~np.asarray(ids.is_valid())[p.row]  # without an id nothing is compared
+            step = np.zeros(len(p.words.hash) + 1, np.int64)
+            gone = p.at[~stays]
+            np.add.at(step, gone, 1)
+            np.add.at(step, gone + k, -1)
+            covered = np.cumsum(step)[:-1] > 0
+            removed = np.diff(np.r_[0, np.cumsum(covered)][first])
+            texts, spans = [], []
+            for i, (t, n) in enumerate(zip(text.to_pylist(), removed.tolist())):
+                kept, cut = t.encode().split() if t else [], []  # splits at 0x20 and 0x09 to 0x0D alone
+                if n:
+                    mask = covered[first[i]:first[i + 1]]
+                    ends = np.flatnonzero(np.diff(np.r_[False, mask, False])).reshape(-1, 2).tolist()
+                    cut = [{"start": a, "stop": b} for a, b in ends]
+                    kept = list(compress(kept, (~mask).tolist()))
+                texts.append(b" ".join(kept).decode())
+                spans.append(cut)
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(texts, pa.string()),
-                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))],
-                ["id", "n_words", "n_removed", "kept", "spans"])
+                [ids, pa.array(np.diff(first), pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string()),
+                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), *batch.columns[4:]],
+                ["id", "n_words", "n_removed", "kept", "spans", *batch.schema.names[4:]])
     return run
 
 
-def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 20) -> DataFrame:
+def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 20,
+                    carry: bool = False) -> DataFrame:
     """Per row: id, n_words, n_removed, ``kept`` (words that stay, joined by a space) and
-    ``spans`` (start and stop of the removed words)."""
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    ``spans`` (start and stop of the removed words); with ``carry`` also ``row``, a struct of
+    the columns that came in."""
+    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
+                     *([F.struct(*(F.col(c) for c in df.columns)).alias("row")] if carry else []))
     paths = map_arrow(docs.where("id IS NOT NULL"), _paths(k), "mz long, c long, id long, at long")
 
     # all contents of a minimizer side by side, each with its least coordinate first
@@ -194,13 +213,18 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
               .where("before IS NULL OR before != c")
               .select("id", entry.bitwiseOR(F.expr("IF(branching OR (at & 1) = 1, 1L, 0L)")).alias("entry"))
               .groupBy("id").agg(F.collect_list("entry").alias("firsts")))
-    with_firsts = docs.join(firsts, "id", "left").select("id", "text", "firsts")
+    with_firsts = docs.join(firsts, "id", "left")
 
-    edges = map_arrow(with_firsts.where(F.exists("firsts", lambda x: x.bitwiseAND(F.lit(1).cast("long")) == 1)),
-                      _edges(k), "mz long, e long, id long, at long")
+    # a projection, not a filter: so both uses of the documents share one exchange
+    some = F.exists("firsts", lambda x: x.bitwiseAND(F.lit(1).cast("long")) == 1)
+    branching = with_firsts.select("id", F.when(some, F.col("text")).alias("text"), "firsts")
+    edges = map_arrow(branching, _edges(k), "mz long, e long, id long, at long")
     first_edges = (edges.groupBy("mz", "e").agg(F.min(F.struct("id", "at")).alias("o"))
                    .select("o.id", F.expr("shiftleft(o.at, 33) | shiftleft(e & 4294967295L, 1)").alias("entry"))
                    .groupBy("id").agg(F.collect_list("entry").alias("edges")))
-    done = with_firsts.join(first_edges, "id", "left").select("id", "text", "firsts", "edges")
-    return map_arrow(done, _cut(k), "id long, n_words long, n_removed long, kept string, "
-                                    "spans array<struct<start:long,stop:long>>").withColumnRenamed("id", id_col)
+    done = with_firsts.join(first_edges, "id", "left").select("id", "text", "firsts", "edges", *["row"] * carry)
+    schema = T.StructType.fromDDL("id long, n_words long, n_removed long, kept string, "
+                                  "spans array<struct<start:long,stop:long>>")
+    if carry:
+        schema = schema.add(done.schema["row"])
+    return map_arrow(done, _cut(k), schema).withColumnRenamed("id", id_col)
