@@ -57,6 +57,10 @@ def _marks(text: Column, n: int, short: list[int], whole: bool = False) -> Colum
     mark = lambda fp, a, b, size: F.struct(
         fp.alias("fp"), a.alias("a"), b.alias("b"), F.lit(size).alias("size"))
 
+    def of_size(w: Column, size: int) -> Column:
+        return F.transform(_starts(w, size), lambda i: mark(
+            F.xxhash64(*(F.get(w, i + j) for j in range(size))), i, i, size))
+
     def of_words(w: Column) -> Column:
         grams = F.transform(_starts(w, GRAM), lambda i: F.xxhash64(*(F.get(w, i + j) for j in range(GRAM))))
         winnowed = _let(grams, lambda g: _let(
@@ -65,8 +69,7 @@ def _marks(text: Column, n: int, short: list[int], whole: bool = False) -> Colum
                 F.filter(_starts(w, n), lambda i: (i == 0) | (F.get(least, i) != F.get(least, i - 1))),
                 lambda first: F.transform(first, lambda a, x: mark(
                     F.get(least, a), a, F.coalesce(F.get(first, x + 1), F.size(least)) - 1, n)))))
-        plain = [F.transform(_starts(w, size), lambda i, size=size: mark(
-            F.xxhash64(*(F.get(w, i + j) for j in range(size))), i, i, size)) for size in short]
+        plain = [of_size(w, size) for size in short]
         if whole:
             plain = [F.when(F.size(w) == size, p).otherwise(F.slice(p, 1, 0)) for size, p in zip(short, plain)]
         return F.concat(winnowed, *plain) if plain else winnowed
