@@ -2,8 +2,8 @@
 
 Each query is ``WITH <role mapping>, <silver>, <gold> SELECT ...`` over the
 driver's pre-registered views.  The role mapping mirrors
-``vantage/sources/tpch.py``; the silver/gold text follows the original SQL
-models with explicit tie-breaks (see SURVEY §9.2).
+``vantage/sources/tpch.py``; the silver and gold parts are written from the rule
+table (SURVEY 2.13): first rows by DISTINCT ON, one grouped join per window.
 
 Output canonicalisation shared with the Spark side (``vantage.plans.compare``):
 DATE -> 'YYYY-MM-DD' text, TIMESTAMP -> 'YYYY-MM-DD HH:MM:SS' text, DOUBLE ->
@@ -16,19 +16,19 @@ RAW = """
 raw_orders AS (
     SELECT o_orderkey AS order_id,
            o_custkey AS customer_id,
-           CASE WHEN o_orderstatus = 'F' THEN 'canceled'
-                WHEN o_orderstatus = 'O' THEN 'delivered'
-                WHEN o_orderstatus = 'P' THEN 'processing' END AS order_status,
-           o_orderdate AS order_purchase_timestamp,
-           CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate + INTERVAL 1 DAY END AS order_approved_at,
+           CASE o_orderstatus WHEN 'F' THEN 'canceled' WHEN 'O' THEN 'delivered' WHEN 'P' THEN 'processing' END
+               AS order_status,
+           o_orderdate + to_hours(CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_orderkey % 24 END AS INTEGER))
+               + to_days(copy * 2) AS order_purchase_timestamp,
+           CASE WHEN copy = 0 AND o_orderpriority <> '5-LOW' THEN o_orderdate + INTERVAL 1 DAY END AS order_approved_at,
            CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 3 DAY END AS order_delivered_carrier_date,
            CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 7 DAY END AS order_delivered_customer_date,
            o_orderdate + INTERVAL 14 DAY AS order_estimated_delivery_date
-    FROM orders
+    FROM orders JOIN (VALUES (0), (1)) twice(copy) ON copy = 0 OR o_orderkey % 50 = 0
 ),
 raw_customers AS (
     SELECT c_custkey AS customer_id,
-           c_custkey AS customer_unique_id,
+           (c_custkey + 1) // 2 AS customer_unique_id,
            lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
            c_mktsegment AS customer_city,
            lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS customer_state
@@ -50,7 +50,7 @@ raw_order_payments AS (
 ),
 raw_order_reviews AS (
     SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS review_id,
-           l_orderkey AS order_id,
+           CASE WHEN l_orderkey % 97 = 0 THEN -l_orderkey ELSE l_orderkey END AS order_id,
            CAST(1 + (l_orderkey + l_linenumber) % 5 AS INTEGER) AS review_score,
            CAST(NULL AS VARCHAR) AS review_comment_title,
            l_linestatus AS review_comment_message,
@@ -92,169 +92,156 @@ raw_category_translation AS (
                 WHEN p_type = 'MEDIUM' THEN 'sports_leisure'
                 WHEN p_type = 'PROMO' THEN 'toys'
                 WHEN p_type = 'SMALL' THEN 'electronics'
-                WHEN p_type = 'STANDARD' THEN 'health_beauty' END AS product_category_name_english
+                WHEN p_type = 'STANDARD' THEN 'no_known_prior' END AS product_category_name_english
     FROM part
 )"""
 
 SILVER = """
 stg_orders AS (
-    SELECT d.order_id, c.customer_unique_id, d.customer_id, c.customer_state,
-           c.customer_zip_code_prefix, d.order_status,
-           TRY_CAST(d.order_purchase_timestamp AS TIMESTAMP) AS order_purchase_ts,
-           TRY_CAST(d.order_approved_at AS TIMESTAMP) AS order_approved_ts,
-           TRY_CAST(d.order_delivered_customer_date AS TIMESTAMP) AS order_delivered_ts,
-           CASE WHEN d.order_status = 'canceled'
-                     AND TRY_CAST(d.order_approved_at AS TIMESTAMP) IS NOT NULL
-                THEN true ELSE false END AS is_cancelled_post_approval
-    FROM (SELECT *, row_number() OVER (PARTITION BY order_id
-                 ORDER BY order_purchase_timestamp ASC NULLS LAST,
-                          order_approved_at ASC NULLS LAST,
-                          order_status ASC NULLS LAST) AS rn
-          FROM raw_orders) d
-    LEFT JOIN raw_customers c ON d.customer_id = c.customer_id
-    WHERE d.rn = 1
+    SELECT picked.order_id, who.customer_unique_id, picked.customer_id, who.customer_state,
+           who.customer_zip_code_prefix, picked.order_status,
+           picked.order_purchase_timestamp AS order_purchase_ts,
+           picked.order_approved_at AS order_approved_ts,
+           picked.order_delivered_customer_date AS order_delivered_ts,
+           (picked.order_status = 'canceled' AND picked.order_approved_at IS NOT NULL) IS TRUE
+               AS is_cancelled_post_approval
+    FROM (SELECT DISTINCT ON (order_id) * FROM raw_orders
+          ORDER BY order_id, order_purchase_timestamp NULLS LAST, order_approved_at NULLS LAST,
+                   order_status NULLS LAST) AS picked
+         LEFT JOIN raw_customers AS who USING (customer_id)
 ),
 stg_customers AS (
-    SELECT customer_unique_id, customer_state, customer_zip_code_prefix
-    FROM (SELECT c.customer_unique_id, c.customer_state, c.customer_zip_code_prefix,
-                 row_number() OVER (PARTITION BY c.customer_unique_id
-                     ORDER BY o.order_purchase_timestamp DESC NULLS LAST,
-                              c.customer_state DESC NULLS LAST,
-                              c.customer_zip_code_prefix DESC NULLS LAST) AS rn
-          FROM raw_customers c LEFT JOIN raw_orders o ON c.customer_id = o.customer_id) x
-    WHERE rn = 1
+    WITH last_seen AS (
+        SELECT customer_id, max(order_purchase_timestamp) AS seen FROM raw_orders GROUP BY customer_id),
+    ranked AS (
+        SELECT customer_unique_id,
+               max({'seen': coalesce(seen, TIMESTAMP '0001-01-01'), 'state': customer_state,
+                    'zip': customer_zip_code_prefix}) AS newest
+        FROM raw_customers LEFT JOIN last_seen USING (customer_id)
+        GROUP BY customer_unique_id)
+    SELECT customer_unique_id, newest.state AS customer_state, newest.zip AS customer_zip_code_prefix FROM ranked
 ),
 stg_order_items AS (
-    SELECT order_id, CAST(order_item_id AS INTEGER) AS order_item_id, product_id, seller_id,
-           CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value
+    SELECT order_id, order_item_id::INTEGER AS order_item_id, product_id, seller_id,
+           price::DOUBLE AS price, freight_value::DOUBLE AS freight_value
     FROM raw_order_items
 ),
 stg_order_payments AS (
-    SELECT order_id, CAST(payment_sequential AS INTEGER) AS payment_sequential, payment_type,
-           CAST(payment_installments AS INTEGER) AS payment_installments,
-           CAST(payment_value AS DOUBLE) AS payment_value
+    SELECT order_id, payment_sequential::INTEGER AS payment_sequential, payment_type,
+           payment_installments::INTEGER AS payment_installments, payment_value::DOUBLE AS payment_value
     FROM raw_order_payments
 ),
 stg_order_reviews AS (
-    SELECT review_id, order_id, CAST(review_score AS INTEGER) AS review_score,
-           TRY_CAST(review_creation_date AS DATE) AS review_creation_date
-    FROM (SELECT *, row_number() OVER (PARTITION BY order_id
-                 ORDER BY review_creation_date DESC NULLS LAST, review_id DESC NULLS LAST,
-                          review_score DESC NULLS LAST) AS rn
-          FROM raw_order_reviews) r
-    WHERE rn = 1
+    SELECT DISTINCT ON (order_id) review_id, order_id, review_score, review_creation_date
+    FROM raw_order_reviews
+    ORDER BY order_id, review_creation_date DESC NULLS LAST, review_id DESC NULLS LAST,
+             review_score DESC NULLS LAST
 ),
 stg_geolocation AS (
-    SELECT geolocation_zip_code_prefix AS zip_code_prefix,
-           avg(CAST(geolocation_lat AS DOUBLE)) AS lat,
-           avg(CAST(geolocation_lng AS DOUBLE)) AS lng
-    FROM raw_geolocation
-    GROUP BY 1
+    SELECT geolocation_zip_code_prefix AS zip_code_prefix, avg(geolocation_lat) AS lat, avg(geolocation_lng) AS lng
+    FROM raw_geolocation GROUP BY ALL
 )"""
 
 GOLD = """
-payments_agg AS (
-    SELECT order_id,
-           sum(payment_value) AS order_value,
-           max(payment_installments) AS max_installments,
+paid AS (
+    SELECT order_id, sum(payment_value) AS order_value, max(payment_installments) AS max_installments,
            count(*) AS payment_slices,
-           arg_max(payment_type, (payment_value, payment_type))
-               FILTER (WHERE payment_type IS NOT NULL AND payment_value IS NOT NULL) AS primary_payment_type
-    FROM stg_order_payments
-    GROUP BY 1
+           (list(payment_type ORDER BY payment_value DESC, payment_type DESC)
+                FILTER (payment_type IS NOT NULL AND payment_value IS NOT NULL))[1] AS primary_payment_type
+    FROM stg_order_payments GROUP BY order_id
 ),
-items_seller AS (
+sold AS (
     SELECT order_id,
-           arg_min(seller_id, (order_item_id, seller_id))
-               FILTER (WHERE seller_id IS NOT NULL AND order_item_id IS NOT NULL) AS primary_seller_id
-    FROM stg_order_items
-    GROUP BY 1
+           (list(seller_id ORDER BY order_item_id, seller_id)
+                FILTER (seller_id IS NOT NULL AND order_item_id IS NOT NULL))[1] AS primary_seller_id
+    FROM stg_order_items GROUP BY order_id
 ),
-cust_geo AS (
-    SELECT customer_unique_id, zip_code_prefix, lat AS cust_lat, lng AS cust_lng
-    FROM stg_customers c LEFT JOIN stg_geolocation g ON c.customer_zip_code_prefix = g.zip_code_prefix
+ends AS (
+    SELECT o.order_id, radians(shop.lat) AS lat1, radians(home.lat) AS lat2,
+           radians((shop.lat - home.lat) / 2) AS half_lat, radians((shop.lng - home.lng) / 2) AS half_lng
+    FROM stg_orders AS o
+         JOIN sold USING (order_id)
+         JOIN stg_customers AS c USING (customer_unique_id)
+         JOIN raw_sellers AS s ON s.seller_id = sold.primary_seller_id
+         JOIN stg_geolocation AS home ON home.zip_code_prefix = c.customer_zip_code_prefix
+         JOIN stg_geolocation AS shop ON shop.zip_code_prefix = s.seller_zip_code_prefix
 ),
-seller_geo AS (
-    SELECT s.seller_id, g.lat AS seller_lat, g.lng AS seller_lng
-    FROM raw_sellers s LEFT JOIN stg_geolocation g ON s.seller_zip_code_prefix = g.zip_code_prefix
+apart AS (
+    SELECT order_id, 12742 * asin(sqrt(least(1.0, hav))) AS customer_seller_distance_km
+    FROM (SELECT order_id, pow(sin(half_lat), 2) + cos(lat2) * cos(lat1) * pow(sin(half_lng), 2) AS hav FROM ends)
+    WHERE hav IS NOT NULL
 ),
 int_orders_enriched AS (
-    SELECT o.order_id, o.customer_unique_id, o.customer_state, o.order_status,
-           o.order_purchase_ts, o.order_approved_ts, o.order_delivered_ts,
-           o.is_cancelled_post_approval,
-           coalesce(p.order_value, 0) AS order_value,
-           p.primary_payment_type, p.max_installments, i.primary_seller_id, r.review_score,
-           CASE WHEN o.order_status = 'delivered' AND r.review_score <= 2 THEN true ELSE false END
-               AS is_low_review_delivered,
-           CASE WHEN o.order_status = 'delivered' AND r.review_score IS NULL THEN true ELSE false END
-               AS is_no_review_delivered,
-           6371 * 2 * asin(CASE WHEN h.root > 1.0 THEN 1.0 ELSE h.root END) AS customer_seller_distance_km
-    FROM stg_orders o
-    LEFT JOIN payments_agg p ON o.order_id = p.order_id
-    LEFT JOIN stg_order_reviews r ON o.order_id = r.order_id
-    LEFT JOIN items_seller i ON o.order_id = i.order_id
-    LEFT JOIN cust_geo cg ON o.customer_unique_id = cg.customer_unique_id
-    LEFT JOIN seller_geo sg ON i.primary_seller_id = sg.seller_id
-    CROSS JOIN LATERAL (SELECT sqrt(
-               power(sin(radians((sg.seller_lat - cg.cust_lat) / 2)), 2) +
-               cos(radians(cg.cust_lat)) * cos(radians(sg.seller_lat)) *
-               power(sin(radians((sg.seller_lng - cg.cust_lng) / 2)), 2)) AS root) h
+    SELECT order_id, customer_unique_id, customer_state, order_status, order_purchase_ts, order_approved_ts,
+           order_delivered_ts, is_cancelled_post_approval, ifnull(order_value, 0) AS order_value,
+           primary_payment_type, max_installments, primary_seller_id, review_score,
+           (order_status = 'delivered' AND review_score <= 2) IS TRUE AS is_low_review_delivered,
+           (order_status = 'delivered' AND review_score IS NULL) IS TRUE AS is_no_review_delivered,
+           customer_seller_distance_km
+    FROM stg_orders
+         LEFT JOIN paid USING (order_id)
+         LEFT JOIN sold USING (order_id)
+         LEFT JOIN apart USING (order_id)
+         LEFT JOIN (SELECT order_id, review_score FROM stg_order_reviews) AS reviewed USING (order_id)
 )"""
 
 
-def _fct(lead: str = "1 month") -> str:
+def _panel(lead: str) -> str:
+    """Snapshots of every customer: those from its first order less ``lead`` on."""
     return f"""
 spine AS (
-    SELECT CAST(unnest(generate_series(
-        date_trunc('month', (SELECT min(order_purchase_ts) FROM stg_orders)),
-        date_trunc('month', (SELECT max(order_purchase_ts) FROM stg_orders)),
-        INTERVAL 1 MONTH)) AS DATE) AS snapshot_date
+    SELECT unnest(range(lo, hi + INTERVAL 1 DAY, INTERVAL 1 MONTH)) AS d
+    FROM (SELECT date_trunc('month', min(order_purchase_ts))::TIMESTAMP AS lo,
+                 date_trunc('month', max(order_purchase_ts))::TIMESTAMP AS hi FROM stg_orders)
+),
+panel AS (
+    SELECT customer_unique_id, d
+    FROM (SELECT customer_unique_id, min(order_purchase_ts) AS since FROM int_orders_enriched GROUP BY ALL) AS born
+         JOIN spine ON d + INTERVAL '{lead}' >= since
+    WHERE customer_unique_id IS NOT NULL
+)"""
+
+
+def _fct(lead: str = "1 month") -> str:
+    """The feature table, one grouped join per window: an order is within n days of
+    a snapshot if the snapshot lies between its time and n days later."""
+    return _panel(lead) + """,
+so_far AS (
+    SELECT customer_unique_id, d, max(customer_state) AS customer_state, min(order_purchase_ts) AS first_ts,
+           count(*) AS orders, countif(is_cancelled_post_approval) AS cancelled,
+           countif(order_status = 'delivered') AS delivered, countif(is_low_review_delivered) AS low_reviews,
+           avg(review_score) AS avg_review_score, avg(customer_seller_distance_km) AS avg_km
+    FROM int_orders_enriched JOIN spine ON order_purchase_ts <= d GROUP BY ALL
+),
+month_back AS (
+    SELECT customer_unique_id, d, count(*) AS orders, sum(order_value) AS spent,
+           countif(is_cancelled_post_approval) AS cancelled, count(DISTINCT customer_state) AS states
+    FROM int_orders_enriched JOIN spine ON d BETWEEN order_purchase_ts AND order_purchase_ts + INTERVAL 30 DAY
+    GROUP BY customer_unique_id, d
 ),
-fc_customers AS (SELECT DISTINCT customer_unique_id FROM stg_customers),
-customer_months AS (
-    SELECT c.customer_unique_id, s.snapshot_date
-    FROM fc_customers c CROSS JOIN spine s
-    WHERE EXISTS (SELECT 1 FROM int_orders_enriched o
-                  WHERE o.customer_unique_id = c.customer_unique_id
-                    AND o.order_purchase_ts <= s.snapshot_date + INTERVAL '{lead}')
+week_back AS (
+    SELECT customer_unique_id, d, count(*) AS orders, count(DISTINCT primary_seller_id) AS sellers
+    FROM int_orders_enriched JOIN spine ON d BETWEEN order_purchase_ts AND order_purchase_ts + INTERVAL 7 DAY
+    GROUP BY customer_unique_id, d
 ),
 fct AS (
-    SELECT cm.customer_unique_id, cm.snapshot_date,
-        max(o.customer_state) AS customer_state,
-        date_diff('day', min(o.order_purchase_ts), cm.snapshot_date) AS days_since_first_order,
-        count(o.order_id) FILTER (WHERE o.order_purchase_ts <= cm.snapshot_date) AS total_orders_lifetime,
-        count(o.order_id) FILTER (WHERE o.order_purchase_ts BETWEEN cm.snapshot_date - INTERVAL '30 days'
-                                  AND cm.snapshot_date) AS orders_last_30d,
-        count(o.order_id) FILTER (WHERE o.order_purchase_ts BETWEEN cm.snapshot_date - INTERVAL '7 days'
-                                  AND cm.snapshot_date) AS orders_last_7d,
-        count(DISTINCT o.primary_seller_id) FILTER (WHERE o.order_purchase_ts BETWEEN
-                                  cm.snapshot_date - INTERVAL '7 days' AND cm.snapshot_date)
-            AS distinct_sellers_last_7d,
-        coalesce(sum(o.order_value) FILTER (WHERE o.order_purchase_ts BETWEEN
-                                  cm.snapshot_date - INTERVAL '30 days' AND cm.snapshot_date), 0)
-            AS total_spent_last_30d,
-        coalesce(count(o.order_id) FILTER (WHERE o.is_cancelled_post_approval
-                                            AND o.order_purchase_ts <= cm.snapshot_date)::DOUBLE
-                 / nullif(count(o.order_id) FILTER (WHERE o.order_purchase_ts <= cm.snapshot_date), 0), 0)
-            AS cancel_rate_lifetime,
-        count(o.order_id) FILTER (WHERE o.is_cancelled_post_approval AND o.order_purchase_ts BETWEEN
-                                  cm.snapshot_date - INTERVAL '30 days' AND cm.snapshot_date)
-            AS cancel_post_approval_count_30d,
-        avg(o.review_score) FILTER (WHERE o.order_purchase_ts <= cm.snapshot_date) AS avg_review_score,
-        coalesce(count(o.order_id) FILTER (WHERE o.is_low_review_delivered
-                                            AND o.order_purchase_ts <= cm.snapshot_date)::DOUBLE
-                 / nullif(count(o.order_id) FILTER (WHERE o.order_status = 'delivered'
-                                                     AND o.order_purchase_ts <= cm.snapshot_date), 0), 0)
-            AS low_review_on_delivered_rate,
-        avg(o.customer_seller_distance_km) FILTER (WHERE o.order_purchase_ts <= cm.snapshot_date)
-            AS avg_customer_seller_distance_km,
-        count(DISTINCT o.customer_state) FILTER (WHERE o.order_purchase_ts BETWEEN
-                                  cm.snapshot_date - INTERVAL '30 days' AND cm.snapshot_date)
-            AS distinct_shipping_states_30d
-    FROM customer_months cm
-    LEFT JOIN int_orders_enriched o
-        ON o.customer_unique_id = cm.customer_unique_id AND o.order_purchase_ts <= cm.snapshot_date
-    GROUP BY cm.customer_unique_id, cm.snapshot_date
+    SELECT customer_unique_id, d::DATE AS snapshot_date, s.customer_state,
+           date_diff('day', s.first_ts::DATE, d::DATE) AS days_since_first_order,
+           ifnull(s.orders, 0) AS total_orders_lifetime,
+           ifnull(m.orders, 0) AS orders_last_30d,
+           ifnull(w.orders, 0) AS orders_last_7d,
+           ifnull(w.sellers, 0) AS distinct_sellers_last_7d,
+           ifnull(m.spent, 0) AS total_spent_last_30d,
+           CASE WHEN s.orders > 0 THEN s.cancelled / s.orders ELSE 0 END AS cancel_rate_lifetime,
+           ifnull(m.cancelled, 0) AS cancel_post_approval_count_30d,
+           s.avg_review_score,
+           CASE WHEN s.delivered > 0 THEN s.low_reviews / s.delivered ELSE 0 END AS low_review_on_delivered_rate,
+           s.avg_km AS avg_customer_seller_distance_km,
+           ifnull(m.states, 0) AS distinct_shipping_states_30d
+    FROM panel
+         LEFT JOIN so_far AS s USING (customer_unique_id, d)
+         LEFT JOIN month_back AS m USING (customer_unique_id, d)
+         LEFT JOIN week_back AS w USING (customer_unique_id, d)
 )"""
 
 
@@ -262,26 +249,6 @@ def with_ctes(*parts: str) -> str:
     return "WITH " + ",".join(p.strip("\n") for p in parts) + "\n"
 
 
-FCT_OUT = """
-SELECT customer_unique_id,
-       strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date,
-       customer_state,
-       CAST(days_since_first_order AS DOUBLE) AS days_since_first_order,
-       CAST(total_orders_lifetime AS BIGINT) AS total_orders_lifetime,
-       CAST(orders_last_30d AS BIGINT) AS orders_last_30d,
-       CAST(orders_last_7d AS BIGINT) AS orders_last_7d,
-       CAST(distinct_sellers_last_7d AS BIGINT) AS distinct_sellers_last_7d,
-       round(total_spent_last_30d, 6) AS total_spent_last_30d,
-       round(cancel_rate_lifetime, 6) AS cancel_rate_lifetime,
-       CAST(cancel_post_approval_count_30d AS BIGINT) AS cancel_post_approval_count_30d,
-       round(avg_review_score, 6) AS avg_review_score,
-       round(low_review_on_delivered_rate, 6) AS low_review_on_delivered_rate,
-       round(avg_customer_seller_distance_km, 6) AS avg_customer_seller_distance_km,
-       CAST(distinct_shipping_states_30d AS BIGINT) AS distinct_shipping_states_30d
-FROM fct"""
-
-
-
 # ------------------------------------------------------------------ helpers
 
 def canon(*cols: str) -> str:
@@ -304,13 +271,11 @@ def canon(*cols: str) -> str:
 
 
 def rhu(x: str, digits: int) -> str:
-    """Round half up on the binary value (same arithmetic as the Spark side)."""
-    scale = float(10 ** digits)
-    return f"(floor(({x}) * {scale!r} + 0.5) / {scale!r})"
+    return f"round({x}, {digits})"
 
 
 def pct(num: str, den: str, digits: int = 2) -> str:
-    return rhu(f"(100.0 * CAST({num} AS DOUBLE)) / NULLIF(CAST({den} AS DOUBLE), 0)", digits)
+    return rhu(f"100.0::DOUBLE * {num} / NULLIF({den}, 0)", digits)
 
 
 def _values(rows) -> str:
@@ -342,74 +307,77 @@ FCT_COLS = ("customer_unique_id", "snapshot_date:date", "customer_state", "days_
             "distinct_shipping_states_30d:l")
 
 VELOCITY = """
-velocity AS (
-    SELECT o.*,
-           (epoch_us(o.order_purchase_ts) - epoch_us(lag(o.order_purchase_ts) OVER (
-                PARTITION BY o.customer_unique_id ORDER BY o.order_purchase_ts, o.order_id)))
-               / 3600000000.0 AS hours_since_prev_order
-    FROM int_orders_enriched o
-    WHERE o.customer_unique_id IS NOT NULL AND o.order_purchase_ts IS NOT NULL
+timed AS (
+    SELECT order_id, date_diff('microsecond', lag(order_purchase_ts) OVER by_customer, order_purchase_ts) / 3.6e9
+               AS hours_since_prev_order
+    FROM int_orders_enriched
+    WHERE customer_unique_id IS NOT NULL AND order_purchase_ts IS NOT NULL
+    WINDOW by_customer AS (PARTITION BY customer_unique_id ORDER BY order_purchase_ts, order_id)
 ),
 velocity_orders AS (
-    SELECT *, customer_seller_distance_km / NULLIF(hours_since_prev_order, 0) AS velocity_kmh,
-           (epoch_us(order_approved_ts) - epoch_us(order_purchase_ts)) / 3600000000.0 AS hours_to_approval
-    FROM velocity
+    SELECT e.*, hours_since_prev_order,
+           CASE WHEN hours_since_prev_order <> 0 THEN customer_seller_distance_km / hours_since_prev_order END
+               AS velocity_kmh,
+           date_diff('microsecond', order_purchase_ts, order_approved_ts) / 3.6e9 AS hours_to_approval
+    FROM timed JOIN int_orders_enriched AS e USING (order_id)
 )"""
 
 EXTENDED = """
+so_far_ext AS (
+    SELECT customer_unique_id, d, max(order_purchase_ts) AS last_ts, countif(order_status = 'delivered') AS delivered,
+           countif(is_no_review_delivered) AS unreviewed, max(velocity_kmh) AS fastest,
+           countif(velocity_kmh > 800) AS implausible, avg(hours_to_approval) AS approval
+    FROM velocity_orders JOIN spine ON order_purchase_ts <= d GROUP BY ALL
+),
+hours_back AS (
+    SELECT customer_unique_id, d,
+           countif(d <= order_purchase_ts + INTERVAL 1 HOUR) AS h1,
+           countif(d <= order_purchase_ts + INTERVAL 24 HOUR) AS h24, count(*) AS h168
+    FROM velocity_orders JOIN spine ON d BETWEEN order_purchase_ts AND order_purchase_ts + INTERVAL 168 HOUR
+    GROUP BY customer_unique_id, d
+),
 fct_ext AS (
-    SELECT cm.customer_unique_id, cm.snapshot_date,
-        count(o.order_id) FILTER (WHERE o.order_purchase_ts BETWEEN cm.snapshot_date - INTERVAL '24 hours'
-                                  AND cm.snapshot_date) AS orders_last_24h,
-        date_diff('day', max(o.order_purchase_ts), cm.snapshot_date) AS days_since_last_order,
-        coalesce(count(o.order_id) FILTER (WHERE o.is_no_review_delivered)::DOUBLE
-                 / nullif(count(o.order_id) FILTER (WHERE o.order_status = 'delivered'), 0), 0)
-            AS no_review_on_delivered_rate,
-        max(o.velocity_kmh) AS max_geographic_velocity_kmh,
-        count(o.order_id) FILTER (WHERE o.velocity_kmh > 800.0) AS implausible_velocity_orders,
-        avg(o.hours_to_approval) AS avg_hours_purchase_to_approval
-    FROM customer_months cm
-    LEFT JOIN velocity_orders o
-        ON o.customer_unique_id = cm.customer_unique_id AND o.order_purchase_ts <= cm.snapshot_date
-    GROUP BY cm.customer_unique_id, cm.snapshot_date
+    SELECT customer_unique_id, d::DATE AS snapshot_date,
+           ifnull(h.h1, 0) AS orders_last_1h, ifnull(h.h24, 0) AS orders_last_24h, ifnull(h.h168, 0) AS orders_last_168h,
+           date_diff('day', s.last_ts::DATE, d::DATE) AS days_since_last_order,
+           CASE WHEN s.delivered > 0 THEN s.unreviewed / s.delivered ELSE 0 END AS no_review_on_delivered_rate,
+           s.fastest AS max_geographic_velocity_kmh,
+           ifnull(s.implausible, 0) AS implausible_velocity_orders,
+           s.approval AS avg_hours_purchase_to_approval
+    FROM panel
+         LEFT JOIN so_far_ext AS s USING (customer_unique_id, d)
+         LEFT JOIN hours_back AS h USING (customer_unique_id, d)
 )"""
 
 EVENTS = """
 e_spine AS (
-    SELECT CAST(unnest(generate_series(
-        date_trunc('day', (SELECT min(ts) FROM events)),
-        date_trunc('day', (SELECT max(ts) FROM events)),
-        INTERVAL 1 DAY)) AS DATE) AS snapshot_date
+    SELECT unnest(range(min(ts)::DATE::TIMESTAMP, max(ts)::DATE + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d FROM events
+),
+e_panel AS (
+    SELECT user_id, d FROM (SELECT user_id, min(ts) AS since FROM events GROUP BY ALL) JOIN e_spine
+        ON d + INTERVAL 1 DAY >= since
+    WHERE user_id IS NOT NULL
+),
+e_so_far AS (
+    SELECT user_id, d, count(*) AS n, countif(event_type = 'purchase') AS purchases, countif(event_type = 'error') AS errors,
+           avg(value) AS avg_value, min(ts) AS first_ts, max(ts) AS last_ts
+    FROM events JOIN e_spine ON ts <= d GROUP BY ALL
 ),
-e_users AS (SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL),
-user_days AS (
-    SELECT u.user_id, s.snapshot_date
-    FROM e_users u CROSS JOIN e_spine s
-    WHERE EXISTS (SELECT 1 FROM events e WHERE e.user_id = u.user_id
-                  AND e.ts <= s.snapshot_date + INTERVAL '1 day')
+e_back AS (
+    SELECT user_id, d, countif(d <= ts + INTERVAL 24 HOUR) AS n_24h, countif(d <= ts + INTERVAL 7 DAY) AS n_7d,
+           sum(value) FILTER (d <= ts + INTERVAL 7 DAY) AS value_7d,
+           count(DISTINCT event_type) FILTER (d <= ts + INTERVAL 7 DAY) AS types_7d, max(value) AS max_30d
+    FROM events JOIN e_spine ON d BETWEEN ts AND ts + INTERVAL 30 DAY GROUP BY user_id, d
 ),
 e_fct AS (
-    SELECT ud.user_id, ud.snapshot_date,
-        count(e.event_id) AS events_lifetime,
-        count(e.event_id) FILTER (WHERE e.ts BETWEEN ud.snapshot_date - INTERVAL '24 hours'
-                                  AND ud.snapshot_date) AS events_last_24h,
-        count(e.event_id) FILTER (WHERE e.ts BETWEEN ud.snapshot_date - INTERVAL '7 days'
-                                  AND ud.snapshot_date) AS events_last_7d,
-        coalesce(sum(e.value) FILTER (WHERE e.ts BETWEEN ud.snapshot_date - INTERVAL '7 days'
-                                  AND ud.snapshot_date), 0) AS value_last_7d,
-        count(DISTINCT e.event_type) FILTER (WHERE e.ts BETWEEN ud.snapshot_date - INTERVAL '7 days'
-                                  AND ud.snapshot_date) AS distinct_event_types_7d,
-        count(e.event_id) FILTER (WHERE e.event_type = 'purchase') AS purchases_lifetime,
-        coalesce(count(e.event_id) FILTER (WHERE e.event_type = 'error')::DOUBLE
-                 / nullif(count(e.event_id), 0), 0) AS error_rate_lifetime,
-        avg(e.value) AS avg_value_lifetime,
-        max(e.value) FILTER (WHERE e.ts BETWEEN ud.snapshot_date - INTERVAL '30 days'
-                             AND ud.snapshot_date) AS max_value_30d,
-        date_diff('day', min(e.ts), ud.snapshot_date) AS days_since_first_event,
-        date_diff('day', max(e.ts), ud.snapshot_date) AS days_since_last_event
-    FROM user_days ud
-    LEFT JOIN events e ON e.user_id = ud.user_id AND e.ts <= ud.snapshot_date
-    GROUP BY ud.user_id, ud.snapshot_date
+    SELECT user_id, d::DATE AS snapshot_date, ifnull(s.n, 0) AS events_lifetime, ifnull(b.n_24h, 0) AS events_last_24h,
+           ifnull(b.n_7d, 0) AS events_last_7d, ifnull(b.value_7d, 0) AS value_last_7d,
+           ifnull(b.types_7d, 0) AS distinct_event_types_7d, ifnull(s.purchases, 0) AS purchases_lifetime,
+           CASE WHEN s.n > 0 THEN s.errors / s.n ELSE 0 END AS error_rate_lifetime,
+           s.avg_value AS avg_value_lifetime, b.max_30d AS max_value_30d,
+           date_diff('day', s.first_ts::DATE, d::DATE) AS days_since_first_event,
+           date_diff('day', s.last_ts::DATE, d::DATE) AS days_since_last_event
+    FROM e_panel LEFT JOIN e_so_far AS s USING (user_id, d) LEFT JOIN e_back AS b USING (user_id, d)
 )"""
 
 
@@ -456,8 +424,8 @@ def build() -> dict[str, str]:
     q["pit_customer_features"] = with_fct + canon(*FCT_COLS) + " FROM fct"
     q["pit_customer_features_strict"] = with_ctes(RAW, SILVER, GOLD, _fct("0 days")) + canon(*FCT_COLS) + " FROM fct"
 
-    q["month_spine"] = with_fct + canon("snapshot_date:date") + " FROM spine"
-    q["eligible_customer_months"] = with_fct + canon("customer_unique_id", "snapshot_date:date") + " FROM customer_months"
+    q["month_spine"] = with_fct + canon("snapshot_date:date") + " FROM (SELECT d AS snapshot_date FROM spine)"
+    q["eligible_customer_months"] = with_fct + canon("customer_unique_id", "snapshot_date:date") + " FROM (SELECT customer_unique_id, d AS snapshot_date FROM panel)"
 
     q["stg_orders"] = base + canon("order_id:l", "customer_unique_id:l", "customer_id:l", "customer_state",
                                    "customer_zip_code_prefix", "order_status", "order_purchase_ts:ts",
@@ -472,20 +440,18 @@ def build() -> dict[str, str]:
     q["stg_order_payments"] = base + canon("order_id:l", "payment_sequential:l", "payment_type",
                                            "payment_installments:l", "payment_value:d") + " FROM stg_order_payments"
     q["region_centroid"] = base + canon("zip_code_prefix", "lat:d", "lng:d") + " FROM stg_geolocation"
-    q["items_keep_first"] = base + canon("order_id:l", "order_item_id:l", "product_id:l", "seller_id:l",
-                                         "shipping_limit_date:ts", "price:d", "freight_value:d") + """
-        FROM (SELECT *, row_number() OVER (PARTITION BY order_id, order_item_id
-                  ORDER BY shipping_limit_date ASC NULLS LAST, seller_id ASC NULLS LAST,
-                           product_id ASC NULLS LAST, price ASC NULLS LAST,
-                           freight_value ASC NULLS LAST) AS rn
-              FROM raw_order_items) x WHERE rn = 1"""
-    q["latest_event_per_user"] = canon("user_id:l", "event_id:l", "ts:ts", "event_type", "value:d") + """
-        FROM (SELECT *, row_number() OVER (PARTITION BY user_id
-                  ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
-              FROM events) x WHERE rn = 1"""
+    q["items_keep_first"] = base + "SELECT DISTINCT ON (order_id, order_item_id) " + canon(
+        "order_id:l", "order_item_id:l", "product_id:l", "seller_id:l", "shipping_limit_date:ts", "price:d",
+        "freight_value:d").removeprefix("SELECT ") + """
+        FROM raw_order_items AS i
+        ORDER BY i.order_id, i.order_item_id, i.shipping_limit_date NULLS LAST, i.seller_id NULLS LAST,
+                 i.product_id NULLS LAST, i.price NULLS LAST, i.freight_value NULLS LAST"""
+    q["latest_event_per_user"] = "SELECT DISTINCT ON (user_id) " + canon(
+        "user_id:l", "event_id:l", "ts:ts", "event_type", "value:d").removeprefix("SELECT ") + """
+        FROM events AS e ORDER BY e.user_id, e.ts DESC NULLS LAST, e.event_id DESC NULLS LAST"""
     q["payments_per_order"] = base + canon("order_id:l", "order_value:d", "max_installments:l",
-                                           "payment_slices:l", "primary_payment_type") + " FROM payments_agg"
-    q["primary_seller"] = base + canon("order_id:l", "primary_seller_id:l") + " FROM items_seller"
+                                           "payment_slices:l", "primary_payment_type") + " FROM paid"
+    q["primary_seller"] = base + canon("order_id:l", "primary_seller_id:l") + " FROM sold"
     q["orders_enriched"] = base + canon(
         "order_id:l", "customer_unique_id:l", "customer_state", "order_status", "order_purchase_ts:ts",
         "order_approved_ts:ts", "order_delivered_ts:ts", "is_cancelled_post_approval", "order_value:d",
@@ -499,7 +465,8 @@ def build() -> dict[str, str]:
     q["order_velocity"] = vel + canon("order_id:l", "customer_unique_id:l", "order_purchase_ts:ts",
                                       "hours_since_prev_order:d", "velocity_kmh:d") + " FROM velocity_orders"
     q["pit_customer_features_extended"] = with_ctes(RAW, SILVER, GOLD, _fct("1 month"), VELOCITY, EXTENDED) + canon(
-        "customer_unique_id:l", "snapshot_date:date", "orders_last_24h:l", "days_since_last_order:n",
+        "customer_unique_id:l", "snapshot_date:date", "orders_last_1h:l", "orders_last_24h:l", "orders_last_168h:l",
+        "days_since_last_order:n",
         "no_review_on_delivered_rate:d", "max_geographic_velocity_kmh:d", "implausible_velocity_orders:l",
         "avg_hours_purchase_to_approval:d") + " FROM fct_ext"
     q["pit_event_features"] = with_ctes(EVENTS) + canon(
@@ -511,21 +478,19 @@ def build() -> dict[str, str]:
     with_seeds = with_ctes(RAW, SILVER, GOLD, seeds_cte())
     q["payment_risk"] = with_seeds + canon("primary_payment_type", "order_id:l",
                                            "payment_method_risk_score:d") + """
-        FROM (SELECT o.order_id, o.primary_payment_type, s.base_risk_score AS payment_method_risk_score
-              FROM int_orders_enriched o
-              LEFT JOIN payment_method_risk s ON o.primary_payment_type = s.payment_type) x"""
+        FROM (SELECT order_id, primary_payment_type,
+                     (SELECT base_risk_score FROM payment_method_risk WHERE payment_type = primary_payment_type)
+                         AS payment_method_risk_score
+              FROM int_orders_enriched)"""
     q["category_prior"] = with_seeds + canon("order_id:l", "items:l", "items_with_prior:l",
                                              "max_category_prior:d", "avg_category_prior:d") + """
-        FROM (SELECT i.order_id, count(*) AS items, count(c.fraud_prior) AS items_with_prior,
-                     max(c.fraud_prior) AS max_category_prior, avg(c.fraud_prior) AS avg_category_prior
-              FROM stg_order_items i
-              LEFT JOIN (SELECT p.product_id, pr.fraud_prior
-                         FROM raw_products p
-                         LEFT JOIN raw_category_translation t ON p.product_category_name = t.product_category_name
-                         LEFT JOIN category_risk_priors pr
-                                ON t.product_category_name_english = pr.product_category_name_english) c
-                     ON i.product_id = c.product_id
-              GROUP BY i.order_id) x"""
+        FROM (SELECT order_id, count(*) AS items, count(fraud_prior) AS items_with_prior,
+                     max(fraud_prior) AS max_category_prior, avg(fraud_prior) AS avg_category_prior
+              FROM stg_order_items
+                   LEFT JOIN raw_products USING (product_id)
+                   LEFT JOIN raw_category_translation USING (product_category_name)
+                   LEFT JOIN category_risk_priors USING (product_category_name_english)
+              GROUP BY order_id)"""
     q["score_tier"] = with_ctes(seeds_cte()) + canon("s_suppkey:l", "risk_score:d", "tier", "action",
                                                       "tier_label") + """
         FROM (SELECT s.s_suppkey, s.risk_score, t.tier, t.action,
@@ -540,13 +505,11 @@ def build() -> dict[str, str]:
 
     owm = """
 owm AS (
-    SELECT o.*, COALESCE(CAST(fs.seller_id AS VARCHAR), 'unknown_merchant') AS merchant_id,
-           strftime(CAST(o.order_purchase_timestamp AS DATE), '%Y-%m') AS partition_month
-    FROM raw_orders o
-    LEFT JOIN (SELECT order_id, seller_id, row_number() OVER (PARTITION BY order_id
-                   ORDER BY order_item_id ASC NULLS LAST, seller_id ASC NULLS LAST) AS rn
-               FROM raw_order_items) fs
-           ON o.order_id = fs.order_id AND fs.rn = 1
+    SELECT raw_orders.*, ifnull(seller::VARCHAR, 'unknown_merchant') AS merchant_id,
+           strftime(order_purchase_timestamp, '%Y-%m') AS partition_month
+    FROM raw_orders LEFT JOIN (
+        SELECT DISTINCT ON (order_id) order_id, seller_id AS seller FROM raw_order_items
+        ORDER BY order_id, order_item_id NULLS LAST, seller_id NULLS LAST) AS opening USING (order_id)
 )"""
     q["orders_with_merchant"] = with_ctes(RAW, owm) + canon(
         "order_id:l", "customer_id:l", "order_status", "order_purchase_timestamp:ts", "order_approved_at:ts",
@@ -558,41 +521,33 @@ owm AS (
 
     q["cancel_rate_by_state"] = with_ctes(RAW) + canon("customer_state", "total_orders:l", "canceled:l",
                                                        "cancel_rate_pct:d") + f"""
-        FROM (SELECT customer_state, total_orders, canceled, {pct('canceled', 'total_orders')} AS cancel_rate_pct
-              FROM (SELECT c.customer_state, count(*) AS total_orders,
-                           sum(CASE WHEN o.order_status = 'canceled' THEN 1 ELSE 0 END) AS canceled
-                    FROM raw_orders o JOIN raw_customers c ON o.customer_id = c.customer_id
-                    GROUP BY c.customer_state) a
-              ORDER BY cancel_rate_pct DESC NULLS LAST, customer_state ASC NULLS LAST
-              LIMIT 20) x"""
+        FROM (SELECT *, {pct('canceled', 'total_orders')} AS cancel_rate_pct
+              FROM (SELECT customer_state, count(*) AS total_orders, countif(order_status = 'canceled') AS canceled
+                    FROM raw_customers JOIN raw_orders USING (customer_id) GROUP BY ALL)
+              QUALIFY row_number() OVER (ORDER BY cancel_rate_pct DESC NULLS LAST, customer_state NULLS LAST) <= 20)"""
     q["low_review_on_delivered"] = with_ctes(RAW) + canon("delivered_orders:l", "low_review:l",
                                                           "inr_proxy_rate_pct:d") + f"""
-        FROM (SELECT delivered_orders, low_review, {pct('low_review', 'delivered_orders')} AS inr_proxy_rate_pct
-              FROM (SELECT count(*) AS delivered_orders,
-                           sum(CASE WHEN r.review_score <= 2 THEN 1 ELSE 0 END) AS low_review
-                    FROM raw_orders o JOIN raw_order_reviews r ON o.order_id = r.order_id
-                    WHERE o.order_status = 'delivered') a) x"""
+        FROM (SELECT *, {pct('low_review', 'delivered_orders')} AS inr_proxy_rate_pct
+              FROM (SELECT count(*) AS delivered_orders, countif(review_score <= 2) AS low_review
+                    FROM raw_order_reviews JOIN raw_orders USING (order_id) WHERE order_status = 'delivered'))"""
 
-    latest = "fct f, (SELECT max(snapshot_date) AS d FROM fct) l WHERE f.snapshot_date = l.d"
+    newest = "(SELECT * FROM fct QUALIFY snapshot_date = max(snapshot_date) OVER ())"
     q["top_risky_customers"] = with_fct + canon(
         "customer_unique_id:l", "customer_state", "total_orders_lifetime:l", "orders_last_30d:l",
         "cancel_rate:d", "cancel_30d:l", "avg_review:d", "low_review_rate:d", "avg_dist_km:d",
         "states_30d:l") + f"""
-        FROM (SELECT customer_unique_id, customer_state, total_orders_lifetime, orders_last_30d,
-                     {rhu('cancel_rate_lifetime', 3)} AS cancel_rate,
-                     cancel_post_approval_count_30d AS cancel_30d,
+        FROM (SELECT *, {rhu('cancel_rate_lifetime', 3)} AS cancel_rate, cancel_post_approval_count_30d AS cancel_30d,
                      {rhu('avg_review_score', 2)} AS avg_review,
                      {rhu('low_review_on_delivered_rate', 3)} AS low_review_rate,
                      {rhu('avg_customer_seller_distance_km', 0)} AS avg_dist_km,
                      distinct_shipping_states_30d AS states_30d
-              FROM {latest} AND total_orders_lifetime >= 2
-              ORDER BY (cancel_rate_lifetime + low_review_on_delivered_rate) DESC NULLS LAST,
-                       total_orders_lifetime DESC NULLS LAST, customer_unique_id ASC NULLS LAST
-              LIMIT 50) x"""
+              FROM {newest} WHERE total_orders_lifetime > 1
+              QUALIFY row_number() OVER (
+                  ORDER BY cancel_rate_lifetime + low_review_on_delivered_rate DESC NULLS LAST,
+                           total_orders_lifetime DESC, customer_unique_id) <= 50)"""
     q["risk_distribution"] = with_fct + canon("cancel_rate_lifetime:d", "low_review_on_delivered_rate:d",
                                               "total_orders_lifetime:l") + f"""
-        FROM (SELECT cancel_rate_lifetime, low_review_on_delivered_rate, total_orders_lifetime
-              FROM {latest} AND total_orders_lifetime >= 1) x"""
+        FROM {newest} WHERE total_orders_lifetime > 0"""
     q["feature_store_summary"] = with_fct + canon(
         "total_rows:l", "unique_customers:l", "snapshots:l", "first_snapshot:date", "last_snapshot:date",
         "avg_cancel_rate:d", "avg_low_review_rate:d") + f"""
@@ -601,17 +556,15 @@ owm AS (
                      max(snapshot_date) AS last_snapshot,
                      {rhu('avg(cancel_rate_lifetime)', 4)} AS avg_cancel_rate,
                      {rhu('avg(low_review_on_delivered_rate)', 4)} AS avg_low_review_rate
-              FROM fct) x"""
+              FROM fct)"""
     q["orders_overview"] = base + canon("total_orders:l", "unique_customers:l", "cancel_post_approval:l",
                                         "pct_cancel_post_approval:d", "first_order_ts:ts",
                                         "last_order_ts:ts") + f"""
-        FROM (SELECT total_orders, unique_customers, cancel_post_approval,
-                     {pct('cancel_post_approval', 'total_orders')} AS pct_cancel_post_approval,
-                     first_order_ts, last_order_ts
-              FROM (SELECT count(*) AS total_orders, count(DISTINCT customer_unique_id) AS unique_customers,
-                           sum(CASE WHEN is_cancelled_post_approval THEN 1 ELSE 0 END) AS cancel_post_approval,
-                           min(order_purchase_ts) AS first_order_ts, max(order_purchase_ts) AS last_order_ts
-                    FROM stg_orders) a) x"""
+        FROM (SELECT count(*) AS total_orders, count(DISTINCT customer_unique_id) AS unique_customers,
+                     countif(is_cancelled_post_approval) AS cancel_post_approval,
+                     {pct('countif(is_cancelled_post_approval)', 'count(*)')} AS pct_cancel_post_approval,
+                     min(order_purchase_ts) AS first_order_ts, max(order_purchase_ts) AS last_order_ts
+              FROM stg_orders)"""
 
     everything = with_ctes(RAW, SILVER, GOLD, _fct("1 month"), seeds_cte())
     counts = " UNION ALL ".join(

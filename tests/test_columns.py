@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from vantage.functions.columns import haversine_km, percent, round_half_up, safe_rate, tier_label
+from vantage.functions.columns import haversine_km, percent, round_half_away, safe_rate, tier_label
 
 
 def test_haversine_cases(spark):
@@ -32,9 +32,9 @@ def test_safe_rate_and_percent(spark):
     assert got[2].r == 0.0
 
 
-def test_round_half_up_is_binary_half_up(spark):
+def test_round_half_away_from_zero(spark):
     df = spark.createDataFrame([(0.125,), (2.5,), (-1.5,)], "x double")
-    got = [r.y for r in df.select(round_half_up("x", 2).alias("y")).collect()]
+    got = [r.y for r in df.select(round_half_away("x", 2).alias("y")).collect()]
     assert got[0] == 0.13
-    got0 = [r.y for r in df.select(round_half_up("x", 0).alias("y")).collect()]
-    assert got0[1:] == [3.0, -1.0]
+    got0 = [r.y for r in df.select(round_half_away("x", 0).alias("y")).collect()]
+    assert got0[1:] == [3.0, -2.0]

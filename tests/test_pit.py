@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from vantage.operators.pit import Feature, eligible_pairs, point_in_time_features, time_spine
-from vantage.plans.gold import FEATURE_COLUMNS, fct_customer_return_risk_features
+from pit_direct import pit_direct
+from vantage.plans.gold import FEATURE_COLUMNS, fct_customer_return_risk_features, return_risk_features
 
 SCHEMA = ("order_id string, customer_unique_id string, customer_state string, order_status string, "
           "order_purchase_ts timestamp_ntz, is_cancelled_post_approval boolean, order_value double, "
@@ -26,6 +27,11 @@ def order(oid, cust, ts, state="SP", status="delivered", cancel=False, value=10.
     return (oid, cust, state, status, T(ts) if ts else None, cancel, value, seller, review, low, dist)
 
 
+def direct_features(facts, lead="1 month"):
+    return pit_direct(facts, "customer_unique_id", "order_purchase_ts", return_risk_features(),
+                      lead=lead).select(*FEATURE_COLUMNS)
+
+
 def rows_by_key(df):
     return {(r.customer_unique_id, r.snapshot_date): r for r in df.collect()}
 
@@ -38,8 +44,8 @@ def test_boundaries_and_lookahead(spark):
         order("b1", "B", "2020-03-25 00:00:00", state="RJ"),  # 7 d before 2020-04-01
         order("z1", "Z", "2020-04-15 00:00:00"),              # after the last month start: counted nowhere
     ], SCHEMA)
-    for form in ("scale", "direct"):
-        got = rows_by_key(fct_customer_return_risk_features(facts, form=form))
+    for form in (fct_customer_return_risk_features, direct_features):
+        got = rows_by_key(form(facts))
         d = dt.date
         assert got[("A", d(2020, 1, 1))].total_orders_lifetime == 1          # inclusive bound
         assert got[("A", d(2020, 2, 1))].total_orders_lifetime == 1          # 00:00:01 not yet counted
@@ -84,13 +90,12 @@ def _random_facts(seed, n=120):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_scale_equals_direct_monthly(spark, seed):
     facts = spark.createDataFrame(_random_facts(seed), SCHEMA)
-    a = rows_by_key(fct_customer_return_risk_features(facts, form="scale"))
+    a = rows_by_key(fct_customer_return_risk_features(facts))
     if seed == 3:   # the coverage path on the monthly table as well
-        from vantage.plans.gold import return_risk_features
         cov = point_in_time_features(facts, "customer_unique_id", "order_purchase_ts", return_risk_features(),
                                      distinct="coverage").select(*FEATURE_COLUMNS)
         a = rows_by_key(cov)
-    b = rows_by_key(fct_customer_return_risk_features(facts, form="direct"))
+    b = rows_by_key(direct_features(facts))
     assert a.keys() == b.keys()
     for k in a:
         for c in FEATURE_COLUMNS[2:]:
@@ -98,7 +103,7 @@ def test_scale_equals_direct_monthly(spark, seed):
             assert (x == pytest.approx(y)) if isinstance(x, float) else x == y, (k, c, x, y)
 
 
-@pytest.mark.parametrize("distinct", ["explode", "coverage", "auto"])
+@pytest.mark.parametrize("distinct", ["explode", "coverage"])
 def test_scale_equals_direct_daily_windows(spark, distinct):
     rnd = random.Random(7)
     rows = [(i, rnd.choice([1, 2, 3]), dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 20)),
@@ -115,7 +120,7 @@ def test_scale_equals_direct_daily_windows(spark, distinct):
     a = {(r.user_id, r.snapshot_date): r for r in
          point_in_time_features(ev, "user_id", "ts", feats, distinct=distinct, **kw).collect()}
     b = {(r.user_id, r.snapshot_date): r for r in
-         point_in_time_features(ev, "user_id", "ts", feats, form="direct", **kw).collect()}
+         pit_direct(ev, "user_id", "ts", feats, **kw).collect()}
     assert a.keys() == b.keys() and len(a) > 30
     for k in a:
         for f in feats:
@@ -123,6 +128,21 @@ def test_scale_equals_direct_daily_windows(spark, distinct):
             assert (x == pytest.approx(y)) if isinstance(x, float) else x == y, (k, f.name, x, y)
 
 
+def test_latest_snapshot_equals_the_last_rows_of_the_panel(spark):
+    for seed in (4, 5):
+        facts = spark.createDataFrame(_random_facts(seed), SCHEMA)
+        panel = rows_by_key(fct_customer_return_risk_features(facts))
+        last = max(d for _, d in panel)
+        got = rows_by_key(fct_customer_return_risk_features(facts, snapshots="latest"))
+        assert got.keys() == {k for k in panel if k[1] == last}
+        for k, r in got.items():
+            for c in FEATURE_COLUMNS[2:]:
+                x, y = getattr(r, c), getattr(panel[k], c)
+                assert (x == pytest.approx(y)) if isinstance(x, float) else x == y, (k, c, x, y)
+    plan = fct_customer_return_risk_features(facts, snapshots="latest")._jdf.queryExecution().toString()
+    assert "Window" not in plan and "Generate" not in plan  # neither running values nor fan-out
+
+
 def test_no_leakage_from_later_facts(spark):
     """Adding facts later than snapshot s must not change any feature of rows
     with snapshot <= s (rows may be added, values may not move)."""
@@ -174,7 +194,7 @@ def test_aligned_windows_closed_lower_bound(spark):
     kw = dict(unit="day", lead="0 days")
     a = {(r.user_id, r.snapshot_date): r for r in point_in_time_features(ev, "user_id", "ts", feats, **kw).collect()}
     b = {(r.user_id, r.snapshot_date): r for r in
-         point_in_time_features(ev, "user_id", "ts", feats, form="direct", **kw).collect()}
+         pit_direct(ev, "user_id", "ts", feats, **kw).collect()}
     assert a.keys() == b.keys()
     for k in a:
         for f in feats:

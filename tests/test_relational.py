@@ -49,10 +49,10 @@ def test_arg_min_primary_seller(spark):
 
 
 def test_range_lookup_half_open(spark):
-    from vantage.sources.seeds import seed_frame, seed_rows
+    from vantage.sources.seeds import seed_frame
     df = spark.createDataFrame([(0.0,), (0.3,), (0.849,), (0.85,), (1.5,), (None,)], "s double")
     out = range_lookup(df, "s", seed_frame(spark, "risk_thresholds"), "lower_bound_inclusive",
-                       "upper_bound_exclusive", known_rows=seed_rows("risk_thresholds"))
+                       "upper_bound_exclusive")
     got = [(r.s, r.tier) for r in out.orderBy(F.col("s").asc_nulls_last()).collect()]
     assert got == [(0.0, "low"), (0.3, "medium"), (0.849, "high"), (0.85, "critical"), (1.5, None), (None, None)]
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vantage.plans.gold import FEATURE_COLUMNS, fct_customer_return_risk_features
 
-from test_pit import SCHEMA, _random_facts, rows_by_key
+from test_pit import SCHEMA, _random_facts, direct_features, rows_by_key
 
 
 def _hot_facts(seed=5, n=300):
@@ -22,7 +22,7 @@ def _hot_facts(seed=5, n=300):
 def test_hot_entity_scale_equals_direct(spark):
     facts = spark.createDataFrame(_hot_facts(), SCHEMA)
     a = rows_by_key(fct_customer_return_risk_features(facts))
-    b = rows_by_key(fct_customer_return_risk_features(facts, form="direct"))
+    b = rows_by_key(direct_features(facts))
     assert a.keys() == b.keys()
     hot = [k for k in a if k[0] == "HOT"]
     last = max(hot)[1]

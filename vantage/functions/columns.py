@@ -73,16 +73,14 @@ def hours_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     return F.timestamp_diff("MICROSECOND", s, e).cast("double") / F.lit(3_600_000_000.0)
 
 
-def round_half_up(col: ColumnOrName, digits: int) -> Column:
-    """Round half up on the binary value: ``floor(x * 10^d + 0.5) / 10^d``.
-
-    The engines disagree on ``round`` of doubles (decimal-string vs binary
-    rounding); this form is plain IEEE arithmetic and agrees everywhere.
-    """
-    scale = float(10 ** digits)
-    return F.floor(_c(col) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+def round_half_away(col: ColumnOrName, digits: int) -> Column:
+    """Round half away from zero on the binary value, as SQL engines round doubles
+    (Spark's own ``round`` works on the decimal text of the double)."""
+    scale = F.lit(float(10 ** digits))
+    x = _c(col)
+    return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5)) / scale
 
 
 def percent(num: ColumnOrName, den: ColumnOrName, digits: int = 2) -> Column:
     """``round(100.0 * num / nullif(den, 0), digits)`` as DOUBLE (NULL when den is 0)."""
-    return round_half_up(F.try_divide(F.lit(100.0) * _c(num).cast("double"), _c(den).cast("double")), digits)
+    return round_half_away(F.try_divide(F.lit(100.0) * _c(num).cast("double"), _c(den).cast("double")), digits)

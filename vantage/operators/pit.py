@@ -4,14 +4,8 @@ A panel has one row per ``(entity, snapshot)``; every value in the row uses only
 facts whose timestamp is at or before the snapshot.  Snapshots come from a
 regular spine (monthly or daily) between the first and the last fact.
 
-Two physical forms compute the same result:
+How a panel is computed:
 
-``direct``
-    The textbook plan: entities x spine, a semi join for eligibility, then a
-    left join ``fact.ts <= snapshot`` and filtered aggregates.  Rows grow as
-    facts x history length; kept as the readable cross-check for tests.
-
-``scale`` (default)
     No join against the facts (only the one-row spine bounds are attached).
     Facts are aggregated per ``(entity, snapshot)`` with map-side partial
     aggregation, so a hot entity is pre-combined in every map task.  A window
@@ -107,24 +101,6 @@ def _interval(spec: str) -> Column:
 
 SLIDABLE = ("count", "sum", "avg", "min", "max", "rate")
 
-# a window touching more snapshots than this is not exploded for distinct counts
-EXPLODE_LIMIT = 8
-
-
-def max_snapshots(window: str, unit: str) -> int:
-    """Most spine snapshots one fact can fall into for a trailing window."""
-    import math
-    import re
-    m = re.fullmatch(r"\s*(\d+)\s*(second|minute|hour|day|week|month)s?\s*", window.lower())
-    if not m:
-        return 1 << 30
-    k, what = int(m.group(1)), m.group(2)
-    days = {"second": k / 86400, "minute": k / 1440, "hour": k / 24, "day": k, "week": 7 * k,
-            "month": 31 * k}[what]
-    step = 1 if unit == "day" else 28
-    return math.floor(days / step) + 1
-
-
 def aligned_steps(window: str | None, unit: str) -> int | None:
     """``n`` when the window is exactly ``n >= 1`` spine steps (24 hours or 7 days
     on a daily spine, 2 months on a monthly one), else None."""
@@ -219,41 +195,34 @@ def _cast_out(f: Feature, c: Column) -> Column:
     return c
 
 
-def pit_direct(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature],
-               unit: str = "month", lead: str = "1 month",
-               out: str = "snapshot_date") -> DataFrame:
-    """Readable form: pairs, left join on ``entity`` and ``ts <= snapshot``, filtered aggregates."""
-    spine = time_spine(facts, ts, unit, out)
-    ents = facts.where(F.col(entity).isNotNull()).select(entity).distinct()
-    f_alias = facts.alias("f")
-    pairs = (ents.crossJoin(F.broadcast(spine)).alias("p")
-                 .join(f_alias.select(entity, ts).alias("e"),
-                       (F.col(f"p.{entity}") == F.col(f"e.{entity}"))
-                       & (F.col(f"e.{ts}") <= F.col(f"p.{out}").cast("timestamp_ntz") + _interval(lead)),
-                       "left_semi"))
-    joined = pairs.alias("p").join(
-        f_alias,
-        (F.col(f"p.{entity}") == F.col(f"f.{entity}"))
-        & (F.col(f"f.{ts}") <= F.col(f"p.{out}").cast("timestamp_ntz")),
-        "left")
-    snap_ts = F.col(f"p.{out}").cast("timestamp_ntz")
-    ts_col = F.col(f"f.{ts}")
-    aggs = [_cast_out(f, _direct_agg(f, ts_col, snap_ts, f"f.{ts}")).alias(f.name) for f in features]
-    return joined.groupBy(F.col(f"p.{entity}").alias(entity), F.col(f"p.{out}").alias(out)).agg(*aggs)
+def latest_features(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature], unit: str = "month",
+                    lead: str = "1 month", out: str = "snapshot_date") -> DataFrame:
+    """The panel's rows of the last snapshot: one aggregate per entity over the facts
+    up to it, no fan-out and no window."""
+    bounds = spine_bounds(facts, ts, unit).select(F.col("spine_hi").alias(out))
+    last = F.col(out).cast("timestamp_ntz")
+    t = F.col(ts).cast("timestamp_ntz")
+    near = (facts.where(F.col(entity).isNotNull() & F.col(ts).isNotNull())
+            .crossJoin(F.broadcast(bounds))  # a global aggregate: one row
+            .where(t <= last + _interval(lead)))
+    aggs = [_cast_out(f, _direct_agg(f, t, last, ts)).alias(f.name) for f in features]
+    return near.groupBy(entity, out).agg(*aggs)
 
 
 # -------------------------------------------------------------- scale form
 
 def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature],
               unit: str = "month", lead: str = "1 month",
-              out: str = "snapshot_date", distinct: str = "auto") -> DataFrame:
-    """Join-free form (see module doc).  Same output as :func:`pit_direct`.
+              out: str = "snapshot_date", distinct: str = "explode") -> DataFrame:
+    """Join-free form (see module doc).
 
     ``distinct``: ``"coverage"`` computes windowed distinct counts from merged
     per-value coverage intervals (nothing explodes, a few extra small
-    shuffles); ``"explode"`` counts them over the exploded rows (Catalyst's
-    Expand); ``"auto"`` explodes windows that touch at most ``EXPLODE_LIMIT``
-    snapshots and uses coverage beyond."""
+    shuffles), for windows of many spine steps; ``"explode"`` counts them over the
+    exploded rows (Catalyst's Expand), for windows of one or two.  The caller
+    chooses; nothing switches with the data."""
+    if distinct not in ("explode", "coverage"):
+        raise ValueError(f"unknown strategy {distinct!r}")
     lifetime = [f for f in features if f.window is None]
     # aligned windows of additive aggregates slide over per-snapshot partials;
     # distinct counts run on coverage intervals; the rest (windows that cut
@@ -261,8 +230,7 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
     sliding = [f for f in features if f.window is not None and f.agg in SLIDABLE
                and aligned_steps(f.window, unit)]
     covered = [f for f in features if f.window is not None and f.agg == "count_distinct"
-               and (distinct == "coverage"
-                    or (distinct == "auto" and max_snapshots(f.window, unit) > EXPLODE_LIMIT))]
+               and distinct == "coverage"]
     trailing = [f for f in features if f.window is not None and f not in sliding and f not in covered]
     windows = sorted({f.window for f in trailing})
 
@@ -536,8 +504,10 @@ def _empty_value(f: Feature) -> Column:
 def point_in_time_features(facts: DataFrame, entity: str, ts: str,
                            features: Sequence[Feature], unit: str = "month",
                            lead: str = "1 month", out: str = "snapshot_date",
-                           form: str = "scale", distinct: str = "auto") -> DataFrame:
-    """Point-in-time panel; ``form`` is ``"scale"`` (default) or ``"direct"``."""
-    if form == "direct":
-        return pit_direct(facts, entity, ts, features, unit=unit, lead=lead, out=out)
+                           distinct: str = "explode", snapshots: str = "all") -> DataFrame:
+    """Point-in-time panel of ``snapshots`` "all" or "latest"."""
+    if snapshots == "latest":
+        return latest_features(facts, entity, ts, features, unit=unit, lead=lead, out=out)
+    if snapshots != "all":
+        raise ValueError(f"unknown snapshots {snapshots!r}")
     return pit_scale(facts, entity, ts, features, unit=unit, lead=lead, out=out, distinct=distinct)

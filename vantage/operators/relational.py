@@ -1,5 +1,5 @@
 """Relational building blocks: keep-first/keep-latest, arg-max/arg-min,
-centroids, bounded broadcasts and range lookups.
+centroids and range lookups.
 
 All of them are plain DataFrame compositions so Catalyst sees the whole plan.
 """
@@ -67,25 +67,11 @@ def centroid(df: DataFrame, key: str, lat: str, lng: str,
                    F.avg(F.col(lng).cast("double")).alias(out_lng)))
 
 
-def bounded_broadcast(df: DataFrame, known_rows: int, max_rows: int = 10_000) -> DataFrame:
-    """Broadcast hint for a side whose row count is bounded by construction
-    (a seed, a fixed dimension).  Refuses a side whose bound exceeds
-    ``max_rows``; unbounded sides are left to AQE's runtime size check."""
-    if known_rows > max_rows:
-        raise ValueError(f"broadcast side has up to {known_rows} rows; bound is {max_rows}")
-    return F.broadcast(df)
-
-
-def range_lookup(df: DataFrame, value: str, ranges: DataFrame, lo: str, hi: str,
-                 known_rows: int, max_rows: int = 10_000) -> DataFrame:
-    """Left range join ``lo <= value < hi`` against a bounded lookup table.
-
-    The lookup side must have a proven row bound; it is broadcast and the join
-    runs as a broadcast nested-loop join that streams ``df`` without a shuffle.
-    """
-    r = bounded_broadcast(ranges, known_rows, max_rows)
-    cond = (F.col(value) >= r[lo]) & (F.col(value) < r[hi])
-    return df.join(r, cond, "left")
+def range_lookup(df: DataFrame, value: str, ranges: DataFrame, lo: str, hi: str) -> DataFrame:
+    """Left range join ``lo <= value < hi`` against a lookup table, which Spark
+    broadcasts by its own size estimate."""
+    cond = (F.col(value) >= ranges[lo]) & (F.col(value) < ranges[hi])
+    return df.join(ranges, cond, "left")
 
 
 def dup_keys(df: DataFrame, keys: Sequence[str], count_col: str = "n") -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.functions.columns import percent, round_half_up
+from vantage.functions.columns import percent, round_half_away
 
 
 def cancellation_rate_by_state(orders: DataFrame, customers: DataFrame, top: int = 20) -> DataFrame:
@@ -35,27 +35,21 @@ def low_review_on_delivered(orders: DataFrame, reviews: DataFrame, low: int = 2)
              .withColumn("inr_proxy_rate_pct", percent("low_review", "delivered_orders")))
 
 
-def latest_snapshot(fct: DataFrame, col: str = "snapshot_date") -> DataFrame:
-    """Rows of the newest snapshot.  The max is a global aggregate (exactly one
-    row), so the filter join is a proven one-row broadcast."""
-    latest = fct.agg(F.max(col).alias("_latest"))
-    return fct.join(F.broadcast(latest), F.col(col) == F.col("_latest"), "inner").drop("_latest")
-
-
-def top_risky_customers(fct: DataFrame, limit: int = 50, min_orders: int = 2) -> DataFrame:
-    """Top ``limit`` customers at the latest snapshot by cancel + low-review rate."""
+def top_risky_customers(latest: DataFrame, limit: int = 50, min_orders: int = 2) -> DataFrame:
+    """Top ``limit`` customers by cancel + low-review rate; ``latest`` holds the rows of
+    the latest snapshot (``snapshots="latest"``)."""
     limit = int(limit)
-    cur = latest_snapshot(fct).where(F.col("total_orders_lifetime") >= min_orders)
+    cur = latest.where(F.col("total_orders_lifetime") >= min_orders)
     return (cur.orderBy((F.col("cancel_rate_lifetime") + F.col("low_review_on_delivered_rate")).desc_nulls_last(),
                         F.col("total_orders_lifetime").desc_nulls_last(),
                         F.col("customer_unique_id").asc_nulls_last())
                .limit(limit)
                .select("customer_unique_id", "customer_state", "total_orders_lifetime", "orders_last_30d",
-                       round_half_up("cancel_rate_lifetime", 3).alias("cancel_rate"),
+                       round_half_away("cancel_rate_lifetime", 3).alias("cancel_rate"),
                        F.col("cancel_post_approval_count_30d").alias("cancel_30d"),
-                       round_half_up("avg_review_score", 2).alias("avg_review"),
-                       round_half_up("low_review_on_delivered_rate", 3).alias("low_review_rate"),
-                       round_half_up("avg_customer_seller_distance_km", 0).alias("avg_dist_km"),
+                       round_half_away("avg_review_score", 2).alias("avg_review"),
+                       round_half_away("low_review_on_delivered_rate", 3).alias("low_review_rate"),
+                       round_half_away("avg_customer_seller_distance_km", 0).alias("avg_dist_km"),
                        F.col("distinct_shipping_states_30d").alias("states_30d")))
 
 
@@ -67,8 +61,8 @@ def feature_store_summary(fct: DataFrame) -> DataFrame:
         F.count_distinct("snapshot_date").alias("snapshots"),
         F.min("snapshot_date").alias("first_snapshot"),
         F.max("snapshot_date").alias("last_snapshot"),
-        round_half_up(F.avg("cancel_rate_lifetime"), 4).alias("avg_cancel_rate"),
-        round_half_up(F.avg("low_review_on_delivered_rate"), 4).alias("avg_low_review_rate"),
+        round_half_away(F.avg("cancel_rate_lifetime"), 4).alias("avg_cancel_rate"),
+        round_half_away(F.avg("low_review_on_delivered_rate"), 4).alias("avg_low_review_rate"),
     )
 
 
@@ -86,9 +80,9 @@ def orders_overview(stg_orders: DataFrame) -> DataFrame:
                 "first_order_ts", "last_order_ts"))
 
 
-def risk_distribution(fct: DataFrame, min_orders: int = 1) -> DataFrame:
+def risk_distribution(latest: DataFrame, min_orders: int = 1) -> DataFrame:
     """Cancel rate, low-review rate and order count per customer at the latest snapshot."""
-    return (latest_snapshot(fct).where(F.col("total_orders_lifetime") >= min_orders)
+    return (latest.where(F.col("total_orders_lifetime") >= min_orders)
             .select("cancel_rate_lifetime", "low_review_on_delivered_rate", "total_orders_lifetime"))
 
 

@@ -30,7 +30,7 @@ def event_feature_set() -> list[Feature]:
     ]
 
 
-def event_features(events: DataFrame, lead: str = "1 day", form: str = "scale") -> DataFrame:
+def event_features(events: DataFrame, lead: str = "1 day", distinct: str = "coverage") -> DataFrame:
     facts = events.select("event_id", "user_id", "ts", "event_type", "value")
     return point_in_time_features(facts, "user_id", "ts", event_feature_set(), unit="day",
-                                  lead=lead, form=form).select(*EVENT_COLUMNS)
+                                  lead=lead, distinct=distinct).select(*EVENT_COLUMNS)

@@ -106,7 +106,7 @@ FEATURE_COLUMNS = [
 
 
 def fct_customer_return_risk_features(enriched: DataFrame, lead: str = "1 month",
-                                      form: str = "scale") -> DataFrame:
+                                      distinct: str = "explode", snapshots: str = "all") -> DataFrame:
     """Point-in-time features per ``(customer_unique_id, snapshot_date)`` on a
     monthly spine.  ``lead`` is the eligibility look-ahead (``"0 days"`` gives
     the stricter documented rule)."""
@@ -117,14 +117,4 @@ def fct_customer_return_risk_features(enriched: DataFrame, lead: str = "1 month"
     facts = enriched.select(*cols)
     return point_in_time_features(facts, "customer_unique_id", "order_purchase_ts",
                                   return_risk_features(), unit="month", lead=lead,
-                                  form=form).select(*FEATURE_COLUMNS)
-
-
-def build_gold(silver: dict[str, DataFrame], raw: dict[str, DataFrame],
-               lead: str = "1 month") -> dict[str, DataFrame]:
-    enriched = int_orders_enriched(silver["stg_orders"], silver["stg_order_payments"],
-                                   silver["stg_order_reviews"], silver["stg_order_items"],
-                                   silver["stg_customers"], silver["stg_geolocation"],
-                                   raw["sellers"])
-    return {"int_orders_enriched": enriched,
-            "fct_customer_return_risk_features": fct_customer_return_risk_features(enriched, lead)}
+                                  distinct=distinct, snapshots=snapshots).select(*FEATURE_COLUMNS)

@@ -62,17 +62,15 @@ def _fct(spark, sf_dir):
     return fct_customer_return_risk_features(enriched)
 
 
-def _fct_table(spark, sf_dir):
-    """The feature table written once to the staging folder and read back, so
-    the serving queries that scan it twice (latest snapshot, then its rows) do
-    not compute it twice."""
-    from vantage.plans.pipeline import stage, staging_root
-    return stage(_fct(spark, sf_dir), staging_root(spark), "gold", "fct_customer_return_risk_features")
+def _latest(spark, sf_dir):
+    """Feature rows of the latest snapshot only."""
+    _, _, enriched = layers(spark, sf_dir)
+    return fct_customer_return_risk_features(enriched, snapshots="latest")
 
 
-def _events(spark, sf_dir, spread: bool = False):
+def _events(spark, sf_dir):
     from vantage.sources.tpch import read_tpch
-    return read_tpch(spark, sf_dir, "events", spread=spread)
+    return read_tpch(spark, sf_dir, "events")
 
 
 def _scratch(spark, name: str) -> str:
@@ -184,22 +182,22 @@ def customer_seller_distance(spark, sf_dir):
 @register("order_velocity")
 def order_velocity_q(spark, sf_dir):
     from vantage.plans.extended import order_velocity
-    _, _, enriched = layers(spark, sf_dir)
-    return order_velocity(enriched).select("order_id", "customer_unique_id", "order_purchase_ts",
+    _, silver, enriched = layers(spark, sf_dir)
+    return order_velocity(enriched, silver["stg_orders"]).select("order_id", "customer_unique_id", "order_purchase_ts",
                                            "hours_since_prev_order", "velocity_kmh")
 
 
 @register("pit_customer_features_extended", nullable_ints=("days_since_last_order",))
 def pit_customer_features_extended(spark, sf_dir):
     from vantage.plans.extended import fct_extended_features
-    _, _, enriched = layers(spark, sf_dir)
-    return fct_extended_features(enriched)
+    _, silver, enriched = layers(spark, sf_dir)
+    return fct_extended_features(enriched, orders=silver["stg_orders"])
 
 
 @register("pit_event_features", nullable_ints=("days_since_first_event", "days_since_last_event"))
 def pit_event_features(spark, sf_dir):
     from vantage.plans.events import event_features
-    return event_features(_events(spark, sf_dir, spread=True))
+    return event_features(_events(spark, sf_dir))
 
 
 @register("payment_risk")
@@ -265,19 +263,19 @@ def low_review_on_delivered_q(spark, sf_dir):
 @register("top_risky_customers")
 def top_risky_customers_q(spark, sf_dir):
     from vantage.plans.analytics import top_risky_customers
-    return top_risky_customers(_fct_table(spark, sf_dir), limit=50)
+    return top_risky_customers(_latest(spark, sf_dir), limit=50)
 
 
 @register("risk_distribution")
 def risk_distribution_q(spark, sf_dir):
     from vantage.plans.analytics import risk_distribution
-    return risk_distribution(_fct_table(spark, sf_dir))
+    return risk_distribution(_latest(spark, sf_dir))
 
 
 @register("feature_store_summary")
 def feature_store_summary_q(spark, sf_dir):
     from vantage.plans.analytics import feature_store_summary
-    return feature_store_summary(_fct_table(spark, sf_dir))
+    return feature_store_summary(_fct(spark, sf_dir))
 
 
 @register("orders_overview")

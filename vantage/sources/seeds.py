@@ -1,8 +1,7 @@
 """Seeds: three small versioned reference tables.
 
 They can be read from their CSV files (``read_seed``) or built from the fixed
-values (``seed_frame``); either way the row count is known and tiny, so joins
-against them broadcast with a proven bound.
+values (``seed_frame``); either frame can be given to the lookups.
 """
 
 from __future__ import annotations
@@ -38,11 +37,6 @@ SEED_ROWS = {
 }
 
 
-def seed_rows(name: str) -> int:
-    """Static row bound of a seed (used to justify broadcasting it)."""
-    return len(SEED_ROWS[name])
-
-
 def seed_frame(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame(list(SEED_ROWS[name]), SEED_SCHEMAS[name])
 

@@ -6,7 +6,9 @@ driver tables; nothing is synthesised, so the work grows with the tables.
 The mapping is mirrored line by line in ``oracle_sql.py``.
 
 Roles:
-  order / customer / purchase time    o_orderkey / o_custkey / o_orderdate
+  order / customer                    o_orderkey / o_custkey; two custkeys share an identity
+  purchase time                       o_orderdate, plus o_orderkey % 24 hours unless o_orderkey % 3 = 0
+  repeated orders                     o_orderkey % 50 = 0 once more, two days later, not approved
   status                              F -> canceled, O -> delivered, P -> processing
   approved at                         o_orderdate + 1 day, NULL for priority 5-LOW
   delivered at                        o_orderdate + 7 days when delivered
@@ -15,11 +17,12 @@ Roles:
                                       value l_extendedprice, installments l_linenumber
   review                              lineitem rows of orders with o_orderkey % 7 <> 0,
                                       score 1 + (l_orderkey + l_linenumber) % 5,
-                                      created on l_shipdate (several per order)
+                                      created on l_shipdate (several per order); o_orderkey % 97 = 0
+                                      gives reviews of orders that do not exist
   state / zip                         nation key, zero padded to 2 / 5 characters
   coordinates                         one point per customer and supplier around
                                       the nation's anchor (n*2.5-30, n*7-84)
-  product category                    p_type, translated by a fixed table
+  product category                    p_type, translated by a fixed table; one has no prior
 """
 
 from __future__ import annotations
@@ -36,53 +39,12 @@ STATUS_OF = [("F", "canceled"), ("O", "delivered"), ("P", "processing")]
 PAYMENT_TYPE_OF = [("A", "credit_card"), ("N", "boleto"), ("R", "voucher")]
 CATEGORY_OF = [("ECONOMY", "housewares"), ("LARGE", "furniture_decor"),
                ("MEDIUM", "sports_leisure"), ("PROMO", "toys"),
-               ("SMALL", "electronics"), ("STANDARD", "health_beauty")]
-
-
-_SCHEMAS: dict[str, object] = {}
-_SPLITS: dict[str, int] = {}
-
-# tables below this many rows are not worth spreading
-SPREAD_MIN_ROWS = 50_000
-
-
-def read_tpch(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Parquet scan of one driver table.
-
-    The schema is inferred once per path and then passed explicitly, so
-    repeated reads start no footer-reading job.
-
-    ``spread``: for consumers that fuse heavy per-row work into the scan stage
-    (the daily-spine panel explodes each event ~30x before its partial
-    aggregate).  A file laid out in fewer row groups than the cluster has cores
-    (the driver tables are one row group each) is scanned by that many tasks
-    only, so it is spread round-robin over all cores first.  Inputs that arrive
-    in many splits, as any large table does, are read as they are.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        schema = _SCHEMAS[path] = spark.read.parquet(path).schema
-    df = spark.read.schema(schema).parquet(path)
-    if not spread:
-        return df
-    if path not in _SPLITS:
-        _SPLITS[path] = _row_groups(path)
-    from vantage.session import default_parallelism
-    cores = default_parallelism(spark)
-    if _SPLITS[path] < cores:
-        df = df.repartition(cores)
-    return df
-
-
-def _row_groups(path: str) -> int:
-    """Row groups of a local Parquet file; unknown layouts count as wide."""
-    try:
-        import pyarrow.parquet as pq
-        meta = pq.ParquetFile(path).metadata
-    except Exception:  # noqa: BLE001 - remote or unreadable: leave the scan alone
-        return 1 << 30
-    return 1 << 30 if meta.num_rows < SPREAD_MIN_ROWS else meta.num_row_groups
+               ("SMALL", "electronics"), ("STANDARD", "no_known_prior")]
+
+
+def read_tpch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan of one driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _case(col: str, pairs) -> F.Column:
@@ -102,14 +64,20 @@ def _state(col: str) -> F.Column:
 
 def raw_orders(spark, sf_dir) -> DataFrame:
     o = read_tpch(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    hours = F.when(key % 3 == 0, F.lit(0)).otherwise(key % 24).cast("int")
+    copies = F.when(key % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    o = o.select("*", hours.alias("hours"), F.explode(copies).alias("copy"))
+
     def days(n):
         return F.expr(f"INTERVAL {n} DAYS")
     return o.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         _case("o_orderstatus", STATUS_OF).alias("order_status"),
-        F.col("o_orderdate").alias("order_purchase_timestamp"),
-        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate") + days(1)).alias("order_approved_at"),
+        (F.col("o_orderdate") + F.expr("make_dt_interval(copy * 2, hours)")).alias("order_purchase_timestamp"),
+        F.when((F.col("copy") == 0) & (F.col("o_orderpriority") != "5-LOW"),
+               F.col("o_orderdate") + days(1)).alias("order_approved_at"),
         F.when(F.col("o_orderstatus") == "O", F.col("o_orderdate") + days(3)).alias("order_delivered_carrier_date"),
         F.when(F.col("o_orderstatus") == "O", F.col("o_orderdate") + days(7)).alias("order_delivered_customer_date"),
         (F.col("o_orderdate") + days(14)).alias("order_estimated_delivery_date"),
@@ -120,7 +88,7 @@ def raw_customers(spark, sf_dir) -> DataFrame:
     c = read_tpch(spark, sf_dir, "customer")
     return c.select(
         F.col("c_custkey").alias("customer_id"),
-        F.col("c_custkey").alias("customer_unique_id"),
+        F.expr("(c_custkey + 1) div 2").alias("customer_unique_id"),
         _zip("c_nationkey").alias("customer_zip_code_prefix"),
         F.col("c_mktsegment").alias("customer_city"),
         _state("c_nationkey").alias("customer_state"),
@@ -157,7 +125,8 @@ def raw_order_reviews(spark, sf_dir) -> DataFrame:
               .select(
                   F.concat_ws("-", F.col("l_orderkey").cast("string"),
                               F.col("l_linenumber").cast("string")).alias("review_id"),
-                  F.col("l_orderkey").alias("order_id"),
+                  F.when(F.col("l_orderkey") % 97 == 0, -F.col("l_orderkey"))
+                  .otherwise(F.col("l_orderkey")).alias("order_id"),
                   (F.lit(1) + (F.col("l_orderkey") + F.col("l_linenumber")) % 5).cast("int").alias("review_score"),
                   F.lit(None).cast("string").alias("review_comment_title"),
                   F.col("l_linestatus").alias("review_comment_message"),

@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from vantage.sources.raw import SCHEMAS, load_stamp
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"'}
+# quoted line breaks need ``multiLine`` through ``options``: it makes a file one task
+CSV_OPTIONS = {"header": "true", "escape": '"'}
 
 
 def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, sink: str,
@@ -28,7 +29,7 @@ def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, si
     """Process the files that arrived in ``landing`` since the last run and
     append them (with provenance columns) to the Parquet folder ``sink``.
 
-    Returns the progress of the run's batches (input rows per batch).
+    Returns the rows that the run committed to the sink.
     """
     stamp = loaded_at or load_stamp()
     reader = spark.readStream.schema(schema).format(fmt)
@@ -43,8 +44,15 @@ def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, si
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    rows = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
-    return {"batches": len(q.recentProgress), "input_rows": rows}
+    return {"input_rows": committed_rows(spark, sink, stamp)}
+
+
+def committed_rows(spark: SparkSession, sink: str, stamp: str) -> int:
+    """Rows of one run in the sink, as its metadata log commits them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sink}/_spark_metadata/0")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return 0
+    return spark.read.parquet(sink).where(F.col("_loaded_at") == stamp).count()
 
 
 def land_csv(df: DataFrame, landing: str) -> None:
