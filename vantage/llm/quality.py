@@ -1,16 +1,17 @@
 """Quality classifier: subword embeddings averaged over a document, softmax output.
 
 Features of a document, in order of its white-space separated words: the word, its
-character n-grams (with word boundaries), and the word pair with its predecessor;
-a word that repeats its predecessor gives the pair feature "=" whatever the word.
+character n-grams (over UTF-8 bytes, with word boundaries), and the word pair with its
+predecessor; a word that repeats its predecessor gives the pair feature "=" whatever
+the word.
 Every feature is hashed to a bucket with a learned vector; the document is the mean of
 its words' vectors, a word the mean of its features'.  A softmax layer scores the two
 labels; both layers are trained by mini-batch gradient descent in numpy on a sample of
 at most ``per_class`` labelled documents of each label (whole texts, outside the held-out
 fifth).
 
-After training both layers collapse to one number a bucket, so a task scores a document by
-adding the remembered numbers of its words.
+After training both layers collapse to one number a bucket, so a task scores its documents by
+adding up the numbers of their features, all words of a piece of the column at once.
 
 Cases: null and empty texts have no features and get the bias alone; very long texts are
 scored whole; without labels of both kinds the score is the share of label 1 (0.5 if there
@@ -24,12 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vantage.llm.common import MEMO_WORDS, map_arrow, slices
+from vantage.llm.common import Words, map_arrow, slices
 from vantage.llm.labelled import held_out, labelled_sample
 
 BUCKETS = 1 << 14
@@ -37,41 +37,91 @@ PER_CLASS = 2500
 DIM = 8
 
 
-def _bucket(feature: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(feature) % BUCKETS
-
-
-SAME = _bucket(b"=")
-
-
-def word_features(word: bytes) -> list[int]:
-    """Buckets of a word and of its character 3- and 4-grams."""
-    text = "<" + word.decode() + ">"
-    grams = [text[i:i + n].encode() for n in (3, 4) for i in range(len(text) - n + 1)]
-    return [_bucket(b"w" + word), *(_bucket(b"c" + g) for g in grams[:64])]
-
-
-def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, weights) of a document; the weights add up to 1 over its words and pairs."""
-    words = (text or "").encode().split()
-    total = np.zeros(BUCKETS)
-    seen: dict[bytes, int] = {}
-    for w in words:
-        seen[w] = seen.get(w, 0) + 1
-    for w, n in seen.items():
-        f = word_features(w)
-        np.add.at(total, f, n / len(f))
-    pairs: dict[bytes, int] = {}
-    for a, b in zip(words, words[1:]):
-        p = b"=" if a == b else b"p" + a + b" " + b
-        pairs[p] = pairs.get(p, 0) + 1
-    for p, n in pairs.items():
-        total[_bucket(p)] += n
-    at = np.flatnonzero(total)
-    return at.astype(np.int32), (total[at] / max(1, 2 * len(words) - 1)).astype(np.float32)
-
-
-def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 12, batch: int = 64,
+#: lengths of the character n-grams
+GRAMS = (3, 4)
+#: bytes of text worked on at once
+PART = 1 << 20
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _bucket(code: np.ndarray, kind: int) -> np.ndarray:
+    """Buckets of feature codes, different ones for each kind of feature."""
+    with np.errstate(over="ignore"):
+        mixed = (code ^ np.uint64(kind) * np.uint64(0xD1B54A32D192ED03)) * _ODD
+    return (mixed >> np.uint64(64 - 14)).astype(np.int64)
+
+
+SAME = int(_bucket(np.zeros(1, np.uint64), 9)[0])
+
+
+class Features:
+    """Bucketed features of a column of texts, flat: of words, of n-grams, of pairs."""
+
+    def __init__(self, column: pa.Array):
+        self.words = w = Words(column)
+        n = len(w.hash)
+        self.word = _bucket(w.hash, 0)
+        # words between boundary signs, one after another
+        size = w.size + 2 if n else np.zeros(0, np.int64)
+        begin = np.cumsum(size) - size
+        flat = np.zeros(int(size.sum()), np.uint64)
+        if n:
+            owner = np.repeat(np.arange(n), w.size)
+            flat[np.arange(len(w.letters)) + 2 * owner + 1] = w.letters
+            flat[begin], flat[begin + size - 1] = 2, 3
+        self.grams, self.begin, self.count = [], begin, np.ones(n)
+        for g in GRAMS:
+            code = flat.copy()
+            for i in range(1, g):
+                code[:len(flat) - i] |= flat[i:] << np.uint64(8 * i)
+            inside = np.ones(len(flat), bool)
+            for i in range(1, min(g, len(flat) + 1)):  # those that would cross a word's end
+                cross = begin + size - i
+                inside[cross[cross >= begin]] = False
+            self.grams.append((_bucket(code, g), inside))
+            self.count += np.maximum(size - g + 1, 0)
+        second = np.ones(n, bool)
+        second[w.first[:-1][w.first[:-1] < n]] = False
+        self.second = np.flatnonzero(second)  # words with a predecessor in their text
+        a, b = w.hash[self.second - 1], w.hash[self.second]
+        with np.errstate(over="ignore"):
+            self.pair = np.where(a == b, SAME, _bucket(a * np.uint64(3) + b, 1))
+
+    def by_text(self, values: np.ndarray) -> np.ndarray:
+        """Sums of one value a word over each text."""
+        total = np.r_[0.0, np.cumsum(values)]
+        return total[self.words.first[1:]] - total[self.words.first[:-1]]
+
+    def parts(self) -> np.ndarray:
+        """Words and pairs of each text."""
+        return np.maximum(2 * np.diff(self.words.first) - 1, 1)
+
+    def scores(self, odds: np.ndarray) -> np.ndarray:
+        value = odds[self.word].copy()
+        for bucket, inside in self.grams:
+            if len(value):
+                value += np.add.reduceat(np.where(inside, odds[bucket], 0.0), self.begin)
+        value /= self.count
+        value[self.second] += odds[self.pair]
+        return self.by_text(value) / self.parts()
+
+    def weights(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(buckets, weights) of each text; the weights add up to 1."""
+        n, first = len(self.words.hash), self.words.first
+        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        owner = np.repeat(np.arange(n), self.words.size + 2) if n else np.zeros(0, np.int64)
+        each = 1 / self.count
+        at, weight = [text * BUCKETS + self.word, text[self.second] * BUCKETS + self.pair], [each, np.ones(len(self.pair))]
+        for bucket, inside in self.grams:
+            at.append(text[owner[inside]] * BUCKETS + bucket[inside])
+            weight.append(each[owner[inside]])
+        keys, where = np.unique(np.concatenate(at), return_inverse=True)
+        total = np.bincount(where, np.concatenate(weight), len(keys)) / self.parts()[keys // BUCKETS]
+        cut = np.searchsorted(keys, np.arange(len(first)) * BUCKETS)
+        return [((keys[a:b] % BUCKETS).astype(np.int32), total[a:b].astype(np.float32)) for a, b in zip(cut, cut[1:])]
+
+
+def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 8, batch: int = 64,
           rate: float = 0.2, seed: int = 7) -> tuple[np.ndarray, float]:
     """(number a bucket, bias): the log odds of label 1 that both layers come to.  The labels
     are weighted to the shares that they have in ``labels``."""
@@ -105,41 +155,13 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
     return odds, float(bias[1] - bias[0])
 
 
-class Scorer:
-    """Scores texts; remembers the number of every frequent word."""
-
-    def __init__(self, odds: np.ndarray, bias: float):
-        self.odds, self.bias = odds, bias
-        self.words: dict[bytes, float] = {}
-
-    def _word(self, w: bytes) -> float:
-        if len(self.words) >= MEMO_WORDS:
-            self.words.clear()
-        value = self.words[w] = float(self.odds[word_features(w)].mean())
-        return value
-
-    def score(self, text: str | None) -> float:
-        words = (text or "").encode().split()
-        if words:
-            get, make = self.words.get, self._word
-            total = sum([v if (v := get(w)) is not None else make(w) for w in words])
-            digest, odds, same = xxhash.xxh3_64_intdigest, self.odds, self.odds[SAME]
-            pair = [-1 if a == b else digest(b"p" + a + b" " + b) for a, b in zip(words, words[1:])]
-            at = np.array([p % BUCKETS for p in pair if p >= 0], np.int64)
-            total += odds[at].sum() + same * (len(pair) - len(at))
-            z = total / (2 * len(words) - 1) + self.bias
-        else:
-            z = self.bias
-        return float(1 / (1 + np.exp(-z)))
-
-
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
         text_col: str = "text", per_class: int = PER_CLASS) -> tuple[np.ndarray, float]:
     """Learn from the sample; only its bucket weights (at most 2 * ``per_class`` documents)
     reach the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            got = [document_features(t) for t in batch.column(0).to_pylist()]
+        for batch in slices(batches, "text", PART):
+            got = Features(batch.column(0)).weights()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array([a.tobytes() for a, _ in got], pa.binary()),
                  pa.array([w.tobytes() for _, w in got], pa.binary()), batch.column(2)], ["label", "at", "weight", "id"])
@@ -159,17 +181,14 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
           keep: float = 0.3, carry: tuple[str, ...] = ()) -> DataFrame:
     """id, held_out, score (of label 1), predicted (score >= ``keep``), and ``carry`` as it is."""
     odds, bias = model
-    odds = odds.astype(np.float32)
-
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                       *(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)))
     schema = T.StructType([f for f in src.schema.fields if f.name != "text"]).add("score", "double")
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(odds.astype(float), bias)
-        for batch in batches:
-            scores = [scorer.score(t.as_py()) for t in batch.column(1)]
+        for batch in slices(batches, "text", PART):
+            scores = 1 / (1 + np.exp(-Features(batch.column(1)).scores(odds) - bias))
             yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(scores, pa.float64())], names)
 
     scored = map_arrow(src, run, schema)
