@@ -604,11 +604,35 @@ owm AS (
     parts = " UNION ALL ".join(_dq_sql(c, table_sql)
                                for c in bronze_suite() + silver_suite() + gold_suite() + seed_suite())
     q["dq_report"] = everything + canon("check_name", "table_name", "kind", "severity", "failures:l",
-                                        "status") + f"""
+                                        "status", "message") + f"""
         FROM (SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'error' THEN 'error'
-                             ELSE 'warn' END AS status
+                             ELSE 'warn' END AS status,
+                     CASE WHEN failures > 0 THEN 'got ' || failures || ' failing rows' END AS message
               FROM ({parts}) r) x"""
 
+    silver_checks = " UNION ALL ".join(_dq_sql(c, table_sql) for c in bronze_suite() + silver_suite())
+    q["gate_verdict"] = base + f"""
+        SELECT check_name, table_name, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'error' THEN 'error'
+                                            ELSE 'warn' END AS status,
+               CASE WHEN failures > 0 THEN 'got ' || failures || ' failing rows' ELSE '' END AS message,
+               true AS timed, failures > 0 AS stops
+        FROM ({silver_checks})"""
+    q["partition_audit"] = with_ctes(RAW, owm) + """
+        SELECT partition_month, count(*) AS row_count, true AS has_files FROM owm
+        WHERE partition_month <> '1995-03' OR order_status = 'canceled' GROUP BY ALL"""
+    stamp = "'2026-01-01T00:00:00+00:00' AS _loaded_at, 'part' AS _source_file"
+    text = lambda c: f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}"
+    q["csv_load"] = with_ctes(RAW) + f"""
+        SELECT order_id::VARCHAR AS order_id, customer_id::VARCHAR AS customer_id, order_status,
+               {text('order_purchase_timestamp')}, {text('order_approved_at')}, {text('order_delivered_carrier_date')},
+               {text('order_delivered_customer_date')}, {text('order_estimated_delivery_date')}, {stamp}
+        FROM raw_orders"""
+    q["csv_load_reviews"] = with_ctes(RAW) + f"""
+        SELECT review_id, order_id::VARCHAR AS order_id, review_score::BIGINT AS review_score, review_comment_title,
+               review_comment_message || chr(10) || '"' || review_id || '", again' AS review_comment_message,
+               strftime(review_creation_date, '%Y-%m-%d') AS review_creation_date, {text('review_answer_timestamp')}, {stamp}
+        FROM raw_order_reviews"""
+
     q["typed_try_cast"] = canon("event_id:l", "ts_second:ts", "props_k:n", "event_type_as_int:n",
                                 "value_as_int:n", "event_date:date") + """
         FROM (SELECT event_id,

@@ -36,6 +36,81 @@ def test_csv_multiline_zip_and_provenance(spark, scratch):
     assert audit == {"reviews": 2, "customers": 1}
 
 
+def test_csv_columns_are_bound_by_name(spark, scratch):
+    import pytest
+    root = os.path.join(scratch, "named")
+    file = SOURCES["sellers"].file
+    write(f"{root}/{file}/part-1.csv", "seller_state,extra,seller_city,seller_id,seller_zip_code_prefix\nPE,x,recife,s1,01151\n")
+    write(f"{root}/{file}/part-2.csv", "seller_state,extra,seller_city,seller_id,seller_zip_code_prefix\nSP,y,sao paulo,s2,00001\n")
+    got = read_source(spark, root, "sellers").orderBy("seller_id").collect()
+    assert [(r.seller_id, r.seller_zip_code_prefix, r.seller_city, r._source_file) for r in got] == \
+        [("s1", "01151", "recife", "part-1.csv"), ("s2", "00001", "sao paulo", "part-2.csv")]
+    write(f"{scratch}/less/{file}", "seller_id,seller_city\ns1,recife\n")
+    with pytest.raises(ValueError, match="seller_zip_code_prefix"):
+        read_source(spark, f"{scratch}/less", "sellers")
+    write(f"{scratch}/mixed/{file}/part-1.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1,a,b\n")
+    write(f"{scratch}/mixed/{file}/part-2.csv", "seller_zip_code_prefix,seller_id,seller_city,seller_state\n1,s1,a,b\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_source(spark, f"{scratch}/mixed", "sellers").collect()
+
+
+def test_csv_value_that_does_not_parse_fails(spark, scratch):
+    import pytest
+    write(f"{scratch}/bad/{SOURCES['order_payments'].file}",
+          "order_id,payment_sequential,payment_type,payment_installments,payment_value\no1,1,boleto,1,10.5\no2,1,boleto,,abc\n")
+    df = read_source(spark, f"{scratch}/bad", "order_payments")
+    assert df.where("order_id = 'o1'").first().payment_value == 10.5
+    with pytest.raises(Exception, match="order_payments.payment_value: not a double: abc"):
+        df.collect()
+
+
+def test_single_line_sources_are_split(spark, scratch):
+    file = f"{scratch}/wide/{SOURCES['orders'].file}"
+    names = SOURCES["orders"].schema.fieldNames()
+    write(file, ",".join(names) + "\n" + "\n".join(",".join([f"o{i}", *["x" * 40] * (len(names) - 1)]) for i in range(20000)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        df = read_source(spark, f"{scratch}/wide", "orders")
+        assert df.rdd.getNumPartitions() > 4 and df.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_replace_table(spark):
+    from vantage.sinks.write import replace_table
+    try:
+        for n in (5, 3):
+            name = replace_table(spark.range(n), "vantage_test_schema", "t")
+        assert spark.table(name).count() == 3
+    finally:
+        spark.sql("DROP SCHEMA IF EXISTS vantage_test_schema CASCADE")
+
+
+def test_month_write_replaces_all_or_its_months(spark, scratch):
+    from vantage.sinks.write import write_month_partitioned
+    path = os.path.join(scratch, "months")
+    df = spark.createDataFrame([(1, "2017-01"), (2, "2017-02")], "v int, partition_month string")
+    write_month_partitioned(df, path)
+    write_month_partitioned(df.where("v = 2").withColumn("v", F.lit(9)), path, replace="months")
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 9]
+    write_month_partitioned(df.where("v = 2"), path)
+    assert [r.v for r in spark.read.parquet(path).collect()] == [2]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static").lower() == "static"
+
+
+def test_seeds_from_files_reach_the_lookups(spark, scratch):
+    from vantage.plans.extended import payment_risk, score_tiers
+    from vantage.sources.seeds import read_seed
+    write(f"{scratch}/payment_method_risk.csv", 'payment_type,base_risk_score,rationale\nboleto,0.9,"edited, by hand"\n')
+    write(f"{scratch}/risk_thresholds.csv", "tier,lower_bound_inclusive,upper_bound_exclusive,action\nall,0.0,2.0,look\n")
+    orders = spark.createDataFrame([("o1", "boleto"), ("o2", "voucher")], "order_id string, primary_payment_type string")
+    got = payment_risk(orders, read_seed(spark, scratch, "payment_method_risk"))
+    assert {r.order_id: r.payment_method_risk_score for r in got.collect()} == {"o1": 0.9, "o2": None}
+    scored = spark.createDataFrame([(0.4,), (1.9,)], "s double")
+    assert {r.action for r in score_tiers(scored, "s", read_seed(spark, scratch, "risk_thresholds")).collect()} == {"look"}
+
+
 def test_load_raw_fails_fast(spark, scratch):
     import pytest
     with pytest.raises(FileNotFoundError):
@@ -78,7 +153,10 @@ def test_catalog_register_and_event_type(spark, scratch):
     df.write.partitionBy("part").parquet(path)
     name = register_table(spark, "vantage_test_tbl", path)
     assert spark.table(name).count() == 5
-    assert "default" in [r.table_schema for r in list_schemas(spark).collect()]
+    spark.sql("CREATE SCHEMA IF NOT EXISTS vantage_empty")
+    held = [r.table_schema for r in list_schemas(spark).collect()]
+    spark.sql("DROP SCHEMA vantage_empty")
+    assert "default" in held and "vantage_empty" not in held
     spark.sql(f"DROP TABLE {name}")
     got = spark.createDataFrame([("olist_orders_dataset.csv",), ("product_category_name_translation.csv",)], "f string")
     assert [r.e for r in got.select(event_type_of(F.col("f")).alias("e")).collect()] == \

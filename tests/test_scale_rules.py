@@ -55,6 +55,51 @@ def test_skew_split_lag_equals_plain_lag(spark):
     assert got == want
 
 
+def test_hot_customer_is_dealt_out_by_bucket(spark):
+    """The exchange under the lag window is on (entity, bucket), also after a join on the entity."""
+    from vantage.plans.extended import previous_event_ts
+    rows = [(f"o{i}", "HOT" if i % 3 == 0 else f"c{i % 50}", dt.datetime(2020, 1, 1) + dt.timedelta(hours=i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "order_id string, cust string, ts timestamp_ntz")
+    customers = df.select("cust").distinct().withColumn("state", F.lit("SP"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = previous_event_ts(df.join(customers, "cust", "left"), "cust", "ts", "order_id")._jdf \
+            .queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    lines = plan.split("\n")
+    lag = next(i for i, line in enumerate(lines) if "Window [lag(ts" in line)
+    exchange = next(line for line in lines[lag:] if "Exchange" in line)
+    assert "hashpartitioning(cust" in exchange and "_bucket" in exchange
+
+
+def test_event_panel_has_one_plan_at_every_size(spark):
+    import re
+    from vantage.plans.queries import REGISTRY
+    shapes = set()
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        plan = REGISTRY["pit_event_features"](spark, f"/root/testdata/{sf}")._jdf.queryExecution().optimizedPlan().toString()
+        shapes.add(tuple(re.findall(r"^[\s:+-]*([A-Z]\w+)", plan, re.M)))
+    assert len(shapes) == 1
+
+
+def test_run_stops_at_a_failed_silver_check(spark, scratch, monkeypatch):
+    from vantage.operators.quality import QualityGateError
+    from vantage.plans import pipeline
+    from vantage.sources.tpch import raw_from_tpch
+    raw = raw_from_tpch(spark, "/root/testdata/sf0.001")
+    plain = pipeline.build_silver
+
+    def doubled(raw):
+        out = dict(plain(raw))
+        out["stg_orders"] = out["stg_orders"].unionByName(out["stg_orders"])
+        return out
+    monkeypatch.setattr(pipeline, "build_silver", doubled)
+    with pytest.raises(QualityGateError, match="unique_stg_orders_order_id"):
+        pipeline.run_pipeline(spark, raw, root=scratch)
+
+
 def test_run_pipeline_layers_and_gate(spark, scratch):
     from vantage.operators.quality import ERROR, Check, QualityGateError, gate, run_checks
     from vantage.plans.pipeline import gold_report, run_pipeline
@@ -68,6 +113,11 @@ def test_run_pipeline_layers_and_gate(spark, scratch):
     assert rep["unique_int_orders_enriched_order_id"] == "pass"
     again = run_pipeline(spark, raw, root=scratch + "/g", layers=("gold",), previous=built)
     assert again["gold"]["fct_customer_return_risk_features"].count() == fct.count()
+    report = run_checks([Check("stg_orders", "unique", "order_id")], {
+        "stg_orders": built["silver"]["stg_orders"].unionByName(built["silver"]["stg_orders"])})
+    assert gate(report).first().status == "warn" and report.first().message.startswith("got ")
+    with pytest.raises(QualityGateError):
+        gate(report, ("error", "warn"))
     dup = built["silver"]["stg_orders"].unionByName(built["silver"]["stg_orders"].limit(1))
     with pytest.raises(QualityGateError):
         gate(run_checks([Check("t", "unique", "order_id", severity=ERROR)], {"t": dup}))

@@ -20,9 +20,6 @@ LOW_REVIEW_THRESHOLD = 2
 VELOCITY_WINDOWS_HOURS = [1, 24, 168]
 
 IMPLAUSIBLE_SPEED_KMH = 800
-
-CANCEL_AFTER_APPROVAL_HOURS = 72
-
 # risk_thresholds seed: tier, lower bound (inclusive), upper bound (exclusive), action
 RISK_TIERS = [
     ("low", 0.00, 0.30, "auto_approve"),

@@ -9,11 +9,13 @@ checks one anti join each.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vantage.operators.relational import dup_keys
 
@@ -120,7 +122,7 @@ def _row_fail(check: Check) -> Column:
 
 
 def run_checks(suite: Sequence[Check], tables: dict[str, DataFrame]) -> DataFrame:
-    """Report ``(check_name, table_name, kind, severity, failures, status)``.
+    """Report ``(check_name, table_name, kind, severity, failures, status, message)``.
 
     Row-level checks of one table share a single scan; the report has one row
     per check (bounded by the suite, not by the data).
@@ -149,19 +151,37 @@ def run_checks(suite: Sequence[Check], tables: dict[str, DataFrame]) -> DataFram
     status = (F.when(F.col("failures") == 0, "pass")
                .when(F.col("severity") == ERROR, "error").otherwise("warn"))
     return out.select("check_name", "table_name", "kind", "severity",
-                      F.col("failures").cast("long").alias("failures"), status.alias("status"))
+                      F.col("failures").cast("long").alias("failures"), status.alias("status"),
+                      F.when(F.col("failures") > 0, F.concat(F.lit("got "), F.col("failures").cast("string"),
+                                                             F.lit(" failing rows"))).alias("message"))
+
+
+def timed_report(suite: Sequence[Check], tables: dict[str, DataFrame]) -> DataFrame:
+    """The report with ``execution_time``, the seconds that the checks of a row's table
+    took together: run table by table, one row per check comes back."""
+    rows, schema = [], None
+    for table in dict.fromkeys(c.table for c in suite):
+        began = time.perf_counter()
+        report = run_checks([c for c in suite if c.table == table], tables)
+        got = report.collect()
+        took = time.perf_counter() - began
+        schema = T.StructType(report.schema.fields).add("execution_time", "double")
+        rows += [(*r, took) for r in got]
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(rows, schema)
 
 
 class QualityGateError(RuntimeError):
     pass
 
 
-def gate(report: DataFrame) -> DataFrame:
-    """Raise when any error-severity check failed; return the report otherwise.
+def gate(report: DataFrame, fail_on: Sequence[str] = ("error",)) -> DataFrame:
+    """Raise when a check failed with a status in ``fail_on`` ("error", "warn");
+    return the report otherwise.
 
     Collects the report only: one row per check, bounded by the suite size.
     """
-    failed = [r["check_name"] for r in report.where(F.col("status") == "error").select("check_name").collect()]
+    failed = [r["check_name"] for r in report.where(F.col("status").isin(*fail_on)).select("check_name").collect()]
     if failed:
         raise QualityGateError(f"quality gate failed: {', '.join(sorted(failed))}")
     return report

@@ -11,6 +11,7 @@ checkpoint folder (``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,17 +49,17 @@ def stage_all(frames: dict[str, DataFrame], root: str, layer: str, threads: int
 
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str | None = None,
-                 layers=LAYERS, lead: str = "1 month", gate_silver: bool = True,
+                 layers=LAYERS, lead: str = "1 month", fail_on: Sequence[str] = ("error", "warn"),
                  previous: dict[str, dict[str, DataFrame]] | None = None,
                  threads: int = 4, written=("silver", "gold")) -> dict[str, dict[str, DataFrame]]:
     """Build the requested layers.  ``layers=("gold",)`` rebuilds gold only from
-    the silver tables in ``previous``.  With ``gate_silver`` the silver suite
-    runs before gold and error-severity failures stop the run.  Tables of one
-    layer are written ``threads`` at a time, in dependency order across layers.
+    the silver tables in ``previous``.  The suite of a layer runs on its written
+    tables: a failed check with a status in ``fail_on`` stops the run before the
+    next layer (all checks must pass by default, whatever severity they declare;
+    ``fail_on=()`` runs no gate).  Tables of one layer are written ``threads`` at a
+    time, in dependency order across layers.
 
-    ``written``: layers materialised as tables.  Silver tables are one shuffle
-    each and cheap to recompute, so a consumer that reads each of them once
-    (a quality report) may keep silver lazy and write gold only."""
+    ``written``: layers materialised as tables."""
     root = root or staging_root(spark)
     out: dict[str, dict[str, DataFrame]] = {"bronze": raw}
     for name, df in raw.items():
@@ -71,14 +72,16 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str | Non
         out["silver"] = (previous or {}).get("silver") or build_silver(raw)
     if "gold" in layers:
         s = out["silver"]
-        if gate_silver and "silver" in layers:
-            gate(run_checks(silver_suite(), s))
+        if fail_on and "silver" in layers:
+            gate(run_checks(silver_suite(), {**raw, **s}), fail_on)
         enriched = stage(int_orders_enriched(s["stg_orders"], s["stg_order_payments"], s["stg_order_reviews"],
                                              s["stg_order_items"], s["stg_customers"], s["stg_geolocation"],
                                              raw["sellers"]), root, "gold", "int_orders_enriched")
         fct = stage(fct_customer_return_risk_features(enriched, lead), root, "gold",
                     "fct_customer_return_risk_features")
         out["gold"] = {"int_orders_enriched": enriched, "fct_customer_return_risk_features": fct}
+        if fail_on:
+            gate(run_checks(gold_suite(), {**raw, **s, **out["gold"]}), fail_on)
     return out
 
 

@@ -244,6 +244,67 @@ def partitioned_roundtrip(spark, sf_dir):
         F.count_distinct("merchant_id").alias("merchants"))
 
 
+@register("partition_audit")
+def partition_audit_q(spark, sf_dir):
+    """Rows of every month as stored, after one month was written once more."""
+    from pyspark.sql import functions as F
+    from vantage.plans.extended import orders_with_merchant
+    from vantage.sinks.write import partition_audit, write_month_partitioned
+    raw = raw_from_tpch(spark, sf_dir)
+    orders = orders_with_merchant(raw["orders"], raw["order_items"])
+    path = write_month_partitioned(orders, _scratch(spark, "orders-by-month"))
+    first = orders.where("partition_month = '1995-03' AND order_status = 'canceled'")
+    write_month_partitioned(first, path, replace="months")
+    return partition_audit(spark, path).select(
+        "partition_month", "row_count", (F.col("part_files") > 0).alias("has_files"))
+
+
+def _land_csv(spark, sf_dir) -> str:
+    """Driver orders and reviews as CSV part files: columns in another order, quoted line
+    breaks in the comments."""
+    from pyspark.sql import functions as F
+    from vantage.sources.raw import SOURCES
+    raw, root = raw_from_tpch(spark, sf_dir), _scratch(spark, "csv")
+    options = {"header": True, "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    orders = raw["orders"]
+    orders.select(*reversed(orders.columns)).write.options(**options).csv(f"{root}/{SOURCES['orders'].file}")
+    reviews = raw["order_reviews"].withColumn("review_comment_message", F.concat(
+        F.col("review_comment_message"), F.lit('\n"'), F.col("review_id"), F.lit('", again')))
+    (reviews.select(*sorted(reviews.columns)).write.options(**options)
+     .csv(f"{root}/{SOURCES['order_reviews'].file}"))
+    return root
+
+
+def _loaded(spark, sf_dir, name):
+    from pyspark.sql import functions as F
+    from vantage.sources.raw import load_raw
+    df = load_raw(spark, _land_csv(spark, sf_dir), loaded_at="2026-01-01T00:00:00+00:00",
+                  names=["orders", "order_reviews"])[name]
+    return df.withColumn("_source_file", F.regexp_replace("_source_file", "^part-.*[.]csv$", "part"))
+
+
+@register("csv_load")
+def csv_load(spark, sf_dir):
+    return _loaded(spark, sf_dir, "orders")
+
+
+@register("csv_load_reviews")
+def csv_load_reviews(spark, sf_dir):
+    return _loaded(spark, sf_dir, "order_reviews")
+
+
+@register("gate_verdict")
+def gate_verdict(spark, sf_dir):
+    """Bronze and silver checks with message, time and whether the check stops a run."""
+    from pyspark.sql import functions as F
+    from vantage.operators.quality import timed_report
+    from vantage.plans.suites import bronze_suite, silver_suite
+    raw, silver, _ = layers(spark, sf_dir)
+    report = timed_report(bronze_suite() + silver_suite(), {**raw, **silver})
+    return report.select("check_name", "table_name", "status", F.coalesce("message", F.lit("")).alias("message"),
+                         (F.col("execution_time") > 0).alias("timed"), (F.col("failures") > 0).alias("stops"))
+
+
 # ---------------------------------------------------------- analytics
 
 @register("cancel_rate_by_state")
@@ -289,7 +350,7 @@ def _all_tables(spark, sf_dir):
     """Every layer, with silver and gold written once (see plans.pipeline)."""
     from vantage.plans.pipeline import run_pipeline
     from vantage.sources.seeds import all_seeds
-    built = run_pipeline(spark, raw_from_tpch(spark, sf_dir), gate_silver=False, written=("gold",))
+    built = run_pipeline(spark, raw_from_tpch(spark, sf_dir), fail_on=())
     return {**built, "seeds": all_seeds(spark)}
 
 
@@ -389,10 +450,11 @@ def typed_try_cast(spark, sf_dir):
 @register("nested_results")
 def nested_results(spark, sf_dir):
     from pyspark.sql import functions as F
-    from vantage.sources.results import test_rows
+    from vantage.sources.results import read_test_results
     ev = _events(spark, sf_dir)
     k = F.get_json_object("props", "$.k")
     flat = ev.select(
+        "event_id",
         F.concat(F.when(F.col("event_type").isin("error", "click"), F.lit("test.")).otherwise(F.lit("model.")),
                  F.lit("vantage."), F.col("event_type"), F.lit("_"), F.col("event_id").cast("string"))
         .alias("unique_id"),
@@ -400,7 +462,12 @@ def nested_results(spark, sf_dir):
         F.col("value").alias("execution_time"),
         F.when(k.try_cast("int") % 3 != 0, F.concat(F.lit("k="), k)).alias("message"),
     )
-    return test_rows(flat)
+    # documents of up to 100 results, as JSON text, then read and exploded
+    path = _scratch(spark, "results")
+    (flat.groupBy(F.expr("event_id div 100").alias("document"))
+         .agg(F.collect_list(F.struct("unique_id", "status", "execution_time", "message")).alias("results"))
+         .select("results").write.json(path))
+    return read_test_results(spark, path, multi_line=False)
 
 
 # ------------------------------------------------------------ streaming

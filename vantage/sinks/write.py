@@ -1,5 +1,4 @@
-"""Sinks: table replace, month-partitioned Parquet, partition audit and
-per-layer materialisation."""
+"""Sinks: table replace, month-partitioned Parquet, partition audit."""
 
 from __future__ import annotations
 
@@ -17,7 +16,7 @@ def replace_table(df: DataFrame, schema: str, table: str, fmt: str = "parquet")
 
 
 def write_month_partitioned(df: DataFrame, path: str, part_col: str = "partition_month",
-                            max_records_per_file: int | None = None) -> str:
+                            max_records_per_file: int | None = None, replace: str = "all") -> str:
     """Hive-style ``part_col=YYYY-MM`` Parquet, overwrite.
 
     Rows are clustered by the partition column with a ``rebalance`` hint: AQE
@@ -25,21 +24,18 @@ def write_month_partitioned(df: DataFrame, path: str, part_col: str = "partition
     over several tasks and coalesces small ones.  Each month becomes a few
     well-sized files: no small-file explosion, and no single task holding a
     whole month (a plain ``repartition(month)`` would put a month of a 100 TB
-    table in one task).  The partition value leaves the files.  Only the
-    months present in ``df`` are replaced (dynamic partition overwrite), so
-    re-loading one month is idempotent and a retried task rewrites only its
-    own files.
+    table in one task).  The partition value leaves the files.
+
+    ``replace``: "all" (the table becomes ``df``) or "months" (only those present
+    in ``df`` are replaced, so re-loading one month is idempotent).  The mode is an
+    option of this write; the session's setting stays as it is.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        w = df.hint("rebalance", part_col).write.mode("overwrite").partitionBy(part_col)
-        if max_records_per_file:
-            w = w.option("maxRecordsPerFile", max_records_per_file)
-        w.parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    mode = {"all": "static", "months": "dynamic"}[replace]
+    w = (df.hint("rebalance", part_col).write.mode("overwrite").partitionBy(part_col)
+         .option("partitionOverwriteMode", mode))
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    w.parquet(path)
     return path
 
 
@@ -49,22 +45,3 @@ def partition_audit(spark: SparkSession, path: str, part_col: str = "partition_m
     return (df.groupBy(part_col)
               .agg(F.count_distinct(F.col("_metadata.file_path")).alias("part_files"),
                    F.count(F.lit(1)).alias("row_count")))
-
-
-def materialize(df: DataFrame, layer: str, name: str, root: str | None = None) -> DataFrame:
-    """Bronze: lazy temp view.  Silver/gold: written once (Parquet under ``root``
-    or a managed table) and read back, which also cuts the lineage."""
-    spark = df.sparkSession
-    view = f"{layer}_{name}"
-    if layer == "bronze":
-        df.createOrReplaceTempView(view)
-        return df
-    if root:
-        path = f"{root.rstrip('/')}/{layer}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        out = spark.read.parquet(path)
-    else:
-        table = replace_table(df, layer, name)
-        out = spark.table(table)
-    out.createOrReplaceTempView(view)
-    return out

@@ -15,16 +15,15 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     """
     spark.catalog.createTable(name, path=path, source=fmt)
     if partitioned:
-        try:
-            spark.catalog.recoverPartitions(name)
-        except Exception:  # noqa: BLE001 - unpartitioned tables raise; nothing to recover
-            pass
+        spark.catalog.recoverPartitions(name)
     return name
 
 
 def list_schemas(spark: SparkSession) -> DataFrame:
-    """Schemas present in the catalogue, sorted."""
-    return spark.sql("SHOW SCHEMAS").select(F.col("namespace").alias("table_schema")).orderBy("table_schema")
+    """Schemas that hold tables, sorted."""
+    names = [r.namespace for r in spark.sql("SHOW SCHEMAS").collect()]  # the catalogue's own list
+    held = [(n,) for n in names if not spark.sql(f"SHOW TABLES IN `{n}`").where("NOT isTemporary").isEmpty()]
+    return spark.createDataFrame(held, "table_schema string").orderBy("table_schema")
 
 
 def query(spark: SparkSession, sql: str) -> DataFrame:

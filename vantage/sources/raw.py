@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,22 +65,48 @@ SOURCES: dict[str, SourceSpec] = {
 }
 
 
+#: sources with quoted line breaks; the option makes a file one task, so no other has it
+MULTI_LINE = frozenset({"order_reviews"})
+
+
 def read_source(spark: SparkSession, root: str, name: str, fmt: str = "csv") -> DataFrame:
-    """Scan one source under ``root`` (local path, HDFS or object store URI).
+    """Scan one source under ``root`` (local path, HDFS or object store URI): a file, or a
+    folder of part files of that name.
 
-    CSV: header, declared schema, multi-line quoted text (review comments).
+    CSV columns are bound by the names in the header, whatever their order; a missing one
+    is an error, as is a part file with another header.  Everything is read as text and
+    cast to the declared type; a value that does not parse fails the query.
     Parquet: ``root/<table>`` directory, same column names.
     """
     spec = SOURCES[name]
     base = root.rstrip("/")
-    if fmt == "csv":
-        return (spark.read.schema(spec.schema)
-                .option("header", True).option("multiLine", True).option("escape", '"')
-                .option("mode", "PERMISSIVE")
-                .csv(f"{base}/{spec.file}"))
     if fmt == "parquet":
         return spark.read.schema(spec.schema).parquet(f"{base}/{spec.table}")
-    raise ValueError(f"unsupported format {fmt!r}")
+    if fmt != "csv":
+        raise ValueError(f"unsupported format {fmt!r}")
+    path = f"{base}/{spec.file}"
+    options = {"header": "true", "escape": '"', "enforceSchema": "false", "mode": "FAILFAST",
+               "multiLine": str(name in MULTI_LINE).lower()}
+    held = spark.read.options(**options).csv(path).columns  # the header alone
+    if missing := [f for f in spec.schema.fieldNames() if f not in held]:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    text = _schema(*((c, S) for c in held))
+    raw = spark.read.schema(text).options(**options).csv(path)
+    return raw.select(*(_typed(f, name) for f in spec.schema.fields), F.col("_metadata.file_name").alias(FILE))
+
+
+#: file name of each row, carried beside the declared columns
+FILE = "_source_file"
+
+
+def _typed(field: T.StructField, source: str) -> Column:
+    """The declared type of a text column; a value that does not parse raises."""
+    value = F.col(field.name)
+    if field.dataType == S:
+        return value
+    cast = value.try_cast(field.dataType)
+    bad = F.raise_error(F.concat(F.lit(f"{source}.{field.name}: not a {field.dataType.simpleString()}: "), value))
+    return F.when(value.isNotNull() & cast.isNull(), bad.cast(field.dataType)).otherwise(cast).alias(field.name)
 
 
 def load_stamp() -> str:
@@ -91,8 +117,8 @@ def load_stamp() -> str:
 def with_provenance(df: DataFrame, loaded_at: str) -> DataFrame:
     """Append ``_loaded_at`` (the run's stamp) and ``_source_file`` (file name
     of each row, from the hidden ``_metadata`` column of file sources)."""
-    return df.select("*", F.lit(loaded_at).alias("_loaded_at"),
-                     F.col("_metadata.file_name").alias("_source_file"))
+    name = F.col(FILE) if FILE in df.columns else F.col("_metadata.file_name")
+    return df.select(*(c for c in df.columns if c != FILE), F.lit(loaded_at).alias("_loaded_at"), name.alias(FILE))
 
 
 def missing_sources(spark: SparkSession, root: str, names=None) -> list[str]:

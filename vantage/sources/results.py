@@ -36,12 +36,13 @@ def test_rows(results: DataFrame) -> DataFrame:
                     F.substring(F.coalesce(F.col("message"), F.lit("")), 1, 200).alias("message")))
 
 
-def read_test_results(spark: SparkSession, path: str) -> DataFrame:
+def read_test_results(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Read result documents under ``path``; a missing path gives an empty
-    frame with the fixed columns."""
+    frame with the fixed columns.  Documents of one line each (``multi_line=False``)
+    are read in splits; one that spans lines is a file and a task of its own."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         return spark.createDataFrame([], OUT)
-    docs = spark.read.schema(DOCUMENT).option("multiLine", True).json(path)
+    docs = spark.read.schema(DOCUMENT).option("multiLine", multi_line).json(path)
     return test_rows(docs.select(F.explode("results").alias("r")).select("r.*"))
