@@ -140,7 +140,7 @@ ORACLE_SQL: dict[str, str] = {
         firsts AS (SELECT payload_digest, min(page_id) AS first FROM hashed WHERE payload_bytes >= 100 GROUP BY 1)
         SELECT page_id, payload_bytes, payload_digest,
                CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
-               CASE WHEN first <> page_id THEN first END AS refers_to
+               CAST(CASE WHEN first <> page_id THEN first END AS DOUBLE) AS refers_to  -- as pandas holds longs with nulls
         FROM hashed LEFT JOIN firsts USING (payload_digest)
     """,
     "op4_url_filters": """
