@@ -424,6 +424,24 @@ def build() -> dict[str, str]:
     q["pit_customer_features"] = with_fct + canon(*FCT_COLS) + " FROM fct"
     q["pit_customer_features_strict"] = with_ctes(RAW, SILVER, GOLD, _fct("0 days")) + canon(*FCT_COLS) + " FROM fct"
 
+    q["pit_customer_features_review_dated"] = with_ctes(RAW, SILVER, GOLD, _fct("1 month"), """
+written AS (
+    SELECT customer_unique_id, d, avg(e.review_score) AS avg_review_score, countif(is_low_review_delivered) AS low_reviews
+    FROM int_orders_enriched AS e
+         JOIN stg_order_reviews AS r USING (order_id)
+         JOIN spine ON d >= greatest(order_purchase_ts, review_creation_date::TIMESTAMP)
+    GROUP BY ALL
+),
+dated AS (
+    SELECT f.* REPLACE (
+               w.avg_review_score AS avg_review_score,
+               CASE WHEN s.delivered > 0 THEN ifnull(w.low_reviews, 0) / s.delivered ELSE 0 END
+                   AS low_review_on_delivered_rate)
+    FROM fct AS f
+         LEFT JOIN so_far AS s ON s.customer_unique_id = f.customer_unique_id AND s.d = f.snapshot_date
+         LEFT JOIN written AS w ON w.customer_unique_id = f.customer_unique_id AND w.d = f.snapshot_date
+)""") + canon(*FCT_COLS) + " FROM dated"
+
     q["month_spine"] = with_fct + canon("snapshot_date:date") + " FROM (SELECT d AS snapshot_date FROM spine)"
     q["eligible_customer_months"] = with_fct + canon("customer_unique_id", "snapshot_date:date") + " FROM (SELECT customer_unique_id, d AS snapshot_date FROM panel)"
 

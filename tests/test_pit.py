@@ -163,6 +163,22 @@ def test_no_leakage_from_later_facts(spark):
     assert checked > 5
 
 
+def test_review_written_after_a_snapshot_leaves_it_alone(spark):
+    from vantage.plans.gold import review_dated_features
+    facts = spark.createDataFrame([order("a1", "A", "2020-01-10 00:00:00", review=1), order("a2", "A", "2020-02-10 00:00:00"),
+                                   order("a3", "A", "2020-04-15 00:00:00", review=None)], SCHEMA)
+    dates = "order_id string, review_creation_date date"
+    early = spark.createDataFrame([("a1", dt.date(2020, 3, 5)), ("a2", dt.date(2020, 1, 1))], dates)
+    late = spark.createDataFrame([("a1", dt.date(2020, 9, 5)), ("a2", dt.date(2020, 1, 1))], dates)
+    got, later = (rows_by_key(review_dated_features(facts, r)) for r in (early, late))
+    score = {k[1].month: (r.avg_review_score, r.low_review_on_delivered_rate, r.total_orders_lifetime) for k, r in got.items()}
+    assert score == {1: (None, 0.0, 0), 2: (None, 0.0, 1), 3: (5.0, 0.0, 2), 4: (3.0, 0.5, 2)}
+    assert [k for k in got if got[k] != later[k]] == [("A", dt.date(2020, 4, 1))] and got.keys() == later.keys()
+    plain = rows_by_key(fct_customer_return_risk_features(facts))
+    for k, r in got.items():
+        assert r.orders_last_30d == plain[k].orders_last_30d and r.cancel_rate_lifetime == plain[k].cancel_rate_lifetime
+
+
 def test_spine_and_pairs(spark):
     facts = spark.createDataFrame([order("a", "A", "2020-01-15 10:00:00"), order("b", "B", "2020-03-01 00:00:00"),
                                    order("n", None, "2020-02-01 00:00:00")], SCHEMA)

@@ -213,14 +213,16 @@ def latest_features(facts: DataFrame, entity: str, ts: str, features: Sequence[F
 
 def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature],
               unit: str = "month", lead: str = "1 month",
-              out: str = "snapshot_date", distinct: str = "explode") -> DataFrame:
+              out: str = "snapshot_date", distinct: str = "explode",
+              bounds: DataFrame | None = None) -> DataFrame:
     """Join-free form (see module doc).
 
     ``distinct``: ``"coverage"`` computes windowed distinct counts from merged
     per-value coverage intervals (nothing explodes, a few extra small
     shuffles), for windows of many spine steps; ``"explode"`` counts them over the
     exploded rows (Catalyst's Expand), for windows of one or two.  The caller
-    chooses; nothing switches with the data."""
+    chooses; nothing switches with the data.  ``bounds``: the spine's ends, if not those
+    of the facts."""
     if distinct not in ("explode", "coverage"):
         raise ValueError(f"unknown strategy {distinct!r}")
     lifetime = [f for f in features if f.window is None]
@@ -234,7 +236,7 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
     trailing = [f for f in features if f.window is not None and f not in sliding and f not in covered]
     windows = sorted({f.window for f in trailing})
 
-    bounds = spine_bounds(facts, ts, unit)
+    bounds = spine_bounds(facts, ts, unit) if bounds is None else bounds
     ev = (facts.where(F.col(entity).isNotNull() & F.col(ts).isNotNull())
                .crossJoin(F.broadcast(bounds)))
     t = F.col(ts).cast("timestamp_ntz")
@@ -504,10 +506,11 @@ def _empty_value(f: Feature) -> Column:
 def point_in_time_features(facts: DataFrame, entity: str, ts: str,
                            features: Sequence[Feature], unit: str = "month",
                            lead: str = "1 month", out: str = "snapshot_date",
-                           distinct: str = "explode", snapshots: str = "all") -> DataFrame:
+                           distinct: str = "explode", snapshots: str = "all",
+                           bounds: DataFrame | None = None) -> DataFrame:
     """Point-in-time panel of ``snapshots`` "all" or "latest"."""
     if snapshots == "latest":
         return latest_features(facts, entity, ts, features, unit=unit, lead=lead, out=out)
     if snapshots != "all":
         raise ValueError(f"unknown snapshots {snapshots!r}")
-    return pit_scale(facts, entity, ts, features, unit=unit, lead=lead, out=out, distinct=distinct)
+    return pit_scale(facts, entity, ts, features, unit=unit, lead=lead, out=out, distinct=distinct, bounds=bounds)

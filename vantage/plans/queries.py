@@ -55,6 +55,13 @@ def pit_customer_features_strict(spark, sf_dir):
     return fct_customer_return_risk_features(enriched, lead="0 days")
 
 
+@register("pit_customer_features_review_dated", nullable_ints=("days_since_first_order",))
+def pit_customer_features_review_dated(spark, sf_dir):
+    from vantage.plans.gold import review_dated_features
+    _, silver, enriched = layers(spark, sf_dir)
+    return review_dated_features(enriched, silver["stg_order_reviews"])
+
+
 # ---------------------------------------------------------------- helpers
 
 def _fct(spark, sf_dir):
