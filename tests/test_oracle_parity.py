@@ -9,8 +9,9 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_all_queries_match_oracle(spark):
+    import __spark_entry__ as se
     from oracle_harness import compare
-    res = compare(spark, SF)
+    res = compare(spark, SF, sorted(se.oracle_sql()))
     bad = {k: v for k, v in res.items() if not v["match"]}
     assert not bad, bad
 
