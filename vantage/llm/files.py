@@ -12,8 +12,8 @@ from pyspark import TaskContext
 
 
 def _place(uri: str) -> tuple[fs.FileSystem, str]:
-    if uri.startswith("file:"):
-        uri = "file://" + uri[5:].replace("///", "/", 1) if not uri.startswith("file:///") else uri
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[5:]  # as Spark writes it
     return fs.FileSystem.from_uri(uri)
 
 
