@@ -33,7 +33,7 @@ from vantage.llm.common import Words, map_arrow, slices
 from vantage.llm.labelled import held_out, labelled_sample
 
 BUCKETS = 1 << 14
-PER_CLASS = 2500
+PER_CLASS = 1500
 DIM = 8
 
 
