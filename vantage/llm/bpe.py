@@ -25,7 +25,7 @@ import json
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -202,6 +202,8 @@ class Vocabulary:
 class Encoder:
     """Texts -> ids, with an arena of the ids of pieces met before."""
 
+    memo = MEMO_IDS
+
     def __init__(self, vocab: Vocabulary):
         self.vocab, self.names = vocab, tuple(vocab.specials)
         self._special = regex.compile("|".join(map(regex.escape, sorted(vocab.specials, key=len, reverse=True)))
@@ -209,7 +211,8 @@ class Encoder:
         self.reset()
 
     def reset(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[str, int] = {}  # pieces as they are
+        self.after: dict[str, int] = {}  # pieces behind a space, without it
         self.start = array("q", [0])
         self.ids = array("i")
 
@@ -222,49 +225,58 @@ class Encoder:
             at = m.end()
         return out + _PATTERN.findall(text[at:])
 
-    def _learn(self, new: list[str]) -> None:
-        """Enter pieces and the words that they consist of."""
+    def _learn(self, new: list[str]) -> list[int]:
+        """Places of new pieces; the words that they consist of are remembered as well."""
         specials, plan, words = self.vocab.specials, [], {}
         for piece in new:
             parts = [piece] if piece in specials else _PATTERN.findall(piece)
-            plan.append((piece, parts))
+            plan.append(parts)
             words.update((p, None) for p in parts if p not in self.index)
-        for w in words:
-            if w in specials:
-                self._enter(w, [specials[w]])
-        todo = [w for w in words if w not in specials]
-        for w, ids in zip(todo, self.vocab.encode_words([w.encode() for w in todo])):
-            self._enter(w, ids)
+        plain = [w for w in words if w not in specials]
+        known = [w for w in words if w in specials]
+        places = self._enter([[specials[w]] for w in known])
+        places += self._enter(self.vocab.encode_words([w.encode() for w in plain]))
+        self.index.update(zip(known + plain, places))
         start, ids = self.start, self.ids
-        for piece, parts in plan:
-            if piece not in self.index:
-                at = [self.index[p] for p in parts]
-                self._enter(piece, [i for k in at for i in ids[start[k]:start[k + 1]]])
-
-    def _enter(self, piece: str, ids: list[int]) -> None:
-        self.index[piece] = len(self.start) - 1
-        self.ids.extend(ids)
-        self.start.append(len(self.ids))
+        joined = []
+        for parts in plan:
+            at = [self.index[p] for p in parts]
+            joined.append([i for k in at for i in ids[start[k]:start[k + 1]]])
+        return self._enter(joined)
+
+    def _enter(self, encoded: list[list[int]]) -> list[int]:
+        first = len(self.start) - 1
+        self.start.extend((len(self.ids) + e for e in accumulate(map(len, encoded))))
+        for ids in encoded:
+            self.ids.extend(ids)
+        return list(range(first, first + len(encoded)))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each text)."""
-        if len(self.ids) > MEMO_IDS:
+        if len(self.ids) > self.memo:
             self.reset()
-        pieces, count = [], []
+        pieces, heads, count = [], [], []
         for text in texts:
             before = len(pieces)
             if text:
                 parts = cut(text, self.names)
                 if parts is None:
                     pieces += self._whole(text)
+                    heads += range(before, len(pieces))
                 else:
-                    pieces.append(parts[0])
-                    pieces += [" " + p for p in parts[1:]]
+                    heads.append(before)
+                    pieces += parts
             count.append(len(pieces) - before)
-        at = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
-        if (missing := np.flatnonzero(at < 0)).size:
-            self._learn(list(dict.fromkeys(pieces[i] for i in missing.tolist())))
-            at[missing] = [self.index[pieces[i]] for i in missing.tolist()]
+        at = np.fromiter(map(self.after.get, pieces, repeat(-1)), np.int64, len(pieces))
+        at[heads] = [self.index.get(pieces[i], -1) for i in heads]
+        head = np.zeros(len(pieces), bool)
+        head[heads] = True
+        for known, which, space in ((self.index, head, ""), (self.after, ~head, " ")):
+            missing = np.flatnonzero((at < 0) & which).tolist()
+            if missing:
+                new = list(dict.fromkeys(pieces[i] for i in missing))
+                known.update(zip(new, self._learn([space + p for p in new] if space else new)))
+                at[missing] = [known[pieces[i]] for i in missing]
         start, ids = np.array(self.start), np.array(self.ids)
         flat, ends = gather(ids, start[at], start[at + 1] - start[at])
         bounds = np.r_[0, np.cumsum(np.array(count, np.int64))]

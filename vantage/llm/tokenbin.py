@@ -35,10 +35,15 @@ from pyspark.sql import functions as F
 from vantage.llm import files
 from vantage.llm.bpe import Encoder
 from vantage.llm.common import map_arrow, scratch, slices
+from vantage.llm.pieces import cut
 
 MAGIC = b"EFTOKEN1"
+#: ASCII signs: the word pattern takes a run of them behind letters as a token run of its own
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 FOOTER = "<8sqqqqqqq"  # magic, docs, null ids, ids, id width, low bits, high words, samples
 SAMPLE = 256
+#: pieces joined to one text for the library
+JOIN = 200
 
 
 class EliasFano:
@@ -90,6 +95,8 @@ class EliasFano:
 class LibraryEncoder(Encoder):
     """The tokenizers library, asked once for every piece of text met."""
 
+    memo = 5_000_000
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -97,15 +104,64 @@ class LibraryEncoder(Encoder):
         self.lib.no_truncation()
         self.lib.no_padding()
         self.names = tuple(t.content for t in self.lib.get_added_tokens_decoder().values())
-        self.size = self.lib.get_vocab_size()
+        vocab = self.lib.get_vocab()
+        self.size = max(vocab.values()) + 1
+        self.bytes = np.zeros(self.size, np.int64)  # of each token: its characters stand for bytes
+        self.bytes[list(vocab.values())] = [len(t) for t in vocab]
         self.reset()
 
     def _whole(self, text: str) -> list[str]:
         return [text]
 
-    def _learn(self, new: list[str]) -> None:
-        for piece, got in zip(new, self.lib.encode_batch_fast(new, add_special_tokens=False)):
-            self._enter(piece, got.ids)
+    def _learn(self, new: list[str]) -> list[int]:
+        """Places of new pieces.  A word with signs behind it is the tokens of the word and
+        those of the signs, so the library is asked for either only once."""
+        plan, ask = [], {}
+        for piece in new:
+            body = piece.rstrip(SIGNS)
+            if len(body) < len(piece) and body[:1] == " " and body[1:].isalpha():
+                parts = (body, piece[len(body):])
+                ask.update((p, None) for p in parts if self._place(p) is None)
+            else:
+                parts = (piece,)
+                ask[piece] = None
+            plan.append(parts)
+        asked = list(ask)
+        for p, at in zip(asked, self._ask(asked)):
+            if p[:1] == " ":
+                self.after[p[1:]] = at
+            else:
+                self.index[p] = at
+        start, ids, joined = self.start, self.ids, []
+        for body, signs in (p for p in plan if len(p) == 2):
+            a, b = self._place(body), self._place(signs)
+            joined.append(ids[start[a]:start[a + 1]] + ids[start[b]:start[b + 1]])
+        more = iter(self._enter(joined))
+        return [next(more) if len(p) == 2 else self._place(p[0]) for p in plan]
+
+    def _ask(self, pieces: list[str]) -> list[int]:
+        """Places of pieces that the library encodes: pieces that start with a space joined
+        to texts, whose tokens are told apart by their lengths in bytes; others alone."""
+        joined = [[p for p in pieces[i:i + JOIN] if p[:1] == " "] for i in range(0, len(pieces), JOIN)]
+        joined = [j for j in joined if j and cut("".join(j), self.names)]
+        places: dict[str, int] = {}
+        for j, got in zip(joined, self.lib.encode_batch_fast(["".join(j) for j in joined], add_special_tokens=False)):
+            ids = np.array(got.ids, np.int32)
+            ends = np.cumsum([len(p.encode()) for p in j])
+            token_ends = np.cumsum(self.bytes[ids])
+            stops = np.searchsorted(token_ends, ends) + 1
+            if stops[-1] == len(ids) and (token_ends[stops - 1] == ends).all():
+                first, before = len(self.start) - 1, len(self.ids)
+                self.ids.frombytes(ids.tobytes())
+                self.start.extend((stops + before).tolist())
+                places.update(zip(j, range(first, first + len(j))))
+        alone = [p for p in pieces if p not in places]
+        encoded = self.lib.encode_batch_fast(alone, add_special_tokens=False)
+        places.update(zip(alone, self._enter([e.ids for e in encoded])))
+        return [places[p] for p in pieces]
+
+    def _place(self, piece: str) -> int | None:
+        return self.after.get(piece[1:]) if piece[:1] == " " else self.index.get(piece)
 
 
 @lru_cache(maxsize=2)
