@@ -14,10 +14,11 @@ Adaptive: each set picks its own l, from 1 to ``DEPTH``, by the estimated cost o
 candidates: a longer prefix meets more sets, but a pair must then share l shingles to be
 verified.  A pair is held to the lesser l of its two sets.
 
-Shingles that more than ``DENSE`` sets have in their prefixes make no pairs.  They connect their
-sets to clusters, and each cluster is compared by size class in chunks of ``CHUNK`` sets, each pair
-of chunks a group of its own, by multiplying their incidence matrices; a group returns an
-edge of a spanning forest for each set.  All candidates are verified on whole sets.
+Shingles that more than ``DENSE`` sets have in their prefixes make no pairs, but a star that
+connects their sets.  Candidate pairs and stars make clusters; the sets of a cluster are
+verified against each other on whole texts, by size class and in chunks of ``CHUNK`` sets, each
+pair of chunks a group of its own, by multiplying their incidence matrices.  A group
+returns an edge of a spanning forest for each set, so nothing quadratic leaves a task.
 
 Cases: null texts and texts without words have an empty set and link with nothing, also not
 with each other; texts of fewer than k words have one shingle, the whole sequence; rows
@@ -41,8 +42,9 @@ from vantage.llm.components import components, forest
 DEPTH = 6
 DENSE = 32
 CHUNK = 256
-#: part of the hash values that come first, as a multiple of 1 - t
-SLACK = 1.3
+#: part of the hash values that come first, beyond 1 - t: so much of a set can be frequent
+#: shingles before its prefix has to take some in
+SLACK = 0.08
 #: bytes of text worked on at once
 PART = 1 << 20
 _COLUMNS = 4096
@@ -130,7 +132,7 @@ def _prefixes(limit: np.uint64, num: int, den: int):
                 place[np.flatnonzero(first)[order]] = low - len(order) + np.arange(len(order))
                 least = _least(n, num, den)
                 level = np.maximum(1, place - (n - least) + 1)
-                meets = np.minimum(seen, DENSE) - 1
+                meets = seen - 1
                 cost, best = np.inf, 1
                 for depth in range(1, min(DEPTH, least) + 1):
                     pairs = meets[level <= depth].sum()
@@ -146,35 +148,12 @@ def _prefixes(limit: np.uint64, num: int, den: int):
     return run
 
 
-def _whole(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", PART):
-            sets = [s.tobytes() for s in _sets(batch.column(1), k)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "shingles"])
-    return run
-
-
-def _verify(num: int, den: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = np.concatenate((x, y))
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                good.append(den * shared >= num * (len(both) - shared))
-            good = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(good) for i in (0, 1)], ["a", "b"])
-    return run
-
-
-def _compare(num: int, den: int):
+def _compare(k: int, num: int, den: int):
     """Links between two chunks of a cluster (or within one), as forest edges."""
     def run(table: pa.Table) -> pa.Table:
         ids, side = np.asarray(table.column("id")), np.asarray(table.column("side"))
         one = table.column("first")[0].as_py() == table.column("second")[0].as_py()
-        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("shingles")]
+        sets = _sets(pa.concat_arrays(table.column("text").chunks), k)
         size = np.array([len(s) for s in sets])
         names, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         row = np.repeat(np.arange(len(sets)), size)
@@ -205,14 +184,11 @@ def _compare(num: int, den: int):
     return run
 
 
-def _clusters(dense: DataFrame, num: int, den: int) -> DataFrame:
-    """Sets of the clusters, once for every pair of chunks that they are in: id, and the
-    group's cluster, cell, first, second, side."""
-    least = dense.groupBy("token").agg(F.min("id").alias("b"))
-    joined = dense.select("token", "id", "n").join(materialize(least, "least"), "token")
-    edges = joined.select(F.col("id").alias("a"), "b")
+def _clusters(edges: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """The sets of every cluster that ``edges`` connect, once for every pair of chunks that
+    they are in: id, and the group's cluster, cell, first, second, side."""
     met = components(edges).withColumnRenamed("component", "cluster")
-    members = dense.select("id", "n").distinct().join(met, "id")
+    members = classes.select("id", "n").join(met, "id")
     # sets that link differ by at most one size class
     step = F.floor(F.log(F.col("n")) / F.lit(float(np.log(den / num)) * (1 + 1e-9))).cast("long")
     cells = members.select("id", "cluster", step.alias("size")).select(
@@ -238,7 +214,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spark = df.sparkSession
     _ship(spark)
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    limit = np.uint64(int(min(1.0, SLACK * (den - num) / den) * (2 ** 64 - 1)))
+    limit = np.uint64(int(min(1.0, (den - num) / den + SLACK) * (2 ** 64 - 1)))
     rows = materialize(map_arrow(docs, _describe(k, limit, num, den), "id long, set long, more long, n long, low long"), "sets")
     key = ["set", "more", "n"]
     classes = materialize(rows.where("n > 0 AND id IS NOT NULL").groupBy(*key)
@@ -252,7 +228,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                          "token long, id long, n long, level long, depth long")
     prefixes = materialize(prefixes, "prefixes")
 
-    held = materialize(prefixes.groupBy("token").agg(F.countDistinct("id").alias("sets")).where("sets > 1"), "held")
+    held = materialize(prefixes.groupBy("token").agg(F.countDistinct("id").alias("sets"), F.min("id").alias("least"))
+                       .where("sets > 1"), "held")
     known = prefixes.join(held, "token")
     few, dense = known.where(F.col("sets") <= DENSE), known.where(F.col("sets") > DENSE)
     a, b = (few.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "level", "depth"))) for s in "ab")
@@ -260,20 +237,13 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     depth = F.least("depth_a", "depth_b")
     pairs = (met.where(F.greatest("level_a", "level_b") <= depth).groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
              .agg(F.count("*").alias("times"), F.first(depth).alias("depth")).where("times >= depth").select("a", "b"))
-    pairs = materialize(pairs, "pairs")
-    groups = materialize(_clusters(materialize(dense.select("token", "id", "n"), "dense"), num, den), "groups")
-
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).unionByName(groups.select("id"))
-    # an id may have rows that differ: only the one whose set stands for the class
-    wanted = materialize(wanted.distinct().join(classes, "id").select("id", "set"), "wanted")
-    sets = map_arrow(docs.join(wanted.select("id").distinct(), "id", "left_semi"), _whole(k), "id long, shingles binary")
-    sets = materialize(sets.distinct(), "shingles")
-    linked = map_arrow(pairs.join(sets.withColumnRenamed("id", "a"), "a").withColumnRenamed("shingles", "x")
-                       .join(sets.withColumnRenamed("id", "b"), "b").select("a", "b", "x", F.col("shingles").alias("y")),
-                       _verify(num, den), "a long, b long")
-    inside = (groups.join(sets, "id").groupBy("cluster", "cell", "first", "second")
-              .applyInArrow(_compare(num, den), "a long, b long"))
-    joined = components(linked.unionByName(inside)).withColumnRenamed("id", "of").withColumnRenamed("component", "reached")
+    # a star for each dense shingle stands for all pairs of its sets
+    edges = pairs.unionByName(dense.select(F.col("id").alias("a"), F.col("least").alias("b")))
+    groups = materialize(_clusters(edges, classes, num, den), "groups")
+    # one plan at every size: texts meet their groups by a shuffle, also where a broadcast would do
+    linked = (docs.join(groups.hint("merge"), "id").groupBy("cluster", "cell", "first", "second")
+              .applyInArrow(_compare(k, num, den), "a long, b long"))
+    joined = components(linked).withColumnRenamed("id", "of").withColumnRenamed("component", "reached")
     of_class = classes.join(joined, classes["id"] == joined["of"], "left").select(
         *key, F.coalesce("reached", "id").alias("component_id"))
     known_rows = rows.select("id", *key).join(of_class, key, "left")
