@@ -29,14 +29,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vantage.llm.common import _ship, map_arrow, materialize
 from vantage.llm.components import components, forest
 
 BLOCK = 8
-CHUNK = 8192
+CHUNK = 16384
 #: rows of a chunk compared at once
-STRIP = 1024
+STRIP = 256
 SLACK = 1e-6
 
 
@@ -57,34 +58,39 @@ def turned(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True) @ rotation(vectors.shape[1])
 
 
-def _vectors(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(rows, vectors) for each vector length of a binary column."""
-    data = column.to_pylist()
-    size = np.array([len(x) for x in data])
+def _vectors(column: pa.Array, kind: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, vectors) for each vector length of a binary column without nulls."""
+    column = column.cast(pa.large_binary())
+    cut = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[cut[0]:cut[-1]] if len(column) else np.zeros(0, np.uint8)
+    size = np.diff(cut)
     for n in np.unique(size):
         rows = np.flatnonzero(size == n)
-        yield rows, np.frombuffer(b"".join(data[i] for i in rows), "<f8").reshape(len(rows), n // 8)
+        picked = data if len(rows) == len(size) else data[np.repeat(size == n, size)]
+        yield rows, picked.view(kind).reshape(len(rows), -1).astype(float)
 
 
-def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _valid(kind: str):
     """Vectors as bytes; null where they cannot be compared."""
-    for batch in batches:
-        out = []
-        for x, known in zip(batch.column(1).to_pylist(), batch.column(0).is_valid().to_pylist()):
-            v = np.array(x, float) if x and known and None not in x else np.zeros(0)
-            with np.errstate(over="ignore"):
-                good = v.size and np.isfinite(v).all() and 0 < np.linalg.norm(v) < np.inf
-            out.append((v + 0.0).tobytes() if good else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "vec"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for x, known in zip(batch.column(1).to_pylist(), batch.column(0).is_valid().to_pylist()):
+                v = np.array(x, float) if x and known and None not in x else np.zeros(0)
+                with np.errstate(over="ignore"):
+                    good = v.size and np.isfinite(v).all() and 0 < np.linalg.norm(v) < np.inf
+                out.append((v + 0.0).astype(kind).tobytes() if good else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "vec"])
+    return run
 
 
-def _places(span: float, cells: dict[tuple[int, int, int], tuple[int, int]] | None):
+def _places(kind: str, span: float, cells: dict[tuple[int, int, int], tuple[int, int]] | None):
     """Rows of the cells that a vector belongs to.  Without ``cells``: home and visits alone;
     with the numbers of home and visiting chunks of every cell: the groups to compare."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0))
-            for rows, vectors in _vectors(batch.column(2)):
+            for rows, vectors in _vectors(batch.column(2), kind):
                 x, d = turned(vectors), vectors.shape[1]
                 for b, (lo, hi) in enumerate(blocks(d)):
                     radius = np.sqrt(span * (hi - lo) / d) * (1 + SLACK) + SLACK
@@ -111,7 +117,8 @@ def _places(span: float, cells: dict[tuple[int, int, int], tuple[int, int]] | No
 
 def _groups(batch, rows, ids, at, cell, visits, d, b, cells):
     """Copies of the rows for every pair of chunks that they are in."""
-    home, guests = (np.array([cells[d, b, c][i] for c in cell.tolist()], np.int64) for i in (0, 1))
+    known, where = np.unique(cell, return_inverse=True)
+    home, guests = np.array([cells[d, b, c] for c in known.tolist()], np.int64)[where].T
     mixed = (ids[rows[at]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
     own = np.where(visits, home + mixed % np.maximum(guests, 1), mixed % home)
     # a home chunk meets home chunks (itself too) and visiting chunks, a visiting one home chunks
@@ -127,25 +134,27 @@ def _groups(batch, rows, ids, at, cell, visits, d, b, cells):
         yield pa.RecordBatch.from_pydict({n: c[start:start + 4096] for n, c in names.items()})
 
 
-def _compare(least: float, span: float):
+def _compare(kind: str, least: float, span: float):
     def run(table: pa.Table) -> pa.Table:
         d, b, first, second = (table.column(c)[0].as_py() for c in ("d", "block", "first", "second"))
         side = np.asarray(table.column("side"))
         ids, times = np.asarray(table.column("id")), np.asarray(table.column("times"))
-        raw = np.frombuffer(b"".join(table.column("vec").to_pylist()), "<f8").reshape(-1, d)
+        raw = np.concatenate([v for c in table.column("vec").chunks for _, v in _vectors(c, kind)])
         x, norm = turned(raw), np.linalg.norm(raw, axis=1)
         lo, hi = blocks(d)[b]
         left = np.flatnonzero(~side)
         right = left if first == second else np.flatnonzero(side)
         part = x[:, lo:hi].astype(np.float32)
-        square = (part ** 2).sum(1)
+        square, ones = (part ** 2).sum(1, keepdims=True), np.ones((len(part), 1), np.float32)
+        # one product gives the squared distances: |x|^2 + |y|^2 - 2 x y
+        ahead, behind = np.hstack([part, square, ones]), np.hstack([-2 * part, ones, square])[right].T.copy()
         budget = np.array([span * (q - p) / d for p, q in blocks(d)]) * (1 + 1e-9) + 1e-12
+        limit = np.float32(budget[b] + 1e-5)
         starts = np.array([p for p, _ in blocks(d)])
         found_a, found_b = [], []
         for at in range(0, len(left), STRIP):
             rows = left[at:at + STRIP]
-            dist = square[rows, None] + square[right] - 2 * (part[rows] @ part[right].T)
-            i, j = np.nonzero(dist <= budget[b] + 1e-5)
+            i, j = np.divmod(np.flatnonzero((ahead[rows] @ behind).ravel() <= limit), len(right))
             i, j = rows[i], right[j]
             if first == second:
                 i, j = i[i < j], j[i < j]
@@ -173,22 +182,24 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     reachable by links), kept (is it that one)."""
     span = 2 - 2 * least
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
-    rows = map_arrow(rows, _valid, "id long, vec binary")
+    single = df.schema[vector_col].dataType == T.ArrayType(T.FloatType(), df.schema[vector_col].dataType.containsNull)
+    kind = "<f4" if single else "<f8"
+    rows = map_arrow(rows, _valid(kind), "id long, vec binary")
     keyed = materialize(rows.select("id", F.md5("vec").alias("key"), "vec"), "vectors")
     distinct = materialize(keyed.where("vec IS NOT NULL").groupBy("key")
                            .agg(F.min("id").alias("id"), F.count("*").alias("times"), F.first("vec").alias("vec")), "distinct")
     vectors = distinct.select("id", "times", "vec")
-    counted = (map_arrow(vectors, _places(span, None), "d long, block long, cell long, visits boolean")
+    counted = (map_arrow(vectors, _places(kind, span, None), "d long, block long, cell long, visits boolean")
                .groupBy("d", "block", "cell").agg(F.count_if(~F.col("visits")).alias("home"),
                                                   F.count_if("visits").alias("guests")))
     # a row per cell of the grid: bounded by its geometry, not by the data
     cells = {(r.d, r.block, r.cell): (max(1, -(-r.home // CHUNK)), -(-r.guests // CHUNK)) for r in counted.collect()}
     _ship(df.sparkSession)
     found = materialize(
-        map_arrow(vectors, _places(span, cells), "d long, block long, cell long, first long, second long, side boolean, "
+        map_arrow(vectors, _places(kind, span, cells), "d long, block long, cell long, first long, second long, side boolean, "
                                                  "id long, times long, vec binary")
         .groupBy("d", "block", "cell", "first", "second")
-        .applyInArrow(_compare(least, span), "id long, links long, root long"), "links")
+        .applyInArrow(_compare(kind, least, span), "id long, links long, root long"), "links")
     linked = found.groupBy("id").agg(F.sum("links").alias("links"))
     met = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     classes = materialize(distinct.select("key", "id", "times").join(linked, "id", "left").join(met, "id", "left")
