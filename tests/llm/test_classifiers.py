@@ -65,6 +65,19 @@ def test_quality_without_labels_of_both_kinds(spark):
     assert all(r.score > 0.99 for r in one)
 
 
+def test_quality_scores_do_not_move_with_the_sample_cap(spark):
+    rng = random.Random(5)
+    kind = [int(i % 7 > 0) for i in range(3000)]  # 6 : 1, told apart by one word that both have
+    texts = [" ".join(["stone" if rng.random() < (0.7 if q else 0.5) else "river"] + rng.choices("a b c d e f".split(), k=5))
+             for q in kind]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(2)
+    labels = spark.createDataFrame(list(enumerate(kind)), "doc_id long, quality int").coalesce(2)
+    mean = {n: quality.score(docs, quality.fit(docs, labels, per_class=n)).agg({"score": "avg"}).first()[0]
+            for n in (200, 3000)}
+    assert abs(mean[3000] - 6 / 7) < 0.05
+    assert abs(mean[200] - mean[3000]) < 0.08, mean
+
+
 def test_weights_and_scores_of_a_column_agree():
     texts = pa.array(["a bb bb ccc", None, "", "é", "x" * 3000, "bb a"], pa.string())
     odds = np.random.default_rng(1).standard_normal(quality.BUCKETS)

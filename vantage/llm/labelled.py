@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +13,22 @@ def held_out(id_col: str | Column) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def _learnable(labels: DataFrame, label_col: str, id_col: str) -> DataFrame:
+    return (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+            .where(~held_out("id") & F.col("id").isNotNull() & F.col("label").isin(0, 1)))
+
+
+def stands_for(labels: DataFrame, label_col: str, id_col: str, per_class: int) -> np.ndarray:
+    """Learnable rows that a row of ``labelled_sample`` stands for, by label: 1 up to the cap."""
+    count = _learnable(labels, label_col, id_col).agg(*(F.count_if(F.col("label") == v) for v in (0, 1))).first()
+    return np.maximum(1.0, np.array(count, float) / per_class)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str,
                     per_class: int) -> DataFrame:
     """(text, label) of at most ``per_class`` learnable rows of each label, chosen by the
     hash of their id.  The chosen ids are broadcast: they are that many at most."""
-    known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
-             .where(~held_out("id") & F.col("id").isNotNull() & F.col("label").isin(0, 1)))
+    known = _learnable(labels, label_col, id_col)
     chosen = None
     for label in (0, 1):
         some = known.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(per_class)

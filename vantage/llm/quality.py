@@ -8,7 +8,8 @@ Every feature is hashed to a bucket with a learned vector; the document is the m
 its words' vectors, a word the mean of its features'.  A softmax layer scores the two
 labels; both layers are trained by mini-batch gradient descent in numpy on a sample of
 at most ``per_class`` labelled documents of each label (whole texts, outside the held-out
-fifth).
+fifth).  Each counts in the loss for as many labelled documents as it stands for, so the
+labels keep their shares whatever the size of the sample.
 
 After training both layers collapse to one number a bucket, so a task scores its documents by
 adding up the numbers of their features, all words of a piece of the column at once.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vantage.llm.common import Words, map_arrow, slices
-from vantage.llm.labelled import held_out, labelled_sample
+from vantage.llm.labelled import held_out, labelled_sample, stands_for
 
 BUCKETS = 1 << 14
 PER_CLASS = 1500
@@ -122,9 +123,10 @@ class Features:
 
 
 def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 8, batch: int = 64,
-          rate: float = 0.2, seed: int = 7) -> tuple[np.ndarray, float]:
-    """(number a bucket, bias): the log odds of label 1 that both layers come to.  The labels
-    are weighted to the shares that they have in ``labels``."""
+          rate: float = 0.2, seed: int = 7, each: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """(number a bucket, bias): the log odds of label 1 that both layers come to.  A document
+    counts ``each`` times in the loss (once by default)."""
+    times = np.ones(len(docs)) if each is None else each / each.mean()
     rng = np.random.default_rng(seed)
     emb = rng.uniform(-1, 1, (BUCKETS, DIM)) / DIM
     out, bias = np.zeros((DIM, 2)), np.zeros(2)
@@ -140,7 +142,8 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
             z = hidden @ out + bias
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
-            p[np.arange(len(rows)), labels[rows]] -= 1  # gradient of the loss
+            p[np.arange(len(rows)), labels[rows]] -= 1
+            p *= times[rows][:, None]  # gradient of the loss
             d_out, d_hidden = hidden.T @ p / len(rows), p @ out.T
             g_out += d_out ** 2
             out -= rate * d_out / np.sqrt(g_out)
@@ -174,7 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     if len(set(known.tolist())) < 2:
         share = float(known.mean()) if len(known) else 0.5
         return np.zeros(BUCKETS), float(np.log(max(share, 1e-6) / max(1 - share, 1e-6)))
-    return train([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["weight"], np.float32)) for r in rows], known)
+    return train([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["weight"], np.float32)) for r in rows], known,
+                 each=stands_for(labels, label_col, id_col, per_class)[known])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text",
