@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+from urllib.parse import urlsplit
 
 from vantage.llm import files, urls, warc
 
@@ -73,6 +74,24 @@ def test_warc_round_trip(spark, tmp_path):
     assert sorted(types) == sorted(t for w in want for t in ("request", w[3], "metadata"))
 
 
+def test_warc_takes_urls_with_any_brackets(spark, tmp_path):
+    asked = {"http://a]b/x": ("a]b", "/x"), "http://a]b": ("a]b", "/"), "http://[bad/y": ("[bad", "/y"), "http://]": ("]", "/"),
+             "http://[::1]:8/z?q=[1]": ("[::1]:8", "/z"), "http://h/p[0]#]": ("h", "/p[0]")}
+    df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(asked)], "page_id long, url string, html string").coalesce(1)
+    got = warc.warc_round_trip(df, folder=f"file://{tmp_path}/b").collect()
+    assert {r.page_id: r.request.target for r in got} == dict(enumerate(asked))
+    (listed,) = spark.read.parquet(f"file://{tmp_path}/b/manifest").collect()
+    with files.open_stream(listed.path) as f:
+        asks = {h["WARC-Target-URI"]: block.decode() for h, block in warc.records(f) if h["WARC-Type"] == "request"}
+    assert asks == {u: f"GET {path} HTTP/1.1\r\nHost: {host}\r\n\r\n" for u, (host, path) in asked.items()}
+
+
+def test_warc_asks_as_urlsplit_takes_urls_apart():
+    for u in ("http://h/a/b;c?d#e", "h/a", "//h", "", "a:b", "1a:b/c", "HTTP://u@h:1?x", "mailto:a@b", "://h/x", "x#//h", "http:///p", "é://h/p", ":a/b"):
+        place = urlsplit(u)
+        assert warc._PARTS.match(u).groups("") == (place.netloc, place.path), u
+
+
 def test_warc_rolls_over_and_takes_empty_tables(spark, tmp_path):
     _, df = pages(spark)
     listed = warc.write_warc(df.coalesce(1), f"file://{tmp_path}/w", roll=1000).collect()

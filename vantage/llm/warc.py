@@ -17,17 +17,18 @@ back as often.
 
 Cases: a null payload is empty; null urls have no target; null ids are never the
 smallest, so they revisit a payload that another row has (all null: all are responses);
-control and non-ASCII characters in urls are percent-encoded; an empty table gives no
-file and no row; other columns are ignored.
+control and non-ASCII characters in urls are percent-encoded, brackets stay wherever they
+are; an empty table gives no file and no row; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import gzip
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
-from urllib.parse import quote, urlsplit
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,6 +41,8 @@ from vantage.llm.common import map_arrow, materialize, scratch, slices
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ROLL = 64 << 20
+#: host and path of an address; fits every string, also where a host's brackets do not match
+_PARTS = re.compile(r"(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://([^/?#]*))?([^?#]*)")
 
 
 def _name(*parts) -> str:
@@ -60,8 +63,8 @@ def _capture(i, url, payload: bytes, size: int, digest: str, first, date: str) -
     own, target = _name(i, url, digest), _target(url)
     revisit = first is not None
     common = [("WARC-Target-URI", target), ("WARC-Date", date)]
-    place = urlsplit(target or "") if target and "[" not in target else None
-    ask = f"GET {(place and (place.path or '/')) or '/'} HTTP/1.1\r\nHost: {(place and place.netloc) or ''}\r\n\r\n"
+    host, path = _PARTS.match(target or "").groups("")
+    ask = f"GET {path or '/'} HTTP/1.1\r\nHost: {host}\r\n\r\n"
     yield _record([("WARC-Type", "request"), ("WARC-Record-ID", _name("request", own)), ("WARC-Concurrent-To", own),
                    *common, ("Content-Type", "application/http; msgtype=request")], ask.encode())
     answer = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
