@@ -114,3 +114,26 @@ def test_token_files_round_trip(spark, library, tmp_path):
         assert [f.span(i) for i in range(f.docs)] == list(zip([0, *ends], ends))
         assert f.kind.itemsize == 2 and all(f.ids(*f.span(i))[-1] == 0 for i in range(f.docs))
     assert tokenbin.token_files(df.limit(0), PATH).collect() == []
+
+
+def test_parts_of_elias_fano():
+    rng = np.random.default_rng(6)
+    for v in (np.sort(rng.integers(0, 10 ** 6, 700)), np.sort(rng.integers(0, 50, 700)), np.array([1, 2 ** 40]), np.array([4])):
+        ef = tokenbin.EliasFano.build(v)
+        for _ in range(60):
+            a, b = sorted(rng.integers(0, len(v) + 1, 2).tolist())
+            assert ef.part(a, b).tolist() == v[a:b].tolist()
+            assert ef.upto(int(v[a - 1]) if a else -1, a) == np.searchsorted(v, v[a - 1] if a else -1, "right")
+
+
+def test_reader_decodes_only_the_boundaries_of_its_block(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(odd_texts(300, 4))], "doc_id long, text string").coalesce(1)
+    (listed, *_) = tokenbin.write_tokens(df, PATH, f"file://{tmp_path}/blocks").collect()
+    f = tokenbin.TokenFile(listed.path)
+    want = [x for b in tokenbin._documents(f, 7, 1 << 30) for x in b.to_pylist()]
+    assert len(want) == f.docs and want[0]["start"] == 7 and [f.span(i)[0] + 7 for i in range(f.docs)] == [r["start"] for r in want]
+    block, sizes, part = listed.ids // 9, [], tokenbin.EliasFano.part
+    monkeypatch.setattr(tokenbin.EliasFano, "all", None)
+    monkeypatch.setattr(tokenbin.EliasFano, "part", lambda self, a, b: sizes.append(b - a) or part(self, a, b))
+    assert [x for b in tokenbin._documents(f, 7, block) for x in b.to_pylist()] == want
+    assert sum(sizes) == f.docs and len(sizes) >= 9

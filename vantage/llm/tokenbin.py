@@ -8,7 +8,8 @@ Elias-Fano: the ends are a rising sequence of n values below or at U.  Their low
 ``l = floor(log2(U / n))`` bits are stored as they are; the rest in unary in a bit
 string, where value i sets bit ``(end_i >> l) + i``.  Every 256th set bit's place is
 kept, so ``select`` finds any end after scanning a few words; together about
-``2 + l`` bits a document instead of 64.
+``2 + l`` bits a document instead of 64.  Readers go over a file in blocks of whole
+documents, whose bounds they select; only a block's ends are decoded at a time.
 
 Documents are in ascending id order within and across files (range partitioned by
 id, ties by text).  Files are streamed: only lengths and ids of one file's
@@ -44,10 +45,13 @@ FOOTER = "<8sqqqqqqq"  # magic, docs, null ids, ids, id width, low bits, high wo
 SAMPLE = 256
 #: pieces joined to one text for the library
 JOIN = 200
+#: ids read at a time, in whole documents
+BLOCK = 1 << 21
 
 
 class EliasFano:
-    """A rising sequence; ``select(i)`` returns value i, ``all()`` every value."""
+    """A rising sequence; ``select(i)`` returns value i, ``part(a, b)`` those from a to b - 1,
+    ``all()`` every value."""
 
     def __init__(self, n: int, bits: int, low: np.ndarray, high: np.ndarray, samples: np.ndarray):
         self.n, self.bits, self.low, self.high, self.samples = n, bits, low, high, samples
@@ -71,7 +75,7 @@ class EliasFano:
         chunk = int.from_bytes(self.low[a // 8:(a + self.bits + 7) // 8].tobytes(), "little")
         return (chunk >> a % 8) & ((1 << self.bits) - 1)
 
-    def select(self, i: int) -> int:
+    def _place(self, i: int) -> int:
         at = int(self.samples[i // SAMPLE])
         left, word = i % SAMPLE, at // 64
         bits = int(self.high[word]) >> at % 64 << at % 64
@@ -80,17 +84,35 @@ class EliasFano:
             bits = int(self.high[word])
         for _ in range(left):
             bits &= bits - 1
-        place = word * 64 + (bits & -bits).bit_length() - 1
-        return (place - i) << self.bits | self._low(i)
+        return word * 64 + (bits & -bits).bit_length() - 1
 
-    def all(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))
-        out = (ones - np.arange(self.n)) << self.bits
+    def select(self, i: int) -> int:
+        return (self._place(i) - i) << self.bits | self._low(i)
+
+    def upto(self, value: int, a: int) -> int:
+        """How many values are at or below ``value``, knowing that the first ``a`` are."""
+        b = self.n
+        while a < b:
+            half = (a + b) // 2
+            a, b = (half + 1, b) if self.select(half) <= value else (a, half)
+        return a
+
+    def part(self, a: int, b: int) -> np.ndarray:
+        if a >= b:
+            return np.zeros(0, np.int64)
+        first, last = self._place(a), self._place(b - 1)
+        start = first // 64 * 64
+        ones = start + np.flatnonzero(np.unpackbits(self.high[start // 64:last // 64 + 1].view(np.uint8), bitorder="little"))
+        out = (ones[(ones >= first) & (ones <= last)] - np.arange(a, b)) << self.bits
         if self.bits:
-            low = np.unpackbits(self.low, bitorder="little")[:self.n * self.bits].reshape(self.n, self.bits)
-            out |= low.astype(np.int64) @ (np.int64(1) << np.arange(self.bits, dtype=np.int64))
+            bit, size = a * self.bits, (b - a) * self.bits
+            low = np.unpackbits(self.low[bit // 8:(bit + size + 7) // 8], bitorder="little")[bit % 8:bit % 8 + size]
+            out |= low.reshape(b - a, self.bits).astype(np.int64) @ (np.int64(1) << np.arange(self.bits, dtype=np.int64))
         return out
 
+    def all(self) -> np.ndarray:
+        return self.part(0, self.n)
+
 
 class LibraryEncoder(Encoder):
     """The tokenizers library, asked once for every piece of text met."""
@@ -238,6 +260,24 @@ class TokenFile:
         return self._read(stop - start, self.kind)
 
 
+def _documents(f: TokenFile, first: int, block: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a file's documents, about ``block`` ids at a time; ``first`` ids are before it."""
+    at = 0
+    while at < f.docs:
+        begin = f.span(at)[0]
+        stop = max(at + 1, f.ends.upto(begin + block, at))
+        ends = f.ends.part(at, stop)
+        begins = np.r_[begin, ends[:-1]]
+        ids = f.ids(begin, int(ends[-1])).astype("<u4").tobytes()
+        a, b = 4 * (begins - begin), 4 * (ends - begin)
+        crc = [zlib.crc32(memoryview(ids)[x:y]) for x, y in zip(a.tolist(), b.tolist())]
+        mask = np.arange(at, stop) < f.nulls
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(f.keys[at:stop], pa.int64(), mask=mask), pa.array(begins + first),
+             pa.array((b - a) // 4), pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "crc"])
+        at = stop
+
+
 def read_tokens(manifest: DataFrame) -> DataFrame:
     """One row per document, from the files: id, start (ids of all documents before
     it), n_tokens (end id included), crc (of the ids as 32-bit little endian)."""
@@ -251,20 +291,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, first in zip(*(c.to_pylist() for c in batch.columns)):
-                f = TokenFile(path)
-                ends = f.ends.all()
-                begins = np.r_[0, ends[:-1]]
-                at = 0
-                while at < f.docs:  # about 2 million ids at a time, whole documents
-                    stop = max(at + 1, int(np.searchsorted(ends, begins[at] + (1 << 21), "right")))
-                    ids = f.ids(int(begins[at]), int(ends[stop - 1])).astype("<u4").tobytes()
-                    a, b = 4 * (begins[at:stop] - begins[at]), 4 * (ends[at:stop] - begins[at])
-                    crc = [zlib.crc32(memoryview(ids)[x:y]) for x, y in zip(a.tolist(), b.tolist())]
-                    mask = np.arange(at, stop) < f.nulls
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(f.keys[at:stop], pa.int64(), mask=mask), pa.array(begins[at:stop] + first),
-                         pa.array((b - a) // 4), pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "crc"])
-                    at = stop
+                yield from _documents(TokenFile(path), first, BLOCK)
 
     schema = "id long, start long, n_tokens long, crc long"
     src = spark.createDataFrame(rows, "path string, first long").repartition(max(1, len(rows)))
