@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOKENIZER = "byte_bpe_50k.json"
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +72,26 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.95)
 
 
+def op11_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vantage.llm.sharding import shard_rows
+    octets = F.coalesce("text", F.lit("")).cast("binary")
+    return shard_rows(_table(spark, sf_dir, "documents"), 8, {
+        "doc_id": F.col("doc_id"), "size": F.octet_length(octets).cast("long") + 1, "text_crc32": F.crc32(octets),
+    }).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+              F.lit(None).cast("int").alias("grown_shard"), "row")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vantage.llm.labelled import held_out
+    from vantage.llm.merkle import merkle_manifest, proof_digest
+    low = lambda name, c: F.translate(c, UPPER, UPPER.lower()) if name == "text" else c
+    out = merkle_manifest(_table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"],
+                          tampered=held_out("doc_id") & F.col("doc_id").isNotNull(), tamper=low)
+    folded = F.element_at("copied", -1)
+    return out.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"),
+                      folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
+
+
 REGISTRY = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -82,8 +103,59 @@ REGISTRY = {
     "op10_embedding_dedup": op10_embedding_dedup,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
+    "op11_feistel_shards": op11_feistel_shards,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
+
+def _merkle_sql(levels: int = 6, group_levels: int = 4) -> str:
+    """Levels of the tree one after another: 16 ** levels leaves a source, 16 ** group_levels sources."""
+    ctes, out = [], []
+    first = "SELECT g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS total, leaf AS d FROM leaves"
+    groups = "SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS total, d, g AS own FROM s{last}"
+    for t, depth, start in (("s", levels, first), ("r", group_levels, groups.format(last=levels))):
+        ctes.append(f"{t}0 AS ({start})")
+        for i in range(depth):
+            ctes.append(f"{t}x{i} AS (SELECT g, pos // 16 AS pos, total, list(d ORDER BY pos) AS run FROM {t}{i} GROUP BY ALL)")
+            ctes.append(f"{t}{i + 1} AS (SELECT g, pos, (total + 15) // 16 AS total, CASE WHEN total > 1 THEN "
+                        f"sha256(array_to_string(run, '')) ELSE run[1] END AS d FROM {t}x{i})")
+    ctes.append("""f0 AS (SELECT doc_id, g, leaf, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        coalesce(altered, leaf) AS f, '' AS proof FROM leaves)""")
+    k = 0
+    for t, depth in (("s", levels), ("r", group_levels)):
+        if t == "r":
+            ctes.append(f"""f{k + 1} AS (SELECT doc_id, o.g, r0.pos, f, proof, leaf, r0.d AS subroot
+                FROM f{k} o JOIN r0 ON r0.own = o.g)""")
+            k += 1
+        more = ", subroot" if t == "r" else ""
+        key = "''" if t == "r" else "o.g"
+        for i in range(depth):
+            ctes.append(f"""f{k + 1} AS (
+                SELECT doc_id, o.g, o.pos // 16 AS pos, leaf{more},
+                       CASE WHEN total > 1 THEN sha256(array_to_string(run[:o.pos % 16], '') || f || array_to_string(run[o.pos % 16 + 2:], '')) ELSE f END AS f,
+                       CASE WHEN total > 1 THEN proof || array_to_string(run[:o.pos % 16], '') || array_to_string(run[o.pos % 16 + 2:], '') ELSE proof END AS proof
+                FROM f{k} o JOIN {t}x{i} x ON x.g = {key} AND x.pos = o.pos // 16)""")
+            k += 1
+    return f"""
+        WITH hashed AS (
+            SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                lambda s: [ascii(s)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+                lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) AS crc FROM documents),
+        texts AS (
+            SELECT *, CASE WHEN crc % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END AS low,
+                   coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head
+            FROM hashed),
+        leaves AS (
+            SELECT doc_id, coalesce('=' || source, '') AS g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   CASE WHEN crc % 5 = 0 THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) END AS altered
+            FROM texts),
+        {", ".join(ctes)}
+        SELECT doc_id, leaf, subroot, r{group_levels}.d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = r{group_levels}.d AS verified
+        FROM f{k}, r{group_levels}
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": """
         WITH split AS (
@@ -158,4 +230,5 @@ ORACLE_SQL: dict[str, str] = {
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
         FROM parts LEFT JOIN fit USING (page_id)
     """,
+    "op12_merkle_manifest": _merkle_sql(),
 }
