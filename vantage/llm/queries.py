@@ -92,6 +92,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                       folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vantage.llm.collocations import collocations
+    return collocations(_table(spark, sf_dir, "documents"), least=30, longest=4, share=(80, 100), top=2000)
+
+
 REGISTRY = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -105,6 +110,7 @@ REGISTRY = {
     "op6_bpe": op6_bpe,
     "op11_feistel_shards": op11_feistel_shards,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_collocations": op13_collocations,
 }
 
 
@@ -231,4 +237,31 @@ ORACLE_SQL: dict[str, str] = {
         FROM parts LEFT JOIN fit USING (page_id)
     """,
     "op12_merkle_manifest": _merkle_sql(),
+    "op13_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+            FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+        spots AS (SELECT lang, w, unnest(generate_series(1, len(w))) AS i FROM pieces),
+        grams AS (SELECT lang, w[i:i + m - 1] AS p, m FROM spots, generate_series(1, 4) AS s(m) WHERE i + m - 1 <= len(w)),
+        f AS (SELECT lang, p, m, count(*) AS f FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+        found AS (SELECT lang, p, m, f AS a FROM f WHERE m > 1 AND f >= 30),
+        cuts AS (
+            SELECT c.lang, c.p, c.m, a, k, x.f AS l, y.f AS r, CAST(2000000 AS HUGEINT) * a // (x.f + y.f) AS score
+            FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM found) c
+            JOIN f x ON x.lang = c.lang AND x.p = c.p[:k] JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1:]),
+        scored AS (SELECT DISTINCT ON (lang, p) * FROM cuts ORDER BY lang, p, score, k),
+        inner_ AS (
+            SELECT lang, p[i:i + z - 1] AS p, max(a) AS longer
+            FROM (SELECT *, unnest(generate_series(1, m - z + 1)) AS i FROM found, generate_series(2, 3) AS t(z) WHERE z < m)
+            GROUP BY ALL),
+        ranked AS (
+            SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score,
+                   row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank
+            FROM scored LEFT JOIN inner_ USING (lang, p)
+            WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a)
+        SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+        FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
 }
