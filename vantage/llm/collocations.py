@@ -91,13 +91,10 @@ def _concat(parts):
     return np.concatenate(parts) if isinstance(parts[0], np.ndarray) else pa.concat_arrays(parts)
 
 
-def _joined(a: pa.Array, b: pa.Array, by: str) -> pa.Array:
-    return pc.binary_join_element_wise(a, b, by)
-
-
 def _windows(lang: pa.Array, text: pa.Array, skip: np.ndarray) -> pa.RecordBatch | None:
-    """Distinct padded windows of a chunk with their counts, in order: head (language and first
-    two words), w3, w4, n, split."""
+    """Distinct padded windows of a chunk, in order: the language, a line break and four words
+    with spaces between, and n, their count.  Windows of a hot pair have -n, and the pair's
+    window without more words a marker of 0."""
     text = pc.fill_null(text, b"")
     cut = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
     data = _LOWER[np.frombuffer(text.buffers()[2] or b"", np.uint8)[cut[0]:cut[-1]]]
@@ -125,7 +122,7 @@ def _windows(lang: pa.Array, text: pa.Array, skip: np.ndarray) -> pa.RecordBatch
     for k in range(1, WORDS):
         lead.append(np.zeros(len(at), np.int64))
         lead[k][:-k] = np.where(piece[k:] == piece[:-k], lead[0][k:], 0)
-    langs = lang.fill_null("und").dictionary_encode()
+    langs = _escape(lang.fill_null("und")).dictionary_encode()
     code = np.asarray(langs.indices).astype(np.int64)[row]
     if skip.any():
         own = np.arange(len(at)) < np.repeat(first[1:] - skip, np.diff(first))
@@ -140,19 +137,18 @@ def _windows(lang: pa.Array, text: pa.Array, skip: np.ndarray) -> pa.RecordBatch
     of = np.flatnonzero(np.r_[True, high[1:] != high[:-1]])  # first window of each head
     rows = np.diff(np.r_[of, len(high)])
     pair = high[of]
-    heads = _joined(_joined(langs.dictionary.take(pa.array(pair // (many * many))),
-                            names.take(pa.array(pair // many % many)), "\n"), names.take(pa.array(pair % many)), " ")
+    first = pc.binary_join_element_wise(langs.dictionary.take(pa.array(pair // (many * many))),
+                                        names.take(pa.array(pair // many % many)), "\n")
+    heads = pc.binary_join_element_wise(first, names.take(pa.array(pair % many)), " ")
     hot = rows > max(256, len(high) // 100)
     put = np.repeat(np.arange(len(of)), rows)
-    marks = np.flatnonzero(hot)
-    column = lambda values, more: pa.concat_arrays([values, more]) if len(marks) else values
-    empty = pa.array([""] * len(marks), pa.string())
-    return pa.RecordBatch.from_arrays([
-        column(heads.take(pa.array(put)), heads.take(pa.array(marks))),
-        column(names.take(pa.array(low // many)), empty),
-        column(names.take(pa.array(low % many)), empty),
-        long_array(np.r_[n, np.zeros(len(marks), np.int64)]),
-        pa.array(np.r_[hot[put], np.zeros(len(marks), bool)])], ["head", "w3", "w4", "n", "split"])
+    found = pc.binary_join_element_wise(heads.take(pa.array(put)), names.take(pa.array(low // many)),
+                                        names.take(pa.array(low % many)), " ")
+    n[hot[put]] *= -1
+    if hot.any():
+        marks = pc.binary_join_element_wise(heads.filter(pa.array(hot)), "", "", " ")
+        found, n = pa.concat_arrays([found, marks]), np.r_[n, np.zeros(len(marks), np.int64)]
+    return pa.RecordBatch.from_arrays([found, long_array(n)], ["window", "n"])
 
 
 def count_windows(batches: Iterator[pa.RecordBatch], limit: int = CHUNK, long: int = LONG) -> Iterator[pa.RecordBatch]:
@@ -168,9 +164,7 @@ class _Open:
     """The groups that a batch ends in: last window, its count so far; totals and rests of
     what is closed in its groups of three words and two, rest of its first word."""
 
-    head: str
-    w3: str
-    w4: str
+    window: str
     n: int
     t3: int
     r3: int
@@ -189,34 +183,44 @@ def _filled(column: pa.Array, at: np.ndarray) -> np.ndarray:
     return np.asarray(pc.not_equal(column.take(pa.array(at)), ""))
 
 
-def _split(column: pa.Array, by: str) -> tuple[pa.Array, pa.Array]:
-    flat = pc.split_pattern(column, by, max_splits=1, reverse=True).flatten()
-    n = np.arange(len(column)) * 2
-    return flat.take(pa.array(n)), flat.take(pa.array(n + 1))
+def _escape(lang: pa.Array) -> pa.Array:
+    """Without spaces, so that a window's parts are found by them."""
+    return pc.replace_substring(pc.replace_substring(lang, "%", "%25"), " ", "%20")
+
+
+def _language(first: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """(language, word) of the first part of windows."""
+    lang, word = _columns(pc.split_pattern(first, "\n", max_splits=1, reverse=True), 2)
+    return pc.replace_substring(pc.replace_substring(lang, "%20", " "), "%25", "%"), word
+
+
+def _columns(lists: pa.Array, many: int) -> list[pa.Array]:
+    flat, n = lists.flatten(), np.arange(len(lists)) * many
+    return [flat.take(pa.array(n + k)) for k in range(many)]
 
 
 def fold(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Sorted windows -> windows cut after the longest prefix that occurs ``least`` times; heads
-    that start with a marker or a split window pass as they are."""
+    """Sorted windows -> windows cut after the longest prefix that occurs ``least`` times; those
+    of a pair that starts with a marker or with -n pass as they are."""
     left: _Open | None = None
     for batch in chain(batches, [None]):
         last = batch is None
         if last and left is None or not last and not batch.num_rows:
             continue
-        head, w3, w4, n, split = batch.columns if not last else (
-            *(pa.array([], pa.string()),) * 3, pa.array([], pa.int64()), pa.array([], pa.bool_()))
-        n, split = np.asarray(n), np.asarray(split.cast(pa.int8())).astype(bool)
+        window, n = batch.columns if not last else (pa.array([], pa.string()), np.zeros(0, np.int64))
+        n = np.asarray(n)
+        through, n = n <= 0, np.abs(n)
         if left:
-            head, w3, w4 = (pa.concat_arrays([pa.array([x], pa.string()), c])
-                            for x, c in ((left.head, head), (left.w3, w3), (left.w4, w4)))
-            n, split = np.r_[left.n, n], np.r_[False, split]
-        new2 = _new(head)
+            window = pa.concat_arrays([pa.array([left.window], pa.string()), window])
+            n = np.r_[left.n, n]
+            through = np.r_[left.through, through]
+        first, w2, w3, w4 = _columns(pc.split_pattern(window, " "), WORDS)
+        new1 = _new(first)
+        new2 = new1 | _new(w2)
         new3 = new2 | _new(w3)
         new4 = new3 | _new(w4)
-        i2, i3, i4 = (np.flatnonzero(x) for x in (new2, new3, new4))
-        through = (n[i2] == 0) | split[i2]
-        if left:
-            through[0] = left.through
+        i1, i2, i3, i4 = (np.flatnonzero(x) for x in (new1, new2, new3, new4))
+        through = through[i2]
         shut = slice(None) if last else slice(0, -1)  # the last groups may go on in the next batch
 
         def closed(values: np.ndarray) -> np.ndarray:
@@ -240,38 +244,32 @@ def fold(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBat
             t2[0] += left.t2
             r2[0] += left.r2
         c2 = closed(r2)
-        first, second = _split(head.take(pa.array(i2)), " ")
-        keep2 = (closed(t2) >= least) & _filled(second, np.arange(len(i2)))
-        new1 = _new(first)
-        of1 = np.flatnonzero(new1)
-        r1 = np.add.reduceat(np.where(keep2, 0, c2), of1)
+        keep2 = (closed(t2) >= least) & _filled(w2, i2)
+        r1 = np.add.reduceat(np.where(keep2, 0, c2), np.flatnonzero(new1[i2]))
         if left:
             r1[0] += left.r1
         c1 = closed(r1)
 
-        four, three = i4[(keep4 := keep4 & (c4 > 0))], i3[(keep3 := keep3 & (c3 > 0))]
-        keep2, keep1 = keep2 & (c2 > 0), c1 > 0
-        pad = lambda k: pa.array([""] * k, pa.string())
-        two, one = int(keep2.sum()), int(keep1.sum())
-        group = np.cumsum(new2) - 1
-        pairs = np.r_[group[four], group[three], np.flatnonzero(keep2)]
-        lang, w1 = _split(pa.concat_arrays([first.take(pa.array(pairs)), first.take(pa.array(of1[keep1]))]), "\n")
-        yield pa.RecordBatch.from_arrays([
-            lang, w1, pa.concat_arrays([second.take(pa.array(pairs)), pad(one)]),
-            pa.concat_arrays([w3.take(pa.array(np.r_[four, three])), pad(two + one)]),
-            pa.concat_arrays([w4.take(pa.array(four)), pad(len(three) + two + one)]),
-            long_array(np.r_[c4[keep4], c3[keep3], c2[keep2], c1[keep1]])], ["lang", "w1", "w2", "w3", "w4", "n"])
-        left = _Open(head[-1].as_py(), w3[-1].as_py(), w4[-1].as_py(), int(s4[-1]), int(t3[-1]), int(r3[-1]),
-                     int(t2[-1]), int(r2[-1]), int(r1[-1]), bool(through[-1]))
+        keep = [c1 > 0, keep2 & (c2 > 0), keep3 & (c3 > 0), keep4 & (c4 > 0)]
+        at = [i[k] for i, k in zip((i1, i2, i3, i4), keep)]
+        lang, w1 = _language(first.take(pa.array(np.concatenate(at))))
+        more = [pa.concat_arrays([pa.array([""] * sum(map(len, at[:k])), pa.string()),
+                                  w.take(pa.array(np.concatenate(at[k:])))]) for k, w in ((1, w2), (2, w3), (3, w4))]
+        yield pa.RecordBatch.from_arrays(
+            [lang, w1, *more, long_array(np.concatenate([c[k] for c, k in zip((c1, c2, c3, c4), keep)]))],
+            ["lang", "w1", "w2", "w3", "w4", "n"])
+        left = _Open(window[-1].as_py(), int(s4[-1]), int(t3[-1]), int(r3[-1]), int(t2[-1]), int(r2[-1]),
+                     int(r1[-1]), bool(through[-1]))
 
 
 def phrase_counts(df: DataFrame, least: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Exact counts of the phrases of one to four words that occur ``least`` times in their
     language (lang, size, phrase, f), and of all words of a language (size 0, phrase '')."""
     src = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    windows = map_arrow(src, count_windows, "head string, w3 string, w4 string, n long, split boolean")
-    to = F.when(F.col("split"), F.xxhash64("head", "w3", "w4")).otherwise(F.xxhash64("head"))
-    met = windows.repartition(to).sortWithinPartitions("head", "w3", "w4", "n")
+    windows = map_arrow(src, count_windows, "window string, n long")
+    # under their pair; those of a hot pair by themselves
+    to = F.when(F.col("n") < 0, F.xxhash64("window")).otherwise(F.xxhash64(F.substring_index("window", " ", 2)))
+    met = windows.repartition(to).sortWithinPartitions("window", "n")
     cut = materialize(map_arrow(met, lambda batches: fold(batches, least),
                                 "lang string, w1 string, w2 string, w3 string, w4 string, n long"), "windows")
     words = ["w1", "w2", "w3", "w4"]
