@@ -6,9 +6,11 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
+import vantage.llm.collocations as collocation_module
 from vantage.llm.collocations import collocations, count_windows, fold, phrase_counts
 
 DOCS = "doc_id long, text string, lang string"
@@ -101,6 +103,23 @@ def test_long_texts_are_taken_in_overlapping_parts():
     assert sum(whole.values()) == sum(len(w) for r in rows for w in pieces(r[1]))
 
 
+def test_rare_words_cut_windows_and_colliding_ones_stay(monkeypatch):
+    texts = ["a b rare c d e", "a b c d", "A b c d"]
+    batch = pa.RecordBatch.from_pydict({"lang": pa.array(["en", "en", None], pa.string()), "text": texts})
+    counted = Counter()
+    for b in collocation_module.count_words(iter([batch])):
+        for w in b.to_pylist():
+            counted[w["at"]] += w["n"]
+    assert sorted(counted.values()) == [1] * 6 + [2] * 4  # en holds a b c d twice, und once
+    bits = np.zeros(1 << collocation_module.BITS - 3, np.uint8)
+    for at, n in counted.items():
+        if n >= 2:
+            bits[at >> 3] |= 1 << (at & 7)
+    got = {w["window"]: w["n"] for b in count_windows(iter([batch]), bits) for w in b.to_pylist()}
+    assert got == {"en\na b  ": 1, "en\nb   ": 1, "en\n   ": 2, "en\nd   ": 2, "en\na b c d": 1, "en\nb c d ": 1,
+                   "en\nc d  ": 2, "und\n   ": 4}
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 7, 1000])
 def test_folding_does_not_depend_on_batches(size):
     rnd = random.Random(size)

@@ -5,6 +5,9 @@ words as lead columns and padding beyond the piece's end.  Counts of shorter phr
 words and of all words are sums over prefixes of the windows, taken by one ROLLUP; nothing is
 exploded by length.
 
+- Words: occurrences are summed in 2^26 counters by hash; a word whose counter stays below
+  ``least`` is rare and cuts windows, as no candidate holds it.  The counters come back as 8 MB of
+  bits whatever the input's size.  A collision only leaves a rare word in, never takes one out.
 - Windows: a task combines equal windows of a few megabytes of text before anything is shuffled.
 - Folding: windows meet sorted under their first two words.  A window's tail is cut where the
   prefix so far occurs less than ``least`` times, because no candidate and no part of one
@@ -24,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantage.llm.common import long_array, map_arrow, materialize, slices
+from vantage.llm.common import Words, long_array, map_arrow, materialize, mix, slices
 
 #: words of the longest window
 WORDS = 4
@@ -39,6 +43,8 @@ WORDS = 4
 CHUNK = 6 << 20
 #: bytes of text that are taken as one row
 LONG = 4 << 20
+#: counters of words by hash, as a power of two
+BITS = 26
 #: rows of a batch that goes back to Spark
 ROWS = 1 << 16
 
@@ -91,53 +97,91 @@ def _concat(parts):
     return np.concatenate(parts) if isinstance(parts[0], np.ndarray) else pa.concat_arrays(parts)
 
 
-def _windows(lang: pa.Array, text: pa.Array, skip: np.ndarray) -> pa.RecordBatch | None:
+class _Tokens:
+    """Words of a chunk: ``id`` of each (places in ``names``, sorted, from 1), ``code`` of its
+    language (in ``langs``), ``piece``, and ``own``, false where it belongs to the next part."""
+
+    def __init__(self, lang: pa.Array, text: pa.Array, skip: np.ndarray):
+        text = pc.fill_null(text, b"")
+        cut = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
+        data = _LOWER[np.frombuffer(text.buffers()[2] or b"", np.uint8)[cut[0]:cut[-1]]]
+        cut = cut - cut[0]
+        inside = ~_GAP[data]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[cut] = True
+        start = inside.copy()
+        start[1:] &= ~inside[:-1] | edge[1:-1]
+        at = np.flatnonzero(start)
+        first = np.searchsorted(at, cut)
+        row = np.repeat(np.arange(len(text)), np.diff(first))
+        self.piece = np.cumsum(_BREAK[data], dtype=np.int32)[at] + row
+        letters = data[inside]
+        begin = np.cumsum(inside, dtype=np.int32)[at] - 1
+        words = pa.StringArray.from_buffers(len(at), pa.py_buffer(np.r_[begin, len(letters)].astype(np.int32)),
+                                            pa.py_buffer(letters)).dictionary_encode()
+        order = pc.sort_indices(words.dictionary)
+        rank = np.empty(len(order), np.int64)
+        rank[np.asarray(order)] = np.arange(1, len(order) + 1)
+        self.names = pa.concat_arrays([pa.array([""]), words.dictionary.take(order)])
+        self.id = rank[np.asarray(words.indices)]
+        langs = _escape(lang.fill_null("und")).dictionary_encode()
+        self.langs = langs.dictionary
+        self.code = np.asarray(langs.indices).astype(np.int64)[row]
+        self.own = np.arange(len(at)) < np.repeat(first[1:] - skip, np.diff(first))
+
+    def counters(self) -> tuple[np.ndarray, np.ndarray]:
+        """(language and word as one number, counter) of the words that occur."""
+        key = self.code * len(self.names) + self.id
+        top = len(self.langs) * len(self.names)
+        key = np.flatnonzero(np.bincount(key, minlength=top)) if top <= 1 << 24 else np.unique(key)
+        word = np.r_[np.uint64(0), Words(self.names.slice(1)).hash]
+        lang = mix(np.array([crc32(x.encode()) + 1 for x in self.langs.to_pylist()], np.uint64))
+        code = mix(word[key % len(self.names)] ^ lang[key // len(self.names)])
+        return key, (code >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def count_words(batches: Iterator[pa.RecordBatch], limit: int = CHUNK, long: int = LONG) -> Iterator[pa.RecordBatch]:
+    """Occurrences by counter, combined a chunk."""
+    for chunk in _chunks(batches, limit, long):
+        t = _Tokens(*chunk)
+        if len(t.id):
+            key, at = t.counters()
+            got = np.bincount(np.searchsorted(key, (t.code * len(t.names) + t.id)[t.own]), minlength=len(key))
+            yield pa.RecordBatch.from_arrays([long_array(at), long_array(got)], ["at", "n"])
+
+
+def _windows(t: _Tokens, frequent: np.ndarray | None) -> pa.RecordBatch:
     """Distinct padded windows of a chunk, in order: the language, a line break and four words
     with spaces between, and n, their count.  Windows of a hot pair have -n, and the pair's
-    window without more words a marker of 0."""
-    text = pc.fill_null(text, b"")
-    cut = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
-    data = _LOWER[np.frombuffer(text.buffers()[2] or b"", np.uint8)[cut[0]:cut[-1]]]
-    cut = cut - cut[0]
-    inside = ~_GAP[data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[cut] = True
-    start = inside.copy()
-    start[1:] &= ~inside[:-1] | edge[1:-1]
-    at = np.flatnonzero(start)
-    if not len(at):
-        return None
-    first = np.searchsorted(at, cut)
-    row = np.repeat(np.arange(len(text)), np.diff(first))
-    piece = np.cumsum(_BREAK[data], dtype=np.int32)[at] + row
-    letters = data[inside]
-    begin = np.cumsum(inside, dtype=np.int32)[at] - 1
-    words = pa.StringArray.from_buffers(len(at), pa.py_buffer(np.r_[begin, len(letters)].astype(np.int32)),
-                                        pa.py_buffer(letters)).dictionary_encode()
-    order = np.asarray(pc.sort_indices(words.dictionary))
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(1, len(order) + 1)
-    names = pa.concat_arrays([pa.array([""]), words.dictionary.take(pa.array(order))])
-    lead = [rank[np.asarray(words.indices)]]
+    window without more words a marker of 0.  ``frequent``: a bit a counter."""
+    names, langs, many = t.names, t.langs, len(t.names)
+    known = t.id
+    if frequent is not None:
+        key, at = t.counters()
+        rare = (frequent[at >> 3] >> (at & 7) & 1) == 0
+        if many * len(langs) <= 1 << 24:
+            bad = np.zeros(many * len(langs), bool)
+            bad[key[rare]] = True
+            known = np.where(bad[t.code * many + t.id], 0, t.id)
+        else:
+            known = np.where(rare[np.searchsorted(key, t.code * many + t.id)], 0, t.id)
+    lead = [known]
     for k in range(1, WORDS):
-        lead.append(np.zeros(len(at), np.int64))
-        lead[k][:-k] = np.where(piece[k:] == piece[:-k], lead[0][k:], 0)
-    langs = _escape(lang.fill_null("und")).dictionary_encode()
-    code = np.asarray(langs.indices).astype(np.int64)[row]
-    if skip.any():
-        own = np.arange(len(at)) < np.repeat(first[1:] - skip, np.diff(first))
-        lead, code = [x[own] for x in lead], code[own]
-    many = len(names)
+        lead.append(np.zeros(len(known), np.int64))
+        lead[k][:-k] = np.where((t.piece[k:] == t.piece[:-k]) & (lead[k - 1][:-k] > 0), known[k:], 0)
+    code = t.code
+    if not t.own.all():
+        lead, code = [x[t.own] for x in lead], code[t.own]
     high, low = (code * many + lead[0]) * many + lead[1], lead[2] * many + lead[3]
     order = np.lexsort((low, high))
     high, low = high[order], low[order]
     new = np.flatnonzero(np.r_[True, (high[1:] != high[:-1]) | (low[1:] != low[:-1])])
     n = np.diff(np.r_[new, len(high)])
     high, low = high[new], low[new]
-    of = np.flatnonzero(np.r_[True, high[1:] != high[:-1]])  # first window of each head
+    of = np.flatnonzero(np.r_[True, high[1:] != high[:-1]])  # first window of each pair
     rows = np.diff(np.r_[of, len(high)])
     pair = high[of]
-    first = pc.binary_join_element_wise(langs.dictionary.take(pa.array(pair // (many * many))),
+    first = pc.binary_join_element_wise(langs.take(pa.array(pair // (many * many))),
                                         names.take(pa.array(pair // many % many)), "\n")
     heads = pc.binary_join_element_wise(first, names.take(pa.array(pair % many)), " ")
     hot = rows > max(256, len(high) // 100)
@@ -151,10 +195,12 @@ def _windows(lang: pa.Array, text: pa.Array, skip: np.ndarray) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([found, long_array(n)], ["window", "n"])
 
 
-def count_windows(batches: Iterator[pa.RecordBatch], limit: int = CHUNK, long: int = LONG) -> Iterator[pa.RecordBatch]:
+def count_windows(batches: Iterator[pa.RecordBatch], frequent: np.ndarray | None = None, limit: int = CHUNK,
+                  long: int = LONG) -> Iterator[pa.RecordBatch]:
     for chunk in _chunks(batches, limit, long):
-        found = _windows(*chunk)
-        if found is not None:
+        t = _Tokens(*chunk)
+        if t.own.any():
+            found = _windows(t, frequent)
             for a in range(0, found.num_rows, ROWS):
                 yield found.slice(a, ROWS)
 
@@ -262,11 +308,23 @@ def fold(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBat
                      int(r1[-1]), bool(through[-1]))
 
 
+def frequent_bits(src: DataFrame, least: int) -> np.ndarray:
+    """A bit for each counter that reaches ``least``: 2^BITS bits, as rows of 4 KB at most."""
+    sums = map_arrow(src, count_words, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    rows = (sums.where(F.col("n") >= least).groupBy(F.expr("at div 32768").alias("block"))
+            .agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("bits")).collect())
+    out = np.zeros(1 << BITS - 3, np.uint8)
+    for r in rows:
+        out[r.block * 4096:(r.block + 1) * 4096] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
 def phrase_counts(df: DataFrame, least: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Exact counts of the phrases of one to four words that occur ``least`` times in their
     language (lang, size, phrase, f), and of all words of a language (size 0, phrase '')."""
     src = df.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    windows = map_arrow(src, count_windows, "window string, n long")
+    frequent = frequent_bits(src, least)
+    windows = map_arrow(src, lambda batches: count_windows(batches, frequent), "window string, n long")
     # under their pair; those of a hot pair by themselves
     to = F.when(F.col("n") < 0, F.xxhash64("window")).otherwise(F.xxhash64(F.substring_index("window", " ", 2)))
     met = windows.repartition(to).sortWithinPartitions("window", "n")
