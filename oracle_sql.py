@@ -622,8 +622,8 @@ owm AS (
     parts = " UNION ALL ".join(_dq_sql(c, table_sql)
                                for c in bronze_suite() + silver_suite() + gold_suite() + seed_suite())
     q["dq_report"] = everything + canon("check_name", "table_name", "kind", "severity", "failures:l",
-                                        "status", "message") + f"""
-        FROM (SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'error' THEN 'error'
+                                        "status", "message", "timed") + f"""
+        FROM (SELECT *, true AS timed, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'error' THEN 'error'
                              ELSE 'warn' END AS status,
                      CASE WHEN failures > 0 THEN 'got ' || failures || ' failing rows' END AS message
               FROM ({parts}) r) x"""

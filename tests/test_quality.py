@@ -1,7 +1,8 @@
 import pytest
 
-from vantage.operators.quality import (ERROR, Check, QualityGateError, accepted_values, expression_is_true,
-                                       gate, not_null, relationships, run_checks, unique, unique_combination)
+from vantage.operators.quality import (ERROR, Check, QualityGateError, accepted_values, evaluate, expression_is_true,
+                                       gate, key_counts, not_null, relationships, report, run_checks, unique,
+                                       unique_combination, write_checked)
 
 
 @pytest.fixture()
@@ -39,5 +40,58 @@ def test_report_and_gate(tables):
 
 def test_declared_suites_on_driver_tables(spark):
     from vantage.plans.suites import bronze_suite, gold_suite, seed_suite, silver_suite
+    from vantage.sources.seeds import all_seeds
+    from vantage.sources.tpch import raw_from_tpch
     n = len(bronze_suite()) + len(silver_suite()) + len(gold_suite()) + len(seed_suite())
     assert n == 64
+    tables = {**raw_from_tpch(spark, "/root/testdata/sf0.001"), **all_seeds(spark)}
+    suite = bronze_suite() + seed_suite()
+    lazily = {r.check_name: r.failures for r in run_checks(suite, tables).collect()}
+    got = evaluate(suite, tables)
+    assert {r.check.check_name: r.failures for r in got} == lazily and len(got) == len(suite)
+    assert lazily["unique_orders_order_id"] > 0 and lazily["relationships_order_reviews_order_id"] > 0
+
+
+SUITE = [Check("child", "not_null", "code"), Check("child", "accepted_values", "code", values=("a", "b")),
+         Check("child", "expression_is_true", "rate", expression=">= 0"),
+         Check("child", "unique", "pid", severity=ERROR), Check("child", "unique_combination", columns=("code",)),
+         Check("child", "unique_combination", columns=("pid", "code")), Check("child", "unique", "code"),
+         Check("child", "relationships", "pid", parent="parent", parent_field="id"),
+         Check("parent", "relationships", "id", parent="parent", parent_field="id"),
+         Check("parent", "unique", "id", severity=ERROR)]
+
+
+def test_checks_that_are_run_equal_lazy_ones_and_are_timed(spark, tables):
+    lazily = {r.check_name: (r.failures, r.status, r.message) for r in run_checks(SUITE, tables).collect()}
+    got = report(spark, evaluate(SUITE, tables)).collect()
+    assert [r.check_name for r in got] == [c.check_name for c in SUITE]
+    assert {r.check_name: (r.failures, r.status, r.message) for r in got} == lazily
+    assert all(r.execution_time > 0 for r in got)
+    with pytest.raises(QualityGateError):
+        gate(report(spark, evaluate(SUITE, tables)))
+
+
+def test_row_checks_ride_on_the_write(spark, tables, scratch):
+    out, rows, found = write_checked(tables["child"], f"{scratch}/child", SUITE)
+    assert rows == 5 == out.count() and [r.failures for r in found] == [1, 1, 1]
+    stored = {"child": out, "parent": tables["parent"]}
+    asked = []
+
+    class Watched(dict):
+        def __getitem__(self, name):
+            asked.append(name)
+            return super().__getitem__(name)
+    got = evaluate(SUITE, Watched(stored), done=found)
+    assert [r.failures for r in got] == [r.failures for r in evaluate(SUITE, tables)]
+    assert asked.count("child") == 2  # its keys, and its references; no scan for row-level checks
+    for none in (tables["child"].limit(0), tables["child"].where("pid > 99")):
+        out, rows, found = write_checked(none, f"{scratch}/none-{id(none)}", SUITE)
+        assert rows == 0 and [r.failures for r in found] == [0, 0, 0] and out.columns == none.columns
+
+
+def test_uniqueness_checks_of_a_table_share_one_scan(spark, tables, scratch):
+    tables["child"].write.parquet(f"{scratch}/stored")
+    keyed = key_counts(spark.read.parquet(f"{scratch}/stored"), [c for c in SUITE if c.table == "child" and "unique" in c.kind])
+    assert list(keyed.first()) == [1, 1, 0, 1]
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Expand") == 1

@@ -1,21 +1,31 @@
 """Data-quality checks, suites, report and gate.
 
 A check returns its failing rows (zero rows = pass).  ``run_checks`` turns a
-suite into a report with one row per check; row-level checks on the same table
+suite into a lazy report with one row per check; row-level checks on the same table
 are folded into one ``agg`` of ``count_if`` columns so a table is scanned once
 for all of them; uniqueness checks cost one aggregate each and referential
 checks one anti join each.
+
+``write_checked`` and ``evaluate`` run a suite and time each check:
+
+- row-level checks and the row count of a table that is written ride on that write
+  (``DataFrame.observe``) and scan nothing; tables that are not written are scanned once;
+- all uniqueness checks of a table share one aggregate over its grouping sets;
+- all references to a parent key share one scan of the parent, and child keys are
+  counted before they are joined, so a hot key is one row.
+
+These jobs do not depend on each other and run a few at a time.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vantage.operators.relational import dup_keys
 
@@ -156,19 +166,120 @@ def run_checks(suite: Sequence[Check], tables: dict[str, DataFrame]) -> DataFram
                                                              F.lit(" failing rows"))).alias("message"))
 
 
-def timed_report(suite: Sequence[Check], tables: dict[str, DataFrame]) -> DataFrame:
-    """The report with ``execution_time``, the seconds that the checks of a row's table
-    took together: run table by table, one row per check comes back."""
-    rows, schema = [], None
-    for table in dict.fromkeys(c.table for c in suite):
+# --------------------------------------------------- checks that were run
+
+@dataclass(frozen=True)
+class Result:
+    """Outcome of a check.  ``seconds``: the wall time of the job that found it, shared out
+    evenly over what the job found."""
+
+    check: Check
+    failures: int
+    seconds: float
+
+
+def write_checked(df: DataFrame, path: str, checks: Sequence[Check] = ()) -> tuple[DataFrame, int, list[Result]]:
+    """Write ``df`` to ``path`` (Parquet, must be new) and read it back; also its number of
+    rows and the results of the row-level checks among ``checks``, observed on the write."""
+    rows = [c for c in checks if c.kind in ROW_KINDS]
+    seen = Observation()
+    began = time.perf_counter()
+    (df.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count_if(_row_fail(c)).alias(f"c{i}") for i, c in enumerate(rows)))
+     .write.parquet(path))
+    share = (time.perf_counter() - began) / (len(rows) + 1)
+    got = seen.get
+    return (df.sparkSession.read.schema(df.schema).parquet(path), got["rows"],
+            [Result(c, got[f"c{i}"], share) for i, c in enumerate(rows)])
+
+
+def row_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Failing rows of row-level checks on one table: one row, one column a check."""
+    return df.agg(*(F.count_if(_row_fail(c)).alias(f"c{i}") for i, c in enumerate(checks)))
+
+
+def key_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Duplicated keys of the uniqueness checks on one table: one row, one column a check."""
+    sets = [list(c.columns) if c.kind == "unique_combination" else [c.column] for c in checks]
+    columns = list(dict.fromkeys(x for s in sets for x in s))
+    apart = {tuple(sorted(s)): s for s in sets}.values()  # a set named twice would count twice
+    groups = df.groupingSets([[F.col(x) for x in s] for s in apart], *map(F.col, columns)).agg(
+        F.count(F.lit(1)).alias("_rows"), F.grouping_id().alias("_set"))
+
+    def twice(check: Check, keys: list[str]) -> Column:
+        number = int("".join("0" if x in keys else "1" for x in columns), 2)  # a bit for each column left out
+        found = (F.col("_set") == number) & (F.col("_rows") > 1)
+        return found if check.kind == "unique_combination" else found & F.col(check.column).isNotNull()
+
+    return groups.agg(*(F.count_if(twice(c, s)).alias(f"c{i}") for i, (c, s) in enumerate(zip(checks, sets))))
+
+
+def orphan_counts(parent: DataFrame, field_: str, children: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """Rows of each child (its number in ``children``: ``child``) whose key has no parent row."""
+    keys = None
+    for i, (df, col) in enumerate(children):
+        some = df.where(F.col(col).isNotNull()).select(F.lit(i).alias("child"), F.col(col).alias("key"))
+        keys = some if keys is None else keys.unionByName(some)
+    counted = keys.groupBy("child", "key").agg(F.count(F.lit(1)).alias("n"))
+    known = parent.select(F.col(field_).alias("key")).distinct()
+    return counted.join(known, "key", "left_anti").groupBy("child").agg(F.sum("n").alias("failures"))
+
+
+def _jobs(suite: Sequence[Check], tables: dict[str, DataFrame]) -> list[tuple[list[Check], Callable[[], list[int]]]]:
+    """(checks, what counts their failures), one for each job."""
+    rows: dict[str, list[Check]] = {}
+    keys: dict[str, list[Check]] = {}
+    links: dict[tuple[str, str], list[Check]] = {}
+    for c in suite:
+        if c.kind in ROW_KINDS:
+            rows.setdefault(c.table, []).append(c)
+        elif c.kind == "relationships":
+            links.setdefault((c.parent, c.parent_field), []).append(c)
+        else:
+            keys.setdefault(c.table, []).append(c)
+    jobs: list[tuple[list[Check], Callable[[], list[int]]]] = []
+    for counts, by_table in ((row_counts, rows), (key_counts, keys)):
+        for table, checks in by_table.items():
+            jobs.append((checks, lambda counts=counts, table=table, checks=checks: list(counts(tables[table], checks).first())))
+
+    def orphans(parent: str, field_: str, checks: list[Check]) -> list[int]:
+        found = orphan_counts(tables[parent], field_, [(tables[c.table], c.column) for c in checks]).collect()
+        by_child = {r.child: r.failures for r in found}  # a row a check at most
+        return [by_child.get(i, 0) for i in range(len(checks))]
+
+    for (parent, field_), checks in links.items():
+        jobs.append((checks, lambda parent=parent, field_=field_, checks=checks: orphans(parent, field_, checks)))
+    return jobs
+
+
+def evaluate(suite: Sequence[Check], tables: dict[str, DataFrame], done: Sequence[Result] = (),
+             threads: int = 4) -> list[Result]:
+    """Results of the suite in its order; those in ``done`` (of checks on a write) are taken as
+    they are, the others are run, ``threads`` jobs at a time."""
+    known = {r.check: r for r in done}
+
+    def run(job: tuple[list[Check], Callable[[], list[int]]]) -> list[Result]:
+        checks, counts = job
         began = time.perf_counter()
-        report = run_checks([c for c in suite if c.table == table], tables)
-        got = report.collect()
-        took = time.perf_counter() - began
-        schema = T.StructType(report.schema.fields).add("execution_time", "double")
-        rows += [(*r, took) for r in got]
-    spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame(rows, schema)
+        got = counts()
+        share = (time.perf_counter() - began) / len(checks)
+        return [Result(c, n, share) for c, n in zip(checks, got)]
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        for results in pool.map(run, _jobs([c for c in suite if c not in known], tables)):
+            known.update((r.check, r) for r in results)
+    return [known[c] for c in suite]
+
+
+def report(spark: SparkSession, results: Sequence[Result]) -> DataFrame:
+    """The report of ``run_checks`` with ``execution_time``, seconds of each check."""
+    rows = []
+    for r in results:
+        c = r.check
+        status = "pass" if not r.failures else "error" if c.severity == ERROR else "warn"
+        rows.append((c.check_name, c.table, c.kind, c.severity, r.failures, status,
+                     f"got {r.failures} failing rows" if r.failures else None, r.seconds))
+    return spark.createDataFrame(rows, "check_name string, table_name string, kind string, severity string, "
+                                       "failures long, status string, message string, execution_time double")
 
 
 class QualityGateError(RuntimeError):

@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vantage.operators.quality import gate, run_checks
+from vantage.operators.quality import Check, Result, evaluate, gate, report, run_checks, write_checked
 from vantage.plans.gold import fct_customer_return_risk_features, int_orders_enriched
 from vantage.plans.silver import build_silver
 from vantage.plans.suites import gold_suite, silver_suite
@@ -29,59 +29,77 @@ def staging_root(spark: SparkSession, name: str = "tables") -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, root: str, layer: str, name: str) -> DataFrame:
-    """Write ``df`` to ``root/layer/name`` (Parquet, overwrite) and read it back."""
-    path = f"{root.rstrip('/')}/{layer}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    out = df.sparkSession.read.parquet(path)
+def stage(df: DataFrame, root: str, layer: str, name: str, checks: Sequence[Check] = (),
+          results: list[Result] | None = None, counts: dict[str, int] | None = None) -> DataFrame:
+    """Write ``df`` to a new folder below ``root/layer/name`` (Parquet) and read it back: what an
+    earlier run wrote stays for its readers.  Row-level ``checks`` on the table ride on the
+    write; their results go to ``results``, the number of rows to ``counts``."""
+    path = f"{root.rstrip('/')}/{layer}/{name}/run-{uuid.uuid4().hex[:12]}"
+    out, rows, found = write_checked(df, path, [c for c in checks if c.table == name])
+    if results is not None:
+        results += found
+    if counts is not None:
+        counts[name] = rows
     out.createOrReplaceTempView(f"{layer}_{name}")
     return out
 
 
-def stage_all(frames: dict[str, DataFrame], root: str, layer: str, threads: int = 4) -> dict[str, DataFrame]:
+def stage_all(frames: dict[str, DataFrame], root: str, layer: str, threads: int = 4, checks: Sequence[Check] = (),
+              results: list[Result] | None = None, counts: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """Materialise independent tables of one layer, up to ``threads`` Spark jobs
     at a time (the tables share no lineage, so their jobs can overlap)."""
-    if threads <= 1 or len(frames) <= 1:
-        return {n: stage(df, root, layer, n) for n, df in frames.items()}
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        futures = {n: pool.submit(stage, df, root, layer, n) for n, df in frames.items()}
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        futures = {n: pool.submit(stage, df, root, layer, n, checks, results, counts) for n, df in frames.items()}
         return {n: f.result() for n, f in futures.items()}
 
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str | None = None,
                  layers=LAYERS, lead: str = "1 month", fail_on: Sequence[str] = ("error", "warn"),
                  previous: dict[str, dict[str, DataFrame]] | None = None,
-                 threads: int = 4, written=("silver", "gold")) -> dict[str, dict[str, DataFrame]]:
+                 threads: int = 4, written=("silver", "gold"), results: list[Result] | None = None,
+                 counts: dict[str, int] | None = None) -> dict[str, dict[str, DataFrame]]:
     """Build the requested layers.  ``layers=("gold",)`` rebuilds gold only from
-    the silver tables in ``previous``.  The suite of a layer runs on its written
-    tables: a failed check with a status in ``fail_on`` stops the run before the
-    next layer (all checks must pass by default, whatever severity they declare;
-    ``fail_on=()`` runs no gate).  Tables of one layer are written ``threads`` at a
+    the silver tables in ``previous``.  A layer's suite is checked as it is written (row-level
+    checks) and on its written tables (keys): a failed check with a status in ``fail_on`` stops
+    the run before the next layer (all checks must pass by default, whatever severity they
+    declare; ``fail_on=()`` runs no gate).  Tables of one layer are written ``threads`` at a
     time, in dependency order across layers.
 
-    ``written``: layers materialised as tables."""
+    ``written``: layers materialised as tables.  ``results``: a list that takes the results of
+    the layers' suites; ``counts``: a dictionary that takes the rows of each written table."""
     root = root or staging_root(spark)
     out: dict[str, dict[str, DataFrame]] = {"bronze": raw}
     for name, df in raw.items():
         df.createOrReplaceTempView(f"bronze_{name}")
+
+    def checked(suite: list[Check], tables: dict[str, DataFrame], seen: list[Result]) -> None:
+        if not fail_on and results is None:
+            return
+        found = evaluate(suite, tables, done=seen, threads=threads)
+        if results is not None:
+            results.extend(found)
+        if fail_on:
+            gate(report(spark, found), fail_on)
+
+    seen: list[Result] = []
     if "silver" in layers and "silver" in written:
-        out["silver"] = stage_all(build_silver(raw), root, "silver", threads)
+        out["silver"] = stage_all(build_silver(raw), root, "silver", threads, silver_suite(), seen, counts)
     elif "silver" in layers:
         out["silver"] = build_silver(raw)
     else:
         out["silver"] = (previous or {}).get("silver") or build_silver(raw)
+    s = out["silver"]
+    if "silver" in layers:
+        checked(silver_suite(), {**raw, **s}, seen)
     if "gold" in layers:
-        s = out["silver"]
-        if fail_on and "silver" in layers:
-            gate(run_checks(silver_suite(), {**raw, **s}), fail_on)
+        suite, seen = gold_suite(), []
         enriched = stage(int_orders_enriched(s["stg_orders"], s["stg_order_payments"], s["stg_order_reviews"],
                                              s["stg_order_items"], s["stg_customers"], s["stg_geolocation"],
-                                             raw["sellers"]), root, "gold", "int_orders_enriched")
+                                             raw["sellers"]), root, "gold", "int_orders_enriched", suite, seen, counts)
         fct = stage(fct_customer_return_risk_features(enriched, lead), root, "gold",
-                    "fct_customer_return_risk_features")
+                    "fct_customer_return_risk_features", suite, seen, counts)
         out["gold"] = {"int_orders_enriched": enriched, "fct_customer_return_risk_features": fct}
-        if fail_on:
-            gate(run_checks(gold_suite(), {**raw, **s, **out["gold"]}), fail_on)
+        checked(suite, {**raw, **s, **out["gold"]}, seen)
     return out
 
 

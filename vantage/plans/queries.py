@@ -11,6 +11,7 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vantage.plans.compare import canonical
 from vantage.plans.gold import fct_customer_return_risk_features, int_orders_enriched
@@ -151,7 +152,6 @@ def items_keep_first(spark, sf_dir):
 
 @register("latest_event_per_user")
 def latest_event_per_user(spark, sf_dir):
-    from pyspark.sql import functions as F
     from vantage.operators.relational import keep_latest
     ev = _events(spark, sf_dir).select("user_id", "event_id", "ts", "event_type", "value")
     return keep_latest(ev, ["user_id"], ["ts"], tiebreak=[F.col("event_id").desc_nulls_last()])
@@ -223,7 +223,6 @@ def category_prior_q(spark, sf_dir):
 
 @register("score_tier")
 def score_tier(spark, sf_dir):
-    from pyspark.sql import functions as F
     from vantage.plans.extended import score_tiers
     s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     scored = s.select("s_suppkey", ((F.col("s_acctbal") + F.lit(1000.0)) / F.lit(11000.0)).alias("risk_score"))
@@ -239,7 +238,6 @@ def orders_with_merchant_q(spark, sf_dir):
 
 @register("partitioned_roundtrip")
 def partitioned_roundtrip(spark, sf_dir):
-    from pyspark.sql import functions as F
     from vantage.plans.extended import orders_with_merchant
     from vantage.sinks.write import write_month_partitioned
     raw = raw_from_tpch(spark, sf_dir)
@@ -254,7 +252,6 @@ def partitioned_roundtrip(spark, sf_dir):
 @register("partition_audit")
 def partition_audit_q(spark, sf_dir):
     """Rows of every month as stored, after one month was written once more."""
-    from pyspark.sql import functions as F
     from vantage.plans.extended import orders_with_merchant
     from vantage.sinks.write import partition_audit, write_month_partitioned
     raw = raw_from_tpch(spark, sf_dir)
@@ -269,7 +266,6 @@ def partition_audit_q(spark, sf_dir):
 def _land_csv(spark, sf_dir) -> str:
     """Driver orders and reviews as CSV part files: columns in another order, quoted line
     breaks in the comments."""
-    from pyspark.sql import functions as F
     from vantage.sources.raw import SOURCES
     raw, root = raw_from_tpch(spark, sf_dir), _scratch(spark, "csv")
     options = {"header": True, "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
@@ -283,7 +279,6 @@ def _land_csv(spark, sf_dir) -> str:
 
 
 def _loaded(spark, sf_dir, name):
-    from pyspark.sql import functions as F
     from vantage.sources.raw import load_raw
     df = load_raw(spark, _land_csv(spark, sf_dir), loaded_at="2026-01-01T00:00:00+00:00",
                   names=["orders", "order_reviews"])[name]
@@ -303,12 +298,13 @@ def csv_load_reviews(spark, sf_dir):
 @register("gate_verdict")
 def gate_verdict(spark, sf_dir):
     """Bronze and silver checks with message, time and whether the check stops a run."""
-    from pyspark.sql import functions as F
-    from vantage.operators.quality import timed_report
-    from vantage.plans.suites import bronze_suite, silver_suite
-    raw, silver, _ = layers(spark, sf_dir)
-    report = timed_report(bronze_suite() + silver_suite(), {**raw, **silver})
-    return report.select("check_name", "table_name", "status", F.coalesce("message", F.lit("")).alias("message"),
+    from vantage.operators.quality import evaluate, report
+    from vantage.plans.pipeline import run_pipeline
+    from vantage.plans.suites import bronze_suite
+    raw, results = raw_from_tpch(spark, sf_dir), []
+    run_pipeline(spark, raw, layers=("silver",), fail_on=(), results=results)
+    found = report(spark, evaluate(bronze_suite(), raw) + results)
+    return found.select("check_name", "table_name", "status", F.coalesce("message", F.lit("")).alias("message"),
                          (F.col("execution_time") > 0).alias("timed"), (F.col("failures") > 0).alias("stops"))
 
 
@@ -431,18 +427,25 @@ def dq_unique_combination(spark, sf_dir):
 
 @register("dq_report")
 def dq_report(spark, sf_dir):
-    from vantage.operators.quality import run_checks
-    from vantage.plans.suites import bronze_suite, gold_suite, seed_suite, silver_suite
-    layers_ = _all_tables(spark, sf_dir)
-    tables = {n: df for layer in layers_.values() for n, df in layer.items()}
-    return run_checks(bronze_suite() + silver_suite() + gold_suite() + seed_suite(), tables)
+    """All 64 checks: those of a written layer on its write, the others beside it."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from vantage.operators.quality import evaluate, report
+    from vantage.plans.pipeline import run_pipeline
+    from vantage.plans.suites import bronze_suite, seed_suite
+    from vantage.sources.seeds import all_seeds
+    raw, results = raw_from_tpch(spark, sf_dir), []
+    with ThreadPoolExecutor(max_workers=1) as beside:
+        unwritten = beside.submit(evaluate, bronze_suite() + seed_suite(), {**raw, **all_seeds(spark)}, threads=2)
+        run_pipeline(spark, raw, fail_on=(), results=results)
+        found = report(spark, unwritten.result() + results)
+    return found.select(*(c for c in found.columns if c != "execution_time"), (F.col("execution_time") > 0).alias("timed"))
 
 
 # ------------------------------------------------------ scalar / nested
 
 @register("typed_try_cast", nullable_ints=("props_k", "event_type_as_int", "value_as_int"))
 def typed_try_cast(spark, sf_dir):
-    from pyspark.sql import functions as F
     ev = _events(spark, sf_dir)
     return ev.select(
         "event_id",
@@ -456,7 +459,6 @@ def typed_try_cast(spark, sf_dir):
 
 @register("nested_results")
 def nested_results(spark, sf_dir):
-    from pyspark.sql import functions as F
     from vantage.sources.results import read_test_results
     ev = _events(spark, sf_dir)
     k = F.get_json_object("props", "$.k")
