@@ -677,4 +677,12 @@ owm AS (
         "order_id:l", "customer_id:l", "order_status", "order_purchase_timestamp:ts", "order_approved_at:ts",
         "order_delivered_carrier_date:ts", "order_delivered_customer_date:ts",
         "order_estimated_delivery_date:ts") + " FROM raw_orders"
+    q["ingest_upsert"] = with_ctes(RAW) + canon(
+        "order_id:l", "customer_id:l", "order_status", "order_purchase_timestamp:ts", "order_approved_at:ts",
+        "order_delivered_carrier_date:ts", "order_delivered_customer_date:ts",
+        "order_estimated_delivery_date:ts", "_source_file") + """
+        FROM (SELECT * REPLACE (CASE WHEN order_id % 4 = 1 AND order_status = 'processing' THEN 'shipped'
+                                     ELSE order_status END AS order_status),
+                     'orders-' || order_id % 4 || '.csv' AS _source_file
+              FROM raw_orders WHERE order_id % 4 > 1 OR (order_id % 4 = 1 AND order_status <> 'canceled')) x"""
     return q

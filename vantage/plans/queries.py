@@ -485,3 +485,9 @@ def nested_results(spark, sf_dir):
 def incremental_ingest(spark, sf_dir):
     from vantage.streaming.ingest import demo_incremental_orders
     return demo_incremental_orders(spark, sf_dir, _scratch(spark, "ingest"))
+
+
+@register("ingest_upsert")
+def ingest_upsert(spark, sf_dir):
+    from vantage.streaming.upsert import demo_changed_orders
+    return demo_changed_orders(spark, sf_dir, _scratch(spark, "upsert"))

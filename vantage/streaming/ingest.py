@@ -7,8 +7,8 @@ cursor; the Parquet file sink commits each batch through its metadata log, so a
 retried or re-run batch never duplicates rows (exactly-once), and readers of the
 sink folder only see committed files.
 
-Modified files are not re-read by a file stream (it tracks paths); replace such
-data with a batch overwrite (``sinks.write.replace_table``).
+Modified files are not re-read by a file stream (it tracks paths); ``streaming.upsert``
+follows those.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, si
     """Process the files that arrived in ``landing`` since the last run and
     append them (with provenance columns) to the Parquet folder ``sink``.
 
-    Returns the rows that the run committed to the sink.
+    Returns the rows that the run took, as observed on its batches.
     """
     stamp = loaded_at or load_stamp()
     reader = spark.readStream.schema(schema).format(fmt)
@@ -37,22 +37,19 @@ def ingest_new_files(spark: SparkSession, landing: str, schema: T.StructType, si
         reader = reader.option(k, v)
     stream = reader.load(landing).select(
         "*", F.lit(stamp).alias("_loaded_at"), F.col("_metadata.file_name").alias("_source_file"))
-    q = (stream.writeStream.format("parquet")
+    q = (stream.observe(OBSERVED, F.count(F.lit(1)).alias("rows")).writeStream.format("parquet")
          .option("path", sink)
          .option("checkpointLocation", checkpoint)
          .outputMode("append")
-         .trigger(availableNow=True)
+         .trigger(availableNow=True)  # without a limit on files: all that is new is one batch
          .start())
     q.awaitTermination()
-    return {"input_rows": committed_rows(spark, sink, stamp)}
+    seen = [p.observedMetrics.get(OBSERVED) for p in q.recentProgress]
+    return {"input_rows": sum(r["rows"] for r in seen if r is not None)}
 
 
-def committed_rows(spark: SparkSession, sink: str, stamp: str) -> int:
-    """Rows of one run in the sink, as its metadata log commits them."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sink}/_spark_metadata/0")
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return 0
-    return spark.read.parquet(sink).where(F.col("_loaded_at") == stamp).count()
+#: name of the row count on a batch's progress
+OBSERVED = "ingested"
 
 
 def land_csv(df: DataFrame, landing: str) -> None:
