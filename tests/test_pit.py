@@ -218,3 +218,48 @@ def test_aligned_windows_closed_lower_bound(spark):
             assert (x == pytest.approx(y)) if isinstance(x, float) else x == y, (k, f.name, x, y)
     r = a[(1, base.date())]
     assert r.n24 == 2 and r.v7 == 1.0 + 2.0 * 0 + 4.0 + 8.0 + 16.0
+
+
+DOMAIN = "entity string, ts timestamp_ntz, word string, size long"
+
+
+def _domain_features(domain):
+    return [Feature("last", "max", "word", domain=domain), Feature("first", "min", "word", domain=domain),
+            Feature("last_30d", "max", "word", window="30 days", domain=domain),
+            Feature("words_30d", "count_distinct", "word", window="30 days", domain=domain),
+            Feature("words_7d", "count_distinct", "word", where=F.col("size") > 3, window="7 days", domain=domain),
+            Feature("sizes_30d", "count_distinct", "size", window="30 days", domain=domain and 10),
+            Feature("n", "count", "word")]
+
+
+@pytest.mark.parametrize("snapshots", ["all", "latest"])
+def test_small_domains_equal_the_plain_form(spark, snapshots):
+    rnd = random.Random(6)
+    words = [f"w{i}" * (i % 5) for i in range(63)] + ["é", None]
+    rows = [(rnd.choice("ABCD"), T("2020-01-01") + dt.timedelta(hours=rnd.randint(0, 3000)), rnd.choice(words), rnd.randint(0, 9))
+            for _ in range(500)]
+    facts = spark.createDataFrame(rows + [("E", T("2020-02-03"), None, None)], DOMAIN)
+    forms = [{(r.entity, r.snapshot_date): r.asDict() for r in point_in_time_features(
+        facts, "entity", "ts", _domain_features(d), snapshots=snapshots).collect()} for d in (64, None)]
+    assert forms[0] == forms[1] and len(forms[0]) > 3
+    assert max(r["words_30d"] for r in forms[0].values()) > 20
+    assert any(r["last"] == "é" for r in forms[0].values())
+
+
+def test_a_domain_with_more_values_fails(spark):
+    facts = spark.createDataFrame([("A", T("2020-01-01"), f"w{i}", 1) for i in range(9)], DOMAIN)
+    with pytest.raises(Exception, match="word: more than 8 values"):
+        point_in_time_features(facts, "entity", "ts", _domain_features(8)).collect()
+    with pytest.raises(ValueError):
+        Feature("x", "count", "word", domain=4)
+
+
+def test_panel_hashes_above_the_exploded_facts(spark):
+    """No sort aggregate and no Expand between the facts' explode and the panel."""
+    from vantage.plans.queries import REGISTRY
+    for name in ("pit_customer_features", "pit_customer_features_review_dated"):
+        plan = REGISTRY[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        above = plan[:plan.index("Generate explode(CASE WHEN (CASE WHEN")].split("\n")
+        above = "\n".join(line for line in above if not line.lstrip().startswith(":"))  # not the subqueries beside
+        assert above.count("HashAggregate") >= 4 and "SortAggregate" not in above
+        assert "Expand" not in plan

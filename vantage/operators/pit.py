@@ -26,7 +26,7 @@ How a panel is computed:
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,6 +50,10 @@ class Feature:
     ``window``   trailing window as an interval string (``"30 days"``,
                  ``"24 hours"``), closed at both ends; None = lifetime.
     ``default``  value for an empty group (counts and rates always use 0).
+    ``domain``   most different values that ``column`` may have (64 at most).  Its values are
+                 then numbered in their order, so that a text's min or max is one of
+                 integers (hash aggregation) and a distinct count the bits of one long
+                 (no Expand).  More values fail the query.
     """
 
     name: str
@@ -59,8 +63,11 @@ class Feature:
     den_where: Column | None = field(default=None, compare=False)
     window: str | None = None
     default: object = None
+    domain: int | None = None
 
     def __post_init__(self):
+        if self.domain is not None and not (1 <= self.domain <= 64 and self.agg in ("min", "max", "count_distinct")):
+            raise ValueError("domain: 1 to 64, for min, max and count_distinct")
         if self.agg not in AGGS:
             raise ValueError(f"unknown aggregate {self.agg!r}")
         if self.agg == "count_distinct" and self.window is None:
@@ -157,6 +164,52 @@ def eligible_pairs(facts: DataFrame, entity: str, ts: str, unit: str = "month",
                  .select(entity, F.explode(seq).alias(out)))
 
 
+# ----------------------------------------------------------- small domains
+
+_CODE = "_code_"
+
+
+def _code(column: str) -> str:
+    return _CODE + column
+
+
+def encode_domains(facts: DataFrame, features: Sequence[Feature],
+                   source: DataFrame | None = None) -> tuple[DataFrame, list[Feature], dict[str, Column]]:
+    """Facts with an order-preserving number (from 1) beside each column of a small domain,
+    the features on those numbers, and for each column its values in order: one row that
+    Spark computes as a subquery from one aggregate of at most ``domain`` values.  ``source``
+    holds the same values as the facts and may be cheaper to read."""
+    least: dict[str, int] = {}
+    for f in features:
+        if f.domain is not None:
+            least[f.column] = min(f.domain, least.get(f.column, 64))
+    if not least:
+        return facts, list(features), {}
+    held = {c: F.sort_array(F.collect_set(c)) for c in least}
+    checked = [F.when(F.size(v) <= least[c], v).otherwise(F.raise_error(F.lit(f"{c}: more than {least[c]} values"))
+                                                          .cast(f"array<{facts.schema[c].dataType.simpleString()}>")).alias(c)
+               for c, v in held.items()]
+    values = (facts if source is None else source).agg(F.struct(*checked).alias("values")).scalar()
+    domains = {c: values[c] for c in least}
+    coded = facts.select("*", *(F.when(F.col(c).isNotNull(), F.array_position(d, F.col(c))).alias(_code(c))
+                                for c, d in domains.items()))
+    return coded, [replace(f, column=_code(f.column)) if f.domain is not None else f for f in features], domains
+
+
+def decode_domains(panel: DataFrame, features: Sequence[Feature], domains: dict[str, Column]) -> DataFrame:
+    """Numbers of min and max features back to their values."""
+    back = {f.name: F.get(domains[f.column], F.col(f.name).cast("int") - 1).alias(f.name)
+            for f in features if f.domain is not None and f.agg in ("min", "max")}
+    return panel.select(*(back.get(c, F.col(c)) for c in panel.columns)) if back else panel
+
+
+def _distinct_count(f: Feature, base: Column) -> Column:
+    if not f.column.startswith(_CODE):
+        return F.count_distinct(F.when(base, F.col(f.column)))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col(f.column).cast("int") - 1)
+    return F.bit_count(F.coalesce(F.bit_or(F.when(base, bit)), F.lit(0).cast("long")))
+
+
 # ------------------------------------------------------------- direct form
 
 def _direct_agg(f: Feature, ts: Column, snap_ts: Column, ts_name: str) -> Column:
@@ -168,7 +221,7 @@ def _direct_agg(f: Feature, ts: Column, snap_ts: Column, ts_name: str) -> Column
     if f.agg == "count":
         return F.count(F.when(base, col))
     if f.agg == "count_distinct":
-        return F.count_distinct(F.when(base, col))
+        return _distinct_count(f, base)
     if f.agg == "sum":
         return F.coalesce(F.sum(F.when(base, col)), F.lit(f.default)) if f.default is not None \
             else F.sum(F.when(base, col))
@@ -196,17 +249,18 @@ def _cast_out(f: Feature, c: Column) -> Column:
 
 
 def latest_features(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature], unit: str = "month",
-                    lead: str = "1 month", out: str = "snapshot_date") -> DataFrame:
+                    lead: str = "1 month", out: str = "snapshot_date", domain_of: DataFrame | None = None) -> DataFrame:
     """The panel's rows of the last snapshot: one aggregate per entity over the facts
     up to it, no fan-out and no window."""
     bounds = spine_bounds(facts, ts, unit).select(F.col("spine_hi").alias(out))
     last = F.col(out).cast("timestamp_ntz")
     t = F.col(ts).cast("timestamp_ntz")
+    facts, features, domains = encode_domains(facts, asked := features, domain_of)
     near = (facts.where(F.col(entity).isNotNull() & F.col(ts).isNotNull())
             .crossJoin(F.broadcast(bounds))  # a global aggregate: one row
             .where(t <= last + _interval(lead)))
     aggs = [_cast_out(f, _direct_agg(f, t, last, ts)).alias(f.name) for f in features]
-    return near.groupBy(entity, out).agg(*aggs)
+    return decode_domains(near.groupBy(entity, out).agg(*aggs), asked, domains)
 
 
 # -------------------------------------------------------------- scale form
@@ -214,7 +268,7 @@ def latest_features(facts: DataFrame, entity: str, ts: str, features: Sequence[F
 def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature],
               unit: str = "month", lead: str = "1 month",
               out: str = "snapshot_date", distinct: str = "explode",
-              bounds: DataFrame | None = None) -> DataFrame:
+              bounds: DataFrame | None = None, domain_of: DataFrame | None = None) -> DataFrame:
     """Join-free form (see module doc).
 
     ``distinct``: ``"coverage"`` computes windowed distinct counts from merged
@@ -225,6 +279,8 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
     of the facts."""
     if distinct not in ("explode", "coverage"):
         raise ValueError(f"unknown strategy {distinct!r}")
+    bounds = spine_bounds(facts, ts, unit) if bounds is None else bounds
+    facts, features, domains = encode_domains(facts, asked := features, domain_of)
     lifetime = [f for f in features if f.window is None]
     # aligned windows of additive aggregates slide over per-snapshot partials;
     # distinct counts run on coverage intervals; the rest (windows that cut
@@ -232,11 +288,10 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
     sliding = [f for f in features if f.window is not None and f.agg in SLIDABLE
                and aligned_steps(f.window, unit)]
     covered = [f for f in features if f.window is not None and f.agg == "count_distinct"
-               and distinct == "coverage"]
+               and distinct == "coverage" and f.domain is None]
     trailing = [f for f in features if f.window is not None and f not in sliding and f not in covered]
     windows = sorted({f.window for f in trailing})
 
-    bounds = spine_bounds(facts, ts, unit) if bounds is None else bounds
     ev = (facts.where(F.col(entity).isNotNull() & F.col(ts).isNotNull())
                .crossJoin(F.broadcast(bounds)))
     t = F.col(ts).cast("timestamp_ntz")
@@ -370,7 +425,7 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
             i = trailing.index(f)
             val = F.when(kind == 0, F.col(f"_t{i}")).otherwise(_empty_value(f))
         cols.append(_cast_out(f, val).alias(f.name))
-    return dense.select(*cols)
+    return decode_domains(dense.select(*cols), asked, domains)
 
 
 def _with_coverage_deltas(ev: DataFrame, facts: DataFrame, bounds: DataFrame, entity: str, ts: str,
@@ -457,7 +512,7 @@ def _trailing_value(f: Feature, base: Column, in_w: Column, snap_ts: Column, ts:
     if f.agg == "count":
         return F.count(F.when(base, col))
     if f.agg == "count_distinct":
-        return F.count_distinct(F.when(base, col))
+        return _distinct_count(f, base)
     if f.agg == "sum":
         s = F.sum(F.when(base, col))
         return F.coalesce(s, F.lit(f.default)) if f.default is not None else s
@@ -507,10 +562,12 @@ def point_in_time_features(facts: DataFrame, entity: str, ts: str,
                            features: Sequence[Feature], unit: str = "month",
                            lead: str = "1 month", out: str = "snapshot_date",
                            distinct: str = "explode", snapshots: str = "all",
-                           bounds: DataFrame | None = None) -> DataFrame:
-    """Point-in-time panel of ``snapshots`` "all" or "latest"."""
+                           bounds: DataFrame | None = None, domain_of: DataFrame | None = None) -> DataFrame:
+    """Point-in-time panel of ``snapshots`` "all" or "latest"; ``domain_of``: where the values of
+    small domains are read, if not from the facts."""
     if snapshots == "latest":
-        return latest_features(facts, entity, ts, features, unit=unit, lead=lead, out=out)
+        return latest_features(facts, entity, ts, features, unit=unit, lead=lead, out=out, domain_of=domain_of)
     if snapshots != "all":
         raise ValueError(f"unknown snapshots {snapshots!r}")
-    return pit_scale(facts, entity, ts, features, unit=unit, lead=lead, out=out, distinct=distinct, bounds=bounds)
+    return pit_scale(facts, entity, ts, features, unit=unit, lead=lead, out=out, distinct=distinct, bounds=bounds,
+                     domain_of=domain_of)

@@ -74,11 +74,15 @@ def int_orders_enriched(stg_orders: DataFrame, payments: DataFrame, reviews: Dat
     )
 
 
+#: a country's states at most; a table with more fails the query
+STATES = 64
+
+
 def return_risk_features() -> list[Feature]:
     """The feature set of the customer return-risk table."""
     cancelled = F.col("is_cancelled_post_approval")
     return [
-        Feature("customer_state", "max", "customer_state"),
+        Feature("customer_state", "max", "customer_state", domain=STATES),
         Feature("days_since_first_order", "days_since_min"),
         Feature("total_orders_lifetime", "count", "order_id"),
         Feature("orders_last_30d", "count", "order_id", window="30 days"),
@@ -92,7 +96,7 @@ def return_risk_features() -> list[Feature]:
                 where=F.col("is_low_review_delivered"),
                 den_where=F.col("order_status") == "delivered"),
         Feature("avg_customer_seller_distance_km", "avg", "customer_seller_distance_km"),
-        Feature("distinct_shipping_states_30d", "count_distinct", "customer_state", window="30 days"),
+        Feature("distinct_shipping_states_30d", "count_distinct", "customer_state", window="30 days", domain=STATES),
     ]
 
 
@@ -147,4 +151,4 @@ def review_dated_features(enriched: DataFrame, reviews: DataFrame, lead: str = "
                 if f.name == "cancel_rate_lifetime" else f for f in return_risk_features()]
     bounds = spine_bounds(enriched, "order_purchase_ts", "month")
     return point_in_time_features(facts, "customer_unique_id", "order_purchase_ts", features, unit="month",
-                                  lead=lead, bounds=bounds).select(*FEATURE_COLUMNS)
+                                  lead=lead, bounds=bounds, domain_of=enriched).select(*FEATURE_COLUMNS)
