@@ -521,6 +521,15 @@ dated AS (
               LEFT JOIN risk_thresholds t
                      ON s.risk_score >= t.lower_bound_inclusive AND s.risk_score < t.upper_bound_exclusive) x"""
 
+    q["price_bands"] = canon("band:l", "items:l", "orders:l", "top_price:d") + """
+        FROM (SELECT coalesce(p_partkey, -1) AS band, count(*) AS items, count(DISTINCT l_orderkey) AS orders,
+                     max(price) AS top_price
+              FROM (SELECT l_orderkey, CASE WHEN l_orderkey % 3 = 0 THEN 5000.0 + l_discount ELSE l_extendedprice END AS price
+                    FROM lineitem) i
+              LEFT JOIN (SELECT p_partkey, 1000.0 + p_partkey % 2000 * 50 + p_partkey % 7 AS low, p_size FROM part) b
+                     ON price >= low AND price < low + p_size
+              GROUP BY 1) x"""
+
     owm = """
 owm AS (
     SELECT raw_orders.*, ifnull(seller::VARCHAR, 'unknown_merchant') AS merchant_id,

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -57,6 +58,41 @@ def test_range_lookup_half_open(spark):
     assert got == [(0.0, "low"), (0.3, "medium"), (0.849, "high"), (0.85, "critical"), (1.5, None), (None, None)]
 
 
+def test_range_lookup_equals_a_plain_join(spark):
+    rnd = random.Random(4)
+    inf, nan = float("inf"), float("nan")
+    lows = [rnd.choice([rnd.uniform(0, 1), rnd.uniform(0, 1e6), -rnd.random()]) for _ in range(300)] + [7.0] * 20
+    ranges = [(i, a, a + rnd.choice([1e-3, 0.1, 5.0, 3e5])) for i, a in enumerate(lows)]
+    ranges += [(900, None, 1.0), (901, 1.0, None), (902, 5.0, 5.0), (903, 6.0, 2.0), (904, -inf, -2.0), (905, 1e9, inf)]
+    values = [rnd.choice([rnd.uniform(-1, 2), rnd.uniform(0, 1e6), rnd.choice(lows), 0.5]) for _ in range(400)]
+    values += [None, inf, -inf, nan, -3.0, 2e9] + [0.25] * 200
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v double")
+    r = spark.createDataFrame(ranges, "band int, low double, high double")
+    got = sorted((x.id, -1 if x.band is None else x.band) for x in range_lookup(df, "v", r, "low", "high").collect())
+    want = []
+    for i, v in enumerate(values):
+        hits = [b for b, a, z in ranges if v is not None and a is not None and z is not None and a <= v < z]
+        want += [(i, b) for b in hits or [-1]]
+    assert got == sorted(want) and len(got) > len(values)
+    assert range_lookup(df, "v", r.limit(0), "low", "high").where("band IS NULL").count() == len(values)
+    whole = spark.range(50).withColumn("v", F.col("id") * 3)
+    assert range_lookup(whole, "v", r.where("band = 904 OR low = 7.0"), "low", "high").where("v = 9").count() >= 1
+
+
+def test_range_lookup_never_loops_over_the_ranges(spark):
+    df = spark.range(1000).select((F.col("id") % 100).cast("double").alias("v"))
+    r = spark.range(5000).select((F.col("id") / 50).alias("low"), (F.col("id") / 50 + 0.01).alias("high"))
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = range_lookup(df, "v", r, "low", "high")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Broadcast" not in plan and "SortMergeJoin" in plan
+        assert out.where("low IS NOT NULL").count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+
+
 def test_stg_orders_rules(spark):
     orders = spark.createDataFrame([
         ("o1", "c1", "canceled", None, "2020-01-01 10:00:00", None),

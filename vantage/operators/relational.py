@@ -67,11 +67,48 @@ def centroid(df: DataFrame, key: str, lat: str, lng: str,
                    F.avg(F.col(lng).cast("double")).alias(out_lng)))
 
 
+#: bins of equal numbers of range starts (a power of two), and cells of equal width in each
+_BINS, _CELLS = 1024, 64
+
+
+def _cell(value: Column, edges: Column) -> Column:
+    """Cell of a value: it never falls while the value rises, and follows the density of the
+    edges.  Null for null."""
+    v = value.cast("double")
+    steps = F.array(*(F.lit(_BINS >> k) for k in range(1, _BINS.bit_length())))
+    bin_ = F.aggregate(steps, F.lit(-1), lambda b, s: F.when(v >= F.get(edges, b + s), b + s).otherwise(b))
+
+    def place(b: Column) -> Column:
+        left, right = F.get(edges, b), F.get(edges, b + 1)
+        share = F.coalesce(F.try_divide(v - left, right - left), F.lit(0.0))
+        inner = F.floor(F.least(F.greatest(share * _CELLS, F.lit(0.0)), F.lit(_CELLS - 1.0))).cast("int")
+        return b * _CELLS + inner
+
+    return F.when(v.isNotNull(), F.get(F.transform(F.array(bin_), place), F.lit(0)))
+
+
 def range_lookup(df: DataFrame, value: str, ranges: DataFrame, lo: str, hi: str) -> DataFrame:
-    """Left range join ``lo <= value < hi`` against a lookup table, which Spark
-    broadcasts by its own size estimate."""
-    cond = (F.col(value) >= ranges[lo]) & (F.col(value) < ranges[hi])
-    return df.join(ranges, cond, "left")
+    """Left range join ``lo <= value < hi`` on numbers, as an equi-join.
+
+    The ranges are cut to cells and both sides meet on a cell; the exact bounds are a condition
+    of the join.  Cells come from up to 1,023 quantiles of the range starts (one row, read
+    as a subquery), so a dense part of the domain has narrow ones.  Spark broadcasts the cut
+    ranges only below its threshold and otherwise splits a hot cell's values over tasks.  A
+    range costs a row for each cell that it covers.
+
+    A null value and a value outside all ranges keep their row with nulls; a value in several
+    ranges has a row for each; ranges with a null bound or ``lo >= hi`` hold nothing.
+    """
+    shares = F.array(*(F.lit(k / _BINS) for k in range(1, _BINS)))
+    edges = ranges.agg(F.percentile_approx(F.col(lo).cast("double"), shares, F.lit(10000))).scalar()
+    held = ranges.where(F.col(lo) < F.col(hi)).withColumn("_edges", edges)  # no subquery inside a lambda
+    ends = F.sequence(*(_cell(F.col(c), F.col("_edges")) for c in (lo, hi)))
+    cut = held.select("*", F.explode(ends).alias("_range_cell")).drop("_edges")
+    placed = (df.withColumn("_edges", edges).withColumn("_value_cell", _cell(F.col(value), F.col("_edges")))
+              .drop("_edges"))
+    cond = ((F.col("_value_cell") == F.col("_range_cell"))
+            & (F.col(value) >= cut[lo]) & (F.col(value) < cut[hi]))
+    return placed.join(cut, cond, "left").drop("_value_cell", "_range_cell")
 
 
 def dup_keys(df: DataFrame, keys: Sequence[str], count_col: str = "n") -> DataFrame:
