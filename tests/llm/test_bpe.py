@@ -3,11 +3,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
 from vantage.llm import bpe, tokenbin
-from vantage.llm.pieces import cut
+from vantage.llm.pieces import cut_pieces
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -60,10 +61,30 @@ def test_only_failing_words_are_merged(monkeypatch):
     assert [w for a in asked for w in a] == []
 
 
-def test_cut_leaves_runs_of_space_whole():
-    assert cut("a b\nc d") == ["a", "b\nc", "d"] and cut("a  b") == ["a", "", "b"]
-    assert cut("a   b") is None and cut("a \n b") == ["a", "\n", "b"] and cut("a\n \nb") is None and cut("a  ") is None
-    assert cut("x <s> y", ("<s>",)) is None
+def test_cuts():
+    def cut(text, *specials):
+        return cut_pieces(pa.array([text], pa.string()), specials)[0].to_pylist()
+
+    assert cut("a b\nc d") == ["a", " b\nc", " d"] and cut("a  b") == ["a", " ", " b"]
+    assert cut("a   b") == ["a", "  ", " b"] and cut("a \n b") == ["a", " \n", " b"]
+    assert cut("a\n \nb") == ["a\n \nb"] and cut("a  ") == ["a", "  "] and cut("a\u3000 \u2003b") == ["a\u3000 \u2003b"]
+    assert cut("it's, so.") == ["it", "'s", ",", " so", "."]
+    assert cut("x <s>  y", "<s>") == ["x", " ", "<s>", " ", " y"] and cut("x  <s>", "<s>") == ["x", "  ", "<s>"]
+    pieces, first = cut_pieces(pa.array(["a b", None, "", "c"]).slice(1, 3))
+    assert pieces.to_pylist() == ["c"] and first.tolist() == [0, 0, 0, 1]
+
+
+@pytest.mark.parametrize("limit", [1, 3000, 1 << 20])
+def test_library_pieces_and_small_memos(library, limit):
+    enc = tokenbin.LibraryEncoder(PATH)
+    enc.memo.LIMIT = limit
+    texts = odd_texts(300, 8) + [" ".join(f"w{i % 97},x{i}.\nY" for i in range(400))]
+    for part in (texts[:150], texts[100:], texts):
+        ids, ends = enc.encode(part)
+        for i, t in enumerate(part):
+            assert ids[ends[i]:ends[i + 1]].tolist() == library.encode(t or "", add_special_tokens=False).ids, t
+        kept = enc.memo.names.nbytes + 4 * len(enc.memo.ids)
+        assert kept <= limit or not len(enc.memo.names)
 
 
 def test_operator(spark, library):

@@ -22,25 +22,26 @@ other columns are ignored.
 from __future__ import annotations
 
 import json
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantage.llm.common import map_arrow, slices
-from vantage.llm.pieces import WS, cut
+from vantage.llm.pieces import WS, Memo, cut_pieces, gather
 
 #: fixed value: the word pattern of the vocabulary, white space spelled out
+_WORD = r"^ ?[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+$"  # pieces that are one word for sure
 _PATTERN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WS}\p{{L}}\p{{N}}]+|[{WS}]+(?![^{WS}])|[{WS}]+")
-#: ids remembered by a worker before it starts over
-MEMO_IDS = 2_000_000
+#: bytes of text encoded at once
+SLICE = 2 << 20
 NONE = np.iinfo(np.int64).max
 
 
@@ -200,103 +201,46 @@ class Vocabulary:
 
 
 class Encoder:
-    """Texts -> ids, with an arena of the ids of pieces met before."""
-
-    memo = MEMO_IDS
+    """Texts -> ids.  Distinct pieces are learned once and kept in a memo of bounded bytes."""
 
     def __init__(self, vocab: Vocabulary):
-        self.vocab, self.names = vocab, tuple(vocab.specials)
-        self._special = regex.compile("|".join(map(regex.escape, sorted(vocab.specials, key=len, reverse=True)))
-                                      or r"(?!)")
-        self.reset()
-
-    def reset(self) -> None:
-        self.index: dict[str, int] = {}  # pieces as they are
-        self.after: dict[str, int] = {}  # pieces behind a space, without it
-        self.start = array("q", [0])
-        self.ids = array("i")
-
-    def _whole(self, text: str) -> list[str]:
-        """Words of a text that cannot be cut at spaces; specials stay whole."""
-        out, at = [], 0
-        for m in self._special.finditer(text):
-            out += _PATTERN.findall(text[at:m.start()])
-            out.append(m.group())
-            at = m.end()
-        return out + _PATTERN.findall(text[at:])
-
-    def _learn(self, new: list[str]) -> list[int]:
-        """Places of new pieces; the words that they consist of are remembered as well."""
-        specials, plan, words = self.vocab.specials, [], {}
-        for piece in new:
-            parts = [piece] if piece in specials else _PATTERN.findall(piece)
-            plan.append(parts)
-            words.update((p, None) for p in parts if p not in self.index)
-        plain = [w for w in words if w not in specials]
-        known = [w for w in words if w in specials]
-        places = self._enter([[specials[w]] for w in known])
-        places += self._enter(self.vocab.encode_words([w.encode() for w in plain]))
-        self.index.update(zip(known + plain, places))
-        start, ids = self.start, self.ids
-        joined = []
-        for parts in plan:
-            at = [self.index[p] for p in parts]
-            joined.append([i for k in at for i in ids[start[k]:start[k + 1]]])
-        return self._enter(joined)
-
-    def _enter(self, encoded: list[list[int]]) -> list[int]:
-        first = len(self.start) - 1
-        self.start.extend((len(self.ids) + e for e in accumulate(map(len, encoded))))
-        for ids in encoded:
-            self.ids.extend(ids)
-        return list(range(first, first + len(encoded)))
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        self.vocab, self.names, self.memo = vocab, tuple(vocab.specials), Memo()
+
+    def _learn(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, sizes) of new pieces, by the words that they consist of."""
+        specials = self.vocab.specials
+        one = np.asarray(pc.match_substring_regex(new, _WORD))
+        parts = [[p] if w or p in specials else _PATTERN.findall(p) for p, w in zip(new.to_pylist(), one.tolist())]
+        words = list(dict.fromkeys(w for p in parts for w in p if w not in specials))
+        known = dict(zip(words, self.vocab.encode_words([w.encode() for w in words])))
+        known.update((s, [i]) for s, i in specials.items())
+        got = [known[p[0]] if len(p) == 1 else [i for w in p for i in known[w]] for p in parts]
+        return np.fromiter(chain.from_iterable(got), np.int32), np.fromiter(map(len, got), np.int64, len(got))
+
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets of each text)."""
-        if len(self.ids) > self.memo:
-            self.reset()
-        pieces, heads, count = [], [], []
-        for text in texts:
-            before = len(pieces)
-            if text:
-                parts = cut(text, self.names)
-                if parts is None:
-                    pieces += self._whole(text)
-                    heads += range(before, len(pieces))
-                else:
-                    heads.append(before)
-                    pieces += parts
-            count.append(len(pieces) - before)
-        at = np.fromiter(map(self.after.get, pieces, repeat(-1)), np.int64, len(pieces))
-        at[heads] = [self.index.get(pieces[i], -1) for i in heads]
-        head = np.zeros(len(pieces), bool)
-        head[heads] = True
-        for known, which, space in ((self.index, head, ""), (self.after, ~head, " ")):
-            missing = np.flatnonzero((at < 0) & which).tolist()
-            if missing:
-                new = list(dict.fromkeys(pieces[i] for i in missing))
-                known.update(zip(new, self._learn([space + p for p in new] if space else new)))
-                at[missing] = [known[pieces[i]] for i in missing]
-        start, ids = np.array(self.start), np.array(self.ids)
-        flat, ends = gather(ids, start[at], start[at + 1] - start[at])
-        bounds = np.r_[0, np.cumsum(np.array(count, np.int64))]
-        return flat, np.r_[0, ends][bounds]
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        pieces, first = cut_pieces(column, self.names)
+        code, start, ids = self.memo.lookup(pieces, self._learn)
+        flat, ends = gather(ids, start[code], start[code + 1] - start[code])
+        return flat, np.r_[0, ends][first]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        return self.decode_column(ids, offsets).to_pylist()
+
+    def decode_column(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
         v = self.vocab
-        size = v.byte_start[1:] - v.byte_start[:-1]
-        flat, ends = gather(v.byte_data, v.byte_start[ids], size[ids])
+        flat, ends = gather(v.byte_data, v.byte_start[ids], v.byte_start[ids + 1] - v.byte_start[ids])
         cuts = np.r_[0, ends][offsets]
         data = flat.tobytes()
-        return [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
-
-
-def gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Concatenate data[start:start + size] of every pair; also the running ends."""
-    ends = np.cumsum(size)
-    total = int(ends[-1]) if len(ends) else 0
-    at = np.repeat(start - (ends - size), size) + np.arange(total)
-    return data[at], ends
+        inner = cuts[cuts < len(flat)]
+        try:
+            data.decode()
+            if (flat[inner] & 0xC0 != 0x80).all():  # whole characters in every text
+                return pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data))
+        except UnicodeDecodeError:
+            pass
+        return pa.array([data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])], pa.string())
 
 
 @lru_cache(maxsize=2)
@@ -309,12 +253,14 @@ def bpe(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: st
     from those ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
-        for batch in slices(batches, "text"):
-            ids, offsets = enc.encode(batch.column(1).to_pylist())
-            texts = enc.decode(ids, offsets)
-            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(texts, pa.string())],
-                                             ["id", "ids", "decoded"])
+        try:
+            for batch in slices(batches, "text", SLICE):
+                ids, offsets = enc.encode(batch.column(1))
+                texts = enc.decode_column(ids, offsets)
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists, texts], ["id", "ids", "decoded"])
+        finally:
+            enc.memo.clear()  # a worker lives on after its task
 
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()

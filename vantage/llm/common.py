@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from vantage.session import shared_dir
 
 #: bytes of text handled at once inside a task
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
 #: words remembered by a worker before it starts over
 MEMO_WORDS = 200_000
 

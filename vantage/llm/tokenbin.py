@@ -27,20 +27,20 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vantage.llm import files
-from vantage.llm.bpe import Encoder
+from vantage.llm.bpe import SLICE, Encoder
 from vantage.llm.common import map_arrow, scratch, slices
-from vantage.llm.pieces import cut
+from vantage.llm.pieces import SIGN, Memo, buffers, gather, white_starts
 
 MAGIC = b"EFTOKEN1"
-#: ASCII signs: the word pattern takes a run of them behind letters as a token run of its own
-SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 FOOTER = "<8sqqqqqqq"  # magic, docs, null ids, ids, id width, low bits, high words, samples
 SAMPLE = 256
 #: pieces joined to one text for the library
@@ -115,9 +115,7 @@ class EliasFano:
 
 
 class LibraryEncoder(Encoder):
-    """The tokenizers library, asked once for every piece of text met."""
-
-    memo = 5_000_000
+    """The tokenizers library, asked once for every distinct piece of text."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -130,60 +128,44 @@ class LibraryEncoder(Encoder):
         self.size = max(vocab.values()) + 1
         self.bytes = np.zeros(self.size, np.int64)  # of each token: its characters stand for bytes
         self.bytes[list(vocab.values())] = [len(t) for t in vocab]
-        self.reset()
-
-    def _whole(self, text: str) -> list[str]:
-        return [text]
-
-    def _learn(self, new: list[str]) -> list[int]:
-        """Places of new pieces.  A word with signs behind it is the tokens of the word and
-        those of the signs, so the library is asked for either only once."""
-        plan, ask = [], {}
-        for piece in new:
-            body = piece.rstrip(SIGNS)
-            if len(body) < len(piece) and body[:1] == " " and body[1:].isalpha():
-                parts = (body, piece[len(body):])
-                ask.update((p, None) for p in parts if self._place(p) is None)
-            else:
-                parts = (piece,)
-                ask[piece] = None
-            plan.append(parts)
-        asked = list(ask)
-        for p, at in zip(asked, self._ask(asked)):
-            if p[:1] == " ":
-                self.after[p[1:]] = at
-            else:
-                self.index[p] = at
-        start, ids, joined = self.start, self.ids, []
-        for body, signs in (p for p in plan if len(p) == 2):
-            a, b = self._place(body), self._place(signs)
-            joined.append(ids[start[a]:start[a + 1]] + ids[start[b]:start[b + 1]])
-        more = iter(self._enter(joined))
-        return [next(more) if len(p) == 2 else self._place(p[0]) for p in plan]
-
-    def _ask(self, pieces: list[str]) -> list[int]:
-        """Places of pieces that the library encodes: pieces that start with a space joined
-        to texts, whose tokens are told apart by their lengths in bytes; others alone."""
-        joined = [[p for p in pieces[i:i + JOIN] if p[:1] == " "] for i in range(0, len(pieces), JOIN)]
-        joined = [j for j in joined if j and cut("".join(j), self.names)]
-        places: dict[str, int] = {}
-        for j, got in zip(joined, self.lib.encode_batch_fast(["".join(j) for j in joined], add_special_tokens=False)):
-            ids = np.array(got.ids, np.int32)
-            ends = np.cumsum([len(p.encode()) for p in j])
-            token_ends = np.cumsum(self.bytes[ids])
-            stops = np.searchsorted(token_ends, ends) + 1
-            if stops[-1] == len(ids) and (token_ends[stops - 1] == ends).all():
-                first, before = len(self.start) - 1, len(self.ids)
-                self.ids.frombytes(ids.tobytes())
-                self.start.extend((stops + before).tolist())
-                places.update(zip(j, range(first, first + len(j))))
-        alone = [p for p in pieces if p not in places]
-        encoded = self.lib.encode_batch_fast(alone, add_special_tokens=False)
-        places.update(zip(alone, self._enter([e.ids for e in encoded])))
-        return [places[p] for p in pieces]
-
-    def _place(self, piece: str) -> int | None:
-        return self.after.get(piece[1:]) if piece[:1] == " " else self.index.get(piece)
+        self.memo = Memo()
+
+    def _ask(self, texts: list[str]) -> np.ndarray:
+        got = [e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(got), np.int64)
+
+    def _joined(self, pieces: pa.Array, lead: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start and size of each piece's ids, is it certain?) of pieces that are joined, each
+        behind ``lead``, to texts; tokens are told apart by their lengths in bytes."""
+        data, cut = buffers(pc.binary_join_element_wise(pa.scalar(lead.decode()), pieces, "") if lead else pieces)
+        data = data.tobytes()
+        ids = self._ask([data[a:b].decode() for a, b in zip(cut[:-1:JOIN], [*cut[JOIN:-1:JOIN], cut[-1]])])
+        ends = np.r_[0, np.cumsum(self.bytes[ids])]  # before each token, and at the end
+        a, b = np.searchsorted(ends, cut[:-1] + len(lead)), np.searchsorted(ends, cut[1:])
+        sure = (ends[-1] == cut[-1]) & (ends[np.minimum(a, len(ids))] == cut[:-1] + len(lead)) & (
+            ends[np.minimum(b, len(ids))] == cut[1:])
+        return ids, a, b - a, sure
+
+    def _learn(self, new: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        data, cut = buffers(new)
+        head, white = data[cut[:-1]], np.add.reduceat(white_starts(data).astype(np.int64), cut[:-1])
+        plain = not any(" " in s for s in self.names)
+        kinds = [(plain & (head == 32) & (white == 1) & (np.diff(cut) > 1), b""),  # a space and a word
+                 (plain & SIGN[head] & (white == 0), b" a")]  # signs, which never join a letter before them
+        start, size, pool = np.full(len(new), -1), np.zeros(len(new), np.int64), [np.zeros(0, np.int64)]
+        for mask, lead in kinds:
+            at = np.flatnonzero(mask)
+            if len(at):
+                ids, a, n, sure = self._joined(new.take(pa.array(at)), lead)
+                start[at[sure]], size[at[sure]] = a[sure] + sum(map(len, pool)), n[sure]
+                pool.append(ids)
+        rest = np.flatnonzero(start < 0)
+        if len(rest):
+            got = self.lib.encode_batch_fast(new.take(pa.array(rest)).to_pylist(), add_special_tokens=False)
+            size[rest] = [len(e.ids) for e in got]
+            start[rest] = np.cumsum(size[rest]) - size[rest] + sum(map(len, pool))
+            pool.append(np.fromiter(chain.from_iterable(e.ids for e in got), np.int64))
+        return gather(np.concatenate(pool), start, size)[0], size
 
 
 @lru_cache(maxsize=2)
@@ -199,10 +181,10 @@ def write_tokens(df: DataFrame, tokenizer_path: str, folder: str, id_col: str =
         enc = library(tokenizer_path)
         kind = np.dtype("<u2") if enc.size <= 1 << 16 else np.dtype("<u4")
         out, uri, sizes, keys, nulls = None, "", [], [], 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             if out is None:
                 uri, out = files.create(folder, ".tok")
-            ids, offsets = enc.encode(batch.column(1).to_pylist())
+            ids, offsets = enc.encode(batch.column(1))
             stops = offsets[1:] + np.arange(1, len(offsets))  # with an end id for each
             body = np.full(int(offsets[-1]) + batch.num_rows, end_id, kind)
             keep = np.ones(len(body), bool)
@@ -213,6 +195,7 @@ def write_tokens(df: DataFrame, tokenizer_path: str, folder: str, id_col: str =
             key = batch.column(0)
             nulls += key.null_count
             keys.append(np.asarray(key.fill_null(0)).astype("<i8"))
+        enc.memo.clear()  # a worker lives on after its task
         if out is None:
             return
         ends = np.cumsum(np.concatenate(sizes))
