@@ -4,7 +4,7 @@
 of ``docs`` and returns a DataFrame, which is written and read again as the next one's
 ``docs``; all but the last return the columns that they got.
 
-What the stages decide:
+Extra columns go through all stages but the last, whatever their names.  What the stages decide:
 
 - quality: documents that the classifier rejects (score of label 1 below 0.3) go;
 - near_duplicates: of every group of documents linked by 5-word shingles with a Jaccard
@@ -38,9 +38,10 @@ ORACLE_SQL = None
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    scored = quality_classifier.score(docs, quality_classifier.fit(docs, labels), keep=0.3, carry=others)
-    return scored.where("predicted = 1").select(*docs.columns)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]  # apart: their names may be any
+    packed = docs.select("doc_id", "text", F.struct(F.lit(1).alias("#"), *rest).alias("row"))
+    scored = quality_classifier.score(packed, quality_classifier.fit(docs, labels), keep=0.3, carry=("text", "row"))
+    return scored.where("predicted = 1").select(*(F.col("row")[c].alias(c) if c in rest else c for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +60,10 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=10)
-    hashed = F.struct("doc_id", F.xxhash64("text"))  # tells rows without an id apart
+    # a struct tells rows without an id apart
     leaks = materialize(found.where("contaminated").select(F.struct("doc_id", "text_hash").alias("leak")).distinct(), "leaks")
-    return docs.join(leaks, hashed == F.col("leak"), "left_anti").select(*docs.columns)
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.struct("doc_id", F.xxhash64("text").alias("text_hash")).alias("leak"))
+    return packed.join(leaks, "leak", "left_anti").select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
