@@ -111,6 +111,7 @@ def test_run_pipeline_layers_and_gate(spark, scratch):
     assert spark.table("silver_stg_orders").count() == built["silver"]["stg_orders"].count()
     rep = {r.check_name: r.status for r in gold_report(built).collect()}
     assert rep["unique_int_orders_enriched_order_id"] == "pass"
+    assert spark.table("silver_stg_orders").inputFiles()  # read from what was written
     again = run_pipeline(spark, raw, root=scratch + "/g", layers=("gold",), previous=built)
     assert again["gold"]["fct_customer_return_risk_features"].count() == fct.count()
     report = run_checks([Check("stg_orders", "unique", "order_id")], {

@@ -178,17 +178,21 @@ class Result:
     seconds: float
 
 
-def write_checked(df: DataFrame, path: str, checks: Sequence[Check] = ()) -> tuple[DataFrame, int, list[Result]]:
+def write_checked(df: DataFrame, path: str, checks: Sequence[Check] = (),
+                  by: str | None = None) -> tuple[DataFrame, int, list[Result]]:
     """Write ``df`` to ``path`` (Parquet, must be new) and read it back; also its number of
-    rows and the results of the row-level checks among ``checks``, observed on the write."""
+    rows and the results of the row-level checks among ``checks``, observed on the write.
+    ``by``: a column to partition by; its rows are clustered, and a large value is split."""
     rows = [c for c in checks if c.kind in ROW_KINDS]
     seen = Observation()
     began = time.perf_counter()
-    (df.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count_if(_row_fail(c)).alias(f"c{i}") for i, c in enumerate(rows)))
-     .write.parquet(path))
+    dealt = df.hint("rebalance", by) if by else df
+    writer = dealt.observe(seen, F.count(F.lit(1)).alias("rows"),
+                           *(F.count_if(_row_fail(c)).alias(f"c{i}") for i, c in enumerate(rows))).write
+    (writer.partitionBy(by) if by else writer).parquet(path)
     share = (time.perf_counter() - began) / (len(rows) + 1)
     got = seen.get
-    return (df.sparkSession.read.schema(df.schema).parquet(path), got["rows"],
+    return (df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns), got["rows"],
             [Result(c, got[f"c{i}"], share) for i, c in enumerate(rows)])
 
 

@@ -5,7 +5,10 @@ Parquet and read back, so every consumer (the next layer, the quality suite,
 analyst queries) scans the stored table instead of recomputing its lineage,
 and a lost executor only costs the tasks of the stage it was running.  Tables
 go to ``root`` or, by default, to a fresh folder under the session's shared
-checkpoint folder (``spark.checkpoint.dir``).
+checkpoint folder (``spark.checkpoint.dir``), each run to folders of its own;
+``publish`` then switches the tables of a catalogue schema to them.
+
+The feature table is stored by snapshot, so a reader of one snapshot reads one folder.
 """
 
 from __future__ import annotations
@@ -13,51 +16,64 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vantage.operators.quality import Check, Result, evaluate, gate, report, run_checks, write_checked
 from vantage.plans.gold import fct_customer_return_risk_features, int_orders_enriched
 from vantage.plans.silver import build_silver
 from vantage.plans.suites import gold_suite, silver_suite
 from vantage.session import ensure_checkpoint_dir
+from vantage.sinks.write import point_table
 
 LAYERS = ("bronze", "silver", "gold")
+#: column that a table is stored by
+STORED_BY = {"fct_customer_return_risk_features": "snapshot_date"}
 
 
 def staging_root(spark: SparkSession, name: str = "tables") -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@dataclass
+class Record:
+    """What a run wrote: results of its layers' suites, rows and folder of each table."""
+
+    results: list[Result] = field(default_factory=list)
+    rows: dict[str, int] = field(default_factory=dict)
+    paths: dict[str, str] = field(default_factory=dict)
+
+
 def stage(df: DataFrame, root: str, layer: str, name: str, checks: Sequence[Check] = (),
-          results: list[Result] | None = None, counts: dict[str, int] | None = None) -> DataFrame:
+          record: Record | None = None, prefix: str = "") -> DataFrame:
     """Write ``df`` to a new folder below ``root/layer/name`` (Parquet) and read it back: what an
     earlier run wrote stays for its readers.  Row-level ``checks`` on the table ride on the
-    write; their results go to ``results``, the number of rows to ``counts``."""
+    write."""
     path = f"{root.rstrip('/')}/{layer}/{name}/run-{uuid.uuid4().hex[:12]}"
-    out, rows, found = write_checked(df, path, [c for c in checks if c.table == name])
-    if results is not None:
-        results += found
-    if counts is not None:
-        counts[name] = rows
-    out.createOrReplaceTempView(f"{layer}_{name}")
+    out, rows, found = write_checked(df, path, [c for c in checks if c.table == name], STORED_BY.get(name))
+    if record is not None:
+        record.results += found
+        record.rows[name], record.paths[name] = rows, path
+    out.createOrReplaceTempView(f"{prefix}{layer}_{name}")
     return out
 
 
 def stage_all(frames: dict[str, DataFrame], root: str, layer: str, threads: int = 4, checks: Sequence[Check] = (),
-              results: list[Result] | None = None, counts: dict[str, int] | None = None) -> dict[str, DataFrame]:
+              record: Record | None = None, prefix: str = "") -> dict[str, DataFrame]:
     """Materialise independent tables of one layer, up to ``threads`` Spark jobs
     at a time (the tables share no lineage, so their jobs can overlap)."""
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        futures = {n: pool.submit(stage, df, root, layer, n, checks, results, counts) for n, df in frames.items()}
+        futures = {n: pool.submit(stage, df, root, layer, n, checks, record, prefix) for n, df in frames.items()}
         return {n: f.result() for n, f in futures.items()}
 
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str | None = None,
                  layers=LAYERS, lead: str = "1 month", fail_on: Sequence[str] = ("error", "warn"),
                  previous: dict[str, dict[str, DataFrame]] | None = None,
-                 threads: int = 4, written=("silver", "gold"), results: list[Result] | None = None,
-                 counts: dict[str, int] | None = None) -> dict[str, dict[str, DataFrame]]:
+                 threads: int = 4, written=("silver", "gold"), record: Record | None = None,
+                 publish: str | None = None, prefix: str = "") -> dict[str, dict[str, DataFrame]]:
     """Build the requested layers.  ``layers=("gold",)`` rebuilds gold only from
     the silver tables in ``previous``.  A layer's suite is checked as it is written (row-level
     checks) and on its written tables (keys): a failed check with a status in ``fail_on`` stops
@@ -65,44 +81,58 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str | Non
     declare; ``fail_on=()`` runs no gate).  Tables of one layer are written ``threads`` at a
     time, in dependency order across layers.
 
-    ``written``: layers materialised as tables.  ``results``: a list that takes the results of
-    the layers' suites; ``counts``: a dictionary that takes the rows of each written table."""
+    ``written``: layers materialised as tables.  ``record`` takes what was written, and the
+    results of the suites.  ``publish``: a schema whose tables are switched to the written
+    ones after all gates; ``prefix``: of the temporary views' names, so that runs of one
+    session can stay apart."""
     root = root or staging_root(spark)
+    made = Record()
     out: dict[str, dict[str, DataFrame]] = {"bronze": raw}
     for name, df in raw.items():
-        df.createOrReplaceTempView(f"bronze_{name}")
+        df.createOrReplaceTempView(f"{prefix}bronze_{name}")
 
-    def checked(suite: list[Check], tables: dict[str, DataFrame], seen: list[Result]) -> None:
-        if not fail_on and results is None:
+    def checked(suite: list[Check], tables: dict[str, DataFrame]) -> None:
+        if not fail_on and record is None:
             return
-        found = evaluate(suite, tables, done=seen, threads=threads)
-        if results is not None:
-            results.extend(found)
+        found = evaluate(suite, tables, done=[r for r in made.results if r.check in suite], threads=threads)
+        if record is not None:
+            record.results += found
         if fail_on:
             gate(report(spark, found), fail_on)
 
-    seen: list[Result] = []
     if "silver" in layers and "silver" in written:
-        out["silver"] = stage_all(build_silver(raw), root, "silver", threads, silver_suite(), seen, counts)
+        out["silver"] = stage_all(build_silver(raw), root, "silver", threads, silver_suite(), made, prefix)
     elif "silver" in layers:
         out["silver"] = build_silver(raw)
     else:
         out["silver"] = (previous or {}).get("silver") or build_silver(raw)
     s = out["silver"]
     if "silver" in layers:
-        checked(silver_suite(), {**raw, **s}, seen)
+        checked(silver_suite(), {**raw, **s})
     if "gold" in layers:
-        suite, seen = gold_suite(), []
+        suite = gold_suite()
         enriched = stage(int_orders_enriched(s["stg_orders"], s["stg_order_payments"], s["stg_order_reviews"],
                                              s["stg_order_items"], s["stg_customers"], s["stg_geolocation"],
-                                             raw["sellers"]), root, "gold", "int_orders_enriched", suite, seen, counts)
+                                             raw["sellers"]), root, "gold", "int_orders_enriched", suite, made, prefix)
         fct = stage(fct_customer_return_risk_features(enriched, lead), root, "gold",
-                    "fct_customer_return_risk_features", suite, seen, counts)
+                    "fct_customer_return_risk_features", suite, made, prefix)
         out["gold"] = {"int_orders_enriched": enriched, "fct_customer_return_risk_features": fct}
-        checked(suite, {**raw, **s, **out["gold"]}, seen)
+        checked(suite, {**raw, **s, **out["gold"]})
+    if record is not None:
+        record.rows |= made.rows
+        record.paths |= made.paths
+    if publish is not None:
+        tables = {n: df for layer in out.values() for n, df in layer.items()}
+        for name, path in made.paths.items():
+            point_table(spark, publish, name, path, tables[name].schema, by=STORED_BY.get(name))
     return out
 
 
+def latest_rows(stored: DataFrame, by: str = "snapshot_date") -> DataFrame:
+    """Rows of the last snapshot of a table stored by snapshot: its folder alone is read."""
+    return stored.where(F.col(by) == stored.agg(F.max(by)).scalar())
+
+
 def gold_report(tables: dict[str, dict[str, DataFrame]]) -> DataFrame:
     """Quality report of the gold layer (the enriched-order key check is an error)."""
     flat = {n: df for layer in tables.values() for n, df in layer.items()}

@@ -71,9 +71,10 @@ def _fct(spark, sf_dir):
 
 
 def _latest(spark, sf_dir):
-    """Feature rows of the latest snapshot only."""
-    _, _, enriched = layers(spark, sf_dir)
-    return fct_customer_return_risk_features(enriched, snapshots="latest")
+    """Feature rows of the latest snapshot, from the stored feature table."""
+    from vantage.plans.pipeline import latest_rows
+    from vantage.plans.store import stored_layers
+    return latest_rows(stored_layers(spark, sf_dir).layers["gold"]["fct_customer_return_risk_features"])
 
 
 def _events(spark, sf_dir):
@@ -313,11 +314,11 @@ def csv_load_reviews(spark, sf_dir):
 def gate_verdict(spark, sf_dir):
     """Bronze and silver checks with message, time and whether the check stops a run."""
     from vantage.operators.quality import evaluate, report
-    from vantage.plans.pipeline import run_pipeline
+    from vantage.plans.pipeline import Record, run_pipeline
     from vantage.plans.suites import bronze_suite
-    raw, results = raw_from_tpch(spark, sf_dir), []
-    run_pipeline(spark, raw, layers=("silver",), fail_on=(), results=results)
-    found = report(spark, evaluate(bronze_suite(), raw) + results)
+    raw, record = raw_from_tpch(spark, sf_dir), Record()
+    run_pipeline(spark, raw, layers=("silver",), fail_on=(), record=record)
+    found = report(spark, evaluate(bronze_suite(), raw) + record.results)
     return found.select("check_name", "table_name", "status", F.coalesce("message", F.lit("")).alias("message"),
                          (F.col("execution_time") > 0).alias("timed"), (F.col("failures") > 0).alias("stops"))
 
@@ -363,18 +364,16 @@ def orders_overview_q(spark, sf_dir):
     return orders_overview(silver["stg_orders"])
 
 
-def _all_tables(spark, sf_dir):
-    """Every layer, with silver and gold written once (see plans.pipeline)."""
-    from vantage.plans.pipeline import run_pipeline
-    from vantage.sources.seeds import all_seeds
-    built = run_pipeline(spark, raw_from_tpch(spark, sf_dir), fail_on=())
-    return {**built, "seeds": all_seeds(spark)}
-
-
 @register("layer_row_counts")
 def layer_row_counts_q(spark, sf_dir):
+    """Stored tables are counted by their footers, the views of bronze and the seeds by a scan."""
     from vantage.plans.analytics import layer_row_counts
-    return layer_row_counts(_all_tables(spark, sf_dir))
+    from vantage.plans.store import footer_counts, stored_layers
+    from vantage.sources.seeds import all_seeds
+    stored = stored_layers(spark, sf_dir)
+    paths = {(layer, name): stored.paths[name] for layer in ("silver", "gold") for name in stored.layers[layer]}
+    scanned = layer_row_counts({"bronze": stored.layers["bronze"], "seeds": all_seeds(spark)})
+    return scanned.unionByName(footer_counts(spark, paths)).orderBy("layer", "table_name")
 
 
 @register("load_audit")
@@ -445,14 +444,14 @@ def dq_report(spark, sf_dir):
     from concurrent.futures import ThreadPoolExecutor
 
     from vantage.operators.quality import evaluate, report
-    from vantage.plans.pipeline import run_pipeline
+    from vantage.plans.pipeline import Record, run_pipeline
     from vantage.plans.suites import bronze_suite, seed_suite
     from vantage.sources.seeds import all_seeds
-    raw, results = raw_from_tpch(spark, sf_dir), []
+    raw, record = raw_from_tpch(spark, sf_dir), Record()
     with ThreadPoolExecutor(max_workers=1) as beside:
         unwritten = beside.submit(evaluate, bronze_suite() + seed_suite(), {**raw, **all_seeds(spark)}, threads=2)
-        run_pipeline(spark, raw, fail_on=(), results=results)
-        found = report(spark, unwritten.result() + results)
+        run_pipeline(spark, raw, fail_on=(), record=record)
+        found = report(spark, unwritten.result() + record.results)
     return found.select(*(c for c in found.columns if c != "execution_time"), (F.col("execution_time") > 0).alias("timed"))
 
 

@@ -1,17 +1,75 @@
-"""Sinks: table replace, month-partitioned Parquet, partition audit."""
+"""Sinks: table replace by versions, month-partitioned Parquet, partition audit.
+
+A table that is replaced is an external table on one of its version folders.  New rows are
+written to a new folder first; then the table's location is switched, one catalogue
+operation.  Readers see the old rows or the new ones, and a write that fails loses nothing.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 
+def _fs(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of any scheme."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-def replace_table(df: DataFrame, schema: str, table: str, fmt: str = "parquet") -> str:
-    """``CREATE SCHEMA IF NOT EXISTS`` + overwrite the managed table."""
+
+def point_table(spark: SparkSession, schema: str, table: str, path: str, columns: T.StructType, fmt: str = "parquet",
+                by: str | None = None) -> str:
+    """Make ``schema.table`` the rows under ``path``: its location is switched where it has these
+    columns already.  With other columns a table made aside takes the name, and only the
+    catalogue entry of the old one goes.  Rows partitioned ``by`` a column become a view on
+    their folder, replaced in one operation as well, because a catalogue keeps the place of
+    each partition."""
+    name = f"`{schema}`.`{table}`"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+    # what a catalogue keeps of columns: names and types
+    shape = lambda s: [(f.name, f.dataType.simpleString()) for f in s]
+    if by is not None:
+        listed = ", ".join(f"`{f.name}`" for f in columns)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {listed} FROM {fmt}.`{path}`")
+        return name
+    if spark.catalog.tableExists(f"{schema}.{table}") and shape(spark.table(name).schema) == shape(columns):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        aside = f"{table}_{uuid.uuid4().hex[:8]}"
+        spark.catalog.createTable(f"{schema}.{aside}", path=path, source=fmt, schema=columns)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"ALTER TABLE `{schema}`.`{aside}` RENAME TO {name}")
+    spark.catalog.refreshTable(name)
+    return name
+
+
+def replace_table(df: DataFrame, schema: str, table: str, fmt: str = "parquet", root: str | None = None,
+                  keep: int = 2) -> str:
+    """Write ``df`` as the next version of ``schema.table`` and switch the table to it.
+
+    Versions are folders under ``root/table`` (by default beside the schema's own tables);
+    the latest ``keep`` stay, so that running readers of the previous one can end."""
     spark = df.sparkSession
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
-    name = f"`{schema}`.`{table}`"
-    df.write.mode("overwrite").format(fmt).saveAsTable(name)
+    if root is None:
+        where = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE SCHEMA `{schema}`").collect()}
+        root = f"{where['Location'].rstrip('/')}/versions"
+    home = f"{root.rstrip('/')}/{table}"
+    path = f"{home}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    fs, place = _fs(spark, path)
+    try:
+        df.write.format(fmt).save(path)
+        name = point_table(spark, schema, table, path, spark.read.format(fmt).load(path).schema, fmt)
+    except BaseException:
+        fs.delete(place, True)
+        raise
+    held = sorted(s.getPath().getName() for s in fs.listStatus(place.getParent()))
+    for old in held[:-keep]:
+        fs.delete(_fs(spark, f"{home}/{old}")[1], True)
     return name
 
 
