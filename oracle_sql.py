@@ -500,6 +500,12 @@ dated AS (
                      (SELECT base_risk_score FROM payment_method_risk WHERE payment_type = primary_payment_type)
                          AS payment_method_risk_score
               FROM int_orders_enriched)"""
+    q["payment_risk_from_file"] = with_seeds + canon("primary_payment_type", "order_id:l",
+                                                     "payment_method_risk_score:d") + """
+        FROM (SELECT order_id, primary_payment_type,
+                     (SELECT base_risk_score + 0.05 FROM payment_method_risk
+                      WHERE payment_type = primary_payment_type AND payment_type <> 'boleto') AS payment_method_risk_score
+              FROM int_orders_enriched)"""
     q["category_prior"] = with_seeds + canon("order_id:l", "items:l", "items_with_prior:l",
                                              "max_category_prior:d", "avg_category_prior:d") + """
         FROM (SELECT order_id, count(*) AS items, count(fraud_prior) AS items_with_prior,
@@ -654,6 +660,23 @@ owm AS (
                {text('order_purchase_timestamp')}, {text('order_approved_at')}, {text('order_delivered_carrier_date')},
                {text('order_delivered_customer_date')}, {text('order_estimated_delivery_date')}, {stamp}
         FROM raw_orders"""
+    q["table_replaced"] = with_ctes(RAW) + canon("reader", "order_status", "orders:l", "customers:l") + """
+        FROM (SELECT 'early' AS reader, order_status, count(*) AS orders, sum(customer_id) AS customers
+              FROM raw_orders WHERE order_status <> 'delivered' GROUP BY ALL
+              UNION ALL
+              SELECT 'now', order_status, count(*), sum(customer_id) FROM raw_orders WHERE order_id % 3 <> 0 GROUP BY ALL) x"""
+    q["landed_orders"] = with_ctes(RAW) + f"""
+        SELECT order_id::VARCHAR AS order_id, customer_id::VARCHAR AS customer_id, order_status,
+               {text('order_purchase_timestamp')}, {text('order_approved_at')}, {text('order_delivered_carrier_date')},
+               {text('order_delivered_customer_date')}, {text('order_estimated_delivery_date')}, 'orders' AS event_type,
+               '2026-01-01T00:00:00+00:00' AS _loaded_at, 'part' AS _source_file
+        FROM raw_orders"""
+    q["partitions_synced"] = with_ctes(RAW, owm) + """
+        SELECT partition_month, CASE partition_month WHEN '1996-02' THEN 'removed' WHEN '1997-01' THEN 'added' ELSE 'kept' END AS change,
+               CASE WHEN partition_month = '1996-02' THEN 0 ELSE count(*) END AS row_count
+        FROM owm GROUP BY partition_month"""
+    q["catalog_schemas"] = with_ctes(RAW) + """
+        SELECT order_status AS table_schema, count(*) AS orders FROM raw_orders GROUP BY 1"""
     q["csv_load_reviews"] = with_ctes(RAW) + f"""
         SELECT review_id, order_id::VARCHAR AS order_id, review_score::BIGINT AS review_score, review_comment_title,
                review_comment_message || chr(10) || '"' || review_id || '", again' AS review_comment_message,

@@ -151,7 +151,8 @@ def test_catalog_register_and_event_type(spark, scratch):
     df = spark.range(5).select(F.col("id"), (F.col("id") % 2).alias("part"))
     path = os.path.join(scratch, "tbl")
     df.write.partitionBy("part").parquet(path)
-    name = register_table(spark, "vantage_test_tbl", path)
+    name = "vantage_test_tbl"
+    register_table(spark, name, path)
     assert spark.table(name).count() == 5
     spark.sql("CREATE SCHEMA IF NOT EXISTS vantage_empty")
     held = [r.table_schema for r in list_schemas(spark).collect()]
@@ -173,3 +174,66 @@ def test_land_by_event_type(spark, scratch):
     got = {r.event_type: r.n for r in spark.read.parquet(path).groupBy("event_type")
            .agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == {"orders": 2, "sellers": 1}
+
+
+def test_sources_land_beside_each_other_and_read_back_by_folder(spark, scratch):
+    from pyspark.sql import types as T
+    from vantage.sources.catalog import land_by_event_type, read_landed
+    write(f"{scratch}/raw/olist_orders_dataset.csv/part-0.csv", "order_id,n\no1,1\no2,2\n")
+    write(f"{scratch}/raw/olist_orders_dataset.csv/part-1.csv", "order_id,n\no3,3\n")
+    write(f"{scratch}/raw/olist_sellers_dataset.csv", "seller_id\ns1\n")
+    orders = T.StructType.fromDDL("order_id string, n long")
+    path = f"{scratch}/landed"
+    load = lambda file, ddl: spark.read.option("header", True).schema(ddl).csv(f"{scratch}/raw/{file}")
+    land_by_event_type(load("olist_orders_dataset.csv", "order_id string, n long"), path)
+    land_by_event_type(load("olist_sellers_dataset.csv", "seller_id string"), path)
+    assert sorted(os.listdir(path))[-2:] == ["event_type=orders", "event_type=sellers"]
+    got = read_landed(spark, path, "orders", orders, loaded_at="now")
+    assert [(r.order_id, r.n, r.event_type, r._loaded_at) for r in got.orderBy("order_id").collect()] == \
+        [("o1", 1, "orders", "now"), ("o2", 2, "orders", "now"), ("o3", 3, "orders", "now")]
+    assert all(f.endswith(".parquet") for (f,) in got.select("_source_file").distinct().collect())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "event_type" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    write(f"{scratch}/raw/olist_orders_dataset.csv/part-2.csv", "order_id,n\no4,4\n")
+    land_by_event_type(load("olist_orders_dataset.csv", "order_id string, n long"), path)  # again: replaced, not doubled
+    assert read_landed(spark, path, "orders", orders).count() == 4
+    sellers = read_landed(spark, path, "sellers", T.StructType.fromDDL("seller_id string"))
+    assert [r.seller_id for r in sellers.collect()] == ["s1"]
+
+
+def test_partition_sync_reports_what_came_and_went(spark, scratch):
+    from vantage.sinks.write import delete_folder
+    from vantage.sources.catalog import register_table, sync_partitions
+    path = os.path.join(scratch, "synced")
+    df = spark.range(12).select("id", (F.col("id") % 4).alias("p"))
+    df.where("p < 3").write.partitionBy("p").parquet(path)
+    found = register_table(spark, "vantage_sync_tbl", path)
+    try:
+        assert [tuple(r) for r in found.collect()] == [(f"p={i}", "added") for i in range(3)]
+        assert delete_folder(spark, f"{path}/p=1") and not delete_folder(spark, f"{path}/p=7")
+        df.where("p = 3").write.mode("append").partitionBy("p").parquet(path)
+        assert [tuple(r) for r in sync_partitions(spark, "vantage_sync_tbl").collect()] == \
+            [("p=0", "kept"), ("p=1", "removed"), ("p=2", "kept"), ("p=3", "added")]
+        assert sorted(r.p for r in spark.table("vantage_sync_tbl").collect()) == [0] * 3 + [2] * 3 + [3] * 3
+        assert {r.change for r in sync_partitions(spark, "vantage_sync_tbl").collect()} == {"kept"}
+    finally:
+        spark.sql("DROP TABLE vantage_sync_tbl")
+    spark.range(2).write.parquet(f"{scratch}/flat")
+    try:
+        assert register_table(spark, "vantage_flat_tbl", f"{scratch}/flat", partitioned=False).collect() == []
+        assert spark.table("vantage_flat_tbl").count() == 2
+    finally:
+        spark.sql("DROP TABLE vantage_flat_tbl")
+
+
+def test_parquet_source_and_stamp(spark, scratch):
+    """SRC-08 and FN-15: Parquet roots by declared schema, one stamp a run."""
+    import re
+    from vantage.sources.raw import load_raw, load_stamp
+    spec = SOURCES["sellers"]
+    rows = spark.createDataFrame([("s1", "01151", "recife", "PE")], spec.schema)
+    rows.select(*reversed(rows.columns)).withColumn("more", F.lit(1)).write.parquet(f"{scratch}/{spec.table}")
+    got = load_raw(spark, scratch, fmt="parquet", names=["sellers"])["sellers"].first()
+    assert (got.seller_id, got.seller_zip_code_prefix, got.seller_state) == ("s1", "01151", "PE")
+    assert got._source_file.endswith(".parquet") and re.fullmatch(r"\d{4}-\d\d-\d\dT[\d:.]+\+00:00", got._loaded_at)
+    assert load_stamp() <= load_stamp()

@@ -215,6 +215,19 @@ def payment_risk_q(spark, sf_dir):
     return payment_risk(enriched)
 
 
+@register("payment_risk_from_file")
+def payment_risk_from_file(spark, sf_dir):
+    """The lookup with a seed that was edited in its file."""
+    from vantage.plans.extended import payment_risk
+    from vantage.sources.seeds import read_seed, seed_frame
+    root, name = _scratch(spark, "seeds"), "payment_method_risk"
+    edited = seed_frame(spark, name).where("payment_type != 'boleto'").withColumn(
+        "base_risk_score", F.col("base_risk_score") + 0.05)
+    edited.write.options(header=True, escape='"').csv(f"{root}/{name}.csv")
+    _, _, enriched = layers(spark, sf_dir)
+    return payment_risk(enriched, read_seed(spark, root, name))
+
+
 @register("category_prior")
 def category_prior_q(spark, sf_dir):
     from vantage.plans.extended import category_prior
@@ -278,25 +291,22 @@ def partition_audit_q(spark, sf_dir):
         "partition_month", "row_count", (F.col("part_files") > 0).alias("has_files"))
 
 
-def _land_csv(spark, sf_dir) -> str:
-    """Driver orders and reviews as CSV part files: columns in another order, quoted line
+def _land_csv(spark, sf_dir, name) -> str:
+    """Driver orders or reviews as CSV part files: columns in another order, quoted line
     breaks in the comments."""
     from vantage.sources.raw import SOURCES
-    raw, root = raw_from_tpch(spark, sf_dir), _scratch(spark, "csv")
+    df, root = raw_from_tpch(spark, sf_dir)[name], _scratch(spark, "csv")
+    if name == "order_reviews":
+        df = df.withColumn("review_comment_message", F.concat(
+            F.col("review_comment_message"), F.lit('\n"'), F.col("review_id"), F.lit('", again')))
     options = {"header": True, "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
-    orders = raw["orders"]
-    orders.select(*reversed(orders.columns)).write.options(**options).csv(f"{root}/{SOURCES['orders'].file}")
-    reviews = raw["order_reviews"].withColumn("review_comment_message", F.concat(
-        F.col("review_comment_message"), F.lit('\n"'), F.col("review_id"), F.lit('", again')))
-    (reviews.select(*sorted(reviews.columns)).write.options(**options)
-     .csv(f"{root}/{SOURCES['order_reviews'].file}"))
+    df.select(*sorted(df.columns, reverse=True)).write.options(**options).csv(f"{root}/{SOURCES[name].file}")
     return root
 
 
 def _loaded(spark, sf_dir, name):
     from vantage.sources.raw import load_raw
-    df = load_raw(spark, _land_csv(spark, sf_dir), loaded_at="2026-01-01T00:00:00+00:00",
-                  names=["orders", "order_reviews"])[name]
+    df = load_raw(spark, _land_csv(spark, sf_dir, name), loaded_at="2026-01-01T00:00:00+00:00", names=[name])[name]
     return df.withColumn("_source_file", F.regexp_replace("_source_file", "^part-.*[.]csv$", "part"))
 
 
@@ -504,3 +514,92 @@ def incremental_ingest(spark, sf_dir):
 def ingest_upsert(spark, sf_dir):
     from vantage.streaming.upsert import demo_changed_orders
     return demo_changed_orders(spark, sf_dir, _scratch(spark, "upsert"))
+
+
+# --------------------------------------------------- tables and catalogue
+
+@register("table_replaced")
+def table_replaced(spark, sf_dir):
+    """A table written twice and a third time in vain: rows by status as a reader of the first
+    version and a reader of the table see them."""
+    from vantage.sinks.write import replace_table
+    orders, root = raw_from_tpch(spark, sf_dir)["orders"], _scratch(spark, "replaced")
+    schema = "vantage_" + root.rpartition("-")[2]
+    kept = orders.select("order_id", "customer_id", "order_status")
+    name = replace_table(kept.where("order_status != 'delivered'"), schema, "orders", root=root)
+    early = spark.table(name)
+    replace_table(kept.where("order_id % 3 != 0"), schema, "orders", root=root)
+    broken = F.when(F.col("order_id") >= 0, F.raise_error(F.lit("refused")).cast("string")).alias("order_status")
+    try:
+        replace_table(kept.select("order_id", "customer_id", broken), schema, "orders", root=root)
+    except Exception as e:  # the write's own error, whatever class carries it
+        if "refused" not in str(e):
+            raise
+    seen = {"early": early, "now": spark.table(name)}
+    out = [df.groupBy("order_status").agg(F.count(F.lit(1)).alias("orders"), F.sum("customer_id").alias("customers"))
+           .withColumn("reader", F.lit(reader)) for reader, df in seen.items()]
+    spark.sql(f"DROP SCHEMA {schema} CASCADE")  # the catalogue's entry; the rows stay with their readers
+    return out[0].unionByName(out[1])
+
+
+@register("landed_orders")
+def landed_orders(spark, sf_dir):
+    """Two sources landed as Parquet by event type, one read back through its folder."""
+    from vantage.sources.catalog import land_by_event_type, read_landed
+    from vantage.sources.raw import SOURCES, read_source
+    raw, root = raw_from_tpch(spark, sf_dir), _scratch(spark, "landing")
+    options = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+    for name in ("orders", "customers"):
+        spec = SOURCES[name]
+        raw[name].select(*spec.schema.fieldNames()).write.options(**options).csv(f"{root}/raw/{spec.file}")
+        land_by_event_type(read_source(spark, f"{root}/raw", name).select(*spec.schema.fieldNames()), f"{root}/landed")
+    back = read_landed(spark, f"{root}/landed", "orders", SOURCES["orders"].schema, loaded_at="2026-01-01T00:00:00+00:00")
+    return back.withColumn("_source_file", F.regexp_replace("_source_file", "^part-.*[.]parquet$", "part"))
+
+
+@register("partitions_synced")
+def partitions_synced(spark, sf_dir):
+    """A registered table by month after one month was removed and one added: what the
+    synchronisation reports, and the rows that the table then has."""
+    from vantage.plans.extended import orders_with_merchant
+    from vantage.sinks.write import delete_folder, write_month_partitioned
+    from vantage.sources.catalog import register_table, sync_partitions
+    raw, path = raw_from_tpch(spark, sf_dir), _scratch(spark, "months")
+    orders = orders_with_merchant(raw["orders"], raw["order_items"]).select("order_id", "merchant_id", "partition_month")
+    write_month_partitioned(orders.where("partition_month != '1997-01'"), path)
+    name = "vantage_months_" + path.rpartition("-")[2]
+    register_table(spark, name, path)
+    delete_folder(spark, f"{path}/partition_month=1996-02")
+    write_month_partitioned(orders.where("partition_month = '1997-01'"), path, replace="months")
+    changes = sync_partitions(spark, name).select(
+        F.split_part("partition", F.lit("="), F.lit(2)).alias("partition_month"), "change")
+    rows = spark.table(name).groupBy("partition_month").agg(F.count(F.lit(1)).alias("row_count"))
+    out = changes.join(rows, "partition_month", "full").select("partition_month", "change",
+                                                              F.coalesce("row_count", F.lit(0)).alias("row_count"))
+    found = _scratch(spark, "synced")
+    out.write.parquet(found)  # a partitioned table is read through the catalogue
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(out.schema).parquet(found)
+
+
+@register("catalog_schemas")
+def catalog_schemas(spark, sf_dir):
+    """Schemas that hold tables, of one made for each order status and an empty one."""
+    from vantage.sinks.write import replace_table
+    from vantage.sources.catalog import list_schemas
+    orders, root = raw_from_tpch(spark, sf_dir)["orders"], _scratch(spark, "schemas")
+    mark = "vantage_" + root.rpartition("-")[2] + "_"
+    made = [mark + s for s in ("canceled", "delivered", "processing")]
+    for name in made:
+        replace_table(orders.where(F.col("order_status") == name.removeprefix(mark)), name, "orders", root=f"{root}/{name}")
+    spark.sql(f"CREATE SCHEMA {mark}empty")
+    held = list_schemas(spark).where(F.col("table_schema").startswith(mark))
+    found = [r.table_schema for r in held.collect()]  # the schemas made here
+    counts = [spark.table(f"{n}.orders").agg(F.count(F.lit(1)).alias("orders"))
+              .select(F.lit(n.removeprefix(mark)).alias("table_schema"), "orders") for n in found]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    for name in (*made, f"{mark}empty"):
+        spark.sql(f"DROP SCHEMA {name} CASCADE")
+    return out

@@ -21,6 +21,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Remove a folder on whatever file system it is; false where there was none."""
+    fs, place = _fs(spark, path)
+    return fs.delete(place, True)
+
+
 def point_table(spark: SparkSession, schema: str, table: str, path: str, columns: T.StructType, fmt: str = "parquet",
                 by: str | None = None) -> str:
     """Make ``schema.table`` the rows under ``path``: its location is switched where it has these
