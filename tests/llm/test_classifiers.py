@@ -1,10 +1,12 @@
+import math
 import random
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 
-from vantage.llm import quality, toxicity
+from vantage.llm import common, labelled, quality, toxicity
 
 
 def data(seed=3, n=500):
@@ -117,3 +119,94 @@ def test_hidden_writing_and_nearness():
     plain, near, hidden = f("a zonk " + "x " * 30), f("you zonk " + "x " * 30), f("a z0nk! " + "x " * 30)
     assert plain[1] == near[1] == hidden[1] > 0 and near[7] > plain[7] == 0 and hidden[15] > 0 == plain[15]
     assert (f(None) == 0).all() and (f("") == 0).all()
+
+
+def test_samples_are_bounded_by_rows_and_leave_out_conflicting_labels(spark):
+    docs = spark.createDataFrame([(i % 4, f"text {i // 40}") for i in range(400)] + [(50, "z")], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 0), (1, 1), (2, 1), (2, 0), (3, 0), (3, 0), (50, 1), (None, 1)], "doc_id long, quality int")
+    got = labelled.labelled_sample(docs, labels, "quality", "doc_id", "text", 1).collect()
+    assert sorted(r.label for r in got) == [0, 1]
+    some = labelled.labelled_sample(docs, labels, "quality", "doc_id", "text", 10).collect()
+    known = {i: q for i, q in ((0, 0), (1, 1), (3, 0), (50, 1)) if zlib.crc32(str(i).encode()) % 5}
+    assert {r.id: r.label for r in some} == known and len(some) == len(known)
+    again = labelled.labelled_sample(docs.repartition(3), labels, "quality", "doc_id", "text", 10).collect()
+    assert sorted(map(tuple, some)) == sorted(map(tuple, again))
+    assert labelled.label_counts(labels, "quality", "doc_id").tolist() == [list(known.values()).count(v) for v in (0, 1)]
+
+
+ALL = (1 << 64) - 1
+
+
+def plain_mix(x):
+    x = (x ^ x >> 31) * 0xBF58476D1CE4E5B9 & ALL
+    x = (x ^ x >> 29) * 0x94D049BB133111EB & ALL
+    return x ^ x >> 32
+
+
+def plain_quality(text, odds, bias):
+    def bucket(code, kind):
+        return ((code ^ kind * 0xD1B54A32D192ED03 & ALL) * 0x9E3779B97F4A7C15 & ALL) >> 50
+
+    def hashed(word):
+        return plain_mix((sum(int(common._BYTE[b]) * pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i, b in enumerate(word))
+                          + len(word)) & ALL)
+
+    words = [w for w in re.split(rb"[\x20\x09-\x0D]+", (text or "").encode()) if w]
+    total = 0.0
+    for i, w in enumerate(words):
+        marked = b"\x02" + w + b"\x03"
+        grams = [bucket(int.from_bytes(marked[j:j + g], "little"), g) for g in quality.GRAMS for j in range(len(marked) - g + 1)]
+        total += sum(odds[b] for b in [bucket(hashed(w), 0), *grams]) / (1 + len(grams))
+        if i:
+            a, b = hashed(words[i - 1]), hashed(w)
+            total += odds[quality.SAME if a == b else bucket((3 * a + b) & ALL, 1)]
+    z = total / max(2 * len(words) - 1, 1) + bias
+    return 1 / (1 + math.exp(-z))
+
+
+def test_quality_scores_equal_a_plain_version(spark):
+    docs, labels = frames(spark)
+    model = quality.fit(docs, labels)
+    docs = docs.where("doc_id != 9003").unionByName(spark.createDataFrame([(77, "é ü-x A A a", 0, 0.0)], docs.schema))
+    got = quality.score(docs.select("doc_id", "text"), model, carry=("text",)).collect()
+    assert all(math.isclose(r.score, plain_quality(r.text, *model), abs_tol=1e-9) for r in got)
+
+
+def plain_toxicity(text, model):
+    tokens = (text or "").encode().split()
+    x = [0.0] * toxicity.N_FEATURES
+    if tokens:
+        n, data = len(tokens), (text or "").encode()
+        tier, second, caps, hidden, behind = [], [], [], [], []
+        for t in tokens:
+            word, read, masked = toxicity.terms(t)
+            look = lambda w: min((model.lexicon[s] for s in toxicity.stems(w) if s in model.lexicon), default=0)
+            b = look(read) if masked else 0
+            tier.append(look(word) or b)
+            second.append(word in toxicity.SECOND)
+            caps.append(len(word) > 1 and t.decode().isupper())
+            hidden.append(masked)
+            behind.append(b > 0)
+        near = [t > 0 and any(second[max(0, i - toxicity.NEAR):i + toxicity.NEAR + 1]) for i, t in enumerate(tier)]
+        share = lambda a, b: sum(a <= c < b for c in data) / len(data)
+        x = [math.log1p(n), *(tier.count(k) / n for k in (1, 2, 3)), math.log1p(sum(t > 0 for t in tier)), math.log1p(tier.count(1)),
+             sum(second) / n, sum(near) / n, share(65, 91), sum(caps) / n, share(33, 34), share(63, 64), share(34, 48), share(48, 58),
+             sum(hidden) / n, sum(behind) / n]
+    z = model.trees.base
+    for feature, cut, value in model.trees.trees:
+        node = 0
+        for _ in range(model.trees.depth):
+            node = 2 * node + 1 + (x[feature[node]] > cut[node])
+        z += value[node - (2 ** model.trees.depth - 1)]
+    raw = 1 / (1 + math.exp(-z))
+    xs, ys = model.calibration
+    return 0.98 * float(np.interp(raw, xs, ys)) + 0.02 * raw
+
+
+def test_toxicity_scores_equal_a_plain_version(spark):
+    docs, labels = frames(spark)
+    model = toxicity.fit(docs, labels)
+    docs = docs.where("doc_id != 9003").unionByName(spark.createDataFrame([(77, "YOU z0nk! é ü-x 1 you", 0, 0.0)], docs.schema))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = toxicity.score(docs, model).collect()
+    assert all(math.isclose(r.score, plain_toxicity(texts[r.doc_id], model), abs_tol=1e-9) for r in got)

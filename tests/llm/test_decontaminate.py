@@ -38,3 +38,10 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     plan = decontaminate(docs, docs.withColumnRenamed("doc_id", "item_id"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_rows_that_repeat_id_and_text(spark):
+    item = " ".join(f"w{i}" for i in range(200))
+    docs = [(1, item + " end")] * 300 + [(2, "x " + item[:100])]
+    got = run(spark, docs, [(7, item)], 10)
+    assert got[:300] == [(1, 201, 200, ("7",))] * 300 and got[300][0] == 2

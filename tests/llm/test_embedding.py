@@ -52,3 +52,11 @@ def test_pigeonhole_shares_add_up():
         assert parts[0][0] == 0 and parts[-1][1] == d and all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
         r = embedding.rotation(d)
         assert np.allclose(r @ r.T, np.eye(d))
+
+
+def test_one_id_with_different_vectors(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (5, [0.01, 1.0, 0.0]), (7, [0.0, 0.0, 1.0]), (7, [0.0, 0.01, 1.0]),
+            (9, [0.0, 0.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding.near_duplicates(df).collect())
+    assert got == [(1, 0, 1, True), (1, 1, 1, True), (5, 1, 1, False), (7, 2, 7, True), (7, 2, 7, True), (9, 2, 7, False)]

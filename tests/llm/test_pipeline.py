@@ -86,7 +86,7 @@ def test_run_and_registry(spark, corpus):
     assert rows and all(r.n_tokens == len(r.ids) for r in rows) and not {r.doc_id for r in rows} & junk
     assert "pipeline" not in entry.oracle_sql()
     assert [n for n in entry.queries() if n.startswith("op")] == [n for n in queries.REGISTRY if n.startswith("op")]
-    assert {int(n[2:].split("_")[0]) for n in queries.REGISTRY} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.REGISTRY} == set(range(1, 14))
     assert [f for _, f in corpus_pipeline.STAGES] == [
         corpus_pipeline.quality, corpus_pipeline.near_duplicates, corpus_pipeline.substrings,
         corpus_pipeline.decontaminate, corpus_pipeline.tokens]
@@ -97,3 +97,19 @@ def test_empty_corpus(spark, corpus, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{corpus[0]}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
     assert corpus_pipeline.run(spark, folder).collect() == []
+
+
+def test_extra_columns_whose_names_clash(spark, corpus):
+    from pyspark.sql import functions as F
+    folder = corpus[0]
+    more = ["score", "predicted", "held_out", "leak", "row", "kept", "id", "text_hash"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select(
+        "*", *(F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in more))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs.count()
+        docs = corpus_pipeline.materialize(stage(spark, docs, folder), name)
+        assert docs.columns == COLUMNS + more and 0 < docs.count() <= before
+        wrong = F.lit(False)
+        for c in more:
+            wrong = wrong | (F.col(c) != F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+        assert docs.where(wrong).count() == 0

@@ -101,7 +101,7 @@ def decontaminate(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
 
     marks = docs.select("key", F.explode(_marks(F.col("text"), n, short)).alias("m")).select("key", "m.*")
     hits = (marks.join(prints, ["fp", "size"]).groupBy("key")
-            .agg(F.collect_list(F.struct("a", "b", "size")).alias("marks")))
+            .agg(F.collect_set(F.struct("a", "b", "size")).alias("marks")))  # equal rows add nothing
     near = docs.join(hits, "key").select("key", F.explode(_windows(F.col("text"), F.col("marks"))).alias("s"))
     found = materialize(near.select("key", "s.*").join(spans, ["span", "size"])
                         .select("key", "at", "size", "item").distinct(), "found")

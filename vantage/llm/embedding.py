@@ -16,7 +16,7 @@ spanning forest.  Equal vectors are one vector with a multiplicity from the star
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components, and rows
 without an id, link with nothing; vectors of different lengths are not compared; rows with the
-same id are rows of their own; an empty table gives an empty result; other columns are
+same id are rows of their own, told apart by their vectors; an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -27,6 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,7 +130,7 @@ def _groups(batch, rows, ids, at, cell, visits, d, b, cells):
     names = {"d": pa.array(np.full(len(k), d)), "block": pa.array(np.full(len(k), b)), "cell": pa.array(cell[k]),
              "first": pa.array(first), "second": pa.array(second), "side": pa.array(own[k] != first)}
     take = pa.array(rows[at[k]])
-    names |= {n: batch.column(i).take(take) for i, n in enumerate(("id", "times", "vec"))}
+    names |= {n: batch.column(i).take(take) for i, n in enumerate(("id", "times", "vec", "key"))}
     for start in range(0, len(k), 4096):
         yield pa.RecordBatch.from_pydict({n: c[start:start + 4096] for n, c in names.items()})
 
@@ -168,12 +169,15 @@ def _compare(kind: str, least: float, span: float):
                 found_b.append(q[good])
         a, c = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in (found_a, found_b))
         links = np.bincount(a, times[c], len(ids)) + np.bincount(c, times[a], len(ids))
-        order = np.argsort(ids, kind="stable")  # the root of a tree is the least id
+        # the root of a tree is the least node: the least id, of equal ids the least vector
+        order = np.asarray(pc.sort_indices(table.select(["id", "key"]), [("id", "ascending"), ("key", "ascending")]))
         place = np.empty(len(ids), np.int64)
         place[order] = np.arange(len(ids))
-        root = ids[order[forest(len(ids), place[a], place[c])[place]]]
+        root = order[forest(len(ids), place[a], place[c])[place]]
         hit = np.flatnonzero(links)
-        return pa.table({"id": ids[hit], "links": links[hit].astype(np.int64), "root": root[hit]})
+        of = lambda name, rows: table.column(name).take(pa.array(rows))
+        return pa.table({"id": of("id", hit), "key": of("key", hit), "links": links[hit].astype(np.int64),
+                         "root": of("id", root[hit]), "root_key": of("key", root[hit])})
     return run
 
 
@@ -188,7 +192,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     keyed = materialize(rows.select("id", F.md5("vec").alias("key"), "vec"), "vectors")
     distinct = materialize(keyed.where("vec IS NOT NULL").groupBy("key")
                            .agg(F.min("id").alias("id"), F.count("*").alias("times"), F.first("vec").alias("vec")), "distinct")
-    vectors = distinct.select("id", "times", "vec")
+    vectors = distinct.select("id", "times", "vec", "key")
     counted = (map_arrow(vectors, _places(kind, span, None), "d long, block long, cell long, visits boolean")
                .groupBy("d", "block", "cell").agg(F.count_if(~F.col("visits")).alias("home"),
                                                   F.count_if("visits").alias("guests")))
@@ -197,12 +201,14 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     _ship(df.sparkSession)
     found = materialize(
         map_arrow(vectors, _places(kind, span, cells), "d long, block long, cell long, first long, second long, side boolean, "
-                                                 "id long, times long, vec binary")
+                                                 "id long, times long, vec binary, key string")
         .groupBy("d", "block", "cell", "first", "second")
-        .applyInArrow(_compare(kind, least, span), "id long, links long, root long"), "links")
-    linked = found.groupBy("id").agg(F.sum("links").alias("links"))
-    met = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    classes = materialize(distinct.select("key", "id", "times").join(linked, "id", "left").join(met, "id", "left")
+        .applyInArrow(_compare(kind, least, span), "id long, key string, links long, root long, root_key string"), "links")
+    linked = found.groupBy("key").agg(F.sum("links").alias("links"))
+    node = lambda i, k: F.struct(F.col(i).alias("id"), F.col(k).alias("key"))  # noqa: E731  an id may have many vectors
+    met = components(found.select(node("id", "key").alias("a"), node("root", "root_key").alias("b")))
+    met = met.select("id.key", F.col("component.id").alias("component"))
+    classes = materialize(distinct.select("key", "id", "times").join(linked, "key", "left").join(met, "key", "left")
                           .select("key", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"),
                                   F.coalesce("component", "id").alias("component_id")), "classes")
     own = F.coalesce("component_id", "id")

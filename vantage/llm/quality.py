@@ -16,8 +16,9 @@ adding up the numbers of their features, all words of a piece of the column at o
 
 Cases: null and empty texts have no features and get the bias alone; very long texts are
 scored whole; without labels of both kinds the score is the share of label 1 (0.5 if there
-are none); rows with the same id are scored one by one; null ids are held out; an empty table
-gives an empty result; other columns are ignored.
+are none); rows with the same id are scored one by one; null ids are held out; what repeated ids
+and conflicting labels teach is in ``labelled``; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -185,17 +186,20 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
           keep: float = 0.3, carry: tuple[str, ...] = ()) -> DataFrame:
     """id, held_out, score (of label 1), predicted (score >= ``keep``), and ``carry`` as it is."""
     odds, bias = model
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                      *(F.col(c).alias(f"c{i}") for i, c in enumerate(carry)))
-    schema = T.StructType([f for f in src.schema.fields if f.name != "text"]).add("score", "double")
+    text, more = F.col(text_col).cast("string"), [c for c in carry if c != text_col]
+    src = docs.select(F.col(id_col).alias("id"), text.alias("text"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(more)))
+    keep_text = text_col in carry  # sent to the tasks' Python once either way
+    schema = T.StructType([f for f in src.schema.fields if f.name != "text" or keep_text]).add("score", "double")
     names = schema.names
+    back = {c: F.col("text").cast(docs.schema[c].dataType) if c == text_col else F.col(f"c{more.index(c)}") for c in carry}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", PART):
             scores = 1 / (1 + np.exp(-Features(batch.column(1)).scores(odds) - bias))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(scores, pa.float64())], names)
+            columns = batch.columns if keep_text else [batch.column(0), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores, pa.float64())], names)
 
     scored = map_arrow(src, run, schema)
     return scored.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), "score",
                          (F.col("score") >= keep).cast("int").alias("predicted"),
-                         *(F.col(f"c{i}").alias(c) for i, c in enumerate(carry)))
+                         *(back[c].alias(c) for c in carry))

@@ -13,8 +13,8 @@ weighted to the shares of the labels over all learnable rows.  The sample is at
 
 Cases: null and empty texts have zero features; very long texts are scored whole; without
 labels of both kinds the score is the share of label 1 (0 if there are none); rows with the
-same id are scored one by one; null ids are held out; an empty table gives an empty result;
-other columns are ignored.
+same id are scored one by one; null ids are held out; what repeated ids and conflicting labels
+teach is in ``labelled``; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vantage.llm.common import MEMO_WORDS, map_arrow, slices
-from vantage.llm.labelled import held_out, labelled_sample
+from vantage.llm.labelled import held_out, label_counts, labelled_sample
 
 PER_CLASS = 4000
 #: terms of the lexicon at most, the strongest first
@@ -225,9 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     y = np.array([r.label for r in got], np.int64)
     if len(set(y.tolist())) < 2:
         return Model({}, None, None, float(y.mean()) if len(y) else 0.0)
-    known = labels.select(F.col(label_col).alias("label")).where(~held_out(labels[id_col]))
-    true = {r.label: r["count"] for r in known.where("label IN (0, 1)").groupBy("label").count().collect()}
-    weight = np.array([true[int(v)] / (y == v).sum() for v in (0, 1)])[y]
+    weight = (label_counts(labels, label_col, id_col) / np.bincount(y, minlength=2))[y]
     weight /= weight.mean()
     x, rest = np.array([r.x for r in got]), np.array([r.apart for r in got], bool)
     if len(set(y[~rest].tolist())) < 2 or len(set(y[rest].tolist())) < 2:
@@ -244,8 +242,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Features(model.lexicon)
-        for batch in batches:
-            x = np.array([make(t.as_py()) for t in batch.column(1)]).reshape(-1, N_FEATURES)
+        for batch in slices(batches, "text"):
+            x = np.array([make(t) for t in batch.column(1).to_pylist()]).reshape(-1, N_FEATURES)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(x), pa.float64())], ["id", "score"])
 
     return map_arrow(src, run, schema).select(

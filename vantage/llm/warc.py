@@ -188,4 +188,5 @@ def assemble(recs: DataFrame) -> DataFrame:
 def warc_round_trip(df: DataFrame, folder: str | None = None, payload: bool = False, **columns) -> DataFrame:
     """Write ``df`` as archives in a (new) shared folder, read them back and assemble."""
     folder = folder or scratch(df.sparkSession, "warc")
-    return assemble(read_records(write_warc(df, folder, **columns), payload))
+    recs = read_records(write_warc(df, folder, **columns), payload)
+    return assemble(materialize(recs, "records"))  # three sides are taken from it
