@@ -116,3 +116,23 @@ def test_a_changed_source_is_stored_again(spark, scratch):
     second = stored_layers(spark, scratch)
     assert second is not first
     assert second.layers["silver"]["stg_orders"].count() < first.layers["silver"]["stg_orders"].count()
+
+
+def test_scratch_tables_are_removed_on_request(spark, scratch):
+    import subprocess
+    import sys
+    code = (
+        "import os\n"
+        "from vantage.session import clear_scratch, get_session, scratch_root\n"
+        f"spark = get_session('local[1]', extra={{'spark.checkpoint.dir': '{scratch}/shared'}})\n"
+        "from vantage.plans.pipeline import staging_root\n"
+        "spark.range(3).write.parquet(staging_root(spark) + '/t')\n"
+        "root = scratch_root(spark).removeprefix('file:')\n"
+        f"assert root.startswith('{scratch}/shared'), root\n"
+        "assert os.path.isdir(root)\n"
+        "clear_scratch(spark)\n"
+        "assert not os.path.exists(root)\n"
+        "print('cleared')\n")
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120,
+                          cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert "cleared" in done.stdout, done.stderr[-2000:]

@@ -25,7 +25,7 @@ from vantage.operators.quality import Check, Result, evaluate, gate, report, run
 from vantage.plans.gold import fct_customer_return_risk_features, int_orders_enriched
 from vantage.plans.silver import build_silver
 from vantage.plans.suites import gold_suite, silver_suite
-from vantage.session import ensure_checkpoint_dir
+from vantage.session import scratch_root
 from vantage.sinks.write import point_table
 
 LAYERS = ("bronze", "silver", "gold")
@@ -34,7 +34,7 @@ STORED_BY = {"fct_customer_return_risk_features": "snapshot_date"}
 
 
 def staging_root(spark: SparkSession, name: str = "tables") -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 @dataclass

@@ -84,9 +84,8 @@ def _events(spark, sf_dir):
 
 def _scratch(spark, name: str) -> str:
     """Fresh folder under the session's shared checkpoint folder."""
-    import uuid
-    from vantage.session import ensure_checkpoint_dir
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    from vantage.plans.pipeline import staging_root
+    return staging_root(spark, name)
 
 
 # ---------------------------------------------------------- spine / pairs

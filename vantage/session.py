@@ -76,3 +76,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written tables and files that driver and executors all see."""
     return ensure_checkpoint_dir(spark)
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The application's own part of the shared folder: intermediate tables and files go here."""
+    sc = _context(spark)
+    own = sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "session")
+    return f"{shared_dir(spark).rstrip('/')}/vantage-{own}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what the application wrote under ``scratch_root``.  Results that were not read or
+    written elsewhere yet lose their tables, so call it when a session's work is done."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
