@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from vantage.session import shared_dir
+from vantage.session import scratch_root
 
 #: bytes of text handled at once inside a task
 CHUNK_BYTES = 1 << 20
@@ -54,8 +54,9 @@ def map_arrow(df: DataFrame, fn, schema: str | StructType) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared folder (never a machine-local one)."""
-    return f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    """A new folder name below the shared folder (never a machine-local one);
+    ``session.clear_scratch`` removes them when their results have been read."""
+    return f"{scratch_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
