@@ -15,9 +15,10 @@ How a panel is computed:
     lead) is derived in the same window, so the entity x spine cross join
     never exists.  Trailing windows, by kind:
 
-    * aligned to the spine step (24 h / 7 d on a daily spine), additive:
-      sliding frames over the dense per-entity rows, nothing explodes;
-    * distinct counts over long windows: merged coverage intervals per
+    * aligned to the spine step (24 h / 7 d on a daily spine), additive, or distinct
+      counts of a small domain (bits of a long, joined by OR): sliding frames over
+      the dense per-entity rows, nothing explodes;
+    * other distinct counts over long windows: merged coverage intervals per
       (entity, value), +1/-1 deltas summed by the same running window;
     * the rest: each fact is exploded to the few snapshots its window
       touches (<= 2 for 30 days on a monthly spine).
@@ -206,8 +207,12 @@ def decode_domains(panel: DataFrame, features: Sequence[Feature], domains: dict[
 def _distinct_count(f: Feature, base: Column) -> Column:
     if not f.column.startswith(_CODE):
         return F.count_distinct(F.when(base, F.col(f.column)))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col(f.column).cast("int") - 1)
-    return F.bit_count(F.coalesce(F.bit_or(F.when(base, bit)), F.lit(0).cast("long")))
+    return F.bit_count(F.coalesce(F.bit_or(F.when(base, _bit(f))), F.lit(0).cast("long")))
+
+
+def _bit(f: Feature) -> Column:
+    """The bit of a value's number."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.col(f.column).cast("int") - 1)
 
 
 # ------------------------------------------------------------- direct form
@@ -285,8 +290,8 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
     # aligned windows of additive aggregates slide over per-snapshot partials;
     # distinct counts run on coverage intervals; the rest (windows that cut
     # through a step) explode to the few snapshots they reach
-    sliding = [f for f in features if f.window is not None and f.agg in SLIDABLE
-               and aligned_steps(f.window, unit)]
+    sliding = [f for f in features if f.window is not None and aligned_steps(f.window, unit)
+               and (f.agg in SLIDABLE or f.agg == "count_distinct" and f.domain is not None)]
     covered = [f for f in features if f.window is not None and f.agg == "count_distinct"
                and distinct == "coverage" and f.domain is None]
     trailing = [f for f in features if f.window is not None and f not in sliding and f not in covered]
@@ -360,6 +365,8 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
                 den = scope if f.den_where is None else (scope & f.den_where)
                 aggs += [F.count(F.when(base, col)).alias(f"_s{j}_{tag}n"),
                          F.count(F.when(den, col)).alias(f"_s{j}_{tag}d")]
+            elif f.agg == "count_distinct":
+                aggs.append(F.bit_or(F.when(base, _bit(f))).alias(f"_s{j}_{tag}m"))
     aggs += [F.sum(f"_cov{j}").alias(f"_l_cov{j}") for j in range(len(covered))]
     per_snap = ev.groupBy(entity, out).agg(*aggs)
 
@@ -504,6 +511,9 @@ def _sliding_value(f: Feature, j: int, n: int, own: Column, w: Window) -> Column
         return F.greatest(inside("m", F.max), edge("m"))
     if f.agg == "rate":
         return safe_rate(total("n"), total("d"))
+    if f.agg == "count_distinct":
+        none = F.lit(0).cast("long")
+        return F.bit_count(F.coalesce(inside("m", F.bit_or), none).bitwiseOR(F.coalesce(edge("m"), none)))
     raise AssertionError(f.agg)
 
 

@@ -13,6 +13,10 @@ EVENT_COLUMNS = ["user_id", "snapshot_date", "events_lifetime", "events_last_24h
                  "avg_value_lifetime", "max_value_30d", "days_since_first_event", "days_since_last_event"]
 
 
+#: event types at most; a stream with more fails the query
+EVENT_TYPES = 64
+
+
 def event_feature_set() -> list[Feature]:
     et = F.col("event_type")
     return [
@@ -20,7 +24,7 @@ def event_feature_set() -> list[Feature]:
         Feature("events_last_24h", "count", "event_id", window="24 hours"),
         Feature("events_last_7d", "count", "event_id", window="7 days"),
         Feature("value_last_7d", "sum", "value", window="7 days", default=0.0),
-        Feature("distinct_event_types_7d", "count_distinct", "event_type", window="7 days"),
+        Feature("distinct_event_types_7d", "count_distinct", "event_type", window="7 days", domain=EVENT_TYPES),
         Feature("purchases_lifetime", "count", "event_id", where=et == "purchase"),
         Feature("error_rate_lifetime", "rate", "event_id", where=et == "error"),
         Feature("avg_value_lifetime", "avg", "value"),
