@@ -3,6 +3,7 @@ import random
 import pytest
 
 import brute
+from vantage.llm import substring
 from vantage.llm.substring import substring_dedup
 
 SCHEMA = "doc_id long, text string, kept string, spans long, id long, mz long"
@@ -46,3 +47,23 @@ def test_spans_and_empty_table(spark):
     assert substring_dedup(df.limit(0), k=20).collect() == []
     carried = substring_dedup(df, k=20, carry=True).where("doc_id = 2").first()
     assert carried.row.text == "q " + text and carried.kept == "q"
+
+
+def test_frequent_minimizers_are_spread_over_their_contents(spark, monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(substring, "SPREAD", 3)
+    mins, content = np.array([5, 7, 5, 5, 5, 7, 5], np.uint64), np.arange(10, 17, dtype=np.uint64)
+    key, split = substring._spread(mins, content)
+    assert split.tolist() == [False, False, False, True, True, False, True]
+    assert (key[~split] == mins[~split]).all() and len(set(key[split].tolist())) == 3
+    rng = random.Random(7)
+    phrase = " ".join(f"f{i}" for i in range(6))
+    word = lambda: f"w{rng.randrange(40)}"
+    shared = [" ".join(word() for _ in range(25)) + f" {phrase} " + " ".join(word() for _ in range(25)) for _ in range(12)]
+    texts = []
+    for i in range(120):  # one phrase in different sentences, some of them shared, some cut short
+        around = f"{word()} {word()} {phrase} " + " ".join(word() for _ in range(rng.randrange(30)))
+        texts.append(f"{around} {rng.choice(shared)[rng.randrange(60):]} {word()}")
+    rows = list(enumerate(texts))
+    for parts in (1, 5):
+        assert run(spark, rows, 8, parts=parts) == sorted(brute.cut_repeats(rows, 8), key=repr)

@@ -14,6 +14,10 @@ gives the same paths everywhere.
    within a task already reduced to the first; dealt out by minimizer.  Of
    equal paths only the first coordinate stays.  A minimizer with several
    contents is a branching place of the graph, as is a path that repeats an edge.
+   A minimizer with over ``SPREAD`` contents in a task branches for sure: two of them
+   go to the minimizer, so that it branches there too, the others are marked and
+   dealt out by their contents.  Then a content may keep two first coordinates, but both
+   are taken apart, and step 3 has the least of each edge.
 2. First coordinates go back to their documents (one row for each distinct path,
    so a group of copies of any size returns one row for each path).  A path of a
    document that is not among them is a repeat as a whole.
@@ -49,6 +53,8 @@ from vantage.llm.common import Words, long_array, map_arrow, mix, rolling, slice
 GRAM = 6
 #: paths gathered in a task before its copies are reduced
 FLUSH = 1_000_000
+#: contents of a minimizer in a task that stay together
+SPREAD = 16
 #: bytes of text worked on at once: arrays over its words stay in cache
 PART = 1 << 20
 
@@ -116,6 +122,18 @@ class Paths:
         return whole, apart
 
 
+def _spread(mins: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, is it spread?) of paths with different contents: their minimizer; for all but two of
+    a minimizer with over ``SPREAD`` contents a mix of both."""
+    order = np.argsort(mins, kind="stable")
+    first = np.flatnonzero(np.r_[True, np.diff(mins[order].view(np.int64)) != 0]) if len(order) else order
+    count = np.diff(np.r_[first, len(order)])
+    rank = np.arange(len(order)) - np.repeat(first, count)
+    split = np.zeros(len(order), bool)
+    split[order] = (np.repeat(count, count) > SPREAD) & (rank >= 2)
+    return np.where(split, mix(mins ^ mix(content)), mins), split
+
+
 def _paths(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -124,9 +142,10 @@ def _paths(k: int):
             mins, content, ids, pos, flag = (np.concatenate(c) for c in zip(*held))
             order = np.lexsort((pos, ids, content))
             order = order[np.r_[True, np.diff(content[order].view(np.int64)) != 0]]  # the first of each content
+            key, split = _spread(mins[order], content[order])
             return pa.RecordBatch.from_arrays(
-                [long_array(mins[order]), long_array(content[order]), long_array(ids[order]),
-                 long_array(pos[order] * 2 + flag[order])], ["mz", "c", "id", "at"])
+                [long_array(key), long_array(content[order]), long_array(ids[order]),
+                 long_array(pos[order] * 2 + (flag[order] | split))], ["key", "c", "id", "at"])
 
         for batch in slices(batches, "text", PART):
             p = Paths(batch.column(1), k)
@@ -189,8 +208,9 @@ def _cut(k: int):
                 spans.append(cut)
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(np.diff(first), pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string()),
-                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), *batch.columns[4:]],
-                ["id", "n_words", "n_removed", "kept", "spans", *batch.schema.names[4:]])
+                 pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
+                 *([batch.column(4), text] if batch.num_columns > 4 else [])],
+                ["id", "n_words", "n_removed", "kept", "spans", *(["row", "text"] if batch.num_columns > 4 else [])])
     return run
 
 
@@ -199,12 +219,15 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Per row: id, n_words, n_removed, ``kept`` (words that stay, joined by a space) and
     ``spans`` (start and stop of the removed words); with ``carry`` also ``row``, a struct of
     the columns that came in."""
+    # the text moves once, beside the other columns
+    rest = [c for c in df.columns if c != text_col or df.schema[c].dataType != T.StringType()]
+    packed = F.struct(F.lit(1).alias("#"), *(F.col(c) for c in rest)).alias("row")
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
-                     *([F.struct(*(F.col(c) for c in df.columns)).alias("row")] if carry else []))
-    paths = map_arrow(docs.where("id IS NOT NULL"), _paths(k), "mz long, c long, id long, at long")
+                     *([packed] if carry else []))
+    paths = map_arrow(docs.where("id IS NOT NULL"), _paths(k), "key long, c long, id long, at long")
 
-    # all contents of a minimizer side by side, each with its least coordinate first
-    one = Window.partitionBy("mz").orderBy("c", "id", "at")
+    # all contents of a key side by side, each with its least coordinate first
+    one = Window.partitionBy("key").orderBy("c", "id", "at")
     whole = one.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     entry = F.expr("shiftleft(shiftright(at, 1), 33) | shiftleft(c & 4294967295L, 1)")
     firsts = (paths
@@ -217,8 +240,8 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # a projection, not a filter: so both uses of the documents share one exchange
     some = F.exists("firsts", lambda x: x.bitwiseAND(F.lit(1).cast("long")) == 1)
-    branching = with_firsts.select("id", F.when(some, F.col("text")).alias("text"), "firsts")
-    edges = map_arrow(branching, _edges(k), "mz long, e long, id long, at long")
+    to_part = with_firsts.select("id", F.when(some, F.col("text")).alias("text"), "firsts")
+    edges = map_arrow(to_part, _edges(k), "mz long, e long, id long, at long")
     first_edges = (edges.groupBy("mz", "e").agg(F.min(F.struct("id", "at")).alias("o"))
                    .select("o.id", F.expr("shiftleft(o.at, 33) | shiftleft(e & 4294967295L, 1)").alias("entry"))
                    .groupBy("id").agg(F.collect_list("entry").alias("edges")))
@@ -226,5 +249,8 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     schema = T.StructType.fromDDL("id long, n_words long, n_removed long, kept string, "
                                   "spans array<struct<start:long,stop:long>>")
     if carry:
-        schema = schema.add(done.schema["row"])
-    return map_arrow(done, _cut(k), schema).withColumnRenamed("id", id_col)
+        schema = schema.add(done.schema["row"]).add("text", "string")
+    out = map_arrow(done, _cut(k), schema)
+    names = ["id", "n_words", "n_removed", "kept", "spans"]
+    whole = F.struct(*(F.col("row")[c].alias(c) if c in rest else F.col("text").alias(c) for c in df.columns)).alias("row")
+    return out.select(*names, *([whole] if carry else [])).withColumnRenamed("id", id_col)
