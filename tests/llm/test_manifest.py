@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -71,6 +72,45 @@ def test_written_shards_hold_whole_rows_in_the_order_of_slots(spark, tmp_path):
         write_shards(df.withColumn("Slot", F.lit(1)), str(tmp_path / "other"), 4)
 
 
+ALL = (1 << 64) - 1
+
+
+def plain_mix(x):
+    x = (x ^ x >> 31) * 0xBF58476D1CE4E5B9 & ALL
+    x = (x ^ x >> 29) * 0x94D049BB133111EB & ALL
+    return x ^ x >> 32
+
+
+def plain_place(x, n, seed=0):
+    """The permutation with plain integers, one number at a time."""
+    a = math.isqrt(max(n - 1, 0)) + 1
+    b = -(-n // a)
+    key = plain_mix(seed + 0x5EED)
+    keys = [plain_mix(k * 0x9E3779B97F4A7C15 & ALL ^ key) for k in range(1, 9)]
+    while True:
+        left, right = divmod(x, b)
+        for k, own in enumerate(keys):
+            if k % 2:
+                left = (left + plain_mix(right + own & ALL) % a) % a
+            else:
+                right = (right + plain_mix(left + own & ALL) % b) % b
+        x = left * b + right
+        if x < n:
+            return x
+
+
+def test_registered_shards_equal_a_plain_version(spark):
+    from vantage.llm.queries import op11_feistel_shards
+    folder = "/root/testdata/sf0.001"
+    docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())
+    want = []
+    for row, (i, text) in enumerate(docs):
+        data = (text or "").encode()
+        place = plain_place(row, len(docs))
+        want.append((i, len(data) + 1, zlib.crc32(data), "rows", place % 8, place // 8, None, row))
+    assert sorted(map(tuple, op11_feistel_shards(spark, folder).collect())) == want
+
+
 def sha(s: str) -> str:
     return hashlib.sha256(s.encode()).hexdigest()
 
