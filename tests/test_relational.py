@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from vantage.operators.relational import arg_max, arg_min, keep_first, keep_latest, range_lookup
+from vantage.operators.relational import arg_max, arg_min, keep_first, keep_latest, range_lookup, range_totals
 from vantage.plans.gold import payments_per_order, primary_seller
 from vantage.plans.silver import stg_customers, stg_orders
 
@@ -93,6 +93,51 @@ def test_range_lookup_never_loops_over_the_ranges(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
 
 
+def test_range_lookup_does_not_broadcast_cut_ranges(spark, scratch):
+    """A file of narrow ranges is small, cut to cells it is not."""
+    spark.range(2000).select((F.col("id") / 50).alias("low"), (F.col("id") / 50 + 20).alias("high")).write.parquet(f"{scratch}/r")
+    df = spark.range(1000).select((F.col("id") % 100).cast("double").alias("v"))
+    out = range_lookup(df, "v", spark.read.parquet(f"{scratch}/r"), "low", "high")
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_range_totals_equal_the_grouped_lookup(spark, scratch):
+    rnd = random.Random(7)
+    for turn, (n, wide) in enumerate(((400, 30.0), (600, 900.0), (1, 1.0))):
+        bands = []
+        for i in range(n):
+            low = float(rnd.choice([rnd.randint(0, 900), rnd.randint(0, 90)]))
+            for _ in range(rnd.choice([1, 1, 2])):  # a key twice, from the same start
+                bands.append((i or None, low, rnd.choice([None, low, low + rnd.random() * wide, low + 5])))
+        items = [(rnd.choice([None, *range(150)]), rnd.choice([None, 50.0, float("nan"), rnd.uniform(-20, 1000), float(rnd.randint(0, 90))]))
+                 for _ in range(3000)]
+        r = spark.createDataFrame(bands, "band int, low double, high double")
+        df = spark.createDataFrame(items, "k int, v double")
+        got = {x.band: (x.rows, x.keys, repr(x.top)) for x in range_totals(df, "v", "k", r, "low", "high", "band", f"{scratch}/{turn}").collect()}
+        want = {x.band: (x.rows, x.keys, repr(x.top)) for x in range_lookup(df, "v", r, "low", "high").groupBy("band").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct("k").alias("keys"), F.max("v").alias("top")).collect()}
+        assert got == want
+    none = range_totals(df, "v", "k", r.limit(0), "low", "high", "band", f"{scratch}/none").collect()
+    assert [(x.band, x.rows) for x in none] == [(None, 3000)]
+
+
+def test_price_bands_build_no_row_for_each_item_and_band(spark, scratch, monkeypatch):
+    from vantage.operators import relational
+    from vantage.plans.queries import REGISTRY
+    spark.range(4000).selectExpr("id AS l_orderkey", "6000.0D + id % 50 AS l_extendedprice", "0.05D AS l_discount").write.parquet(f"{scratch}/lineitem.parquet")
+    spark.range(300).selectExpr("id * 14000 + 100 AS p_partkey", "40 AS p_size").write.parquet(f"{scratch}/part.parquet")
+    plain, sizes = relational.range_lookup, []
+
+    def counted(*a):
+        out = plain(*a)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(relational, "range_lookup", counted)
+    got = REGISTRY["price_bands"](spark, scratch).collect()
+    assert len(got) == 301 and sizes == [4000]  # the items, in one segment each
+
+
 def test_stg_orders_rules(spark):
     orders = spark.createDataFrame([
         ("o1", "c1", "canceled", None, "2020-01-01 10:00:00", None),

@@ -245,15 +245,17 @@ def score_tier(spark, sf_dir):
 @register("price_bands")
 def price_bands(spark, sf_dir):
     """Items a price band: one band a part, overlapping; a third of the prices share a cell."""
-    from vantage.operators.relational import range_lookup
+    from vantage.operators.relational import range_totals
     item = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     low = F.lit(1000.0) + F.col("p_partkey") % 2000 * 50 + F.col("p_partkey") % 7
-    bands = part.select("p_partkey", low.alias("low"), (low + F.col("p_size")).alias("high"))
+    own = F.when(F.col("p_partkey") != -1, F.col("p_partkey"))  # -1 is the band of the rest
+    bands = part.select(own.alias("band"), low.alias("low"), (low + F.col("p_size")).alias("high"))
     price = F.when(F.col("l_orderkey") % 3 == 0, F.lit(5000.0) + F.col("l_discount")).otherwise(F.col("l_extendedprice"))
-    found = range_lookup(item.select("l_orderkey", price.alias("price")), "price", bands, "low", "high")
-    return found.groupBy(F.coalesce("p_partkey", F.lit(-1)).alias("band")).agg(
-        F.count(F.lit(1)).alias("items"), F.count_distinct("l_orderkey").alias("orders"), F.max("price").alias("top_price"))
+    found = range_totals(item.select("l_orderkey", price.alias("price")), "price", "l_orderkey", bands, "low", "high",
+                         "band", _scratch(spark, "price-bands"))
+    return found.select(F.coalesce("band", F.lit(-1)).alias("band"), F.col("rows").alias("items"),
+                        F.col("keys").alias("orders"), F.col("top").alias("top_price"))
 
 
 @register("orders_with_merchant")
