@@ -122,3 +122,40 @@ def test_run_pipeline_layers_and_gate(spark, scratch):
     dup = built["silver"]["stg_orders"].unionByName(built["silver"]["stg_orders"].limit(1))
     with pytest.raises(QualityGateError):
         gate(run_checks([Check("t", "unique", "order_id", severity=ERROR)], {"t": dup}))
+
+
+def test_panel_fans_out_in_partitions_of_its_own_size(spark):
+    facts = spark.createDataFrame(_hot_facts(), SCHEMA)
+    sized = fct_customer_return_risk_features(facts, parts=7)
+    plan = sized._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(customer_unique_id" in plan and ", 7), REPARTITION_BY_NUM" in plan
+    assert rows_by_key(sized) == rows_by_key(fct_customer_return_risk_features(facts))
+
+
+def test_stored_panel_is_written_in_tasks_sized_by_its_rows(spark, scratch, monkeypatch):
+    """As many tasks as its rows need, whatever AQE would make of the bytes shuffled."""
+    from vantage.plans import pipeline
+    from vantage.sources.tpch import raw_from_tpch
+    sizes, plain = [], pipeline.write_checked
+
+    def seen(df, path, checks=(), by=None, parts=None):
+        if by:
+            sizes.append(parts)
+        return plain(df, path, checks, by, parts)
+    monkeypatch.setattr(pipeline, "write_checked", seen)
+    monkeypatch.setattr(pipeline, "PANEL_ROWS", 100)
+    record = pipeline.Record()
+    built = pipeline.run_pipeline(spark, raw_from_tpch(spark, "/root/testdata/sf0.001"), root=scratch, fail_on=(), record=record)
+    panel = built["gold"]["fct_customer_return_risk_features"]
+    rows = record.rows["fct_customer_return_risk_features"]
+    assert sizes and sizes[0] >= rows / 100 and panel.count() == rows
+    files = panel.groupBy(F.input_file_name().alias("f")).count()
+    assert files.agg(F.max("count")).first()[0] < 100
+
+
+def test_partitioned_write_splits_a_large_value(spark, scratch):
+    from vantage.operators.quality import write_checked
+    df = spark.range(20000).select("id", F.when(F.col("id") < 19000, 1).otherwise(F.col("id") % 5).alias("p"))
+    out, rows, _ = write_checked(df, f"{scratch}/t", by="p", parts=64)
+    assert rows == out.count() == 20000 and sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
+    assert out.groupBy(F.input_file_name().alias("f")).count().agg(F.max("count")).first()[0] < 6000

@@ -141,6 +141,11 @@ def time_spine(facts: DataFrame, ts: str, unit: str = "month",
     return b.select(F.explode(F.sequence("spine_lo", "spine_hi", _step_expr(unit))).alias(out))
 
 
+def panel_size(entities: int, facts: DataFrame, ts: str, unit: str = "month") -> int:
+    """Most rows that a panel of so many entities can have: each at every snapshot."""
+    return entities * time_spine(facts, ts, unit).count()
+
+
 def _start_snapshot(first_ts: Column, lo: Column, unit: str, lead: str) -> Column:
     """Earliest spine date ``d >= lo`` with ``first_ts <= d + lead``."""
     ts = first_ts.cast("timestamp_ntz")
@@ -273,7 +278,8 @@ def latest_features(facts: DataFrame, entity: str, ts: str, features: Sequence[F
 def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature],
               unit: str = "month", lead: str = "1 month",
               out: str = "snapshot_date", distinct: str = "explode",
-              bounds: DataFrame | None = None, domain_of: DataFrame | None = None) -> DataFrame:
+              bounds: DataFrame | None = None, domain_of: DataFrame | None = None,
+              parts: int | None = None) -> DataFrame:
     """Join-free form (see module doc).
 
     ``distinct``: ``"coverage"`` computes windowed distinct counts from merged
@@ -281,7 +287,8 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
     shuffles), for windows of many spine steps; ``"explode"`` counts them over the
     exploded rows (Catalyst's Expand), for windows of one or two.  The caller
     chooses; nothing switches with the data.  ``bounds``: the spine's ends, if not those
-    of the facts."""
+    of the facts.  ``parts``: partitions of the entities' rows, which AQE else sizes by the rows
+    before they fan out, so that what follows spills."""
     if distinct not in ("explode", "coverage"):
         raise ValueError(f"unknown strategy {distinct!r}")
     bounds = spine_bounds(facts, ts, unit) if bounds is None else bounds
@@ -374,6 +381,8 @@ def pit_scale(facts: DataFrame, entity: str, ts: str, features: Sequence[Feature
     #      One window spec (entity, snapshot) -> a single sort.  The entity's first
     #      fact is the smallest ts of its first row: that fact's own snapshot is
     #      the entity's smallest one.
+    if parts is not None:
+        per_snap = per_snap.repartition(parts, entity)  # the exchange of the windows below
     w_run = Window.partitionBy(entity).orderBy(out).rowsBetween(Window.unboundedPreceding, 0)
     w_ord = Window.partitionBy(entity).orderBy(out)
     running: list[Column] = []
@@ -572,12 +581,13 @@ def point_in_time_features(facts: DataFrame, entity: str, ts: str,
                            features: Sequence[Feature], unit: str = "month",
                            lead: str = "1 month", out: str = "snapshot_date",
                            distinct: str = "explode", snapshots: str = "all",
-                           bounds: DataFrame | None = None, domain_of: DataFrame | None = None) -> DataFrame:
+                           bounds: DataFrame | None = None, domain_of: DataFrame | None = None,
+                           parts: int | None = None) -> DataFrame:
     """Point-in-time panel of ``snapshots`` "all" or "latest"; ``domain_of``: where the values of
-    small domains are read, if not from the facts."""
+    small domains are read, if not from the facts; ``parts``: as in ``pit_scale``."""
     if snapshots == "latest":
         return latest_features(facts, entity, ts, features, unit=unit, lead=lead, out=out, domain_of=domain_of)
     if snapshots != "all":
         raise ValueError(f"unknown snapshots {snapshots!r}")
     return pit_scale(facts, entity, ts, features, unit=unit, lead=lead, out=out, distinct=distinct, bounds=bounds,
-                     domain_of=domain_of)
+                     domain_of=domain_of, parts=parts)

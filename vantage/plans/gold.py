@@ -110,10 +110,11 @@ FEATURE_COLUMNS = [
 
 
 def fct_customer_return_risk_features(enriched: DataFrame, lead: str = "1 month",
-                                      distinct: str = "explode", snapshots: str = "all") -> DataFrame:
+                                      distinct: str = "explode", snapshots: str = "all",
+                                      parts: int | None = None) -> DataFrame:
     """Point-in-time features per ``(customer_unique_id, snapshot_date)`` on a
     monthly spine.  ``lead`` is the eligibility look-ahead (``"0 days"`` gives
-    the stricter documented rule)."""
+    the stricter documented rule).  ``parts``: as in ``pit_scale``."""
     cols = ["order_id", "customer_unique_id", "customer_state", "order_status",
             "order_purchase_ts", "is_cancelled_post_approval", "order_value",
             "primary_seller_id", "review_score", "is_low_review_delivered",
@@ -121,7 +122,7 @@ def fct_customer_return_risk_features(enriched: DataFrame, lead: str = "1 month"
     facts = enriched.select(*cols)
     return point_in_time_features(facts, "customer_unique_id", "order_purchase_ts",
                                   return_risk_features(), unit="month", lead=lead,
-                                  distinct=distinct, snapshots=snapshots).select(*FEATURE_COLUMNS)
+                                  distinct=distinct, snapshots=snapshots, parts=parts).select(*FEATURE_COLUMNS)
 
 
 def review_dated_features(enriched: DataFrame, reviews: DataFrame, lead: str = "1 month") -> DataFrame:

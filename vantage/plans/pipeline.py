@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vantage.operators.pit import panel_size
 from vantage.operators.quality import Check, Result, evaluate, gate, report, run_checks, write_checked
 from vantage.plans.gold import fct_customer_return_risk_features, int_orders_enriched
 from vantage.plans.silver import build_silver
@@ -31,6 +32,8 @@ from vantage.sinks.write import point_table
 LAYERS = ("bronze", "silver", "gold")
 #: column that a table is stored by
 STORED_BY = {"fct_customer_return_risk_features": "snapshot_date"}
+#: rows of the feature table that a task makes and sorts (about 50 MB), and tasks at least
+PANEL_ROWS, PANEL_TASKS = 250_000, 16
 
 
 def staging_root(spark: SparkSession, name: str = "tables") -> str:
@@ -47,12 +50,13 @@ class Record:
 
 
 def stage(df: DataFrame, root: str, layer: str, name: str, checks: Sequence[Check] = (),
-          record: Record | None = None, prefix: str = "") -> DataFrame:
+          record: Record | None = None, prefix: str = "", parts: int | None = None) -> DataFrame:
     """Write ``df`` to a new folder below ``root/layer/name`` (Parquet) and read it back: what an
     earlier run wrote stays for its readers.  Row-level ``checks`` on the table ride on the
-    write."""
+    write.  ``parts``: as in ``write_checked``."""
     path = f"{root.rstrip('/')}/{layer}/{name}/run-{uuid.uuid4().hex[:12]}"
-    out, rows, found = write_checked(df, path, [c for c in checks if c.table == name], STORED_BY.get(name))
+    out, rows, found = write_checked(df, path, [c for c in checks if c.table == name], STORED_BY.get(name),
+                                     parts)
     if record is not None:
         record.results += found
         record.rows[name], record.paths[name] = rows, path
@@ -124,8 +128,11 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str | Non
         of_orders = [c for c in suite if c.table == "int_orders_enriched"]
         if not fail_on:
             checked(of_orders, {"int_orders_enriched": enriched})
-        fct = stage(fct_customer_return_risk_features(enriched, lead), root, "gold",
-                    "fct_customer_return_risk_features", suite, made, prefix)
+        customers = made.rows["stg_customers"] if "stg_customers" in made.rows else s["stg_customers"].count()
+        most = panel_size(customers, enriched, "order_purchase_ts", "month")
+        parts = max(PANEL_TASKS, -(-most // PANEL_ROWS))
+        fct = stage(fct_customer_return_risk_features(enriched, lead, parts=parts), root, "gold",
+                    "fct_customer_return_risk_features", suite, made, prefix, parts)
         out["gold"] = {"int_orders_enriched": enriched, "fct_customer_return_risk_features": fct}
         checked(suite if fail_on else [c for c in suite if c not in of_orders], {**raw, **s, **out["gold"]})
     for found in later:
