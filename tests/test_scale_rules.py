@@ -159,3 +159,16 @@ def test_partitioned_write_splits_a_large_value(spark, scratch):
     out, rows, _ = write_checked(df, f"{scratch}/t", by="p", parts=64)
     assert rows == out.count() == 20000 and sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
     assert out.groupBy(F.input_file_name().alias("f")).count().agg(F.max("count")).first()[0] < 6000
+
+
+def test_enriched_orders_meet_their_customer_while_narrow(spark):
+    from vantage.plans.queries import layers
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        enriched = layers(spark, "/root/testdata/sf0.001")[2]
+        plan = enriched._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    on = [line for line in plan if "Join LeftOuter, (customer_unique_id" in line or "Join LeftOuter, (order_id" in line]
+    assert "customer_unique_id" in on[-1]  # below the three joins by order

@@ -47,19 +47,21 @@ def int_orders_enriched(stg_orders: DataFrame, payments: DataFrame, reviews: Dat
 
     The three order-keyed sides come out of ``groupBy(order_id)`` / a rank-1
     window, so they are already hash partitioned on ``order_id``; only the order
-    side is shuffled for those joins.  The geo sides are zip centroids and the
-    seller table (bounded by the zip and seller domains); AQE broadcasts them
-    from their measured size and falls back to a shuffle join otherwise.
+    side is shuffled for those joins.  The customer's point is joined first, while the
+    order's row is narrow: joined last, the whole row is shuffled and sorted by customer.
+    The geo sides are zip centroids and the seller table (bounded by the zip and
+    seller domains); AQE broadcasts them from their measured size and falls back to a
+    shuffle join otherwise.
     """
     p = payments_per_order(payments)
     r = reviews.select("order_id", "review_score")
     i = primary_seller(items)
     cg = customer_geo(stg_customers, geo)
     sg = seller_geo(sellers, geo)
-    o = (stg_orders.join(p, "order_id", "left")
+    o = (stg_orders.join(cg, "customer_unique_id", "left")
+                   .join(p, "order_id", "left")
                    .join(r, "order_id", "left")
                    .join(i, "order_id", "left")
-                   .join(cg, "customer_unique_id", "left")
                    .join(sg, F.col("primary_seller_id") == sg["seller_id"], "left"))
     delivered = F.col("order_status") == "delivered"
     return o.select(
