@@ -138,10 +138,10 @@ def test_stored_panel_is_written_in_tasks_sized_by_its_rows(spark, scratch, monk
     from vantage.sources.tpch import raw_from_tpch
     sizes, plain = [], pipeline.write_checked
 
-    def seen(df, path, checks=(), by=None, parts=None):
+    def seen(df, path, checks=(), by=None, parts=None, near=None):
         if by:
             sizes.append(parts)
-        return plain(df, path, checks, by, parts)
+        return plain(df, path, checks, by, parts, near)
     monkeypatch.setattr(pipeline, "write_checked", seen)
     monkeypatch.setattr(pipeline, "PANEL_ROWS", 100)
     record = pipeline.Record()
@@ -161,6 +161,14 @@ def test_partitioned_write_splits_a_large_value(spark, scratch):
     assert out.groupBy(F.input_file_name().alias("f")).count().agg(F.max("count")).first()[0] < 6000
 
 
+def test_neighbouring_values_stay_together_on_their_way(spark):
+    from vantage.operators.quality import _dealt
+    df = spark.range(600).select((F.col("id") % 20).alias("id"), F.floor(F.col("id") / 20).alias("p"))
+    at = _dealt(df, "p", 16, "p div 10").groupBy((F.col("p") / 10).cast("int").alias("near"), "id").agg(
+        F.count_distinct(F.spark_partition_id()).alias("n"), F.count(F.lit(1)).alias("rows"))
+    assert {(r.n, r.rows) for r in at.collect()} == {(1, 10)}
+
+
 def test_enriched_orders_meet_their_customer_while_narrow(spark):
     from vantage.plans.queries import layers
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -182,24 +182,27 @@ class Result:
 _SHARES = 8
 
 
-def _dealt(df: DataFrame, by: str, parts: int) -> DataFrame:
-    """``df`` in ``parts`` partitions: the rows of a value of ``by`` are split by the first other
-    column to shares, several of which meet in a partition."""
+def _dealt(df: DataFrame, by: str, parts: int, near: str | None = None) -> DataFrame:
+    """``df`` in ``parts`` partitions: the rows of a value of ``by`` (or of ``near``, an expression that
+    neighbouring values share) are split by the first other column to shares, several of
+    which meet in a partition."""
     other = next(c for c in df.columns if c != by)
-    return df.repartition(parts, F.col(by), F.pmod(F.xxhash64(other), F.lit(max(1, parts // _SHARES))))
+    return df.repartition(parts, F.expr(near or f"`{by}`"), F.pmod(F.xxhash64(other), F.lit(max(1, parts // _SHARES))))
 
 
 def write_checked(df: DataFrame, path: str, checks: Sequence[Check] = (), by: str | None = None,
-                  parts: int | None = None) -> tuple[DataFrame, int, list[Result]]:
+                  parts: int | None = None, near: str | None = None) -> tuple[DataFrame, int, list[Result]]:
     """Write ``df`` to ``path`` (Parquet, must be new) and read it back; also its number of
     rows and the results of the row-level checks among ``checks``, observed on the write.
     ``by``: a column to partition by; its rows are clustered, and a large value is split.
     ``parts``: into so many tasks, where the number of rows is known beforehand: each sorts its
-    rows by ``by``, and AQE would size them by what is shuffled, several times smaller."""
+    rows by ``by``, and AQE would size them by what is shuffled, several times smaller.  ``near``: an
+    expression on ``by``; rows that share it stay together on their way, so where they are
+    alike (an entity's at neighbouring times) less is shuffled."""
     rows = [c for c in checks if c.kind in ROW_KINDS]
     seen = Observation()
     began = time.perf_counter()
-    dealt = df if not by else df.hint("rebalance", by) if parts is None else _dealt(df, by, parts)
+    dealt = df if not by else df.hint("rebalance", by) if parts is None else _dealt(df, by, parts, near)
     writer = dealt.observe(seen, F.count(F.lit(1)).alias("rows"),
                            *(F.count_if(_row_fail(c)).alias(f"c{i}") for i, c in enumerate(rows))).write
     (writer.partitionBy(by) if by else writer).parquet(path)

@@ -32,6 +32,7 @@ from vantage.sinks.write import point_table
 LAYERS = ("bronze", "silver", "gold")
 #: column that a table is stored by
 STORED_BY = {"fct_customer_return_risk_features": "snapshot_date"}
+STORED_NEAR = {"fct_customer_return_risk_features": "trunc(snapshot_date, 'quarter')"}
 #: rows of the feature table that a task makes and sorts (about 50 MB), and tasks at least
 PANEL_ROWS, PANEL_TASKS = 250_000, 16
 
@@ -56,7 +57,7 @@ def stage(df: DataFrame, root: str, layer: str, name: str, checks: Sequence[Chec
     write.  ``parts``: as in ``write_checked``."""
     path = f"{root.rstrip('/')}/{layer}/{name}/run-{uuid.uuid4().hex[:12]}"
     out, rows, found = write_checked(df, path, [c for c in checks if c.table == name], STORED_BY.get(name),
-                                     parts)
+                                     parts, STORED_NEAR.get(name))
     if record is not None:
         record.results += found
         record.rows[name], record.paths[name] = rows, path
